@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadscope.functions.reactions import sqlite_integer
+from threadscope.session import ensure_checkpoint_dir
 
 # The eight post fields every tabular export carries.
 REQUIRED_POST_FIELDS = ["platform", "post_time", "author", "title", "content",
@@ -110,11 +111,17 @@ def dense_index(df: DataFrame, order_cols: Sequence, name: str = "row_index", st
     Distributed: a range-partitioned sort, then per-partition row counts
     (one row per partition, so the offset table is bounded by the number of
     partitions and safe to broadcast), then offset + local position. The
-    order columns must be unique per row so recomputation is stable.
+    tagged rows are checkpointed once. The order columns must be unique per
+    row.
     """
     mask = (1 << 33) - 1
     tagged = df.orderBy(*_cols(order_cols)).withColumn("_mid", F.monotonically_increasing_id())
     tagged = tagged.withColumn("_pid", F.shiftright("_mid", 33)).withColumn("_loc", F.col("_mid").bitwiseAND(F.lit(mask)))
+    # Range bounds are sampled per evaluation: materialise the tagged rows
+    # once so the count branch and the row branch agree (also after a lost
+    # executor). Written to the shared checkpoint folder.
+    ensure_checkpoint_dir(df.sparkSession)
+    tagged = tagged.checkpoint(eager=True)
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # One row per partition: a single-partition window over it is bounded.
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -98,3 +98,149 @@ SELECT platform, title, comment, total_reac, post_key, pos, rank FROM (
 WHERE rank <= 180""", "fx_posts", "fx_comments"))
 def r13_hot_comments_per_platform(spark, sf):
     return hot_comments(fx.fx_comments(spark, sf), _posts(spark, sf), limit=180)
+
+
+# --- Cleaning (C3, C4, C7, C8, C9, X3, C2, C12) ---------------------------
+
+from threadscope.functions.dates import clean_date  # noqa: E402
+from threadscope.functions.text import clean_text  # noqa: E402
+from threadscope.operators import cleaning as C  # noqa: E402
+from threadscope.operators import extract as X  # noqa: E402
+
+# Date strings in every accepted shape (plus unparseable ones), built from
+# the event timestamps: event_id % 10 picks the shape.
+_DATE_SHAPES_SPARK = [
+    ("yyyy-MM-dd", True), ("yyyy/M/d", True), ("yyyyMMdd", True), ("M/d/yyyy", True),
+    ("yyyy年M月d日", True), ("EEE MMM dd HH:mm:ss yyyy", True), ("yyyy-MM-dd'T'HH:mm:ss'+08:00'", True),
+    ("yyyy.MM.dd HH:mm", True), ("yyyy年M月", False), (None, False),
+]
+_DATE_SHAPES_SQL = ["%Y-%m-%d", "%Y/%-m/%-d", "%Y%m%d", "%-m/%-d/%Y", "%Y年%-m月%-d日",
+                    "%a %b %d %H:%M:%S %Y", "%Y-%m-%dT%H:%M:%S+08:00", "%Y.%m.%d %H:%M", "%Y年%-m月", None]
+
+
+@query("c3_clean_date", sql="SELECT event_id, raw, post_date FROM (SELECT event_id, CASE event_id % 10 "
+       + " ".join(f"WHEN {i} THEN " + (f"strftime(ts, '{f}')" if f else "event_type")
+                  for i, f in enumerate(_DATE_SHAPES_SQL))
+       + " END AS raw, CASE WHEN event_id % 10 < 8 THEN strftime(ts, '%Y-%m-%d') END AS post_date FROM events)")
+def c3_clean_date(spark, sf):
+    e = fx.read_table(spark, sf, "events")
+    raw = None
+    for i, (fmt, _) in enumerate(_DATE_SHAPES_SPARK):
+        v = F.date_format("ts", fmt) if fmt else F.col("event_type")
+        raw = F.when(F.col("event_id") % 10 == i, v) if raw is None else raw.when(F.col("event_id") % 10 == i, v)
+    return e.select("event_id", raw.alias("raw")).withColumn("post_date", clean_date(F.col("raw")))
+
+
+@query("c4_filter_year", sql=with_fx("SELECT doc_id, platform, post_time FROM fx_posts "
+                                     "WHERE post_time LIKE '2025%'", "fx_posts"))
+def c4_filter_year(spark, sf):
+    p = fx.fx_posts(spark, sf).select("doc_id", "platform", "post_time")
+    return C.filter_year(p.withColumn("post_time", clean_date(F.col("post_time"))), "2025")
+
+
+@query("c7_merge_continuations", sql=with_fx("""
+, s AS (
+  SELECT *, CASE WHEN lag(event_id) OVER w IS NULL OR comment_tag != '→'
+                   OR comment_author IS DISTINCT FROM lag(comment_author) OVER w THEN 1 ELSE 0 END AS st
+  FROM fx_pushes WINDOW w AS (PARTITION BY post_key ORDER BY ts, event_id)),
+g AS (SELECT *, sum(st) OVER (PARTITION BY post_key ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS run FROM s)
+SELECT post_key, min(ts) AS ts, arg_min(event_id, ts) AS event_id, first(comment_author) AS comment_author,
+       string_agg(comment, '' ORDER BY ts, event_id) AS comment, count(*) AS n_merged
+FROM g GROUP BY post_key, run""", "fx_pushes").replace("\n\n, s AS", ",\ns AS", 1))
+def c7_merge_continuations(spark, sf):
+    return C.merge_continuations(fx.fx_pushes(spark, sf), "post_key", ["ts", "event_id"])
+
+
+@query("x3_vote_tally", sql=with_fx("""
+SELECT post_key, count_if(comment_tag = '推') AS "like", count_if(comment_tag = '噓') AS unlike,
+       count_if(comment_tag = '推') - count_if(comment_tag = '噓') AS total_reac, count(*) AS comment_count
+FROM fx_comments GROUP BY post_key""", "fx_comments"))
+def x3_vote_tally(spark, sf):
+    return X.vote_tally(fx.fx_comments(spark, sf), "post_key")
+
+
+@query("c8_repair_total_reac", sql=with_fx("""
+SELECT doc_id, total_reac AS raw_total_reac,
+       CASE WHEN total_reac IS NULL OR total_reac = '' THEN '0'
+            WHEN total_reac = '爆' OR starts_with(total_reac, 'X') OR regexp_matches(total_reac, '^-*[0-9]+$')
+            THEN CAST(coalesce(v."like", 0) - coalesce(v.unlike, 0) AS VARCHAR)
+            ELSE total_reac END AS total_reac
+FROM fx_posts p LEFT JOIN (
+  SELECT post_key, count_if(comment_tag = '推') AS "like", count_if(comment_tag = '噓') AS unlike
+  FROM fx_comments GROUP BY post_key) v ON p.doc_id = v.post_key""", "fx_posts", "fx_comments"))
+def c8_repair_total_reac(spark, sf):
+    votes = X.vote_tally(fx.fx_comments(spark, sf), "post_key").select(
+        F.col("post_key").alias("doc_id"), "like", "unlike")
+    p = fx.fx_posts(spark, sf).select("doc_id", F.col("total_reac"))
+    p = p.join(votes, "doc_id", "left").withColumn("raw_total_reac", F.col("total_reac"))
+    return C.repair_reactions(p).select("doc_id", "raw_total_reac", "total_reac")
+
+
+@query("c9_article_tag", sql="""
+SELECT page_id, CASE WHEN t IS NULL OR t = '' THEN ''
+       WHEN strpos(t, '[') > 0 AND strpos(t, ']') >= strpos(t, '[') THEN substr(t, strpos(t, '['), strpos(t, ']') - strpos(t, '[') + 1)
+       ELSE '' END AS article_tag
+FROM (SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS t FROM pages)""")
+def c9_article_tag(spark, sf):
+    pages = fx.read_table(spark, sf, "pages")
+    t = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
+    return pages.select("page_id", C.extract_article_tag(t).alias("article_tag"))
+
+
+@query("c2_clean_text", note="DuckDB regex has no look-around/back-references; "
+       "checked against Python re on 21k strings in tests")
+def c2_clean_text(spark, sf):
+    d = fx.read_table(spark, sf, "documents")
+    return d.select("doc_id", clean_text(F.col("text")).alias("clean_text"))
+
+
+@query("c12_clean_posts", note="uses clean_text; rows-only")
+def c12_clean_posts(spark, sf):
+    posts = _posts(spark, sf)
+    comments = fx.fx_comments(spark, sf)
+    outs = []
+    for plat in PLATFORMS:
+        p = posts.filter(F.col("platform") == plat)
+        c = comments.filter(F.col("platform") == plat)
+        cp, cc = C.clean(plat, p, c, "post_key", ["pos"], year="2025")
+        outs.append(cc.join(cp.drop("platform"), "post_key", "inner"))
+    return R.union_all(outs)
+
+
+# --- Extraction over stored pages (X5, X6, X12-X14) ------------------------
+
+@query("x5_link_targets", sql="""
+SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY min(i)) AS link_pos, href
+FROM (SELECT page_id, i, replace(regexp_extract_all(html, '(?i)<[a-z][a-z0-9]*\\s(?:[^>]*\\s)?href\\s*=\\s*"([^"]*)"[^>]*>', 1)[i], '&amp;', '&') AS href
+      FROM (SELECT page_id, html, generate_subscripts(regexp_extract_all(html, '(?i)<[a-z][a-z0-9]*\\s(?:[^>]*\\s)?href\\s*=\\s*"([^"]*)"[^>]*>', 1), 1) AS i FROM pages))
+WHERE href != ''
+GROUP BY page_id, href""")
+def x5_link_targets(spark, sf):
+    pages = fx.read_table(spark, sf, "pages")
+    return pages.select("page_id", F.posexplode(X.link_targets(F.col("html"))).alias("link_pos", "href")) \
+                .withColumn("link_pos", F.col("link_pos") + 1)
+
+
+_SQL_PAGE_PARAM = "regexp_extract(url, '[?&]page=([^&#]*)', 1)"
+
+
+@query("x6_max_page", sql=f"""
+SELECT page_id, greatest(coalesce(try_cast(CASE WHEN regexp_matches({_SQL_PAGE_PARAM}, '^[0-9]+$')
+                                  THEN {_SQL_PAGE_PARAM} END AS INTEGER), 1), 1) AS max_page
+FROM pages""")
+def x6_max_page(spark, sf):
+    pages = fx.read_table(spark, sf, "pages")
+    return pages.select("page_id", X.max_page(F.col("html"), "BH-pagebtnA", F.col("url")).alias("max_page"))
+
+
+@query("x12_reply_page_urls", sql=f"""
+SELECT page_id, reply_page, 'https://forum.gamer.com.tw/C.php?page=' || reply_page || '&bsn=29659&snA=' || page_id AS url
+FROM (SELECT page_id, unnest(CASE WHEN total > 3 THEN range(total, greatest(total - 2 + 1, 1) - 1, -1)
+                                  ELSE range(1, least(total, 2) + 1) END) AS reply_page
+      FROM (SELECT page_id, greatest(coalesce(try_cast(CASE WHEN regexp_matches({_SQL_PAGE_PARAM}, '^[0-9]+$')
+                                  THEN {_SQL_PAGE_PARAM} END AS INTEGER), 1), 1) AS total FROM pages))""")
+def x12_reply_page_urls(spark, sf):
+    pages = fx.read_table(spark, sf, "pages")
+    total = X.max_page(F.col("html"), "BH-pagebtnA", F.col("url"))
+    planned = pages.select("page_id", F.explode(X.plan_reply_pages(total, F.lit(2))).alias("reply_page"))
+    return planned.withColumn("url", X.baha_article_url(F.lit(29659), F.col("page_id"), F.col("reply_page")))
