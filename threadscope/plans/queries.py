@@ -244,3 +244,143 @@ def x12_reply_page_urls(spark, sf):
     total = X.max_page(F.col("html"), "BH-pagebtnA", F.col("url"))
     planned = pages.select("page_id", F.explode(X.plan_reply_pages(total, F.lit(2))).alias("reply_page"))
     return planned.withColumn("url", X.baha_article_url(F.lit(29659), F.col("page_id"), F.col("reply_page")))
+
+
+# --- Identity, dedupe, indexes, counts (R6-R8, R20-R25) --------------------
+
+from threadscope.functions.ids import post_id  # noqa: E402
+
+_SQL_POST_ID = ("md5(coalesce(CAST({p} AS VARCHAR), 'None') || '_' || coalesce(CAST({t} AS VARCHAR), 'None') || '_' || "
+                "coalesce(CAST({a} AS VARCHAR), 'None') || '_' || substr(coalesce(CAST({ti} AS VARCHAR), ''), 1, 10))")
+
+
+@query("r6_post_id", sql=with_fx(
+    f"SELECT doc_id, {_SQL_POST_ID.format(p='platform', t='post_time', a='author', ti='title')} AS post_id "
+    "FROM fx_posts", "fx_posts"))
+def r6_post_id(spark, sf):
+    p = fx.fx_posts(spark, sf)
+    return p.select("doc_id", post_id(F.col("platform"), F.col("post_time"), F.col("author"), F.col("title"))
+                    .alias("post_id"))
+
+
+@query("r7_dedupe_first_wins", sql=f"""
+SELECT post_id, arg_min(doc_id, doc_id) AS doc_id, arg_min(source, doc_id) AS source, arg_min(lang, doc_id) AS lang
+FROM (SELECT doc_id, source, lang, {_SQL_POST_ID.format(p='source', t='lang', a='NULL', ti='text')} AS post_id FROM documents)
+GROUP BY post_id""")
+def r7_dedupe_first_wins(spark, sf):
+    d = fx.read_table(spark, sf, "documents")
+    keyed = d.select(post_id(F.col("source"), F.col("lang"), F.lit(None), F.col("text")).alias("post_id"),
+                     "doc_id", "source", "lang")
+    return R.dedupe_first_wins(keyed, "post_id", "doc_id")
+
+
+@query("r8_comments_table", sql=with_fx(f"""
+SELECT row_number() OVER (ORDER BY c.post_key, c.pos) AS comment_id,
+       {_SQL_POST_ID.format(p='p.platform', t='p.post_time', a='p.author', ti='p.title')} AS post_id,
+       c.comment_author, c.comment
+FROM fx_comments c JOIN fx_posts p ON c.post_key = p.doc_id""", "fx_posts", "fx_comments"))
+def r8_comments_table(spark, sf):
+    posts = _posts(spark, sf).select(
+        "post_key", post_id(F.col("platform"), F.col("post_time"), F.col("author"), F.col("title")).alias("post_id"))
+    c = fx.fx_comments(spark, sf).join(posts, "post_key", "inner")
+    return R.dense_index(c, ["post_key", "pos"], name="comment_id").select(
+        "comment_id", "post_id", "comment_author", "comment")
+
+
+@query("r20_value_counts", sql="""
+SELECT lang, count(*) AS count, count(*) / sum(count(*)) OVER () AS share
+FROM documents WHERE lang IS NOT NULL GROUP BY lang""")
+def r20_value_counts(spark, sf):
+    return R.value_counts(fx.read_table(spark, sf, "documents"), "lang")
+
+
+@query("r21_row_counts", sql=with_fx("""
+SELECT 'posts' AS name, count(*) AS n_rows FROM fx_posts
+UNION ALL SELECT 'comments', count(*) FROM fx_comments
+UNION ALL SELECT 'comments_with_posts', count(*) FROM fx_comments c LEFT JOIN fx_posts p ON c.post_key = p.doc_id
+  WHERE c.comment IS NOT NULL AND c.comment != ''""", "fx_posts", "fx_comments"))
+def r21_row_counts(spark, sf):
+    posts, comments = _posts(spark, sf), fx.fx_comments(spark, sf)
+    joined = R.comments_with_posts(comments.filter(R.non_empty("comment")), posts.select("post_key"), "post_key")
+    return R.row_counts({"posts": posts, "comments": comments, "comments_with_posts": joined})
+
+
+@query("r22_distinct_values", sql="SELECT DISTINCT role FROM conversations")
+def r22_distinct_values(spark, sf):
+    return R.distinct_values(fx.read_table(spark, sf, "conversations"), "role")
+
+
+@query("r23_seeded_shuffle", sql="SELECT doc_id, quality, toxic FROM labels",
+       note="row order is not compared; checks the shuffle keeps every row once")
+def r23_seeded_shuffle(spark, sf):
+    return R.seeded_shuffle(fx.read_table(spark, sf, "labels"), ["doc_id"], seed=42)
+
+
+@query("r24_row_position", sql="SELECT doc_id, lang, row_number() OVER (ORDER BY lang, doc_id) AS row_index "
+                               "FROM documents")
+def r24_row_position(spark, sf):
+    d = fx.read_table(spark, sf, "documents").select("doc_id", "lang")
+    return R.dense_index(d, ["lang", "doc_id"], name="row_index")
+
+
+@query("r25_concat_texts", sql="SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS text "
+                               "FROM conversations WHERE text IS NOT NULL GROUP BY conv_id")
+def r25_concat_texts(spark, sf):
+    c = fx.read_table(spark, sf, "conversations")
+    return R.concat_texts(c, ["conv_id"], "text", ["turn"], sep=" ", out_col="text")
+
+
+# --- Keywords (K1-K6, P3, P4) ------------------------------------------------
+
+from threadscope.operators import keywords as K  # noqa: E402
+
+_SQL_TOKENS = "regexp_extract_all(comment, '" + K.token_pattern() + "', 1)"
+_SQL_STOP = "[" + ", ".join(f"'{w}'" for w in K.STOP_WORDS) + "]"
+_SQL_KEEP = f"NOT list_contains({_SQL_STOP}, Keyword) AND (length(Keyword) >= 2 OR regexp_matches(Keyword, '^\\p{{L}}+$'))"
+
+
+@query("k3_keyword_table", sql=with_fx(f"""
+SELECT doc_id, predict_label, Keyword FROM (
+  SELECT doc_id, predict_label, unnest({_SQL_TOKENS}) AS Keyword FROM fx_scored)
+WHERE {_SQL_KEEP}""", "fx_scored"))
+def k3_keyword_table(spark, sf):
+    return K.keyword_table(fx.fx_scored(spark, sf))
+
+
+@query("k4_negative_comments", sql=with_fx(
+    "SELECT doc_id, comment FROM fx_scored WHERE predict_label = 0 AND comment IS NOT NULL", "fx_scored"))
+def k4_negative_comments(spark, sf):
+    return K.label_corpus(fx.fx_scored(spark, sf), 0).select("doc_id", "comment")
+
+
+@query("k5_term_frequency", sql=with_fx(f"""
+SELECT word, count, count / max(count) OVER () AS weight FROM (
+  SELECT word, count(*) AS count FROM (
+    SELECT unnest({_SQL_TOKENS}) AS word FROM fx_scored
+    WHERE predict_label = 0 AND comment IS NOT NULL)
+  WHERE length(word) >= 2 AND NOT list_contains({_SQL_STOP}, word)
+  GROUP BY word ORDER BY count DESC, word LIMIT 100)""", "fx_scored"))
+def k5_term_frequency(spark, sf):
+    return K.term_frequency(K.label_corpus(fx.fx_scored(spark, sf), 0))
+
+
+@query("k6_keyword_counts", sql=with_fx(f"""
+SELECT platform, predict_label, Keyword, count(*) AS n FROM (
+  SELECT platform, predict_label, unnest({_SQL_TOKENS}) AS Keyword FROM fx_scored)
+WHERE {_SQL_KEEP} GROUP BY platform, predict_label, Keyword""", "fx_scored"))
+def k6_keyword_counts(spark, sf):
+    return K.keyword_counts(K.keyword_table(fx.fx_scored(spark, sf), keep=["platform"]))
+
+
+@query("p4_volume_trend", sql=with_fx("""
+SELECT p.post_time, c.platform, l.quality + l.toxic AS predict_label,
+       count(DISTINCT c.post_key) AS n_posts, count(*) AS n_comments
+FROM fx_comments c JOIN fx_posts p ON c.post_key = p.doc_id LEFT JOIN labels l ON l.doc_id = c.post_key
+GROUP BY p.post_time, c.platform, l.quality + l.toxic""", "fx_posts", "fx_comments"))
+def p4_volume_trend(spark, sf):
+    from threadscope.plans.trend import volume_trend
+    labels = fx.read_table(spark, sf, "labels").select(
+        F.col("doc_id").alias("post_key"), (F.col("quality") + F.col("toxic")).alias("predict_label"))
+    scored = (fx.fx_comments(spark, sf).join(_posts(spark, sf).select("post_key", "post_time"), "post_key")
+              .join(labels, "post_key", "left"))
+    return volume_trend(scored)
