@@ -384,3 +384,130 @@ def p4_volume_trend(spark, sf):
     scored = (fx.fx_comments(spark, sf).join(_posts(spark, sf).select("post_key", "post_time"), "post_key")
               .join(labels, "post_key", "left"))
     return volume_trend(scored)
+
+
+# --- Model data work (M1-M13, P5) -------------------------------------------
+
+from threadscope.operators import model as M  # noqa: E402
+
+_SQL_SPLIT = """CASE WHEN row_number() OVER (PARTITION BY label ORDER BY md5(CAST(doc_id AS VARCHAR) || '42'), doc_id)
+                  <= round(0.2 * count(*) OVER (PARTITION BY label)) THEN 'test' ELSE 'train' END"""
+
+
+@query("m1_stratified_split", sql=with_fx(
+    f"SELECT doc_id, label, {_SQL_SPLIT} AS split FROM fx_labelled", "fx_labelled"))
+def m1_stratified_split(spark, sf):
+    return M.stratified_split(fx.fx_labelled(spark, sf).select("doc_id", "label"), "label", "doc_id")
+
+
+@query("m2_split_real_generated", sql=with_fx(f"""
+SELECT doc_id, label, is_generated, {_SQL_SPLIT} AS split FROM fx_labelled WHERE is_generated = 'F'
+UNION ALL SELECT doc_id, label, is_generated, 'train' FROM fx_labelled WHERE is_generated = 'T'""", "fx_labelled"))
+def m2_split_real_generated(spark, sf):
+    return M.split_real_generated(fx.fx_labelled(spark, sf).select("doc_id", "label", "is_generated"))
+
+
+def _predictions(spark, sf):
+    lg = fx.fx_logits(spark, sf)
+    probs = M.softmax(F.col("logits"))
+    return lg.select("vec_id", "true_label", probs.alias("probs"), M.argmax(probs).alias("test_label"))
+
+
+_SQL_PROBS = """(SELECT vec_id, true_label, list_transform(e, lambda x: x / list_sum(e)) AS probs FROM
+  (SELECT vec_id, true_label, list_transform(logits, lambda x: exp(x - list_max(logits))) AS e FROM fx_logits))"""
+_SQL_PRED = f"""(SELECT vec_id, true_label, probs, list_position(probs, list_max(probs)) - 1 AS test_label
+  FROM {_SQL_PROBS})"""
+
+
+@query("m6_softmax", sql=with_fx(f"""
+SELECT vec_id, round(probs[1], 9) AS p0, round(probs[2], 9) AS p1, round(probs[3], 9) AS p2 FROM {_SQL_PROBS}""",
+                                "fx_logits"))
+def m6_softmax(spark, sf):
+    p = _predictions(spark, sf)
+    return p.select("vec_id", *[F.round(F.element_at("probs", i + 1), 9).alias(f"p{i}") for i in range(3)])
+
+
+@query("m7_argmax", sql=with_fx(f"SELECT vec_id, test_label FROM {_SQL_PRED}", "fx_logits"))
+def m7_argmax(spark, sf):
+    return _predictions(spark, sf).select("vec_id", "test_label")
+
+
+def _sql_pct(i: int) -> str:
+    return f"printf('%.2f%%', round_even(probs[{i}] * 100, 2))"
+
+
+_SQL_MATRIX = f"{_sql_pct(1)} || ', ' || {_sql_pct(2)} || ', ' || {_sql_pct(3)}"
+_SQL_CONF = f"'負:' || {_sql_pct(1)} || ', 中:' || {_sql_pct(2)} || ', 正:' || {_sql_pct(3)}"
+
+
+@query("m8_confidence_string", sql=with_fx(
+    f"SELECT vec_id, {_SQL_CONF} AS confidence_matrix, {_SQL_MATRIX} AS matrix FROM {_SQL_PROBS}", "fx_logits"))
+def m8_confidence_string(spark, sf):
+    p = _predictions(spark, sf)
+    return p.select("vec_id", M.confidence_string(F.col("probs")).alias("confidence_matrix"),
+                    M.confidence_string(F.col("probs"), names=None).alias("matrix"))
+
+
+@query("m9_prediction_table", sql=with_fx(
+    f"SELECT CAST(vec_id AS VARCHAR) AS comment, {_SQL_MATRIX} AS matrix, test_label, true_label FROM {_SQL_PRED}",
+    "fx_logits"))
+def m9_prediction_table(spark, sf):
+    p = _predictions(spark, sf)
+    return p.select(F.col("vec_id").cast("string").alias("comment"),
+                    M.confidence_string(F.col("probs"), names=None).alias("matrix"), "test_label", "true_label")
+
+
+@query("m10_metrics", sql=with_fx(f"""
+, pairs AS (SELECT true_label, test_label, count(*) AS n FROM {_SQL_PRED} GROUP BY ALL),
+labels_ AS (SELECT true_label AS c FROM pairs UNION SELECT test_label FROM pairs),
+per AS (SELECT l.c,
+          coalesce((SELECT sum(n) FROM pairs WHERE true_label = l.c AND test_label = l.c), 0) AS tp,
+          coalesce((SELECT sum(n) FROM pairs WHERE true_label = l.c), 0) AS n_true,
+          coalesce((SELECT sum(n) FROM pairs WHERE test_label = l.c), 0) AS n_pred FROM labels_ l),
+prf AS (SELECT *, CASE WHEN n_pred > 0 THEN tp / n_pred ELSE 0.0 END AS p,
+               CASE WHEN n_true > 0 THEN tp / n_true ELSE 0.0 END AS r FROM per)
+SELECT round(sum(tp) / sum(n_true), 9) AS accuracy, round(avg(p), 9) AS precision, round(avg(r), 9) AS recall,
+       round(avg(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END), 9) AS f1 FROM prf""",
+                                 "fx_logits").replace("\n\n, pairs AS", ",\npairs AS", 1))
+def m10_metrics(spark, sf):
+    m = M.metrics(_predictions(spark, sf))
+    return m.select(*[F.round(c, 9).alias(c) for c in m.columns])
+
+
+@query("m11_confusion_matrix", sql=with_fx(f"""
+, pr AS {_SQL_PRED},
+labels_ AS (SELECT true_label AS l FROM pr UNION SELECT test_label FROM pr)
+SELECT l AS true_label, count_if(true_label = l AND test_label = 0) AS pred_0,
+       count_if(true_label = l AND test_label = 1) AS pred_1, count_if(true_label = l AND test_label = 2) AS pred_2
+FROM labels_ LEFT JOIN pr ON pr.true_label = labels_.l GROUP BY l""", "fx_logits").replace("\n\n, pr AS", ",\npr AS", 1))
+def m11_confusion_matrix(spark, sf):
+    return M.confusion_matrix(_predictions(spark, sf))
+
+
+@query("m12_mispredictions", sql=with_fx(
+    f"SELECT vec_id, true_label, test_label FROM {_SQL_PRED} WHERE test_label != true_label", "fx_logits"))
+def m12_mispredictions(spark, sf):
+    return M.mispredictions(_predictions(spark, sf)).select("vec_id", "true_label", "test_label")
+
+
+@query("m12_neutral_misses", sql=with_fx(
+    f"SELECT vec_id, true_label, test_label FROM {_SQL_PRED} WHERE true_label = 1 AND test_label != 1", "fx_logits"))
+def m12_neutral_misses(spark, sf):
+    return M.class_misses(_predictions(spark, sf), 1).select("vec_id", "true_label", "test_label")
+
+
+@query("m13_label_ratio", sql=with_fx(f"""
+SELECT test_label AS predict_label, count(*) AS count, count(*) / sum(count(*)) OVER () AS share
+FROM {_SQL_PRED} GROUP BY test_label""", "fx_logits"))
+def m13_label_ratio(spark, sf):
+    return M.label_ratio(_predictions(spark, sf).withColumnRenamed("test_label", "predict_label"))
+
+
+@query("p5_scored_corpus", note="trains a classifier (iterative); rows-only")
+def p5_scored_corpus(spark, sf):
+    labelled = fx.fx_labelled(spark, sf)
+    split = M.stratified_split(labelled, "label", "doc_id")
+    model = M.train_sentiment(split.filter(F.col("split") == "train").select(
+        F.col("comment").alias("text"), "label"))
+    docs = fx.fx_posts(spark, sf).select("doc_id", "platform", F.col("content").alias("comment"))
+    return M.score_comments(model, docs)
