@@ -278,3 +278,170 @@ def dcard_urls(mode: Column, query: Column, forum: Column | None = None) -> Colu
 def dcard_comments_url(post_id: Column, limit: Column) -> Column:
     return F.format_string(DCARD_API + "/posts/%s/comments?limit=%s&sort=oldest",
                            post_id.cast("string"), limit.cast("string"))
+
+
+# X1 / X2 / X4 (HTML pages, mapInPandas) ------------------------------------
+
+import datetime as _dt  # noqa: E402
+from collections.abc import Iterator  # noqa: E402
+
+import pandas as _pd  # noqa: E402
+from pyspark.sql import types as _T  # noqa: E402
+
+_COMMENT = _T.StructType([_T.StructField("comment_tag", _T.StringType()),
+                          _T.StructField("comment_author", _T.StringType()),
+                          _T.StructField("comment", _T.StringType())])
+
+PTT_ARTICLE_SCHEMA = _T.StructType([
+    _T.StructField("page_id", _T.LongType()), _T.StructField("url", _T.StringType()),
+    _T.StructField("platform", _T.StringType()), _T.StructField("post_time", _T.StringType()),
+    _T.StructField("content", _T.StringType()), _T.StructField("like", _T.LongType()),
+    _T.StructField("unlike", _T.LongType()), _T.StructField("total_reac", _T.StringType()),
+    _T.StructField("comment_count", _T.LongType()),
+    _T.StructField("comments_data", _T.ArrayType(_COMMENT)),
+])
+PTT_BOARD_SCHEMA = _T.StructType([
+    _T.StructField("page_id", _T.LongType()), _T.StructField("entry_pos", _T.IntegerType()),
+    _T.StructField("post_url", _T.StringType()), _T.StructField("title", _T.StringType()),
+    _T.StructField("author", _T.StringType()),
+])
+BAHA_FLOOR_SCHEMA = _T.StructType([
+    _T.StructField("page_id", _T.LongType()), _T.StructField("floor_pos", _T.IntegerType()),
+    _T.StructField("platform", _T.StringType()), _T.StructField("post_time", _T.StringType()),
+    _T.StructField("author", _T.StringType()), _T.StructField("title", _T.StringType()),
+    _T.StructField("content", _T.StringType()), _T.StructField("total_reac", _T.StringType()),
+    _T.StructField("comment_count", _T.LongType()),
+    _T.StructField("comments_data", _T.ArrayType(_COMMENT)),
+])
+
+
+def _fmt(raw: str, pattern: str) -> str | None:
+    try:
+        return _dt.datetime.strptime(raw, pattern).strftime("%Y-%m-%d")
+    except (TypeError, ValueError):
+        return None
+
+
+def parse_ptt_article(html: str | None, crawl_date: str | None = None) -> dict | None:
+    """One PTT article page -> post record, or None without ``#main-content``."""
+    from threadscope.functions.html import parse
+    root = parse(html)
+    main = next((n for n in root.select("div#main-content")), None)
+    if main is None:
+        return None
+    meta = root.select("span.article-meta-value")
+    raw_time = meta[3].text().strip() if len(meta) > 3 else ""
+    like = unlike = 0
+    pushes = []
+    for p in main.select("div.push"):
+        tag_n, user_n, text_n = (p.select_one("span.push-tag"), p.select_one("span.push-userid"),
+                                 p.select_one("span.push-content"))
+        if tag_n is None or user_n is None or text_n is None:
+            continue  # an incomplete push stays in the content
+        tag = tag_n.text().strip()
+        if tag == "推":
+            like += 1
+        elif tag == "噓":
+            unlike += 1
+        pushes.append({"comment_tag": tag, "comment_author": user_n.text().strip(),
+                       "comment": text_n.text().strip().lstrip(":")})
+        p.remove()
+    for cls in ("div.article-metaline", "div.article-metaline-right"):
+        for m in main.select(cls):
+            m.remove()
+    return {"platform": "PTT", "post_time": _fmt(raw_time, "%a %b %d %H:%M:%S %Y") or crawl_date,
+            "content": main.text().strip(), "like": like, "unlike": unlike,
+            "total_reac": str(like - unlike), "comment_count": len(pushes), "comments_data": pushes}
+
+
+def parse_ptt_board(html: str | None) -> list[dict]:
+    """Board index page -> listing entries (deleted entries have no link)."""
+    from threadscope.functions.html import parse
+    out = []
+    for ent in parse(html).select("div.r-ent"):
+        title_div = ent.select_one("div.title")
+        a = title_div.select_one("a") if title_div is not None else None
+        if a is None:
+            continue
+        author = ent.select_one("div.author")
+        out.append({"post_url": PTT_BASE + (a.get("href") or ""), "title": a.text().strip(),
+                    "author": author.text().strip() if author is not None else None})
+    return out
+
+
+def parse_baha_page(html: str | None) -> list[dict]:
+    """Bahamut thread page -> one record per floor (``.c-section``)."""
+    from threadscope.functions.html import parse
+    root = parse(html)
+    main_title_n = root.select_one("h1.c-post__header__title")
+    main_title = main_title_n.text().strip() if main_title_n is not None else "巴哈討論串"
+    floors = []
+    for post in root.select(".c-section"):
+        t = post.select_one("h1.c-post__header__title")
+        title = t.text().strip() if t is not None else main_title
+        a = post.select_one("a.username")
+        author = a.text().strip() if a is not None else "Anonymous"
+        tm = post.select_one(".c-post__header__info a.edittime")
+        post_time = _fmt(tm.get("data-mtime"), "%Y-%m-%d %H:%M:%S") if tm is not None and "data-mtime" in tm.attrs \
+            else None
+        lk = post.select_one("a.count.tippy-gpbp-list")
+        try:
+            reac = int(lk.text().strip()) if lk is not None else 0
+        except ValueError:
+            reac = 0
+        body = post.select_one("div.c-article__content")
+        comments = []
+        for c in post.select(".c-reply__item"):
+            txt = c.select_one(".reply-content__article")
+            if txt is None:
+                continue
+            u = c.select_one(".reply-content__user")
+            comments.append({"comment_tag": None,
+                             "comment_author": u.text().strip().replace("：", "") if u is not None else "Anonymous",
+                             "comment": txt.text().strip()})
+        floors.append({"platform": "Bahamut", "post_time": post_time, "author": author, "title": title,
+                       "content": body.text().strip() if body is not None else "", "total_reac": str(reac),
+                       "comment_count": len(comments), "comments_data": comments})
+    return floors
+
+
+def extract_ptt_articles(pages: DataFrame, crawl_date: str | None = None) -> DataFrame:
+    """X1 over a pages table ``(page_id, url, html)``; pages without
+    ``#main-content`` produce no row."""
+    def fn(batches: Iterator[_pd.DataFrame]) -> Iterator[_pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for pid, url, html in zip(b["page_id"], b["url"], b["html"]):
+                rec = parse_ptt_article(html, crawl_date)
+                if rec is not None:
+                    rows.append({"page_id": pid, "url": url, **rec})
+            yield _pd.DataFrame(rows, columns=[f.name for f in PTT_ARTICLE_SCHEMA.fields])
+    return pages.select("page_id", "url", "html").mapInPandas(fn, PTT_ARTICLE_SCHEMA)
+
+
+def extract_ptt_board(pages: DataFrame) -> DataFrame:
+    """X2 listing rows of board pages."""
+    def fn(batches: Iterator[_pd.DataFrame]) -> Iterator[_pd.DataFrame]:
+        for b in batches:
+            rows = [{"page_id": pid, "entry_pos": i, **e}
+                    for pid, html in zip(b["page_id"], b["html"]) for i, e in enumerate(parse_ptt_board(html))]
+            yield _pd.DataFrame(rows, columns=[f.name for f in PTT_BOARD_SCHEMA.fields])
+    return pages.select("page_id", "html").mapInPandas(fn, PTT_BOARD_SCHEMA)
+
+
+def ptt_posts(board_pages: DataFrame, article_pages: DataFrame, crawl_date: str | None = None) -> DataFrame:
+    """Listing entries joined to their parsed articles by URL (inner);
+    the post keeps ``post_url``."""
+    listing = extract_ptt_board(board_pages).select("post_url", "title", "author")
+    arts = extract_ptt_articles(article_pages, crawl_date).withColumnRenamed("url", "post_url")
+    return listing.join(arts.drop("page_id"), "post_url", "inner")
+
+
+def extract_baha_floors(pages: DataFrame) -> DataFrame:
+    """X4 over a pages table: one row per floor."""
+    def fn(batches: Iterator[_pd.DataFrame]) -> Iterator[_pd.DataFrame]:
+        for b in batches:
+            rows = [{"page_id": pid, "floor_pos": i, **f}
+                    for pid, html in zip(b["page_id"], b["html"]) for i, f in enumerate(parse_baha_page(html))]
+            yield _pd.DataFrame(rows, columns=[f.name for f in BAHA_FLOOR_SCHEMA.fields])
+    return pages.select("page_id", "html").mapInPandas(fn, BAHA_FLOOR_SCHEMA)
