@@ -176,7 +176,7 @@ def _author(v: Column) -> Column:
 def _iso_date(s: Column) -> Column:
     """Date part of an ISO-8601 timestamp in its own offset (no conversion)."""
     ok = s.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9:.]+(Z|[+-][0-9]{2}:?[0-9]{2})?)?$")
-    d = F.try_to_date(F.substring(s, 1, 10), F.lit("yyyy-MM-dd"))
+    d = F.try_to_date(F.substring(s, 1, 10), "yyyy-MM-dd")
     return F.when(ok, F.date_format(d, "yyyy-MM-dd"))
 
 

@@ -92,8 +92,9 @@ def read_text_files(spark: SparkSession, folders: Sequence[str] | str, glob: str
             log.warning("folder not found, skipped: %s", f)
     if not existing:
         return spark.createDataFrame([], "file_path string, value string")
-    raw = (spark.read.option("wholetext", True).option("pathGlobFilter", glob)
-           .option("recursiveFileLookup", False).text(existing))
+    # ``text()`` has its own wholetext argument (default False) that would
+    # override an option, so it is passed there.
+    raw = spark.read.option("pathGlobFilter", glob).text(existing, wholetext=True)
     return raw.select(F.col("_metadata.file_path").alias("file_path"), "value")
 
 
