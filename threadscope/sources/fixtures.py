@@ -15,8 +15,18 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+# Text-heavy tables and their row keys: per-row work on them (regex
+# cleaning, tokenizing, HTML parsing) is CPU-bound, so a scan that yields
+# fewer splits than cores is spread by key (see ``relational.spread``).
+TEXT_TABLE_KEYS = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_id"}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name in TEXT_TABLE_KEYS:
+        from threadscope.operators.relational import spread
+        df = spread(df, TEXT_TABLE_KEYS[name])
+    return df
 
 
 def platform_of(key: Column) -> Column:
