@@ -67,6 +67,20 @@ def fx_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fx_nested_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts in the crawler's nested shape: ``comments_data`` is the array of
+    the post's comment records in turn order, ``comment_count`` its size.
+    Comments are grouped per post only (one thread per row, as in the raw
+    JSON), then joined to the posts by key."""
+    c = fx_comments(spark, sf_dir)
+    rec = F.struct(F.col("pos"), F.struct("comment_tag", "comment_author", "comment").alias("r"))
+    nested = c.groupBy("post_key").agg(
+        F.transform(F.array_sort(F.collect_list(rec)), lambda x: x["r"]).alias("comments_data"))
+    p = fx_posts(spark, sf_dir)
+    out = p.join(nested, p["doc_id"] == nested["post_key"], "left").drop("post_key")
+    return out.withColumn("comment_count", F.coalesce(F.size("comments_data"), F.lit(0)).cast("bigint"))
+
+
 def fx_pushes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PTT-like push stream: post = day, order = (ts, event_id)."""
     e = read_table(spark, sf_dir, "events")
