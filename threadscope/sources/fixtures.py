@@ -78,7 +78,9 @@ def fx_nested_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform(F.array_sort(F.collect_list(rec)), lambda x: x["r"]).alias("comments_data"))
     p = fx_posts(spark, sf_dir)
     out = p.join(nested, p["doc_id"] == nested["post_key"], "left").drop("post_key")
-    return out.withColumn("comment_count", F.coalesce(F.size("comments_data"), F.lit(0)).cast("bigint"))
+    # The crawler always writes a list, empty for a post without comments.
+    out = out.withColumn("comments_data", F.coalesce("comments_data", F.array().cast(nested.schema["comments_data"].dataType)))
+    return out.withColumn("comment_count", F.size("comments_data").cast("bigint"))
 
 
 def fx_pushes(spark: SparkSession, sf_dir: str) -> DataFrame:
