@@ -37,5 +37,5 @@ def query(name: str, sql: str | None = None, note: str = ""):
 
 def load_all() -> dict[str, Entry]:
     # Importing the query modules fills the registry.
-    from threadscope.plans import queries, queries_io, queries_ops  # noqa: F401
+    from threadscope.plans import queries, queries_extract, queries_io, queries_ops  # noqa: F401
     return REGISTRY
