@@ -100,3 +100,57 @@ def x4_baha_floors(spark, sf):
     long = R.explode_comments(floors, "comments_data", "comment_pos")
     return long.select("page_id", "floor_pos", "platform", "post_time", "author", "title", "content",
                        "total_reac", "comment_count", "comment_pos", "comment_author", "comment")
+
+
+# --- X7-X10: Dcard listing and comment payloads -> long table -----------------
+
+_SQL_DCARD = f"""
+, d AS (SELECT p.*, p.doc_id // 30 AS page_id,
+               row_number() OVER (PARTITION BY p.doc_id // 30 ORDER BY p.doc_id) - 1 AS post_pos,
+               coalesce(v.n, 0) AS n_comments
+        FROM fx_posts p LEFT JOIN {_SQL_VOTES} v ON v.post_key = p.doc_id WHERE p.platform = 'dcard'),
+c AS (SELECT post_key, pos, comment_author, comment,
+             row_number() OVER (PARTITION BY post_key ORDER BY pos) - 1 AS i FROM fx_comments)
+SELECT d.page_id, d.post_pos, d.doc_id AS id, 'Dcard' AS platform,
+       CASE WHEN d.doc_id % 13 = 5 THEN NULL ELSE d.post_time END AS post_time,
+       CASE WHEN d.doc_id % 4 >= 2 THEN CASE WHEN d.doc_id % 8 = 2 THEN 'dept' || (d.doc_id % 5) ELSE d.author END
+            ELSE 'Anonymous' END AS author,
+       CASE WHEN d.doc_id % 11 = 2 THEN '無標題' ELSE d.title END AS title,
+       CASE WHEN d.doc_id % 6 = 5 THEN 'note ' || d.doc_id ELSE substr(d.content, 1, 100) END AS content,
+       CASE WHEN d.doc_id % 10 = 8 THEN '0' ELSE CAST(d.doc_id % 50 AS VARCHAR) END AS total_reac,
+       CASE WHEN d.doc_id % 7 = 3 THEN 0 ELSE d.n_comments END AS comment_count,
+       c.i AS comment_pos,
+       CASE WHEN c.post_key IS NULL THEN NULL WHEN c.i % 2 = 0 THEN 'Anonymous' ELSE c.comment_author END
+         AS comment_author,
+       c.comment
+FROM d LEFT JOIN c ON c.post_key = d.doc_id"""
+
+
+@query("x8_dcard_posts", sql=with_fx(_SQL_DCARD, "fx_posts", "fx_comments").replace("\n\n, d AS", ",\nd AS", 1))
+def x8_dcard_posts(spark, sf):
+    nested = _platform(spark, sf, "dcard")
+    listing = rendered.dcard_listing_pages(nested)
+    cpages = rendered.dcard_comment_pages(nested)
+    posts = listing.select("page_id", F.posexplode(X.dcard_posts(X.page_to_json(F.col("html"))))
+                           .alias("post_pos", "post"))
+    posts = posts.withColumn("id", F.try_variant_get("post", "$.id", "bigint")).filter(F.col("id").isNotNull())
+    comments = cpages.select(F.col("page_id").alias("id"),
+                             X.dcard_comments(X.page_to_json(F.col("html"))).alias("cm"))
+    joined = posts.join(comments, "id", "left")
+    rec = X.dcard_format(F.col("post"), F.coalesce(F.col("cm"), F.array().cast("array<variant>")))
+    flat = joined.select("page_id", "post_pos", "id", rec.alias("r")).select("page_id", "post_pos", "id", "r.*")
+    long = R.explode_comments(flat, "comments_data", "comment_pos")
+    return long.select("page_id", "post_pos", "id", "platform", "post_time", "author", "title", "content",
+                       "total_reac", "comment_count", "comment_pos", "comment_author", "comment")
+
+
+# --- X11: paging cursor of each listing payload --------------------------------
+
+@query("x11_next_cursor", sql=with_fx("""
+SELECT page_id, CASE page_id % 4 WHEN 0 THEN CAST(max(doc_id) AS VARCHAR) WHEN 1 THEN NULL
+                                 ELSE 'k' || page_id END AS next_cursor
+FROM (SELECT doc_id, doc_id // 30 AS page_id FROM fx_posts WHERE platform = 'dcard') GROUP BY page_id""",
+                                      "fx_posts"))
+def x11_next_cursor(spark, sf):
+    listing = rendered.dcard_listing_pages(_platform(spark, sf, "dcard"))
+    return listing.select("page_id", X.next_cursor(X.page_to_json(F.col("html"))).alias("next_cursor"))

@@ -119,3 +119,77 @@ def baha_thread_pages(nested_posts: DataFrame) -> DataFrame:
     return pages.select("page_id",
                         _cat(f"{BAHA_BASE}/C.php?bsn=29659&snA=", F.col("page_id").cast("string")).alias("url"),
                         _cat("<html><body>", F.col("body"), "</body></html>").alias("html"))
+
+
+# --- Dcard payloads (JSON shown inside <pre>) --------------------------------
+
+def _pre(json_text: Column) -> Column:
+    return _cat("<html><body><pre>", json_text, "</pre></body></html>")
+
+
+def dcard_post_object(d: Column = F.col("doc_id")) -> Column:
+    """The API's post object. Keys left NULL are absent from the JSON:
+    no title for ``doc_id % 11 == 2``, no ``anonymous`` for ``% 4 == 1``
+    (defaults to true), empty school for ``% 8 == 2``, an annotation for
+    ``% 6 == 5``, no like count for ``% 10 == 8``, no comment count for
+    ``% 7 == 3`` and an unparseable ``createdAt`` for ``% 13 == 5``."""
+    return F.struct(
+        d.alias("id"),
+        F.when(d % 11 != 2, F.col("title")).alias("title"),
+        F.when(d % 13 == 5, F.lit("yesterday")).otherwise(_cat(F.col("post_time"), "T08:30:00.000+08:00"))
+        .alias("createdAt"),
+        F.when(d % 8 == 2, F.lit("")).otherwise(F.col("author")).alias("school"),
+        _cat("dept", (d % 5).cast("string")).alias("department"),
+        F.when(d % 4 == 0, F.lit(True)).when(d % 4 >= 2, F.lit(False)).alias("anonymous"),
+        F.substring(F.col("content"), 1, 100).alias("excerpt"),
+        F.when(d % 6 == 5, F.struct(_cat("note ", d.cast("string")).alias("annotation"))).alias("meta"),
+        F.when(d % 10 != 8, d % 50).alias("likeCount"),
+        F.when(d % 7 != 3, F.col("comment_count")).alias("commentCount"),
+    )
+
+
+def dcard_listing_pages(nested_posts: DataFrame) -> DataFrame:
+    """``(page_id, url, html)``: one listing payload per ``doc_id div 30``
+    page in one of the four shapes (``page_id % 4``): a bare list;
+    ``widgets[].forumlist.items[].post`` (plus an ``items`` key that must be
+    ignored); ``items[].searchPost.post``; ``items[]`` of ``{post}`` or the
+    post itself. Object payloads carry a ``nextKey``."""
+    posts = nested_posts.select(F.floor(F.col("doc_id") / DCARD_GROUP).alias("page_id"), "doc_id",
+                                dcard_post_object().alias("p"))
+    grouped = posts.groupBy("page_id").agg(F.transform(
+        F.array_sort(F.collect_list(F.struct(F.col("doc_id").alias("o"), F.col("p").alias("p")))),
+        lambda x: x["p"]).alias("ps"))
+    key = _cat("k", F.col("page_id").cast("string"))
+    as_list = F.to_json(F.col("ps"))
+    widgets = F.to_json(F.struct(
+        F.array(F.struct(F.struct(F.transform("ps", lambda p: F.struct(p.alias("post"))).alias("items"))
+                         .alias("forumlist"))).alias("widgets"),
+        F.array(F.struct(F.struct(F.lit(-1).alias("id")).alias("post"))).alias("items")))
+    search = F.to_json(F.struct(
+        F.transform("ps", lambda p: F.struct(F.struct(p.alias("post")).alias("searchPost"))).alias("items"),
+        key.alias("nextKey")))
+    items = _cat('{"items":[', F.array_join(F.transform("ps", lambda p: F.when(
+        p["id"] % 2 == 0, F.to_json(F.struct(p.alias("post")))).otherwise(F.to_json(p))), ","),
+        '],"nextKey":"', key, '"}')
+    m = F.col("page_id") % 4
+    payload = F.when(m == 0, as_list).when(m == 1, widgets).when(m == 2, search).otherwise(items)
+    return grouped.select("page_id", _cat("https://www.dcard.tw/service/api/v3/page/", F.col("page_id").cast("string"))
+                          .alias("url"), _pre(payload).alias("html"))
+
+
+def dcard_comment_pages(nested_posts: DataFrame) -> DataFrame:
+    """``(page_id, url, html)``: one comments payload per post, shape by
+    ``(doc_id div 3) % 3``: ``{"items": [...]}``, ``{"comments": [...]}`` or a
+    bare list that also holds a non-object element. Every other comment
+    (even position) is anonymous."""
+    cm = F.transform(F.col("comments_data"), lambda c, i: F.struct(
+        c["comment"].alias("content"), c["comment_author"].alias("school"),
+        (i % 2 == 0).alias("anonymous")))
+    m = F.floor(F.col("doc_id") / 3) % 3
+    payload = (F.when(m == 0, F.to_json(F.struct(cm.alias("items"))))
+               .when(m == 1, F.to_json(F.struct(cm.alias("comments"))))
+               .otherwise(F.regexp_replace(F.to_json(cm), r"\]$", F.when(F.size(cm) > 0, F.lit(",7]"))
+                                           .otherwise(F.lit("7]")))))
+    return nested_posts.select(F.col("doc_id").alias("page_id"),
+                               _cat("https://www.dcard.tw/service/api/v3/posts/", F.col("doc_id").cast("string"),
+                                    "/comments").alias("url"), _pre(payload).alias("html"))
