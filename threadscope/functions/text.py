@@ -164,7 +164,12 @@ def _nfkc_series(s: pd.Series) -> pd.Series:
     return s.map(norm)
 
 
-nfkc = F.pandas_udf(_nfkc_series, T.StringType())
+# Marked nondeterministic (it is not) as an optimizer barrier: a filter on
+# the cleaned text, e.g. ``length(clean) >= 6``, would otherwise be pushed
+# below the projection by substituting the whole regex chain, which then
+# runs twice per row (filter and output). Operators here place their cheap
+# filters (year, platform) before cleaning by hand.
+nfkc = F.pandas_udf(_nfkc_series, T.StringType()).asNondeterministic()
 nfkc.__doc__ = "Unicode NFKC normalisation (Arrow-batched; ASCII passes through)."
 
 # The bracket-emoticon pattern backtracks quadratically on long unspaced

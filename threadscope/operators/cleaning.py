@@ -188,3 +188,47 @@ def clean(platform: str, posts: DataFrame, comments: DataFrame, key: str,
     if name == "ptt":
         return clean_ptt(posts, comments, key, order_cols, year)
     return core_filter(posts, comments, key, year)
+
+
+def clean_all(posts: DataFrame, comments: DataFrame, key: str, order_cols: Sequence[str],
+              year: str = "2025", platform_col: str = "platform",
+              materialize: bool = False) -> tuple[DataFrame, DataFrame]:
+    """C1 + C12 for every platform in one plan, platform kept as a column.
+
+    Same result as ``clean(platform, ...)`` on each platform's rows: PTT
+    comments are merged and cleaned a first time, PTT reactions repaired
+    and ``post_url`` dropped; then all platforms share one year filter,
+    one content-cleaning pass and one comment-cleaning pass. Comments carry
+    ``platform_col`` (the posts' platform is joined in when absent).
+
+    The cleaned comments feed both outputs (posts keep only those with a
+    surviving comment). With ``materialize`` they are written once to the
+    shared checkpoint folder, so the regex chain runs once per comment and
+    is never fused into the key aggregation (whose generated code would
+    pass the JVM's 64 KB method limit and fall back to interpretation).
+    """
+    # An unknown platform fails the job where it is met (no extra scan).
+    plat = F.lower(F.col(platform_col))
+    posts = posts.withColumn(platform_col, F.when(plat.isin(*PLATFORMS), F.col(platform_col)).otherwise(
+        F.raise_error(F.concat(F.lit("unknown platform, cannot clean: "),
+                               F.coalesce(F.col(platform_col), F.lit("NULL"))))))
+    if platform_col not in comments.columns:
+        comments = comments.join(posts.select(key, platform_col), key, "inner")
+    is_ptt = F.lower(F.col(platform_col)) == "ptt"
+    posts = repair_reactions(posts.withColumn("_raw_reac", F.col("total_reac")))
+    posts = drop_post_url(posts.withColumn("total_reac", F.when(is_ptt, F.col("total_reac"))
+                                           .otherwise(F.col("_raw_reac"))).drop("_raw_reac"))
+    p = filter_year(posts.withColumn("post_time", clean_date(F.col("post_time"))), year)
+    p = p.withColumn("content", clean_text(F.col("content")))
+    c = comments.join(p.select(key), key, "left_semi")
+    ptt = c.filter(is_ptt)
+    merged = merge_continuations(ptt, key, order_cols).drop("n_merged") \
+        .join(ptt.select(key, platform_col).distinct(), key, "inner")
+    ptt_first = clean_comments(merged)
+    # Non-PTT comments keep their other fields (PTT merged runs have none).
+    c = clean_comments(ptt_first.unionByName(c.filter(~is_ptt), allowMissingColumns=True))
+    if materialize:
+        ensure_checkpoint_dir(c.sparkSession)
+        c = c.checkpoint(eager=True)
+    p = drop_commentless_posts(p, c, key)
+    return p, c

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from threadscope.functions.ids import post_id
 from threadscope.operators import cleaning as C
 from threadscope.operators import relational as R
+from threadscope.session import ensure_checkpoint_dir
 from threadscope.sources import posts_json, tables
 
 log = logging.getLogger(__name__)
@@ -64,9 +65,22 @@ def run(spark: SparkSession, platform: str, raw_folder: str, out_dir: str, outpu
     if (platform or "").lower() not in C.PLATFORMS:
         log.warning("no configuration for platform %s, skipped", platform)
         return {}
-    raw = posts_json.read_posts_json(spark, raw_folder)
+    # A raw file is one whole-text row, so a few large files would be a few
+    # tasks: spread the parsed posts over the cores when the scan is small.
+    raw = R.spread(posts_json.read_posts_json(spark, raw_folder), "post_key")
     posts, comments = split_posts_comments(raw)
-    cp, cc = C.clean(platform, posts, comments, "post_key", ["pos"], year=year)
+    # One platform's folder: cleaning dispatches on the configured name
+    # (the data keeps the platform value the crawler wrote).
+    posts = posts.withColumn("_dispatch", F.lit(platform.lower()))
+    comments = comments.withColumn("_dispatch", F.lit(platform.lower()))
+    # Both sinks (and the CSV emptiness test) read the cleaned data: the
+    # comments are written once to the shared checkpoint folder inside
+    # clean_all, the posts here, instead of re-running the regex chain per
+    # action.
+    cp, cc = C.clean_all(posts, comments, "post_key", ["pos"], year=year, platform_col="_dispatch",
+                         materialize=True)
+    ensure_checkpoint_dir(spark)
+    cp, cc = cp.drop("_dispatch").checkpoint(eager=True), cc.drop("_dispatch")
     outputs = {}
     if output_type in ("csv", "both"):
         path = f"{out_dir}/{platform}_cleaned_csv"

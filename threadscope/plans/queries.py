@@ -196,15 +196,9 @@ def c2_clean_text(spark, sf):
 
 @query("c12_clean_posts", note="uses clean_text; rows-only")
 def c12_clean_posts(spark, sf):
-    posts = _posts(spark, sf)
-    comments = fx.fx_comments(spark, sf)
-    outs = []
-    for plat in PLATFORMS:
-        p = posts.filter(F.col("platform") == plat)
-        c = comments.filter(F.col("platform") == plat)
-        cp, cc = C.clean(plat, p, c, "post_key", ["pos"], year="2025")
-        outs.append(cc.join(cp.drop("platform"), "post_key", "inner"))
-    return R.union_all(outs)
+    cp, cc = C.clean_all(_posts(spark, sf), fx.fx_comments(spark, sf), "post_key", ["pos"], year="2025",
+                         materialize=True)
+    return cc.join(cp.drop("platform"), "post_key", "inner")
 
 
 # --- Extraction over stored pages (X5, X6, X12-X14) ------------------------

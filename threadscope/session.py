@@ -18,6 +18,12 @@ from pyspark.sql import SparkSession
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # AQE merges post-shuffle partitions by bytes (at least 1 MB each by
+    # default). Text cleaning costs ~36 regex passes per byte, so a 1 MB
+    # partition of comments is seconds of CPU in one task; a smaller floor
+    # keeps such stages parallel. Only shuffles of a few MB in total are
+    # affected; large shuffles stay far above it.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
