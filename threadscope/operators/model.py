@@ -120,6 +120,36 @@ def build_pipeline(text_col: str = "text", label_col: str = "label", num_feature
     return Pipeline(stages=[tok, cut, tf, idf, lr]), lr
 
 
+TRAIN_ROWS_PER_PARTITION = 50_000
+
+
+def sized_for_training(data: DataFrame, rows_per_partition: int = TRAIN_ROWS_PER_PARTITION) -> DataFrame:
+    """Persist the training rows with a partition count that follows their
+    number. Every optimiser iteration is a job in which each partition
+    ships a full gradient (features x classes), so a small training set
+    spread over many partitions pays that many times per iteration, while
+    a large one keeps as many partitions as it has. Returns a persisted
+    frame (``unpersist`` it after fitting)."""
+    data = data.persist()
+    n = data.count()
+    want = max(1, -(-n // rows_per_partition))
+    if want < data.rdd.getNumPartitions():
+        sized = data.coalesce(want).persist()
+        sized.count()
+        data.unpersist()
+        return sized
+    return data
+
+
+def fit_pipeline(pipe, train: DataFrame):
+    """Fit a pipeline on a training frame sized by ``sized_for_training``."""
+    data = sized_for_training(train)
+    try:
+        return pipe.fit(data)
+    finally:
+        data.unpersist()
+
+
 def train_sentiment(train: DataFrame, text_col: str = "text", label_col: str = "label",
                     reg_grid: Sequence[float] = (0.01, 0.1), seed: int = 42):
     """Fit the pipeline; keep the best regularisation by macro F1 on a
@@ -129,10 +159,18 @@ def train_sentiment(train: DataFrame, text_col: str = "text", label_col: str = "
     pipe, lr = build_pipeline(text_col, label_col)
     grid = ParamGridBuilder().addGrid(lr.regParam, list(reg_grid)).build()
     ev = MulticlassClassificationEvaluator(labelCol=label_col, predictionCol="_pred", metricName="f1")
-    tvs = TrainValidationSplit(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, trainRatio=0.8, seed=seed)
+    # The grid's models are fitted concurrently (one Spark job stream each).
+    tvs = TrainValidationSplit(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, trainRatio=0.8, seed=seed,
+                               parallelism=max(1, len(grid)))
     data = train.withColumn(text_col, F.coalesce(F.col(text_col), F.lit(""))) \
                 .withColumn(label_col, F.col(label_col).cast("double"))
-    return tvs.fit(data).bestModel
+    # Every fit and evaluation re-reads the training rows: keep them cached
+    # for the duration of the search (lost blocks are recomputed).
+    data = sized_for_training(data)
+    try:
+        return tvs.fit(data).bestModel
+    finally:
+        data.unpersist()
 
 
 def score_comments(model, df: DataFrame, text_col: str = "comment", model_text_col: str = "text") -> DataFrame:
