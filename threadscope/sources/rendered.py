@@ -127,12 +127,13 @@ def _pre(json_text: Column) -> Column:
     return _cat("<html><body><pre>", json_text, "</pre></body></html>")
 
 
-def dcard_post_object(d: Column = F.col("doc_id")) -> Column:
+def dcard_post_object(d: Column | None = None) -> Column:
     """The API's post object. Keys left NULL are absent from the JSON:
     no title for ``doc_id % 11 == 2``, no ``anonymous`` for ``% 4 == 1``
     (defaults to true), empty school for ``% 8 == 2``, an annotation for
     ``% 6 == 5``, no like count for ``% 10 == 8``, no comment count for
     ``% 7 == 3`` and an unparseable ``createdAt`` for ``% 13 == 5``."""
+    d = F.col("doc_id") if d is None else d
     return F.struct(
         d.alias("id"),
         F.when(d % 11 != 2, F.col("title")).alias("title"),
