@@ -178,6 +178,21 @@ nfkc.__doc__ = "Unicode NFKC normalisation (Arrow-batched; ASCII passes through)
 # ``\S*?`` always matches the empty string.
 JAVA_OVERRIDES = {"paren_emoticon": r"(?dU)(?:\G|(?<!\S))\S*?\([^\s)]+?\)"}
 
+
+def _body(java: str) -> str:
+    return java[len("(?dU)"):]
+
+
+# Same matches, fewer tests per position:
+# * a ``\b`` that stands next to a digit or ASCII letter (a word character)
+#   only depends on the character on its other side, so it is one
+#   look-behind (before the match) or one look-ahead (after it);
+_NOT_W_BEFORE, _NOT_W_AFTER = f"(?<![{_W}])", f"(?![{_W}])"
+JAVA_OVERRIDES["gift_code"] = (f"(?dU){_NOT_W_BEFORE}(?=[A-Za-z]*\\d)(?=\\d*[A-Za-z])[A-Za-z0-9]{{8,}}"
+                               f"{_NOT_W_AFTER}")
+JAVA_OVERRIDES["friend_code"] = (f"(?dU){_NOT_W_BEFORE}(?:\\d{{12}}|\\d{{4}}\\s\\d{{4}}\\s\\d{{4}})"
+                                 f"{_NOT_W_AFTER}")
+
 JAVA_RULES = [(name, JAVA_OVERRIDES.get(name) or java_pattern(p), java_replacement(r))
               for name, p, r in CLEAN_RULES]
 
