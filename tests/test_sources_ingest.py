@@ -80,6 +80,23 @@ def test_run_ingest_csv_and_tables(spark, raw_folder, tmp_path):
     assert ingest.run(spark, "plurk", raw_folder, str(tmp_path / "o2")) == {}
 
 
+def test_run_many_cleans_platform_folders_in_one_job(spark, raw_folder, tmp_path):
+    baha = str(tmp_path / "baha")
+    _write(baha, "p.json", [{"platform": "Bahamut", "post_time": "2025-03-04 10:00:00", "author": "c",
+                             "title": "巴哈", "content": "本文", "total_reac": "3", "comment_count": 2,
+                             "comments_data": [{"comment_author": "u3", "comment": "→ 不是接續的留言內容"},
+                                               {"comment_author": "u3", "comment": "短"}]}])
+    out = ingest.run_many(spark, {"ptt": raw_folder, "baha": baha, "plurk": baha}, str(tmp_path / "m"),
+                          output_type="both")
+    csv = tables.read_csv(spark, out["csv"])
+    got = sorted(rows(csv, ingest.FOLDER_COL, "platform", "author", "comment"))
+    assert got == [("baha", "Bahamut", "c", "不是接續的留言內容"),        # "→" is not whitelisted; "短" is too short
+                   ("ptt", "PTT", "a", "這個活動真的很好玩 接著說第二行"),
+                   ("ptt", "PTT", "a", "這個活動真的很好玩 接著說第二行"),
+                   ("ptt", "PTT", "b", "去年今日也是一樣好玩")]
+    assert spark.read.parquet(f"{out['tables']}/posts").count() == 3
+
+
 def test_incremental_ingest_idempotent(spark, raw_folder, tmp_path):
     from threadscope.streaming.incremental import start_ingest
     out, ck = str(tmp_path / "inc"), str(tmp_path / "ck")

@@ -58,37 +58,71 @@ def build_tables(posts: DataFrame, comments: DataFrame, key: str = "post_key",
     return posts_t, comments_t
 
 
-def run(spark: SparkSession, platform: str, raw_folder: str, out_dir: str, output_type: str = "csv",
-        year: str = "2025", cleaned: bool = True) -> dict:
-    """Read -> clean -> export. ``output_type``: csv, sqlite (the tables), or
-    both. An unknown platform is a no-op (returns an empty dict)."""
-    if (platform or "").lower() not in C.PLATFORMS:
-        log.warning("no configuration for platform %s, skipped", platform)
-        return {}
+FOLDER_COL = "platform_folder"
+
+
+def _read_folders(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
+    """Raw posts of every platform folder, tagged with the configured
+    platform name in ``FOLDER_COL`` (cleaning dispatches on it; the data
+    keeps the platform value the crawler wrote)."""
+    frames = [posts_json.read_posts_json(spark, folder).withColumn(FOLDER_COL, F.lit(platform.lower()))
+              for platform, folder in folders.items()]
     # A raw file is one whole-text row, so a few large files would be a few
     # tasks: spread the parsed posts over the cores when the scan is small.
-    raw = R.spread(posts_json.read_posts_json(spark, raw_folder), "post_key")
+    return R.spread(R.union_all(frames), "post_key")
+
+
+def _known(folders: dict[str, str]) -> dict[str, str]:
+    out = {}
+    for platform, folder in folders.items():
+        if (platform or "").lower() in C.PLATFORMS:
+            out[platform] = folder
+        else:
+            log.warning("no configuration for platform %s, skipped", platform)
+    return out
+
+
+def run_many(spark: SparkSession, folders: dict[str, str], out_dir: str, output_type: str = "csv",
+             year: str = "2025", cleaned: bool = True) -> dict:
+    """Read -> clean -> export for several platform folders in one job.
+
+    ``folders`` maps a platform name to its raw folder; unknown platforms
+    are skipped. All platforms are cleaned in one pass; the CSV export is
+    partitioned by ``FOLDER_COL`` (one folder of CSV files per platform)
+    and the posts / comments tables by platform. ``output_type``: csv,
+    sqlite (the tables) or both.
+    """
+    folders = _known(folders)
+    if not folders:
+        return {}
+    raw = _read_folders(spark, folders)
     posts, comments = split_posts_comments(raw)
-    # One platform's folder: cleaning dispatches on the configured name
-    # (the data keeps the platform value the crawler wrote).
-    posts = posts.withColumn("_dispatch", F.lit(platform.lower()))
-    comments = comments.withColumn("_dispatch", F.lit(platform.lower()))
+    comments = comments.join(posts.select("post_key", FOLDER_COL), "post_key", "inner")
     # Both sinks (and the CSV emptiness test) read the cleaned data: the
     # comments are written once to the shared checkpoint folder inside
     # clean_all, the posts here, instead of re-running the regex chain per
     # action.
-    cp, cc = C.clean_all(posts, comments, "post_key", ["pos"], year=year, platform_col="_dispatch",
+    cp, cc = C.clean_all(posts, comments, "post_key", ["pos"], year=year, platform_col=FOLDER_COL,
                          materialize=True)
     ensure_checkpoint_dir(spark)
-    cp, cc = cp.drop("_dispatch").checkpoint(eager=True), cc.drop("_dispatch")
+    cp = cp.checkpoint(eager=True)
     outputs = {}
     if output_type in ("csv", "both"):
-        path = f"{out_dir}/{platform}_cleaned_csv"
-        if tables.write_csv(tabulate(cp, cc).drop("ingest_seq", "file_path", "pos"), path):
+        path = f"{out_dir}/cleaned_csv"
+        long = tabulate(cp, cc.drop(FOLDER_COL)).drop("ingest_seq", "file_path", "pos")
+        if tables.write_csv(long, path, partition_by=[FOLDER_COL]):
             outputs["csv"] = path
     if output_type in ("sqlite", "both"):
         src_p, src_c = (cp, cc) if cleaned else (posts, comments)
-        pt, ct = build_tables(src_p, src_c)
+        pt, ct = build_tables(src_p.drop(FOLDER_COL), src_c.drop(FOLDER_COL))
         tables.write_posts_comments(pt, ct, f"{out_dir}/tables")
         outputs["tables"] = f"{out_dir}/tables"
     return outputs
+
+
+def run(spark: SparkSession, platform: str, raw_folder: str, out_dir: str, output_type: str = "csv",
+        year: str = "2025", cleaned: bool = True) -> dict:
+    """P1 for one platform folder (the reference's entry point). The CSV
+    goes to ``{out_dir}/cleaned_csv/platform_folder={platform}``. An
+    unknown platform is a no-op (returns an empty dict)."""
+    return run_many(spark, {platform: raw_folder}, out_dir, output_type, year, cleaned)

@@ -32,10 +32,6 @@ _SQL_VOTES = """(SELECT post_key, count_if(comment_tag = '推') AS lk, count_if(
                         count(*) AS n FROM fx_comments GROUP BY post_key)"""
 
 
-def _platform(spark, sf, name):
-    return fx.fx_nested_posts(spark, sf).filter(F.col("platform") == name)
-
-
 # --- X1 / X3: PTT article pages -> long table --------------------------------
 
 @query("x1_ptt_articles", sql=with_fx(f"""
@@ -48,9 +44,9 @@ SELECT p.doc_id, p.post_time,
        c.comment_tag, c.comment_author, ' ' || {_rstrip("c.comment")} AS comment
 FROM fx_posts p LEFT JOIN {_SQL_VOTES} v ON v.post_key = p.doc_id
 LEFT JOIN fx_comments c ON c.post_key = p.doc_id
-WHERE p.platform = 'ptt'""", "fx_posts", "fx_comments"))
+""", "fx_posts", "fx_comments"))
 def x1_ptt_articles(spark, sf):
-    pages = rendered.ptt_article_pages(_platform(spark, sf, "ptt"))
+    pages = rendered.ptt_article_pages(fx.fx_nested_posts(spark, sf))
     arts = X.extract_ptt_articles(pages)
     long = R.explode_comments(arts.select("page_id", "post_time", "content", "like", "unlike", "total_reac",
                                           "comment_count", "comments_data"), "comments_data", "comment_pos")
@@ -65,9 +61,9 @@ SELECT 'https://www.ptt.cc/bbs/PokemonGO/M.' || p.doc_id || '.A.html' AS post_ur
        p.author, p.post_time, CAST(coalesce(v.lk, 0) - coalesce(v.ul, 0) AS VARCHAR) AS total_reac,
        coalesce(v.n, 0) AS comment_count
 FROM fx_posts p LEFT JOIN {_SQL_VOTES} v ON v.post_key = p.doc_id
-WHERE p.platform = 'ptt' AND p.doc_id % 7 != 0""", "fx_posts", "fx_comments"))
+WHERE p.doc_id % 7 != 0""", "fx_posts", "fx_comments"))
 def x2_ptt_board_posts(spark, sf):
-    nested = _platform(spark, sf, "ptt")
+    nested = fx.fx_nested_posts(spark, sf)
     board = rendered.ptt_board_pages(nested.select("doc_id", "title", "author"))
     arts = rendered.ptt_article_pages(nested)
     return X.ptt_posts(board, arts).select("post_url", "title", "author", "post_time", "total_reac",
@@ -77,14 +73,14 @@ def x2_ptt_board_posts(spark, sf):
 # --- X4: Bahamut thread pages -> one row per floor and reply -------------------
 
 @query("x4_baha_floors", sql=with_fx(f"""
-, f AS (SELECT p.*, p.doc_id // 15 AS page_id,
-               row_number() OVER (PARTITION BY p.doc_id // 15 ORDER BY p.doc_id) - 1 AS floor_pos
-        FROM fx_posts p WHERE p.platform = 'baha'),
+, f AS (SELECT p.*, p.doc_id // 5 AS page_id,
+               row_number() OVER (PARTITION BY p.doc_id // 5 ORDER BY p.doc_id) - 1 AS floor_pos
+        FROM fx_posts p),
 t0 AS (SELECT page_id, arg_min(title, doc_id) AS first_title FROM f GROUP BY page_id)
 SELECT f.page_id, f.floor_pos, 'Bahamut' AS platform,
        CASE WHEN f.doc_id % 9 != 8 THEN f.post_time END AS post_time,
        CASE WHEN f.doc_id % 4 != 3 THEN f.author ELSE 'Anonymous' END AS author,
-       {_strip("CASE WHEN f.doc_id % 15 = 1 OR f.doc_id % 2 = 0 THEN f.title ELSE t0.first_title END")} AS title,
+       {_strip("CASE WHEN f.doc_id % 5 = 0 OR f.doc_id % 2 = 0 THEN f.title ELSE t0.first_title END")} AS title,
        {_strip("f.content")} AS content,
        CASE WHEN f.doc_id % 6 = 5 THEN '0' ELSE CAST(f.doc_id * 7 % 100 AS VARCHAR) END AS total_reac,
        coalesce(v.n, 0) AS comment_count,
@@ -95,7 +91,7 @@ FROM f JOIN t0 ON t0.page_id = f.page_id
 LEFT JOIN {_SQL_VOTES} v ON v.post_key = f.doc_id
 LEFT JOIN fx_comments c ON c.post_key = f.doc_id""", "fx_posts", "fx_comments").replace("\n\n, f AS", ",\nf AS", 1))
 def x4_baha_floors(spark, sf):
-    pages = rendered.baha_thread_pages(_platform(spark, sf, "baha"))
+    pages = rendered.baha_thread_pages(fx.fx_nested_posts(spark, sf))
     floors = X.extract_baha_floors(pages)
     long = R.explode_comments(floors, "comments_data", "comment_pos")
     return long.select("page_id", "floor_pos", "platform", "post_time", "author", "title", "content",
@@ -105,10 +101,10 @@ def x4_baha_floors(spark, sf):
 # --- X7-X10: Dcard listing and comment payloads -> long table -----------------
 
 _SQL_DCARD = f"""
-, d AS (SELECT p.*, p.doc_id // 30 AS page_id,
-               row_number() OVER (PARTITION BY p.doc_id // 30 ORDER BY p.doc_id) - 1 AS post_pos,
+, d AS (SELECT p.*, p.doc_id // 10 AS page_id,
+               row_number() OVER (PARTITION BY p.doc_id // 10 ORDER BY p.doc_id) - 1 AS post_pos,
                coalesce(v.n, 0) AS n_comments
-        FROM fx_posts p LEFT JOIN {_SQL_VOTES} v ON v.post_key = p.doc_id WHERE p.platform = 'dcard'),
+        FROM fx_posts p LEFT JOIN {_SQL_VOTES} v ON v.post_key = p.doc_id),
 c AS (SELECT post_key, pos, comment_author, comment,
              row_number() OVER (PARTITION BY post_key ORDER BY pos) - 1 AS i FROM fx_comments)
 SELECT d.page_id, d.post_pos, d.doc_id AS id, 'Dcard' AS platform,
@@ -116,7 +112,7 @@ SELECT d.page_id, d.post_pos, d.doc_id AS id, 'Dcard' AS platform,
        CASE WHEN d.doc_id % 4 >= 2 THEN CASE WHEN d.doc_id % 8 = 2 THEN 'dept' || (d.doc_id % 5) ELSE d.author END
             ELSE 'Anonymous' END AS author,
        CASE WHEN d.doc_id % 11 = 2 THEN '無標題' ELSE d.title END AS title,
-       CASE WHEN d.doc_id % 6 = 5 THEN 'note ' || d.doc_id ELSE substr(d.content, 1, 100) END AS content,
+       CASE WHEN d.doc_id % 6 = 5 THEN 'note ' || d.doc_id ELSE d.content END AS content,
        CASE WHEN d.doc_id % 10 = 8 THEN '0' ELSE CAST(d.doc_id % 50 AS VARCHAR) END AS total_reac,
        CASE WHEN d.doc_id % 7 = 3 THEN 0 ELSE d.n_comments END AS comment_count,
        c.i AS comment_pos,
@@ -128,7 +124,7 @@ FROM d LEFT JOIN c ON c.post_key = d.doc_id"""
 
 @query("x8_dcard_posts", sql=with_fx(_SQL_DCARD, "fx_posts", "fx_comments").replace("\n\n, d AS", ",\nd AS", 1))
 def x8_dcard_posts(spark, sf):
-    nested = _platform(spark, sf, "dcard")
+    nested = fx.fx_nested_posts(spark, sf)
     listing = rendered.dcard_listing_pages(nested)
     cpages = rendered.dcard_comment_pages(nested)
     posts = listing.select("page_id", F.posexplode(X.dcard_posts(X.page_to_json(F.col("html"))))
@@ -149,8 +145,8 @@ def x8_dcard_posts(spark, sf):
 @query("x11_next_cursor", sql=with_fx("""
 SELECT page_id, CASE page_id % 4 WHEN 0 THEN CAST(max(doc_id) AS VARCHAR) WHEN 1 THEN NULL
                                  ELSE 'k' || page_id END AS next_cursor
-FROM (SELECT doc_id, doc_id // 30 AS page_id FROM fx_posts WHERE platform = 'dcard') GROUP BY page_id""",
+FROM (SELECT doc_id, doc_id // 10 AS page_id FROM fx_posts) GROUP BY page_id""",
                                       "fx_posts"))
 def x11_next_cursor(spark, sf):
-    listing = rendered.dcard_listing_pages(_platform(spark, sf, "dcard"))
+    listing = rendered.dcard_listing_pages(fx.fx_nested_posts(spark, sf))
     return listing.select("page_id", X.next_cursor(X.page_to_json(F.col("html"))).alias("next_cursor"))

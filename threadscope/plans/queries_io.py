@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from threadscope.catalog import query
 from threadscope.functions.ids import post_id
 from threadscope.operators import keywords as K
+from threadscope.operators import relational as R
 from threadscope.plans import ingest
 from threadscope.session import scratch_path
 from threadscope.sources import fixtures as fx
@@ -93,11 +94,13 @@ def s8_sql_over_tables(spark, sf):
 
 # --- P1 -------------------------------------------------------------------------
 
-@query("p1_ingest_ptt", note="cleaning chain (regex look-around) inside; rows-only")
-def p1_ingest_ptt(spark, sf):
-    raw = _raw_posts(spark, sf).filter(F.col("platform") == "ptt")
-    folder = _write_raw(spark, raw)
-    out = ingest.run(spark, "ptt", folder, _tmp(spark, "ingest-out"), output_type="both", year="2025")
+@query("p1_ingest", note="cleaning chain (regex look-around) inside; rows-only")
+def p1_ingest(spark, sf):
+    """The ingest job over one raw folder per platform, CSV and tables both;
+    the cleaned long table read back."""
+    raw = _raw_posts(spark, sf)
+    folders = {p: _write_raw(spark, raw.filter(F.col("platform") == p)) for p in ("ptt", "baha", "dcard")}
+    out = ingest.run_many(spark, folders, _tmp(spark, "ingest-out"), output_type="both", year="2025")
     if "csv" not in out:
         return spark.createDataFrame([], "platform string")
     return tables.read_csv(spark, out["csv"])

@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from threadscope.operators.extract import BAHA_BASE, PTT_BASE
 
 PTT_BOARD = "PokemonGO"
-PER_PAGE = 20          # PTT board entries per index page (in ptt posts)
-BAHA_GROUP = 15        # Bahamut thread page = doc_id div 15 (five baha floors)
-DCARD_GROUP = 30       # Dcard listing page = doc_id div 30 (ten dcard posts)
+PER_PAGE = 20          # PTT board entries per index page
+BAHA_GROUP = 5         # Bahamut thread page = doc_id div 5 (five floors)
+DCARD_GROUP = 10       # Dcard listing page = doc_id div 10 (ten posts)
 
 
 def esc(c: Column) -> Column:
@@ -82,7 +82,7 @@ def ptt_board_pages(posts: DataFrame) -> DataFrame:
     entry = _cat('<div class="r-ent"><div class="nrec"></div><div class="title">', title,
                  '</div><div class="meta"><div class="author">', esc(F.col("author")),
                  '</div><div class="date">12/01</div></div></div>')
-    e = posts.select(F.floor(F.col("doc_id") / (3 * PER_PAGE)).alias("page_id"), "doc_id", entry.alias("h"))
+    e = posts.select(F.floor(F.col("doc_id") / PER_PAGE).alias("page_id"), "doc_id", entry.alias("h"))
     pages = _ordered_join(e, "page_id", "doc_id", "h", "body")
     return pages.select("page_id",
                         _cat(f"{PTT_BASE}/bbs/{PTT_BOARD}/index", F.col("page_id").cast("string"), ".html").alias("url"),
@@ -91,14 +91,14 @@ def ptt_board_pages(posts: DataFrame) -> DataFrame:
 
 
 def baha_thread_pages(nested_posts: DataFrame) -> DataFrame:
-    """``(page_id, url, html)``: Bahamut thread pages of ``doc_id div 15``,
+    """``(page_id, url, html)``: Bahamut thread pages of ``doc_id div 5``,
     one ``.c-section`` floor per post. A floor shows its own title only when
-    it is the page's first (``doc_id % 15 == 1``) or ``doc_id`` is even;
+    it is the page's first (``doc_id % 5 == 0``) or ``doc_id`` is even;
     the user link is missing for ``doc_id % 4 == 3``, the edit time for
     ``doc_id % 9 == 8``, and the reaction count is not a number for
     ``doc_id % 6 == 5``."""
     d = F.col("doc_id")
-    title = F.when((d % BAHA_GROUP == 1) | (d % 2 == 0),
+    title = F.when((d % BAHA_GROUP == 0) | (d % 2 == 0),
                    _cat('<h1 class="c-post__header__title">', esc(F.col("title")), "</h1>")).otherwise(F.lit(""))
     user = F.when(d % 4 != 3, _cat('<a class="username" href="/home">', esc(F.col("author")), "</a>")) \
             .otherwise(F.lit(""))
@@ -142,7 +142,7 @@ def dcard_post_object(d: Column | None = None) -> Column:
         F.when(d % 8 == 2, F.lit("")).otherwise(F.col("author")).alias("school"),
         _cat("dept", (d % 5).cast("string")).alias("department"),
         F.when(d % 4 == 0, F.lit(True)).when(d % 4 >= 2, F.lit(False)).alias("anonymous"),
-        F.substring(F.col("content"), 1, 100).alias("excerpt"),
+        F.col("content").alias("excerpt"),
         F.when(d % 6 == 5, F.struct(_cat("note ", d.cast("string")).alias("annotation"))).alias("meta"),
         F.when(d % 10 != 8, d % 50).alias("likeCount"),
         F.when(d % 7 != 3, F.col("comment_count")).alias("commentCount"),
@@ -150,7 +150,7 @@ def dcard_post_object(d: Column | None = None) -> Column:
 
 
 def dcard_listing_pages(nested_posts: DataFrame) -> DataFrame:
-    """``(page_id, url, html)``: one listing payload per ``doc_id div 30``
+    """``(page_id, url, html)``: one listing payload per ``doc_id div 10``
     page in one of the four shapes (``page_id % 4``): a bare list;
     ``widgets[].forumlist.items[].post`` (plus an ``items`` key that must be
     ignored); ``items[].searchPost.post``; ``items[]`` of ``{post}`` or the

@@ -40,12 +40,15 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 # S4 / S5 -----------------------------------------------------------------
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> bool:
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> bool:
     """CSV with a header and no index; skipped (returns False) when empty.
     Spark has no byte-order-mark option, so files are plain UTF-8."""
     if df.isEmpty():
         return False
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    w = df.write.mode(mode).option("header", True).option("escape", '"')
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.csv(path)
     return True
 
 
