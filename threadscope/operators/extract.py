@@ -301,12 +301,12 @@ PTT_ARTICLE_SCHEMA = _T.StructType([
     _T.StructField("comments_data", _T.ArrayType(_COMMENT)),
 ])
 PTT_BOARD_SCHEMA = _T.StructType([
-    _T.StructField("page_id", _T.LongType()), _T.StructField("entry_pos", _T.IntegerType()),
+    _T.StructField("page_id", _T.LongType()), _T.StructField("entry_pos", _T.LongType()),
     _T.StructField("post_url", _T.StringType()), _T.StructField("title", _T.StringType()),
     _T.StructField("author", _T.StringType()),
 ])
 BAHA_FLOOR_SCHEMA = _T.StructType([
-    _T.StructField("page_id", _T.LongType()), _T.StructField("floor_pos", _T.IntegerType()),
+    _T.StructField("page_id", _T.LongType()), _T.StructField("floor_pos", _T.LongType()),
     _T.StructField("platform", _T.StringType()), _T.StructField("post_time", _T.StringType()),
     _T.StructField("author", _T.StringType()), _T.StructField("title", _T.StringType()),
     _T.StructField("content", _T.StringType()), _T.StructField("total_reac", _T.StringType()),

@@ -86,7 +86,8 @@ def explode_comments(df: DataFrame, col: str = "comments_data", pos_col: str = "
     """
     df = comments_or_empty(df, col)
     base = [c for c in df.columns if c != col]
-    exploded = df.select(*base, F.posexplode_outer(col).alias(pos_col, "_c"))
+    exploded = df.select(*base, F.posexplode_outer(col).alias(pos_col, "_c")) \
+                 .withColumn(pos_col, F.col(pos_col).cast("bigint"))
     et = df.schema[col].dataType.elementType
     if isinstance(et, T.StructType):
         fields = flatten_struct_fields(et, "_c")
@@ -209,7 +210,8 @@ def top_n_per_group(df: DataFrame, group_cols: Sequence, order_cols: Sequence[Co
     partial WindowGroupLimit before the shuffle, so a hot group ships at
     most n rows per map task."""
     w = Window.partitionBy(*_cols(group_cols)).orderBy(*order_cols)
-    return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= F.lit(n))
+    ranked = df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= F.lit(n))
+    return ranked.withColumn(rank_col, F.col(rank_col).cast("bigint"))
 
 
 # R14 / R15 / R16 / R17 ---------------------------------------------------

@@ -152,8 +152,10 @@ def c7_merge_continuations(spark, sf):
 
 
 @query("x3_vote_tally", sql=with_fx("""
-SELECT post_key, count_if(comment_tag = '推') AS "like", count_if(comment_tag = '噓') AS unlike,
-       count_if(comment_tag = '推') - count_if(comment_tag = '噓') AS total_reac, count(*) AS comment_count
+SELECT post_key, CAST(count_if(comment_tag = '推') AS BIGINT) AS "like",
+       CAST(count_if(comment_tag = '噓') AS BIGINT) AS unlike,
+       CAST(count_if(comment_tag = '推') - count_if(comment_tag = '噓') AS BIGINT) AS total_reac,
+       count(*) AS comment_count
 FROM fx_comments GROUP BY post_key""", "fx_comments"))
 def x3_vote_tally(spark, sf):
     return X.vote_tally(fx.fx_comments(spark, sf), "post_key")
@@ -212,7 +214,7 @@ GROUP BY page_id, href""")
 def x5_link_targets(spark, sf):
     pages = fx.read_table(spark, sf, "pages")
     return pages.select("page_id", F.posexplode(X.link_targets(F.col("html"))).alias("link_pos", "href")) \
-                .withColumn("link_pos", F.col("link_pos") + 1)
+                .withColumn("link_pos", (F.col("link_pos") + 1).cast("bigint"))
 
 
 _SQL_PAGE_PARAM = "regexp_extract(url, '[?&]page=([^&#]*)', 1)"
@@ -235,8 +237,11 @@ FROM (SELECT page_id, unnest(CASE WHEN total > 3 THEN range(total, greatest(tota
                                   THEN {_SQL_PAGE_PARAM} END AS INTEGER), 1), 1) AS total FROM pages))""")
 def x12_reply_page_urls(spark, sf):
     pages = fx.read_table(spark, sf, "pages")
-    total = X.max_page(F.col("html"), "BH-pagebtnA", F.col("url"))
-    planned = pages.select("page_id", F.explode(X.plan_reply_pages(total, F.lit(2))).alias("reply_page"))
+    # The page count is one column, so the regex over the page runs once per
+    # page (plan_reply_pages refers to its input several times).
+    totals = pages.select("page_id", X.max_page(F.col("html"), "BH-pagebtnA", F.col("url")).alias("total"))
+    planned = totals.select("page_id", F.explode(X.plan_reply_pages(F.col("total"), F.lit(2))).alias("reply_page")) \
+                    .withColumn("reply_page", F.col("reply_page").cast("bigint"))
     return planned.withColumn("url", X.baha_article_url(F.lit(29659), F.col("page_id"), F.col("reply_page")))
 
 
@@ -471,8 +476,9 @@ def m10_metrics(spark, sf):
 @query("m11_confusion_matrix", sql=with_fx(f"""
 , pr AS {_SQL_PRED},
 labels_ AS (SELECT true_label AS l FROM pr UNION SELECT test_label FROM pr)
-SELECT l AS true_label, count_if(true_label = l AND test_label = 0) AS pred_0,
-       count_if(true_label = l AND test_label = 1) AS pred_1, count_if(true_label = l AND test_label = 2) AS pred_2
+SELECT l AS true_label, CAST(count_if(true_label = l AND test_label = 0) AS BIGINT) AS pred_0,
+       CAST(count_if(true_label = l AND test_label = 1) AS BIGINT) AS pred_1,
+       CAST(count_if(true_label = l AND test_label = 2) AS BIGINT) AS pred_2
 FROM labels_ LEFT JOIN pr ON pr.true_label = labels_.l GROUP BY l""", "fx_logits").replace("\n\n, pr AS", ",\npr AS", 1))
 def m11_confusion_matrix(spark, sf):
     return M.confusion_matrix(_predictions(spark, sf))

@@ -28,7 +28,8 @@ def _rstrip(x: str) -> str:
     return f"regexp_replace({x}, '{_PY_WS}+$', '')"
 
 
-_SQL_VOTES = """(SELECT post_key, count_if(comment_tag = '推') AS lk, count_if(comment_tag = '噓') AS ul,
+_SQL_VOTES = """(SELECT post_key, CAST(count_if(comment_tag = '推') AS BIGINT) AS lk,
+                        CAST(count_if(comment_tag = '噓') AS BIGINT) AS ul,
                         count(*) AS n FROM fx_comments GROUP BY post_key)"""
 
 
@@ -127,11 +128,15 @@ def x8_dcard_posts(spark, sf):
     nested = fx.fx_nested_posts(spark, sf)
     listing = rendered.dcard_listing_pages(nested)
     cpages = rendered.dcard_comment_pages(nested)
-    posts = listing.select("page_id", F.posexplode(X.dcard_posts(X.page_to_json(F.col("html"))))
-                           .alias("post_pos", "post"))
+    # The payload is parsed once per page into a column; the shape tests
+    # below refer to it many times.
+    listing = listing.select("page_id", X.page_to_json(F.col("html")).alias("payload"))
+    cpages = cpages.select("page_id", X.page_to_json(F.col("html")).alias("payload"))
+    posts = listing.select("page_id", F.posexplode(X.dcard_posts(F.col("payload")))
+                           .alias("post_pos", "post")).withColumn("post_pos", F.col("post_pos").cast("bigint"))
     posts = posts.withColumn("id", F.try_variant_get("post", "$.id", "bigint")).filter(F.col("id").isNotNull())
     comments = cpages.select(F.col("page_id").alias("id"),
-                             X.dcard_comments(X.page_to_json(F.col("html"))).alias("cm"))
+                             X.dcard_comments(F.col("payload")).alias("cm"))
     joined = posts.join(comments, "id", "left")
     rec = X.dcard_format(F.col("post"), F.coalesce(F.col("cm"), F.array().cast("array<variant>")))
     flat = joined.select("page_id", "post_pos", "id", rec.alias("r")).select("page_id", "post_pos", "id", "r.*")
@@ -149,4 +154,5 @@ FROM (SELECT doc_id, doc_id // 10 AS page_id FROM fx_posts) GROUP BY page_id""",
                                       "fx_posts"))
 def x11_next_cursor(spark, sf):
     listing = rendered.dcard_listing_pages(fx.fx_nested_posts(spark, sf))
-    return listing.select("page_id", X.next_cursor(X.page_to_json(F.col("html"))).alias("next_cursor"))
+    payload = listing.select("page_id", X.page_to_json(F.col("html")).alias("payload"))
+    return payload.select("page_id", X.next_cursor(F.col("payload")).alias("next_cursor"))

@@ -147,7 +147,7 @@ SELECT doc_id, len(t) AS n_tokens, array_to_string(t, ' ') AS tokens
 FROM (SELECT doc_id, {_SQL_TOKENS} AS t FROM fx_scored)""", "fx_scored"))
 def k1_segment(spark, sf):
     t = K.segment(F.col("comment"))
-    return fx.fx_scored(spark, sf).select("doc_id", F.size(t).alias("n_tokens"),
+    return fx.fx_scored(spark, sf).select("doc_id", F.size(t).cast("bigint").alias("n_tokens"),
                                           F.array_join(t, " ").alias("tokens"))
 
 
@@ -157,7 +157,8 @@ SELECT doc_id, len(k) AS n_kept, array_to_string(k, ' ') AS kept FROM (
                  AND (length(t) >= 2 OR regexp_matches(t, '^\\p{{L}}+$'))) AS k FROM fx_scored)""", "fx_scored"))
 def k2_filter_tokens(spark, sf):
     k = K.filter_tokens(K.segment(F.col("comment")))
-    return fx.fx_scored(spark, sf).select("doc_id", F.size(k).alias("n_kept"), F.array_join(k, " ").alias("kept"))
+    return fx.fx_scored(spark, sf).select("doc_id", F.size(k).cast("bigint").alias("n_kept"),
+                                          F.array_join(k, " ").alias("kept"))
 
 
 # --- M3 / M4 / M14 --------------------------------------------------------------
