@@ -95,7 +95,11 @@ def run_many(spark: SparkSession, folders: dict[str, str], out_dir: str, output_
     folders = _known(folders)
     if not folders:
         return {}
-    raw = _read_folders(spark, folders)
+    # Bronze: the parsed posts are written once to the shared checkpoint
+    # folder; posts, comments and the merge all read them (parsing whole
+    # JSON files is the costly part of the read).
+    ensure_checkpoint_dir(spark)
+    raw = _read_folders(spark, folders).checkpoint(eager=True)
     posts, comments = split_posts_comments(raw)
     comments = comments.join(posts.select("post_key", FOLDER_COL), "post_key", "inner")
     # Both sinks (and the CSV emptiness test) read the cleaned data: the

@@ -98,8 +98,12 @@ def s8_sql_over_tables(spark, sf):
 def p1_ingest(spark, sf):
     """The ingest job over one raw folder per platform, CSV and tables both;
     the cleaned long table read back."""
-    raw = _raw_posts(spark, sf)
-    folders = {p: _write_raw(spark, raw.filter(F.col("platform") == p)) for p in ("ptt", "baha", "dcard")}
+    base = _tmp(spark, "raw-posts")
+    # One folder per platform, written in one job.
+    if not posts_json.write_posts_json(_raw_posts(spark, sf).withColumn("folder", F.col("platform")), base,
+                                       files=4, partition_by="folder"):
+        raise RuntimeError(f"could not write raw posts to {base}")
+    folders = {p: f"{base}/folder={p}" for p in ("ptt", "baha", "dcard")}
     out = ingest.run_many(spark, folders, _tmp(spark, "ingest-out"), output_type="both", year="2025")
     if "csv" not in out:
         return spark.createDataFrame([], "platform string")

@@ -104,32 +104,62 @@ def read_posts_json(spark: SparkSession, folders: Sequence[str] | str, glob: str
 
 
 def _to_array_text(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    rows: list[str] = []
+    """One JSON array per partition (and per value of ``_part`` when the
+    frame carries it): the rows' JSON objects joined as array elements."""
+    rows: dict = {}
     for b in batches:
-        rows.extend(b["j"].tolist())
-    if rows:
-        yield pd.DataFrame({"value": ["[\n" + ",\n".join(rows) + "\n]"]})
+        keys = b["_part"] if "_part" in b.columns else [None] * len(b)
+        for k, j in zip(keys, b["j"]):
+            rows.setdefault(k, []).append(j)
+    for k, objs in rows.items():
+        text = "[\n" + ",\n".join(objs) + "\n]"
+        yield pd.DataFrame({"_part": [k], "value": [text]})
 
 
-def write_posts_json(df: DataFrame, path: str, files: int | None = None) -> bool:
+def _rename_json(spark: SparkSession, path: str) -> None:
+    """``part-*.txt`` -> ``part-*.json`` in ``path`` and its sub-folders."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    todo = [root]
+    while todo:
+        for st in fs.listStatus(todo.pop()):
+            p, name = st.getPath(), st.getPath().getName()
+            if st.isDirectory():
+                todo.append(p)
+            elif name.startswith("part-") and name.endswith(".txt"):
+                fs.rename(p, jvm.org.apache.hadoop.fs.Path(p.getParent(), name[:-4] + ".json"))
+
+
+def write_posts_json(df: DataFrame, path: str, files: int | None = None, partition_by: str | None = None) -> bool:
     """S3: raw-post sink, one JSON array per file (UTF-8, not ASCII-escaped),
     overwriting ``path``. A failure is reported, not raised. Each output
-    file holds one partition, so ``files`` bounds the file size."""
+    file holds one partition's rows, so ``files`` bounds the file size.
+
+    ``partition_by`` writes one sub-folder per value (``path/col=value``) in
+    a single job; rows are spread over ``files`` buckets per value, so one
+    large value (a platform holding most posts) is written by many tasks.
+    """
     spark = df.sparkSession
     try:
-        j = df.select(F.to_json(F.struct(*df.columns)).alias("j"))
-        if files:
+        cols = [c for c in df.columns if c != partition_by]
+        part = F.col(partition_by).cast("string") if partition_by else F.lit(None).cast("string")
+        j = df.select(part.alias("_part"), F.to_json(F.struct(*cols)).alias("j"))
+        if partition_by:
+            n = files or df.sparkSession.sparkContext.defaultParallelism
+            j = j.repartition(n, "_part", F.pmod(F.xxhash64("j"), F.lit(n)))
+        elif files:
             j = j.repartition(files)
-        text = j.mapInPandas(_to_array_text, "value string")
-        text.write.mode("overwrite").option("compression", "none").text(path)
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith("part-") and name.endswith(".txt"):
-                fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(path, name[:-4] + ".json"))
+        text = j.mapInPandas(_to_array_text, "_part string, value string")
+        if partition_by:
+            text.withColumnRenamed("_part", partition_by).write.mode("overwrite") \
+                .option("compression", "none").partitionBy(partition_by).text(path)
+        else:
+            text.select("value").write.mode("overwrite").option("compression", "none").text(path)
+        _rename_json(spark, path)
         return True
     except Exception as e:  # noqa: BLE001 - the sink reports instead of raising
         log.error("saving failed: %s", e)
         return False
+
+
