@@ -25,6 +25,10 @@ DEFAULT_CONF = {
     # affected; large shuffles stay far above it.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Checkpoints (lineage cuts) are deleted once the checkpointed frame is
+    # garbage-collected on the driver, so repeated jobs do not fill the
+    # shared checkpoint folder.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
