@@ -34,8 +34,14 @@ _WS = (r"\t\n\x{0B}\x{0C}\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
 
 WORD_CAP = 100  # word-cloud size
 
+# The segmenter's dictionary: the game words plus the multi-character stop
+# words, so that a stop word is cut out as one token (as a dictionary
+# segmenter does) and can then be dropped, instead of falling apart into
+# single characters that survive the filter.
+LEXICON = GAME_WORDS + [w for w in STOP_WORDS if len(w) > 1]
 
-def token_pattern(lexicon: Iterable[str] = GAME_WORDS) -> str:
+
+def token_pattern(lexicon: Iterable[str] = LEXICON) -> str:
     """Regex with one capture group; valid in Java and RE2 syntax."""
     words = sorted({w for w in lexicon if w}, key=lambda w: (-len(w), w))
     alts = [re.sub(r"([\\.^$|?*+()\[\]{}])", r"\\\1", w) for w in words]
@@ -43,7 +49,7 @@ def token_pattern(lexicon: Iterable[str] = GAME_WORDS) -> str:
     return "(" + "|".join(alts) + ")"
 
 
-def segment(text: Column, lexicon: Iterable[str] = GAME_WORDS) -> Column:
+def segment(text: Column, lexicon: Iterable[str] = LEXICON) -> Column:
     """K1: tokens of a text (array); NULL text -> empty array."""
     toks = F.regexp_extract_all(text, F.lit(token_pattern(lexicon)), F.lit(1))
     return F.coalesce(toks, F.array().cast("array<string>"))
@@ -62,7 +68,7 @@ def filter_tokens(tokens: Column, stop_words: Sequence[str] = STOP_WORDS) -> Col
 
 
 def keyword_table(scored: DataFrame, id_col: str = "doc_id", label_col: str = "predict_label",
-                  text_col: str = "comment", lexicon: Iterable[str] = GAME_WORDS,
+                  text_col: str = "comment", lexicon: Iterable[str] = LEXICON,
                   stop_words: Sequence[str] = STOP_WORDS, keep: Sequence[str] = ()) -> DataFrame:
     """K3: one row per kept token occurrence ``(doc_id, predict_label,
     Keyword)``; documents without keywords vanish."""
@@ -77,7 +83,7 @@ def label_corpus(scored: DataFrame, label: int, label_col: str = "predict_label"
 
 
 def term_frequency(texts: DataFrame, text_col: str = "comment", max_words: int = WORD_CAP,
-                   lexicon: Iterable[str] = GAME_WORDS, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
+                   lexicon: Iterable[str] = LEXICON, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
     """K5: the data behind the word cloud. Tokens of two or more characters,
     stop words removed, counted; the ``max_words`` most frequent (ties by
     word) with ``weight = count / top count``. Counting is a partial
