@@ -28,8 +28,17 @@ def _existing(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None
 
 
 def ingest_batch(batch: DataFrame, batch_id: int, out_dir: str) -> None:
-    spark = batch.sparkSession
-    raw = posts_json.parse_posts(batch)
+    # Two sinks read the parsed batch: parse the JSON once (cached for the
+    # batch; lost blocks are recomputed from the batch's files).
+    raw = posts_json.parse_posts(batch).persist()
+    try:
+        _write_batch(raw, batch_id, out_dir)
+    finally:
+        raw.unpersist()
+
+
+def _write_batch(raw: DataFrame, batch_id: int, out_dir: str) -> None:
+    spark = raw.sparkSession
     posts, comments = split_posts_comments(raw)
     p = R.with_required_columns(posts, POST_COLS).withColumn(
         "post_id", post_id(F.col("platform"), F.col("post_time"), F.col("author"), F.col("title")))
