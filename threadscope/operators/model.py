@@ -153,24 +153,28 @@ def fit_pipeline(pipe, train: DataFrame):
 def train_sentiment(train: DataFrame, text_col: str = "text", label_col: str = "label",
                     reg_grid: Sequence[float] = (0.01, 0.1), seed: int = 42):
     """Fit the pipeline; keep the best regularisation by macro F1 on a
-    validation split (the reference keeps its best epoch by eval loss)."""
+    validation split (the reference keeps its best epoch by eval loss).
+
+    The feature stages (tokenize, cut, hash, IDF) are fitted once on the
+    training rows; only the regression is searched, over cached feature
+    vectors, with the grid's models fitted concurrently."""
+    from pyspark.ml import Pipeline, PipelineModel
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
     from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
     pipe, lr = build_pipeline(text_col, label_col)
+    data = train.select(F.coalesce(F.col(text_col), F.lit("")).alias(text_col),
+                        F.col(label_col).cast("double").alias(label_col))
+    features = Pipeline(stages=pipe.getStages()[:-1]).fit(data)
+    vectors = sized_for_training(features.transform(data).select("_features", label_col))
     grid = ParamGridBuilder().addGrid(lr.regParam, list(reg_grid)).build()
     ev = MulticlassClassificationEvaluator(labelCol=label_col, predictionCol="_pred", metricName="f1")
-    # The grid's models are fitted concurrently (one Spark job stream each).
-    tvs = TrainValidationSplit(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, trainRatio=0.8, seed=seed,
+    tvs = TrainValidationSplit(estimator=lr, estimatorParamMaps=grid, evaluator=ev, trainRatio=0.8, seed=seed,
                                parallelism=max(1, len(grid)))
-    data = train.withColumn(text_col, F.coalesce(F.col(text_col), F.lit(""))) \
-                .withColumn(label_col, F.col(label_col).cast("double"))
-    # Every fit and evaluation re-reads the training rows: keep them cached
-    # for the duration of the search (lost blocks are recomputed).
-    data = sized_for_training(data)
     try:
-        return tvs.fit(data).bestModel
+        best = tvs.fit(vectors).bestModel
     finally:
-        data.unpersist()
+        vectors.unpersist()
+    return PipelineModel(stages=features.stages + [best])
 
 
 def score_comments(model, df: DataFrame, text_col: str = "comment", model_text_col: str = "text") -> DataFrame:
