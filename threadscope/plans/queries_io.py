@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from threadscope.catalog import query
 from threadscope.functions.ids import post_id
 from threadscope.operators import keywords as K
-from threadscope.operators import relational as R
 from threadscope.plans import ingest
 from threadscope.session import scratch_path
 from threadscope.sources import fixtures as fx

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from threadscope.catalog import query
-from threadscope.functions.text import clean_text  # noqa: F401  (used through C)
 from threadscope.operators import cleaning as C
 from threadscope.operators import extract as X
 from threadscope.operators import keywords as K
