@@ -64,6 +64,33 @@ def s1_posts_json_roundtrip(spark, sf):
     return raw.select(*_POST_OUT, F.size("comments_data").cast("bigint").alias("n_comments"), "post_url")
 
 
+# --- C11 -------------------------------------------------------------------
+
+@query("c11_skip_non_records", sql=with_fx(f"""
+SELECT 'doc-' || doc_id AS post_url, comment_count AS n_comments FROM {_SQL_COUNTS}""", "fx_posts", "fx_comments"))
+def c11_skip_non_records(spark, sf):
+    """Raw files whose arrays also hold numbers, strings and nulls, and
+    whose comment lists start with a non-record on every fourth post: the
+    reader keeps exactly the post objects and their comment records."""
+    raw = _raw_posts(spark, sf).withColumn("_id", F.regexp_extract("post_url", r"(\d+)$", 1).cast("bigint"))
+    cj = F.to_json(F.col("comments_data"))
+    cj = F.when(F.col("_id") % 4 == 1, F.when(F.size("comments_data") > 0,
+                                              F.regexp_replace(cj, r"^\[", '["not a record",'))
+                .otherwise(F.lit('["not a record"]'))).otherwise(cj)
+    obj = F.to_json(F.struct(*_POST_OUT, "post_url"))
+    posts = raw.select(F.concat(F.regexp_replace(obj, r"\}$", ""), F.lit(',"comments_data":'), cj, F.lit("}"))
+                       .alias("j"))
+    junk = raw.filter(F.col("_id") % 10 == 0).select(
+        F.when(F.col("_id") % 20 == 0, F.lit("7")).otherwise(F.lit('"x"')).alias("j"))
+    nulls = raw.filter(F.col("_id") % 25 == 3).select(F.lit("null").alias("j"))
+    path = _tmp(spark, "raw-mixed")
+    if not posts_json.write_json_arrays(posts.unionByName(junk).unionByName(nulls), path, files=4):
+        raise RuntimeError(f"could not write raw posts to {path}")
+    back = posts_json.read_posts_json(spark, path)
+    kept = F.filter("comments_data", lambda c: c.isNotNull())
+    return back.select("post_url", F.size(kept).cast("bigint").alias("n_comments"))
+
+
 # --- S7 / S8 ----------------------------------------------------------------
 
 _SQL_TABLES = with_fx(f"""

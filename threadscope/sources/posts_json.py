@@ -140,13 +140,22 @@ def write_posts_json(df: DataFrame, path: str, files: int | None = None, partiti
     a single job; rows are spread over ``files`` buckets per value, so one
     large value (a platform holding most posts) is written by many tasks.
     """
-    spark = df.sparkSession
+    cols = [c for c in df.columns if c != partition_by]
+    part = F.col(partition_by).cast("string") if partition_by else F.lit(None).cast("string")
+    j = df.select(part.alias("_part"), F.to_json(F.struct(*cols)).alias("j"))
+    return write_json_arrays(j, path, files, partition_by)
+
+
+def write_json_arrays(j: DataFrame, path: str, files: int | None = None, partition_by: str | None = None) -> bool:
+    """Write JSON element texts (column ``j``; folder value ``_part`` when
+    ``partition_by`` names the folder column) as files that each hold one
+    JSON array. Used by the raw-post sink; elements need not be objects."""
+    spark = j.sparkSession
+    if "_part" not in j.columns:
+        j = j.withColumn("_part", F.lit(None).cast("string"))
     try:
-        cols = [c for c in df.columns if c != partition_by]
-        part = F.col(partition_by).cast("string") if partition_by else F.lit(None).cast("string")
-        j = df.select(part.alias("_part"), F.to_json(F.struct(*cols)).alias("j"))
         if partition_by:
-            n = files or df.sparkSession.sparkContext.defaultParallelism
+            n = files or spark.sparkContext.defaultParallelism
             j = j.repartition(n, "_part", F.pmod(F.xxhash64("j"), F.lit(n)))
         elif files:
             j = j.repartition(files)
