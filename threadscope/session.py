@@ -87,21 +87,32 @@ def ship_package(spark: SparkSession) -> None:
 
     Pandas UDFs and ``mapInPandas`` functions are pickled by reference to
     their module, so workers must be able to import ``threadscope``. The
-    package's sources are zipped once per application and distributed with
-    ``SparkContext.addPyFile`` (as ``--py-files`` would)."""
+    package's sources are zipped once per application into the shared
+    checkpoint folder (written through the Hadoop FileSystem API) and
+    distributed from there with ``SparkContext.addPyFile``, as ``--py-files``
+    would."""
+    import io
     import zipfile
 
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
-    fd, path = tempfile.mkstemp(prefix="threadscope-", suffix=".zip")
-    os.close(fd)
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
         for root, _, files in os.walk(pkg):
-            for f in files:
+            for f in sorted(files):
                 if f.endswith(".py"):
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    path = scratch_path(spark, f"py/{sc.applicationId}/threadscope.zip")
+    jvm = sc._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(hpath, True)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
     sc.addPyFile(path)
     _SHIPPED.add(sc.applicationId)
