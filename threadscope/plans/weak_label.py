@@ -26,8 +26,18 @@ from threadscope.operators import relational as R
 
 KeywordSets = Mapping[str, tuple[Sequence[str], int | None]]
 
+# The weak-labelling keyword lists and their per-platform
+# limits (positive: every match; negative and neutral: the 30 comments of
+# the most-reacted posts).
+WEAK_LABEL_KEYWORDS: KeywordSets = {
+    "positive": (["超讚", "很讚", "超強", "佛心", "真香", "畢業", "賺爛", "感謝N社", "感謝s社", "高興",
+                  "優質", "感動", "好看", "好玩"], None),
+    "negative": (["爛活動", "超爛", "討厭", "垃圾", "愛錢", "騙錢", "坑錢", "機率低", "bug"], 30),
+    "neutral": (["普通", "地點", "還好吧", "兌換"], 30),
+}
 
-def weak_label_sample(comments: DataFrame, posts: DataFrame, keyword_sets: KeywordSets,
+
+def weak_label_sample(comments: DataFrame, posts: DataFrame, keyword_sets: KeywordSets = WEAK_LABEL_KEYWORDS,
                       join_key: str = "post_key", tiebreak: Sequence[str] = ("post_key", "pos"),
                       platform_col: str = "platform", annotate: bool = True) -> DataFrame:
     """Rows ``platform, title, comment, total_reac, sentiment`` (+ blank
