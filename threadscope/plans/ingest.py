@@ -23,13 +23,14 @@ log = logging.getLogger(__name__)
 POST_COLS = ["platform", "post_time", "author", "title", "content", "total_reac", "comment_count"]
 
 
-def split_posts_comments(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_posts_comments(raw: DataFrame, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Bronze posts (one row each) and their comments (one row per comment
-    object, keyed by ``post_key`` and array position ``pos``)."""
+    object, keyed by ``post_key`` and array position ``pos``; ``keep``
+    names post columns the comments carry along)."""
     posts = raw.drop("comments_data")
-    exploded = raw.select("post_key", F.posexplode("comments_data").alias("pos", "c"))
+    exploded = raw.select("post_key", *keep, F.posexplode("comments_data").alias("pos", "c"))
     comments = exploded.filter(F.col("c").isNotNull()).select(
-        "post_key", "pos", "c.comment_tag", "c.comment_author", "c.comment")
+        "post_key", *keep, "pos", "c.comment_tag", "c.comment_author", "c.comment")
     return posts, comments
 
 
@@ -100,8 +101,7 @@ def run_many(spark: SparkSession, folders: dict[str, str], out_dir: str, output_
     # JSON files is the costly part of the read).
     ensure_checkpoint_dir(spark)
     raw = _read_folders(spark, folders).checkpoint(eager=True)
-    posts, comments = split_posts_comments(raw)
-    comments = comments.join(posts.select("post_key", FOLDER_COL), "post_key", "inner")
+    posts, comments = split_posts_comments(raw, keep=(FOLDER_COL,))
     # Both sinks (and the CSV emptiness test) read the cleaned data: the
     # comments are written once to the shared checkpoint folder inside
     # clean_all, the posts here, instead of re-running the regex chain per
