@@ -60,14 +60,16 @@ def drop_commentless_posts(posts: DataFrame, comments: DataFrame, key: str) -> D
 
 def merge_continuations(df: DataFrame, post_col: str, order_cols: Sequence[str],
                         author_col: str = "comment_author", tag_col: str = "comment_tag",
-                        text_col: str = "comment", chunks: int | None = None) -> DataFrame:
+                        text_col: str = "comment", chunks: int | None = None,
+                        carry: Sequence[str] = ()) -> DataFrame:
     """Merge PTT continuation lines into the comment they continue.
 
     A comment continues the current run when it has the same author and its
     tag is ``→``; its text is appended without a separator. Output: one row
     per run with the post key, the order columns of the run's first comment,
-    ``comment_author``, ``comment`` and ``n_merged``. Missing author, tag or
-    text count as ``""``.
+    ``comment_author``, ``comment`` and ``n_merged`` (plus ``carry``:
+    columns constant within a post, such as its platform). Missing author,
+    tag or text count as ``""``.
 
     Skew-safe gaps-and-islands: rows are range-partitioned on (post, order)
     into ``chunks`` slices, so one huge thread is split over many tasks.
@@ -80,7 +82,8 @@ def merge_continuations(df: DataFrame, post_col: str, order_cols: Sequence[str],
     n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order_cols = list(order_cols)
     keys = [post_col] + order_cols
-    d = df.select(*keys,
+    carry = list(carry)
+    d = df.select(*keys, *carry,
                   F.coalesce(F.col(author_col).cast("string"), F.lit("")).alias("_a"),
                   F.coalesce(F.col(tag_col).cast("string"), F.lit("")).alias("_t"),
                   F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_x"))
@@ -123,15 +126,17 @@ def merge_continuations(df: DataFrame, post_col: str, order_cols: Sequence[str],
 
     part = d.groupBy("_run", "_chunk").agg(
         F.first("_a").alias("_a"),
+        *[F.first(c).alias(c) for c in carry],
         F.count(F.lit(1)).alias("_n"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key.alias("k"), F.col("_x").alias("x")))),
                                  lambda s: s["x"]), "").alias("_p"))
     runs = part.groupBy("_run").agg(
         F.first("_a").alias(author_col),
+        *[F.first(c).alias(c) for c in carry],
         F.sum("_n").alias("n_merged"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_chunk", "_p"))),
                                  lambda s: s["_p"]), "").alias(text_col))
-    return runs.select(*[F.col(f"_run.`{k}`").alias(k) for k in keys], author_col, text_col, "n_merged")
+    return runs.select(*[F.col(f"_run.`{k}`").alias(k) for k in keys], *carry, author_col, text_col, "n_merged")
 
 
 # C8 / C10 ----------------------------------------------------------------
@@ -222,8 +227,7 @@ def clean_all(posts: DataFrame, comments: DataFrame, key: str, order_cols: Seque
     p = p.withColumn("content", clean_text(F.col("content")))
     c = comments.join(p.select(key), key, "left_semi")
     ptt = c.filter(is_ptt)
-    merged = merge_continuations(ptt, key, order_cols).drop("n_merged") \
-        .join(ptt.select(key, platform_col).distinct(), key, "inner")
+    merged = merge_continuations(ptt, key, order_cols, carry=[platform_col]).drop("n_merged")
     ptt_first = clean_comments(merged)
     # Non-PTT comments keep their other fields (PTT merged runs have none).
     c = clean_comments(ptt_first.unionByName(c.filter(~is_ptt), allowMissingColumns=True))
