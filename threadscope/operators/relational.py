@@ -260,14 +260,14 @@ def drop_missing(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def value_counts(df: DataFrame, col: str, share_col: str | None = "share") -> DataFrame:
     """Count per non-NULL value, largest first, with its share of the total.
 
-    The total is a one-row aggregate joined by broadcast (size bound: one
-    row), so no step gathers the counts into a single partition.
+    The total is a scalar subquery over the counts (Spark reuses their
+    shuffle), so no step gathers the counts into a single partition and no
+    join is needed.
     """
     counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("count"))
     if share_col:
-        total = counts.agg(F.sum("count").alias("_total")).withColumn("_k", F.lit(1))
-        counts = (counts.withColumn("_k", F.lit(1)).join(F.broadcast(total), "_k")
-                  .withColumn(share_col, F.col("count") / F.col("_total")).drop("_k", "_total"))
+        total = counts.agg(F.sum("count").alias("_total")).scalar()
+        counts = counts.withColumn(share_col, F.col("count") / total)
     return counts.orderBy(F.desc("count"), F.asc(col))
 
 
