@@ -41,4 +41,9 @@ def clean_date(c: Column) -> Column:
         .when(t.rlike(r"^[A-Z][a-z]{2} [A-Z][a-z]{2} +[0-9]{1,2} [0-9]{2}:[0-9]{2}:[0-9]{2} [0-9]{4}$"),
               _d(F.regexp_replace(F.substring(t, 5, 1 << 20), " +", " "), "MMM d HH:mm:ss yyyy"))
     )
-    return F.date_format(parsed, "yyyy-MM-dd")
+    # The reference's parser yields nanosecond timestamps, which exist only
+    # from 1677-09-21 00:12:43 to 2262-04-11 23:47:16; a date outside that
+    # span does not parse there. (A time on one of those two days is
+    # judged by the day alone.)
+    in_range = (parsed >= F.lit("1677-09-22").cast("date")) & (parsed <= F.lit("2262-04-11").cast("date"))
+    return F.when(in_range, F.date_format(parsed, "yyyy-MM-dd"))
