@@ -64,3 +64,11 @@ def test_train_score_and_loss_history(spark):
         assert pct[r.predict_label] == max(pct)
     hist = M.loss_history(M.objective_history(model, spark)).collect()
     assert len(hist) >= 2 and hist[-1].loss <= hist[0].loss
+
+
+def test_percent_matches_python_formatting(spark):
+    import random
+    random.seed(11)
+    vals = [random.random() for _ in range(5000)] + [k / 100000 for k in range(0, 100001, 37)]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in vals], "p double").select(M.percent(F.col("p"))).collect()]
+    assert got == [f"{v:.2%}" for v in vals]

@@ -83,10 +83,11 @@ def argmax(values: Column) -> Column:
 
 
 def percent(p: Column) -> Column:
-    """``{p:.2%}``: p × 100 to two decimals. Rounding is half-even on the
-    shortest decimal form of p × 100, which matches Python on every value
-    except ones whose binary form sits just below a printed tie."""
-    return F.format_string("%.2f%%", F.bround(p * 100, 2))
+    """``{p:.2%}`` for a probability: p × 100 to two decimals, rounded on
+    the exact binary value as Python does (``format_number`` uses Java's
+    DecimalFormat, half-even on the exact value; it would add thousands
+    separators only from 1000 %, which a probability never reaches)."""
+    return F.concat(F.format_number(p * 100, 2), F.lit("%"))
 
 
 def confidence_string(probs: Column, names: Sequence[str] | None = CLASS_NAMES) -> Column:

@@ -432,7 +432,7 @@ def m7_argmax(spark, sf):
 
 
 def _sql_pct(i: int) -> str:
-    return f"printf('%.2f%%', round_even(probs[{i}] * 100, 2))"
+    return f"printf('%.2f%%', probs[{i}] * 100)"
 
 
 _SQL_MATRIX = f"{_sql_pct(1)} || ', ' || {_sql_pct(2)} || ', ' || {_sql_pct(3)}"
