@@ -25,7 +25,8 @@ def test_clean_date(spark):
 
 
 def test_sqlite_integer(spark):
-    cases = [("爆", 0), ("X3", 0), ("", 0), (None, None), ("57", 57), ("  -12abc", -12), ("3.7", 3), ("+4", 4)]
+    cases = [("爆", 0), ("X3", 0), ("", 0), (None, None), ("57", 57), ("  -12abc", -12), ("3.7", 3), ("+4", 4),
+             ("99999999999999999999", (1 << 63) - 1), ("-99999999999999999999x", -(1 << 63))]   # SQLite clamps
     df = spark.createDataFrame(cases, "s string, exp long")
     for s, exp, got in rows(df.withColumn("got", sqlite_integer(F.col("s")))):
         assert got == exp, s

@@ -12,11 +12,14 @@ _LEADING_INT = r"^[ \t\n\x0B\f\r]*([+-]?[0-9]+)"
 
 
 def sqlite_integer(c: Column) -> Column:
-    """``CAST(c AS INTEGER)`` with SQLite semantics (text -> leading int or 0)."""
+    """``CAST(c AS INTEGER)`` with SQLite semantics: text -> its leading
+    integer (clamped to the 64-bit range, as SQLite does) or 0."""
     s = c.cast("string")
     lead = F.regexp_extract(s, _LEADING_INT, 1)
-    return F.when(s.isNull(), F.lit(None).cast("bigint")).otherwise(
-        F.coalesce(lead.try_cast("bigint"), F.lit(0).cast("bigint")))
+    clamped = (F.when(lead == "", F.lit(0))
+               .when(lead.startswith("-"), F.lit(-(1 << 63)))
+               .otherwise(F.lit((1 << 63) - 1))).cast("bigint")
+    return F.when(s.isNull(), F.lit(None).cast("bigint")).otherwise(F.coalesce(lead.try_cast("bigint"), clamped))
 
 
 def vote_total(like: Column, unlike: Column) -> Column:

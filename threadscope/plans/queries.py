@@ -17,8 +17,10 @@ from threadscope.sources.fixtures import with_fx
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
-SQL_REAC_INT = ("CASE WHEN {c} IS NULL THEN NULL ELSE coalesce(try_cast(regexp_extract({c}, "
-                "'^[ \\t\\n\\x0B\\f\\r]*([+-]?[0-9]+)', 1) AS BIGINT), 0) END")
+_SQL_LEAD = "regexp_extract({c}, '^[ \\t\\n\\x0B\\f\\r]*([+-]?[0-9]+)', 1)"
+SQL_REAC_INT = ("CASE WHEN {c} IS NULL THEN NULL ELSE coalesce(try_cast(" + _SQL_LEAD + " AS BIGINT), "
+                "CASE WHEN " + _SQL_LEAD + " = '' THEN 0 WHEN starts_with(" + _SQL_LEAD + ", '-') "
+                "THEN -9223372036854775808 ELSE 9223372036854775807 END) END")
 PLATFORMS = ["ptt", "baha", "dcard"]
 
 
