@@ -221,8 +221,11 @@ def clean_all(posts: DataFrame, comments: DataFrame, key: str, order_cols: Seque
         comments = comments.join(posts.select(key, platform_col), key, "inner")
     is_ptt = F.lower(F.col(platform_col)) == "ptt"
     posts = repair_reactions(posts.withColumn("_raw_reac", F.col("total_reac")))
-    posts = drop_post_url(posts.withColumn("total_reac", F.when(is_ptt, F.col("total_reac"))
-                                           .otherwise(F.col("_raw_reac"))).drop("_raw_reac"))
+    posts = posts.withColumn("total_reac", F.when(is_ptt, F.col("total_reac"))
+                             .otherwise(F.col("_raw_reac"))).drop("_raw_reac")
+    if "post_url" in posts.columns:
+        # C10 drops the PTT url; in one table that is a NULL on PTT rows.
+        posts = posts.withColumn("post_url", F.when(~is_ptt, F.col("post_url")))
     p = filter_year(posts.withColumn("post_time", clean_date(F.col("post_time"))), year)
     p = p.withColumn("content", clean_text(F.col("content")))
     c = comments.join(p.select(key), key, "left_semi")

@@ -109,7 +109,8 @@ def run_many(spark: SparkSession, folders: dict[str, str], out_dir: str, output_
     cp, cc = C.clean_all(posts, comments, "post_key", ["pos"], year=year, platform_col=FOLDER_COL,
                          materialize=True)
     ensure_checkpoint_dir(spark)
-    cp = cp.checkpoint(eager=True)
+    # Only PTT posts carry a url, and C10 drops it: the exports have none.
+    cp = cp.drop("post_url").checkpoint(eager=True)
     outputs = {}
     if output_type in ("csv", "both"):
         path = f"{out_dir}/cleaned_csv"
