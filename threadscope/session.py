@@ -58,17 +58,20 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session. Only when it is unset
-    (local runs and tests) a fresh scratch folder is created and set.
+    Spark applies ``spark.checkpoint.dir`` to the context at start-up, so
+    the context's folder is used when there is one. Only when none is set
+    (local runs and tests) a fresh scratch folder is created and given to
+    the context (the configuration itself cannot change at run time).
     """
     sc = spark.sparkContext
-    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    current = sc.getCheckpointDir()
     if current:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(current)
-        return sc.getCheckpointDir() or current
+        return current
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        sc.setCheckpointDir(named)
+        return sc.getCheckpointDir() or named
     local = tempfile.mkdtemp(prefix="threadscope-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
 
