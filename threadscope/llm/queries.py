@@ -7,8 +7,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from threadscope.catalog import query
-from threadscope.llm import sharding
-from threadscope.llm.common import table
+from threadscope.llm import sharding, vector_topk, warc
+from threadscope.llm.common import scratch, table
 
 
 @query("op10_sharding")
@@ -18,3 +18,54 @@ def op10_sharding(spark, sf):
     return sharding.shuffle_shards(docs).select(
         "doc_id", sharding.row_bytes("text").alias("size"), F.crc32(text).alias("text_crc32"),
         F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+_OP1_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024.0::DOUBLE * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+@query("op1_vector_topk", sql=_OP1_SQL)
+def op1_vector_topk(spark, sf):
+    return vector_topk.top_k(table(spark, sf, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 100 == 0)
+
+
+_OP2_SQL = """
+WITH h AS (
+  SELECT page_id, coalesce(html, '') AS html, '0' || sha1(coalesce(html, '')) AS hex FROM pages
+), d AS (
+  SELECT page_id, strlen(html) AS payload_bytes, hex,
+         list_transform(string_split(substr(hex, 2), ''), lambda c: strpos('0123456789abcdef', c) - 1) AS x
+  FROM h
+), b AS (
+  SELECT page_id, payload_bytes, list_aggregate(list_transform(range(32),
+           lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+             ((x[CAST(i * 5 // 4 + 1 AS INT)] * 16 + coalesce(x[CAST(i * 5 // 4 + 2 AS INT)], 0))
+              // (1 << CAST(3 - (i * 5) % 4 AS INT))) % 32 + 1 AS INT), 1)), 'string_agg', '') AS payload_digest
+  FROM d
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM b
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM f
+"""
+
+
+@query("op2_warc", sql=_OP2_SQL)
+def op2_warc(spark, sf):
+    manifest = warc.write_archives(table(spark, sf, "pages"), scratch(spark, "warc"))
+    records = warc.read_archives(manifest, with_payload=False)
+    return warc.resolve_revisits(records).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
