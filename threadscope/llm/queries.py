@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from threadscope.catalog import query
-from threadscope.llm import sharding, vector_topk, warc
+from threadscope.llm import sharding, url_filter, vector_topk, warc
 from threadscope.llm.common import scratch, table
 
 
@@ -69,3 +69,14 @@ def op2_warc(spark, sf):
     manifest = warc.write_archives(table(spark, sf, "pages"), scratch(spark, "warc"))
     records = warc.read_archives(manifest, with_payload=False)
     return warc.resolve_revisits(records).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+URL_RULES = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "block",
+             "com/fr/": "allow", "com/de/": "block"}
+
+
+@query("op8_url_filter")
+def op8_url_filter(spark, sf):
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    return url_filter.filter_urls(pages, "url", URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict", "blocked_score")
