@@ -4,10 +4,11 @@ columns to compare."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from threadscope.catalog import query
-from threadscope.llm import sharding, url_filter, vector_topk, warc
+from threadscope.llm import piece_codec, sharding, url_filter, vector_topk, warc
 from threadscope.llm.common import scratch, table
 
 
@@ -80,3 +81,9 @@ def op8_url_filter(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", "url")
     return url_filter.filter_urls(pages, "url", URL_RULES).select(
         "page_id", "host", "path", "rule", "verdict", "blocked_score")
+
+
+@query("op6_sentencepiece")
+def op6_sentencepiece(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return piece_codec.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"))
