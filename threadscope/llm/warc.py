@@ -120,7 +120,8 @@ def write_archives(pages: DataFrame, out_dir: str, id_col: str = "page_id", url:
     first = (rows.filter(F.col("n") >= min_bytes).groupBy("sha", "n")
              .agg(F.min("page_id").alias("first"), F.count("*").alias("c"))
              .filter("c > 1 and first is not null").drop("c"))
-    rows = (rows.join(first, ["sha", "n"], "left")
+    # Not broadcast: there may be as many groups of equal payloads as pages. AQE splits the rows of a large one.
+    rows = (rows.join(first.hint("merge"), ["sha", "n"], "left")
             .withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")))
             .select("page_id", "url", "html", "refers_to"))
 
@@ -317,5 +318,5 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     they refer to (one row a digest, so no row is multiplied)."""
     n = free_name(records, "_bytes")
     sizes = records.filter("record_type = 'response'").groupBy("payload_digest").agg(F.max("payload_bytes").alias(n))
-    return (records.join(sizes, "payload_digest", "left")
+    return (records.join(sizes.hint("merge"), "payload_digest", "left")
             .withColumn("payload_bytes", F.coalesce("payload_bytes", n)).drop(n).select(records.columns))
