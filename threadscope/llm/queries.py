@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from threadscope.catalog import query
-from threadscope.llm import piece_codec, sharding, url_filter, vector_topk, warc
+from threadscope.llm import piece_codec, sharding, substring, toxicity, url_filter, vector_topk, warc
 from threadscope.llm.common import scratch, table
 
 
@@ -87,3 +87,40 @@ def op8_url_filter(spark, sf):
 def op6_sentencepiece(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return piece_codec.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+_OP7_SQL = """
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), v AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS s
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM w)
+), m AS (
+  SELECT s, min(doc_id) AS first FROM v GROUP BY s
+), g AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM v JOIN m USING (s) WHERE m.first < v.doc_id
+), x AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM w
+), k AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept, count(*) AS n
+  FROM x ANTI JOIN g USING (doc_id, p) GROUP BY doc_id
+)
+SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)
+"""
+
+
+@query("op7_substring_dedup", sql=_OP7_SQL)
+def op7_substring_dedup(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return substring.remove_repeats(docs, joined=True).select(
+        "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf, "labels"), train=~toxicity.held_out(F.col("id")))
+    return (toxicity.score(docs, model).withColumn("held_out", toxicity.held_out(F.col("doc_id")))
+            .select("doc_id", "held_out", "score", "predicted", "evidence", "evidence_cosine"))
