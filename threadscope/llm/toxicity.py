@@ -7,7 +7,9 @@ inverted index whose postings are grouped into blocks of neighbouring
 examples, with the largest weight of every (term, block). A text is compared
 block by block, the best bound first, until no block can reach its k-th
 nearest example, so the cosines are exact and most blocks are never read.
-The nearest examples vote with a weight that falls with their distance.
+The nearest examples vote with a weight that falls with their distance; a
+logistic curve, fitted on the examples' votes on each other, makes the share
+of toxic votes a probability.
 """
 
 from __future__ import annotations
@@ -109,6 +111,11 @@ def _vectors(row, term, times, idf, rows_n):
     return weight / length[row]
 
 
+def _logit(p):
+    p = np.clip(p, 1e-4, 1 - 1e-4)
+    return np.log(p / (1 - p))
+
+
 class Model:
     """What the fit leaves: vocabulary, idf, index, labels and vote weights."""
 
@@ -116,6 +123,7 @@ class Model:
         self.vocabulary, self.idf, self.index, self.ids = vocabulary, idf, index, ids
         # An example stands for as many labelled rows as its label has for each example.
         self.toxic, self.share, self.prior, self.k = toxic, share, prior, k
+        self.slope, self.offset = 1.0, 0.0
 
     def score(self, column: pa.Array) -> list[tuple[float, list[int], list[float]]]:
         """Score, and ids and cosines of the nearest examples, of each text."""
@@ -129,11 +137,35 @@ class Model:
             found, cosine = np.zeros(0, np.int64), np.zeros(0)
             if cut[i] < cut[i + 1]:
                 found, cosine = self.index.nearest(term[own], weight[own], self.k)
-            out.append((self.vote(found, cosine), self.ids[found].tolist(), cosine.tolist()))
+            out.append((self.calibrated(self.vote(found, cosine)), self.ids[found].tolist(), cosine.tolist()))
         return out
 
+    def calibrated(self, vote):
+        return 1 / (1 + np.exp(-(self.slope * _logit(vote) + self.offset)))
+
+    def calibrate(self, row: np.ndarray, term: np.ndarray, weight: np.ndarray) -> None:
+        """Logistic curve from the votes of each example's nearest other examples
+        to its label, by Newton's steps with a small ridge that keeps it finite."""
+        cut, votes = np.searchsorted(row, np.arange(len(self.toxic) + 1)), []
+        for i in range(len(self.toxic)):
+            own = slice(cut[i], cut[i + 1])
+            found, cosine = np.zeros(0, np.int64), np.zeros(0)
+            if cut[i] < cut[i + 1]:
+                found, cosine = self.index.nearest(term[own], weight[own], self.k + 1)
+                other = np.flatnonzero(found != i)[:self.k]
+                found, cosine = found[other], cosine[other]
+            votes.append(self.vote(found, cosine))
+        x = np.stack([_logit(np.array(votes)), np.ones(len(votes))])
+        at, start = np.array([1.0, 0.0]), np.array([1.0, 0.0])
+        for _ in range(30):
+            p = 1 / (1 + np.exp(-np.clip(at @ x, -30, 30)))
+            slope = x @ (self.share * (self.toxic - p)) - (at - start)
+            at = at + np.linalg.solve((x * (self.share * p * (1 - p))) @ x.T + np.eye(2), slope)
+        if np.isfinite(at).all() and at[0] > 0.1:
+            self.slope, self.offset = float(at[0]), float(at[1])
+
     def vote(self, found: np.ndarray, cosine: np.ndarray) -> float:
-        """Share of toxic among the votes. A vote weighs cosine / (distance + 0.1)
+        """Share of toxic among the votes, before it is calibrated. A vote weighs cosine / (distance + 0.1)
         times the example's share; one vote of the prior keeps scores of few or
         far examples near it."""
         votes = self.share[found] * cosine / (1.1 - np.minimum(cosine, 1.0))
@@ -146,7 +178,8 @@ def held_out(id_col: Column, folds: int = 5) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
-        train: Column | None = None, max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS, k: int = 15) -> Model:
+        train: Column | None = None, max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS, k: int = 7,
+        least_square: float = 30.0) -> Model:
     """Fit on the labelled rows of ``labels`` that ``train`` (a condition on its
     id) keeps. Of each label, the ``max_examples`` ids with the smallest hash
     of the id are examples; an id that is labelled more than once counts as
@@ -172,9 +205,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
             for part in slices(batch, "text"):
                 h, r = terms(part.column(2))
                 y = part.column(1).to_numpy()
-                pair = np.unique(np.stack([h, r.astype(_U)]), axis=1) if len(h) else np.zeros((2, 0), _U)
-                term, place = np.unique(pair[0], return_inverse=True)
-                toxic = np.bincount(place, y[pair[1].astype(np.int64)], minlength=len(term))
+                order = np.lexsort((r, h))
+                h, r = h[order], r[order]
+                new = np.append(True, (h[1:] != h[:-1]) | (r[1:] != r[:-1]))[:len(h)]
+                term, place = np.unique(h[new], return_inverse=True)
+                toxic = np.bincount(place, y[r[new]], minlength=len(term))
                 n = np.bincount(place, minlength=len(term))
                 yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(toxic.astype(np.int64)),
                                                   pa.array((n - toxic).astype(np.int64))], ["term", "toxic", "clean"])
@@ -183,13 +218,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     toxic_n, clean_n = seen.get(1, 0), seen.get(0, 0)
     counted = examples.select("id", "y", "text").mapInArrow(count_terms, "term long, toxic long, clean long")
     counted = counted.groupBy("term").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b")).filter("a + b >= 3")
-    # Chi-square of (term, label) over the examples; terms that say nothing (below 10.83: p > 0.001) are left out.
+    # Chi-square of (term, label) over the examples; those below ``least_square`` say little and are left out.
     n, c, d = float(toxic_n + clean_n), toxic_n - F.col("a"), clean_n - F.col("b")
     square = n * (F.col("a") * d - F.col("b") * c) ** 2 / (
         F.lit(float(toxic_n * clean_n)) * (F.col("a") + F.col("b")) * (c + d))
     best = (counted.filter((c + d) > 0).withColumn("square", square) if toxic_n and clean_n
             else counted.limit(0).withColumn("square", F.lit(0.0)))
-    best = best.filter("square >= 10.83").orderBy(F.col("square").desc(), "term").limit(max_terms)
+    best = best.filter(F.col("square") >= least_square).orderBy(F.col("square").desc(), "term").limit(max_terms)
     vocabulary = np.sort(np.array([r.term for r in best.collect()], np.int64).view(_U))
 
     def count_docs(batches):
@@ -232,7 +267,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     bare = np.bincount(row, minlength=rows.num_rows) == 0 if rows.num_rows else np.zeros(0, bool)
     hits = float((share * toxic)[bare].sum())
     prior = (hits + 0.5) / (float(share[bare].sum()) + 1.0)
-    return Model(vocabulary, idf, index, rows["id"].to_numpy() if rows.num_rows else np.zeros(0, np.int64), toxic, share, prior, k)
+    ids = rows["id"].to_numpy() if rows.num_rows else np.zeros(0, np.int64)
+    model = Model(vocabulary, idf, index, ids, toxic, share, prior, k)
+    if toxic_n and clean_n:
+        model.calibrate(row, term, weight)
+    return model
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", evidence: int = 5) -> DataFrame:
