@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from threadscope.catalog import query
-from threadscope.llm import piece_codec, sharding, substring, toxicity, url_filter, vector_topk, warc
+from threadscope.llm import mixing, piece_codec, sharding, substring, toxicity, url_filter, vector_topk, warc
 from threadscope.llm.common import scratch, table
 
 
@@ -124,3 +124,10 @@ def op9_toxicity(spark, sf):
     model = toxicity.fit(docs, table(spark, sf, "labels"), train=~toxicity.held_out(F.col("id")))
     return (toxicity.score(docs, model).withColumn("held_out", toxicity.held_out(F.col("doc_id")))
             .select("doc_id", "held_out", "score", "predicted", "evidence", "evidence_cosine"))
+
+
+@query("op3_mixing")
+def op3_mixing(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
+    return mixing.mix_sources(docs).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
