@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from threadscope.catalog import query
-from threadscope.llm import mixing, piece_codec, sharding, substring, toxicity, url_filter, vector_topk, warc
+from threadscope.llm import fingerprint, mixing, piece_codec, sharding, substring, toxicity, url_filter, vector_topk, warc
 from threadscope.llm.common import scratch, table
 
 
@@ -131,3 +131,9 @@ def op3_mixing(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "source", "text")
     return mixing.mix_sources(docs).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+@query("op5_fingerprints")
+def op5_fingerprints(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return fingerprint.compare_with_edits(docs)
