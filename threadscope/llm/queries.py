@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from threadscope.catalog import query
-from threadscope.llm import fingerprint, mixing, piece_codec, sharding, substring, toxicity, url_filter, vector_topk, warc
+from threadscope.llm import fingerprint, mixing, near_dedup, piece_codec, sharding, substring, toxicity, url_filter, vector_topk, warc
 from threadscope.llm.common import scratch, table
 
 
@@ -137,3 +137,9 @@ def op3_mixing(spark, sf):
 def op5_fingerprints(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return fingerprint.compare_with_edits(docs)
+
+
+@query("op4_near_dedup")
+def op4_near_dedup(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return near_dedup.near_duplicates(docs).select("doc_id", "class_id", "class_size", "keep")
