@@ -110,3 +110,50 @@ def test_incremental_ingest_idempotent(spark, raw_folder, tmp_path):
     start_ingest(spark, raw_folder, out, ck).awaitTermination()
     assert spark.read.parquet(f"{out}/posts").count() == 3
     assert spark.read.parquet(f"{out}/comments").count() == 7
+
+
+def test_array_file_beyond_the_variant_limit(spark, tmp_path):
+    """A VARIANT holds 128 MiB; a raw file may hold more."""
+    folder = tmp_path / "big"
+    folder.mkdir()
+    with open(folder / "a.json", "w") as f:
+        f.write("[")
+        for i in range(140):
+            f.write(("," if i else "") + json.dumps({"author": f"a{i}", "content": "x" * (1 << 20)}))
+        f.write("]")
+    df = posts_json.read_posts_json(spark, str(folder)).select("author", "pos", F.length("content").alias("n"))
+    assert sorted(rows(df), key=lambda r: r[1]) == [(f"a{i}", i, 1 << 20) for i in range(140)]
+
+
+def test_array_elements_and_unreadable_files(spark, tmp_path):
+    texts = {"ok": ' [ {"a": "]"} , 7, null, {"b": [1, {"c": 2}]}\n] ', "empty": "[]", "cut": '[{"a": 1}', "object": '{"a": 1}',
+             "tail": "[] x", "comma": "[{},]", "deep": "[" * 100_000}
+    found = {k: posts_json.array_elements(t) for k, t in texts.items()}
+    assert [(p, texts["ok"][a:b]) for p, a, b in found["ok"]] == [(0, '{"a": "]"}'), (3, '{"b": [1, {"c": 2}]}')]
+    assert found["empty"] == [] and all(found[k] is None for k in ("cut", "object", "tail", "comma", "deep"))
+    for k, t in texts.items():
+        (tmp_path / f"{k}.json").write_text(t)
+    bad = {r.file_path.rsplit("/", 1)[1] for r in posts_json.unreadable_files(spark, str(tmp_path)).collect()}
+    assert bad == {"cut.json", "object.json", "tail.json", "comma.json", "deep.json"}
+
+
+def test_export_and_views_of_crawled_names(spark, raw_folder, tmp_path):
+    """Crawlers write PTT and Bahamut; the views go by the configured folder."""
+    baha = str(tmp_path / "baha2")
+    _write(baha, "p.json", [{"platform": "Bahamut", "post_time": "2025-03-04", "author": "c", "title": "t", "content": "本文",
+                             "total_reac": "3", "comments_data": [{"comment_author": "u", "comment": "這是一則夠長的留言"}]}])
+    out = ingest.run_many(spark, {"ptt": raw_folder, "baha": baha}, str(tmp_path / "v"), output_type="both")
+    assert not set(tables.read_csv(spark, out["csv"]).columns) & set(ingest.INTERNAL_COLS)
+    tables.register_platform_views(spark, out["tables"], ["ptt", "baha"])
+    n = {v: spark.table(v).count() for v in ("ptt_posts", "ptt_comments", "baha_posts", "baha_comments")}
+    assert n == {"ptt_posts": 2, "ptt_comments": 3, "baha_posts": 1, "baha_comments": 1}
+    assert dict(spark.table("baha_posts").dtypes)["total_reac"] == "int"
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from threadscope import session
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda *a: None)))

@@ -50,16 +50,19 @@ def build_tables(posts: DataFrame, comments: DataFrame, key: str = "post_key",
     ``comment_id`` in ingest order and the post id as foreign key."""
     p = R.with_required_columns(posts, POST_COLS)
     p = p.withColumn("post_id", post_id(F.col("platform"), F.col("post_time"), F.col("author"), F.col("title")))
-    keyed = p.select(key, order, "post_id", "platform")
-    posts_t = R.dedupe_first_wins(p.select("post_id", order, *POST_COLS), "post_id", order)
+    folder = [FOLDER_COL] if FOLDER_COL in p.columns else []
+    keyed = p.select(key, order, "post_id", "platform", *folder)
+    posts_t = R.dedupe_first_wins(p.select("post_id", order, *POST_COLS, *folder), "post_id", order)
     c = comments.join(keyed, key, "inner").select(
-        "post_id", "platform", "comment_author", "comment",
+        "post_id", "platform", *folder, "comment_author", "comment",
         F.struct(F.col(order).alias("o"), F.col("pos").alias("p")).alias("_corder"))
     comments_t = R.dense_index(c, ["_corder"], name="comment_id").drop("_corder")
     return posts_t, comments_t
 
 
-FOLDER_COL = "platform_folder"
+FOLDER_COL = tables.FOLDER_COL
+# Columns of the job itself, which no export holds.
+INTERNAL_COLS = ("post_key", "ingest_seq", "file_path", "pos", "comment_pos", "like", "unlike", "total_reac_is_string")
 
 
 def _read_folders(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
@@ -68,9 +71,7 @@ def _read_folders(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
     keeps the platform value the crawler wrote)."""
     frames = [posts_json.read_posts_json(spark, folder).withColumn(FOLDER_COL, F.lit(platform.lower()))
               for platform, folder in folders.items()]
-    # A raw file is one whole-text row, so a few large files would be a few
-    # tasks: spread the parsed posts over the cores when the scan is small.
-    return R.spread(R.union_all(frames), "post_key")
+    return R.union_all(frames)
 
 
 def _known(folders: dict[str, str]) -> dict[str, str]:
@@ -114,12 +115,12 @@ def run_many(spark: SparkSession, folders: dict[str, str], out_dir: str, output_
     outputs = {}
     if output_type in ("csv", "both"):
         path = f"{out_dir}/cleaned_csv"
-        long = tabulate(cp, cc.drop(FOLDER_COL)).drop("ingest_seq", "file_path", "pos")
+        long = tabulate(cp, cc.drop(FOLDER_COL)).drop(*INTERNAL_COLS)
         if tables.write_csv(long, path, partition_by=[FOLDER_COL]):
             outputs["csv"] = path
     if output_type in ("sqlite", "both"):
         src_p, src_c = (cp, cc) if cleaned else (posts, comments)
-        pt, ct = build_tables(src_p.drop(FOLDER_COL), src_c.drop(FOLDER_COL))
+        pt, ct = build_tables(src_p, src_c.drop(FOLDER_COL))
         tables.write_posts_comments(pt, ct, f"{out_dir}/tables")
         outputs["tables"] = f"{out_dir}/tables"
     return outputs

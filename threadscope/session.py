@@ -59,9 +59,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     Spark applies ``spark.checkpoint.dir`` to the context at start-up, so
-    the context's folder is used when there is one. Only when none is set
-    (local runs and tests) a fresh scratch folder is created and given to
-    the context (the configuration itself cannot change at run time).
+    the context's folder is used when there is one. Where none is set, a
+    local run (one machine, as in tests) gets a fresh scratch folder; on a
+    cluster each executor would write to its own disk, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -71,6 +71,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if named:
         sc.setCheckpointDir(named)
         return sc.getCheckpointDir() or named
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="threadscope-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

@@ -2,19 +2,24 @@
 
 A raw file holds one JSON array of post objects (the crawler format). The
 reader keeps the reference's tolerance: a file that does not parse, or does
-not hold an array at the top level, is skipped; array elements that are not
-objects are skipped; a missing folder is skipped with a warning. Parsing
-goes through VARIANT, so one odd element never nulls its neighbours (a
-typed ``from_json`` would null the whole array), and the JSON type of
-``total_reac`` (number vs string) is kept for the PTT repair rule.
+not hold an array at the top level, is skipped (``unreadable_files`` lists
+those); array elements that are not objects are skipped; a missing folder is
+skipped with a warning. A file's array is first cut into its elements, then
+each element is parsed as a VARIANT: a VARIANT holds 128 MiB at most, which a
+whole file may exceed. One odd element so never nulls its neighbours (a typed
+``from_json`` would null the whole array), and the JSON type of ``total_reac``
+(number vs string) is kept for the PTT repair rule.
 """
 
 from __future__ import annotations
 
+import json
 import logging
+import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +47,69 @@ def _s(v: Column, key: str) -> Column:
     return F.try_variant_get(v, f"$.{key}", "string")
 
 
+_SPACE = re.compile(r"[ \t\n\r]*")
+#: Characters of elements that are sent on at a time.
+_CHARS = 8 << 20
+
+
+def array_elements(text: str) -> list[tuple[int, int, int]] | None:
+    """(position, start, end) of the objects in a JSON array; None if the text
+    is not one whole JSON array."""
+    scan, at = json.JSONDecoder().raw_decode, _SPACE.match(text).end()
+    if text[at:at + 1] != "[":
+        return None
+    found, pos, at = [], 0, _SPACE.match(text, at + 1).end()
+    try:
+        while text[at:at + 1] != "]":
+            if pos:
+                if text[at:at + 1] != ",":
+                    return None
+                at = _SPACE.match(text, at + 1).end()
+            end = scan(text, at)[1]
+            if text[at] == "{":
+                found.append((pos, at, end))
+            pos, at = pos + 1, _SPACE.match(text, end).end()
+    except (ValueError, RecursionError):
+        return None
+    return found if not text[at + 1:].strip(" \t\n\r") else None
+
+
+def _split_arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole files -> one row an element (pos null: a file that is no JSON array)."""
+    def rows(path, held):
+        return pa.RecordBatch.from_arrays([pa.array([path] * len(held), pa.string()), pa.array([h[0] for h in held], pa.int32()),
+                                           pa.array([h[1] for h in held], pa.string())], ["file_path", "pos", "value"])
+
+    for batch in batches:
+        for i in range(batch.num_rows):
+            path, text = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+            elements = None if text is None else array_elements(text)
+            if elements is None:
+                yield rows(path, [(None, None)])
+                continue
+            held, size = [], 0
+            for pos, start, end in elements:
+                held.append((pos, text[start:end]))
+                size += end - start
+                if size >= _CHARS:
+                    yield rows(path, held)
+                    held, size = [], 0
+            if held:
+                yield rows(path, held)
+
+
+def _elements_of(files: DataFrame, value_col: str, path_col: str) -> DataFrame:
+    return files.select(F.col(path_col).alias("file_path"), F.col(value_col).alias("value")) \
+        .mapInArrow(_split_arrays, "file_path string, pos int, value string")
+
+
+def unreadable_files(spark: SparkSession, folders: Sequence[str] | str, glob: str = "*.json") -> DataFrame:
+    """``file_path`` of the files that the reader skips: they do not parse, or
+    hold no array."""
+    return _elements_of(read_text_files(spark, folders, glob), "value", "file_path") \
+        .filter("pos is null").select("file_path")
+
+
 def parse_posts(files: DataFrame, value_col: str = "value", path_col: str = "file_path") -> DataFrame:
     """Files ``(file_path, value)`` -> one row per post object.
 
@@ -51,11 +119,9 @@ def parse_posts(files: DataFrame, value_col: str = "value", path_col: str = "fil
     ``like``, ``unlike`` and ``comments_data`` (array of comment structs;
     a non-object element becomes a NULL struct, a non-array value NULL).
     """
-    v = F.try_parse_json(F.col(value_col))
-    arr = files.select(F.col(path_col).alias("file_path"), v.alias("_v")) \
-               .filter(F.schema_of_variant("_v").startswith("ARRAY"))
-    recs = arr.select("file_path", F.posexplode(F.col("_v").try_cast("array<variant>")).alias("pos", "_r")) \
-              .filter(F.schema_of_variant("_r").startswith("OBJECT"))
+    recs = _elements_of(files, value_col, path_col).filter("pos is not null") \
+        .select("file_path", "pos", F.try_parse_json("value").alias("_r")) \
+        .filter(F.schema_of_variant("_r").startswith("OBJECT"))
     r = F.col("_r")
     reac = F.try_variant_get(r, "$.total_reac", "variant")
     comments = F.try_variant_get(r, "$.comments_data", "variant")
@@ -68,7 +134,7 @@ def parse_posts(files: DataFrame, value_col: str = "value", path_col: str = "fil
     out = recs.select(
         "file_path", "pos",
         F.struct("file_path", "pos").alias("ingest_seq"),
-        F.concat_ws("#", "file_path", F.lpad(F.col("pos").cast("string"), 9, "0")).alias("post_key"),
+        F.concat_ws("#", "file_path", F.lpad(F.col("pos").cast("string"), 19, "0")).alias("post_key"),
         *[_s(r, k).alias(k) for k in POST_FIELDS_STRING],
         F.when(F.schema_of_variant(reac) == "VOID", F.lit(None).cast("string"))
          .otherwise(F.try_variant_get(reac, "$", "string")).alias("total_reac"),

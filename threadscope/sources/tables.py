@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: The platform that a raw folder is configured for.
+FOLDER_COL = "platform_folder"
+
 # Declared table schemas (the posts / comments DDL).
 POSTS_SCHEMA = T.StructType([
     T.StructField("post_id", T.StringType(), False),
     T.StructField("platform", T.StringType()),
     T.StructField("post_time", T.StringType()),
     T.StructField("author", T.StringType()),
-    T.StructField("total_reac", T.StringType()),
+    T.StructField("total_reac", T.IntegerType()),
     T.StructField("title", T.StringType()),
     T.StructField("content", T.StringType()),
     T.StructField("comment_count", T.LongType()),
@@ -30,11 +33,12 @@ COMMENTS_SCHEMA = T.StructType([
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select and cast to a declared schema (missing columns become NULL)."""
+    """Select and cast to a declared schema (missing columns, and values that
+    are not of the declared type, become NULL)."""
     cols = []
     for f in schema.fields:
         c = F.col(f.name) if f.name in df.columns else F.lit(None)
-        cols.append(c.cast(f.dataType).alias(f.name))
+        cols.append((c.cast(f.dataType) if f.name not in df.columns else c.try_cast(f.dataType)).alias(f.name))
     return df.select(*cols)
 
 
@@ -75,20 +79,26 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 # S7 / S8 -----------------------------------------------------------------
 
 def write_posts_comments(posts: DataFrame, comments: DataFrame, base: str, mode: str = "overwrite") -> None:
-    """Posts and comments as two Parquet tables partitioned by platform
-    (instead of one table pair per platform)."""
-    write_table(conform(posts, POSTS_SCHEMA), f"{base}/posts", mode, ["platform"])
-    write_table(conform(comments, COMMENTS_SCHEMA), f"{base}/comments", mode, ["platform"])
+    """Posts and comments as two Parquet tables (instead of one table pair per
+    platform), partitioned by the configured platform where the frames name
+    it (``FOLDER_COL``; crawlers write other names into ``platform``), else
+    by ``platform``."""
+    for df, schema, name in ((posts, POSTS_SCHEMA, "posts"), (comments, COMMENTS_SCHEMA, "comments")):
+        by = FOLDER_COL if FOLDER_COL in df.columns else "platform"
+        fields = schema.fields + ([T.StructField(by, T.StringType())] if by == FOLDER_COL else [])
+        write_table(conform(df, T.StructType(fields)), f"{base}/{name}", mode, [by])
 
 
 def register_platform_views(spark: SparkSession, base: str, platforms: Sequence[str]) -> None:
     """Temp views ``{platform}_posts`` / ``{platform}_comments`` over the
-    partitioned tables; the platform filter prunes partitions."""
+    partitioned tables; the platform filter (case-insensitive) prunes
+    partitions."""
     posts = spark.read.parquet(f"{base}/posts")
     comments = spark.read.parquet(f"{base}/comments")
     for p in platforms:
-        posts.filter(F.col("platform") == p).createOrReplaceTempView(f"{p}_posts")
-        comments.filter(F.col("platform") == p).createOrReplaceTempView(f"{p}_comments")
+        for df, name in ((posts, "posts"), (comments, "comments")):
+            by = FOLDER_COL if FOLDER_COL in df.columns else "platform"
+            df.filter(F.lower(F.col(by)) == p.lower()).createOrReplaceTempView(f"{p}_{name}")
 
 
 def run_sql(spark: SparkSession, sql: str) -> DataFrame:

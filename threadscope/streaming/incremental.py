@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from threadscope.functions.ids import post_id
 from threadscope.operators import relational as R
 from threadscope.plans.ingest import POST_COLS, split_posts_comments
-from threadscope.session import scratch_path
 from threadscope.sources import posts_json
 
 
@@ -52,14 +51,15 @@ def _write_batch(raw: DataFrame, batch_id: int, out_dir: str) -> None:
     c.write.mode("overwrite").parquet(f"{out_dir}/comments/batch_id={batch_id}")
 
 
-def start_ingest(spark: SparkSession, folder: str, out_dir: str, checkpoint: str | None = None,
+def start_ingest(spark: SparkSession, folder: str, out_dir: str, checkpoint: str,
                  available_now: bool = True):
     """Start the stream; with ``available_now`` it processes what is there
-    and stops (call ``awaitTermination``)."""
+    and stops (call ``awaitTermination``). ``checkpoint`` records which files
+    have been read: keep it as long as ``out_dir``, in durable storage of its
+    own, else a restart reads all files again and repeats their comments."""
     stream = (spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", "*.json")
               .load(folder).select(F.input_file_name().alias("file_path"), "value"))
-    ckpt = checkpoint or scratch_path(spark, "ingest-checkpoint")
     writer = (stream.writeStream.foreachBatch(lambda df, bid: ingest_batch(df, bid, out_dir))
-              .option("checkpointLocation", ckpt))
+              .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
