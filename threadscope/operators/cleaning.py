@@ -158,17 +158,17 @@ def drop_post_url(posts: DataFrame) -> DataFrame:
 def core_filter(posts: DataFrame, comments: DataFrame, key: str, year: str = "2025",
                 comment_pre: Callable[[DataFrame], DataFrame] | None = None,
                 min_len: int = MIN_COMMENT_LEN) -> tuple[DataFrame, DataFrame]:
-    """Date clean -> year filter -> content clean -> comment clean/filter ->
-    drop posts without comments. The year filter runs before any text
-    cleaning, and only comments of kept posts are cleaned."""
+    """Date clean -> year filter -> comment clean/filter -> drop posts without
+    comments -> content clean. The filters run before the costly cleaning
+    they do not depend on: only comments of kept posts, and only contents of
+    posts that keep a comment, are cleaned."""
     p = filter_year(posts.withColumn("post_time", clean_date(F.col("post_time"))), year)
-    p = p.withColumn("content", clean_text(F.col("content")))
     c = comments.join(p.select(key), key, "left_semi")
     if comment_pre is not None:
         c = comment_pre(c)
     c = clean_comments(c, min_len=min_len)
     p = drop_commentless_posts(p, c, key)
-    return p, c
+    return p.withColumn("content", clean_text(F.col("content"))), c
 
 
 def clean_ptt(posts: DataFrame, comments: DataFrame, key: str, order_cols: Sequence[str],
@@ -227,7 +227,6 @@ def clean_all(posts: DataFrame, comments: DataFrame, key: str, order_cols: Seque
         # C10 drops the PTT url; in one table that is a NULL on PTT rows.
         posts = posts.withColumn("post_url", F.when(~is_ptt, F.col("post_url")))
     p = filter_year(posts.withColumn("post_time", clean_date(F.col("post_time"))), year)
-    p = p.withColumn("content", clean_text(F.col("content")))
     c = comments.join(p.select(key), key, "left_semi")
     ptt = c.filter(is_ptt)
     merged = merge_continuations(ptt, key, order_cols, carry=[platform_col]).drop("n_merged")
@@ -238,4 +237,4 @@ def clean_all(posts: DataFrame, comments: DataFrame, key: str, order_cols: Seque
         ensure_checkpoint_dir(c.sparkSession)
         c = c.checkpoint(eager=True)
     p = drop_commentless_posts(p, c, key)
-    return p, c
+    return p.withColumn("content", clean_text(F.col("content"))), c
