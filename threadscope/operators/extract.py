@@ -255,24 +255,31 @@ def baha_article_url(board_id: Column, article_id: Column, page: Column) -> Colu
 
 
 def dcard_urls(mode: Column, query: Column, forum: Column | None = None) -> Column:
-    """Struct (front_url, api_url) for mode topic / search / forum.
-    An unknown mode, or no query outside forum mode, raises."""
+    """Struct (front_url, api_url) for mode topic / search / forum; a search
+    with a forum stays inside it. An empty forum counts as none. An unknown
+    mode, or no query outside forum mode, raises on either field."""
     m = F.lower(mode)
     q = query
-    target = F.coalesce(forum, q) if forum is not None else q
+    inside = F.when(forum != "", forum) if forum is not None else F.lit(None).cast("string")
+    target = F.coalesce(inside, q)
     need_query = (m != "forum") & (q.isNull() | (q == ""))
     front = (F.when(m == "topic", F.format_string(DCARD_BASE + "/topics/%s?tab=latest", q))
+             .when((m == "search") & inside.isNotNull(), F.format_string(DCARD_BASE + "/f/%s?tab=latest", inside))
              .when(m == "search", F.format_string(DCARD_BASE + "/search/posts?query=%s&sort=latest", q))
              .when(m == "forum", F.format_string(DCARD_BASE + "/f/%s?tab=latest", target)))
     api = (F.when(m == "topic", F.format_string(
                 DCARD_API + "/search/posts?query=%s&field=topics&highlight=false&sort=latest&country=TW&nsfw=true&platform=web", q))
+           .when((m == "search") & inside.isNotNull(), F.format_string(
+                DCARD_API + "/search/posts?query=%s&forum=%s&field=all&highlight=false&sort=latest&country=TW&nsfw=true&platform=web",
+                q, inside))
            .when(m == "search", F.format_string(
                 DCARD_API + "/search/posts?query=%s&field=all&highlight=false&sort=latest&country=TW&nsfw=true&platform=web", q))
            .when(m == "forum", F.format_string(DCARD_API + "/forums/%s/posts?sort=new", target)))
-    checked_front = (F.when(need_query, F.raise_error(F.lit("a query is required in this mode")))
-                     .when(front.isNull(), F.raise_error(F.concat(F.lit("unknown Dcard mode: "), mode)))
-                     .otherwise(front))
-    return F.struct(checked_front.alias("front_url"), api.alias("api_url"))
+    def checked(url: Column) -> Column:
+        return (F.when(need_query, F.raise_error(F.lit("a query is required in this mode")))
+                .when(url.isNull(), F.raise_error(F.concat(F.lit("unknown Dcard mode: "), mode)))
+                .otherwise(url))
+    return F.struct(checked(front).alias("front_url"), checked(api).alias("api_url"))
 
 
 def dcard_comments_url(post_id: Column, limit: Column) -> Column:

@@ -56,25 +56,30 @@ _SQL_LANG = "regexp_extract(url, '^https?://[^/]+/([a-z]{2})/', 1)"
 
 
 @query("x14_dcard_urls", sql=f"""
-SELECT page_id, mode, q,
+SELECT page_id, mode, q, forum,
        CASE mode WHEN 'topic' THEN 'https://www.dcard.tw/topics/' || q || '?tab=latest'
-                 WHEN 'search' THEN 'https://www.dcard.tw/search/posts?query=' || q || '&sort=latest'
+                 WHEN 'search' THEN CASE WHEN forum != '' THEN 'https://www.dcard.tw/f/' || forum || '?tab=latest'
+                                         ELSE 'https://www.dcard.tw/search/posts?query=' || q || '&sort=latest' END
                  ELSE 'https://www.dcard.tw/f/' || q || '?tab=latest' END AS front_url,
        CASE mode WHEN 'topic' THEN 'https://www.dcard.tw/service/api/v3/search/posts?query=' || q
                                    || '&field=topics&highlight=false&sort=latest&country=TW&nsfw=true&platform=web'
                  WHEN 'search' THEN 'https://www.dcard.tw/service/api/v3/search/posts?query=' || q
-                                   || '&field=all&highlight=false&sort=latest&country=TW&nsfw=true&platform=web'
+                                   || CASE WHEN forum != '' THEN '&forum=' || forum ELSE '' END || '&field=all&highlight=false&sort=latest&country=TW&nsfw=true&platform=web'
                  ELSE 'https://www.dcard.tw/service/api/v3/forums/' || q || '/posts?sort=new' END AS api_url,
        'https://www.dcard.tw/service/api/v3/posts/' || page_id || '/comments?limit=5&sort=oldest' AS comments_url
 FROM (SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'topic' WHEN 1 THEN 'search' ELSE 'forum' END AS mode,
+             CASE page_id % 6 WHEN 1 THEN 'host' || page_id WHEN 4 THEN '' END AS forum,
              {_SQL_LANG} AS q FROM pages)""")
 def x14_dcard_urls(spark, sf):
     pages = fx.read_table(spark, sf, "pages")
     mode = F.when(F.col("page_id") % 3 == 0, "topic").when(F.col("page_id") % 3 == 1, "search").otherwise("forum")
-    d = pages.select("page_id", mode.alias("mode"),
+    # Every other search stays inside a forum; an empty forum counts as none.
+    forum = F.when(F.col("page_id") % 6 == 1, F.concat(F.lit("host"), F.col("page_id").cast("string"))) \
+        .when(F.col("page_id") % 6 == 4, F.lit(""))
+    d = pages.select("page_id", mode.alias("mode"), forum.alias("forum"),
                      F.regexp_extract("url", r"^https?://[^/]+/([a-z]{2})/", 1).alias("q"))
-    u = X.dcard_urls(F.col("mode"), F.col("q"))
-    return d.select("page_id", "mode", "q", u["front_url"].alias("front_url"), u["api_url"].alias("api_url"),
+    u = X.dcard_urls(F.col("mode"), F.col("q"), F.col("forum"))
+    return d.select("page_id", "mode", "q", "forum", u["front_url"].alias("front_url"), u["api_url"].alias("api_url"),
                     X.dcard_comments_url(F.col("page_id"), F.lit(5)).alias("comments_url"))
 
 
