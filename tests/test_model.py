@@ -5,6 +5,7 @@ import math
 import re
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF001, rows
@@ -72,3 +73,28 @@ def test_percent_matches_python_formatting(spark):
     vals = [random.random() for _ in range(5000)] + [k / 100000 for k in range(0, 100001, 37)]
     got = [r[0] for r in spark.createDataFrame([(v,) for v in vals], "p double").select(M.percent(F.col("p"))).collect()]
     assert got == [f"{v:.2%}" for v in vals]
+
+
+def test_split_keeps_rows_without_a_label(spark):
+    df = spark.createDataFrame([(i, None if i % 3 == 0 else i % 2) for i in range(60)], "doc_id long, label int")
+    got = M.stratified_split(df, "label", "doc_id").collect()
+    assert sorted(r.doc_id for r in got) == list(range(60))
+    assert sum(r.split == "test" for r in got if r.label is None) == 4
+
+
+def test_confusion_matrix_keeps_other_classes(spark):
+    df = spark.createDataFrame([(0, 0), (0, 3), (3, 3)], "true_label int, test_label int")
+    got = {r.true_label: r.asDict() for r in M.confusion_matrix(df).collect()}
+    assert got[0]["pred_0"] == 1 and got[0]["pred_3"] == 1 and got[3]["pred_3"] == 1
+
+
+def test_whole_texts_count_and_input_text_stays(spark):
+    rows = [(i, "filler " * 300 + ("bad", "plain", "good")[i % 3], i % 3) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, text string, label int")
+    model = M.train_sentiment(df)
+    got = M.score_comments(model, df.withColumn("comment", F.col("text")).withColumn("text", F.lit("own"))).collect()
+    assert all(r.predict_label == r.label and r.text == "own" for r in got)
+    assert model.eval_loss is not None
+    assert M.objective_history(model, spark).filter("eval_loss is not null").count() == 1
+    again = M.train_sentiment(df.repartition(7))
+    assert again.eval_loss == pytest.approx(model.eval_loss, rel=1e-6)

@@ -11,12 +11,11 @@ from threadscope.operators import relational as R
 REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
-def test_spread_only_repartitions_small_scans(spark):
-    cores = spark.sparkContext.defaultParallelism
-    one = spark.range(1000).coalesce(1)
-    assert R.spread(one, "id").rdd.getNumPartitions() == 2 * cores
-    many = spark.range(0, 1000, 1, cores * 3)
-    assert R.spread(many, "id") is many                      # enough splits: no extra shuffle
+def test_spread_does_as_told_at_every_size(spark):
+    for parts in (1, 50):
+        df = spark.range(0, 1000, 1, parts)
+        assert R.spread(df, 6, "id").rdd.getNumPartitions() == 6
+        assert R.spread(df, 6).rdd.getNumPartitions() == 6
 
 
 def test_queries_run_from_another_directory(tmp_path):

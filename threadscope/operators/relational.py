@@ -35,22 +35,11 @@ def _cols(cols: Iterable) -> list[Column]:
 
 # Partitioning ------------------------------------------------------------
 
-def spread(df: DataFrame, *keys: str, per_core: int = 2) -> DataFrame:
-    """Hash-repartition a scan-level frame only when it has fewer
-    partitions than the cluster has cores.
-
-    CPU-heavy per-row work (the regex chain, tokenizing) runs one task per
-    input split. A small table stored as one Parquet row group is a single
-    split and would run on one core; a large table read on a cluster has
-    thousands of splits and is left alone (no extra shuffle). Call it on
-    frames close to the scan: the partition count is read from the planned
-    RDD, which is cheap for a scan and a projection.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    n = cores * per_core
-    return df.repartition(n, *[F.col(k) for k in keys]) if keys else df.repartition(n)
+def spread(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
+    """``df`` dealt over ``partitions`` by key (without keys: evenly). For
+    CPU-heavy per-row work on tables that scan as too few splits; the caller
+    decides, a table that scans as many splits needs no such shuffle."""
+    return df.repartition(partitions, *[F.col(k) for k in keys])
 
 
 # R1 / R5 -----------------------------------------------------------------

@@ -16,8 +16,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 # Text-heavy tables and their row keys: per-row work on them (regex
-# cleaning, tokenizing, HTML parsing) is CPU-bound, so a scan that yields
-# fewer splits than cores is spread by key (see ``relational.spread``).
+# cleaning, tokenizing, HTML parsing) is CPU-bound, and the test tables are
+# single row groups, so the views deal them out by key over the session's
+# shuffle partitions (at every size alike; see ``relational.spread``).
 TEXT_TABLE_KEYS = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_id"}
 
 
@@ -25,7 +26,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if name in TEXT_TABLE_KEYS:
         from threadscope.operators.relational import spread
-        df = spread(df, TEXT_TABLE_KEYS[name])
+        df = spread(df, int(spark.conf.get("spark.sql.shuffle.partitions")), TEXT_TABLE_KEYS[name])
     return df
 
 
@@ -97,11 +98,14 @@ def fx_pushes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fx_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Classifier output: first three embedding components as logits."""
+    """Classifier output: three logits, each the sum of every third component
+    of the embedding in steps of 1/1024 (whole numbers, so sums are exact)."""
     e = read_table(spark, sf_dir, "embeddings")
     return e.select(
         F.col("vec_id"),
-        F.transform(F.slice("embedding", 1, 3), lambda x: x.cast("double")).alias("logits"),
+        F.transform(F.array(F.lit(0), F.lit(1), F.lit(2)), lambda j: F.aggregate(
+            F.transform("embedding", lambda x, i: F.when(i % 3 == j, F.floor(x.cast("double") * 1024)).otherwise(F.lit(0))),
+            F.lit(0).cast("long"), lambda total, v: total + v) / F.lit(1024.0)).alias("logits"),
         (F.col("label") % 3).alias("true_label"),
     )
 
@@ -120,9 +124,13 @@ def fx_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fx_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scored comments: labelled documents with ``predict_label``."""
-    return fx_labelled(spark, sf_dir).select(
-        "doc_id", "platform", "comment", F.col("label").alias("predict_label"))
+    """Scored comments: all documents with ``predict_label``, their label where
+    they have one, else ``doc_id % 3``."""
+    lab = read_table(spark, sf_dir, "labels")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return docs.join(lab, "doc_id", "left").select(
+        "doc_id", platform_of(F.col("doc_id")).alias("platform"), F.col("text").alias("comment"),
+        F.coalesce(F.col("quality") + F.col("toxic"), (F.col("doc_id") % 3).cast("int")).alias("predict_label"))
 
 
 # Keyword lists for the weak-label plan on the Latin fixtures (parameters).
@@ -159,7 +167,8 @@ FX_SQL = {
         FROM events""",
     "fx_logits": """
         SELECT vec_id,
-               [CAST(embedding[1] AS DOUBLE), CAST(embedding[2] AS DOUBLE), CAST(embedding[3] AS DOUBLE)] AS logits,
+               [list_sum([CAST(floor(CAST(embedding[i] AS DOUBLE) * 1024) AS BIGINT)
+                          FOR i IN range(j, len(embedding) + 1, 3)]) / 1024.0::DOUBLE FOR j IN [1, 2, 3]] AS logits,
                label % 3 AS true_label
         FROM embeddings""",
     "fx_labelled": """
@@ -169,14 +178,16 @@ FX_SQL = {
                CASE WHEN l.doc_id % 4 = 3 THEN 'T' ELSE 'F' END AS is_generated
         FROM labels l JOIN documents d ON l.doc_id = d.doc_id""",
 }
-FX_SQL["fx_scored"] = "SELECT doc_id, platform, comment, label AS predict_label FROM fx_labelled"
+FX_SQL["fx_scored"] = """
+        SELECT d.doc_id,
+               CASE d.doc_id % 3 WHEN 0 THEN 'ptt' WHEN 1 THEN 'baha' ELSE 'dcard' END AS platform,
+               d.text AS comment, coalesce(l.quality + l.toxic, CAST(d.doc_id % 3 AS INTEGER)) AS predict_label
+        FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id"""
 
 
 def with_fx(sql_body: str, *views: str) -> str:
     """Prefix a query with the CTEs it needs (dependencies first)."""
     order = ["fx_posts", "fx_comments", "fx_pushes", "fx_logits", "fx_labelled", "fx_scored"]
     need = set(views)
-    if "fx_scored" in need:
-        need.add("fx_labelled")
     ctes = [f"{v} AS ({FX_SQL[v]})" for v in order if v in need]
     return ("WITH " + ",\n".join(ctes) + "\n" + sql_body) if ctes else sql_body
