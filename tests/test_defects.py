@@ -62,3 +62,12 @@ def test_d14_comment_count_is_not_recomputed(spark):
     p, c = _clean(spark, "baha", ["這是一則夠長的留言", "短"])
     assert c.count() == 1
     assert rows(p, "comment_count") == [(2,)]
+
+
+def test_page_parser_takes_deep_and_broken_markup():
+    """Unclosed tags nest without end; one such page must not fail the job."""
+    html = "<div id='main-content'>" + "<p>x" * 5000 + "<div class='push'><span class='push-tag'>推</span>" \
+           "<span class='push-userid'>u</span><span class='push-content'>: hi</span></div></b></i>"
+    got = X.parse_ptt_article(html)
+    assert got["like"] == 1 and got["content"] == "x" * 5000 and got["comments_data"][0]["comment"] == " hi"
+    assert X.parse_baha_page("<section class='c-section'>" * 3000) is not None

@@ -91,7 +91,13 @@ def test_planning_and_urls(spark):
         "https://www.ptt.cc/bbs/Gossiping/index.html"
     u = one.select(X.dcard_urls(F.lit("forum"), F.lit(None).cast("string"), F.lit("pokemon")).alias("u")).first().u
     assert u.api_url == "https://www.dcard.tw/service/api/v3/forums/pokemon/posts?sort=new"
-    with pytest.raises(Exception):
-        one.select(X.dcard_urls(F.lit("hot"), F.lit("q"))).collect()
+    u = one.select(X.dcard_urls(F.lit("search"), F.lit("poke"), F.lit("game")).alias("u")).first().u
+    assert u.front_url == "https://www.dcard.tw/f/game?tab=latest" and "query=poke&forum=game&field=all" in u.api_url
+    for mode in ("search", "forum"):  # an empty forum counts as none
+        u = one.select(X.dcard_urls(F.lit(mode), F.lit("poke"), F.lit("")).alias("u")).first().u
+        assert "poke" in u.front_url and "forum=" not in u.api_url
+    for field in ("front_url", "api_url"):
+        with pytest.raises(Exception):
+            one.select(X.dcard_urls(F.lit("hot"), F.lit("q"))[field]).collect()
     with pytest.raises(Exception):
         one.select(X.dcard_urls(F.lit("topic"), F.lit(""))).collect()

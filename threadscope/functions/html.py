@@ -15,10 +15,10 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
+    __slots__ = ("tag", "attrs", "children", "parent", "removed")
 
     def __init__(self, tag: str, attrs: dict, parent: Node | None):
-        self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
+        self.tag, self.attrs, self.children, self.parent, self.removed = tag, attrs, [], parent, False
 
     @property
     def classes(self) -> list[str]:
@@ -28,18 +28,29 @@ class Node:
         return self.attrs.get(key, default)
 
     def text(self) -> str:
-        return "".join(_texts(self))
+        return "".join(x for x in self.walk() if isinstance(x, str))
+
+    def walk(self):
+        """Texts and nodes below, in document order; without recursion, since
+        broken markup may nest thousands of open tags."""
+        todo = [iter(self.children)]
+        while todo:
+            for ch in todo[-1]:
+                if isinstance(ch, str):
+                    yield ch
+                elif not ch.removed:
+                    yield ch
+                    todo.append(iter(ch.children))
+                    break
+            else:
+                todo.pop()
 
     def descendants(self):
-        for ch in self.children:
-            if isinstance(ch, Node):
-                yield ch
-                yield from ch.descendants()
+        return (x for x in self.walk() if isinstance(x, Node))
 
     def remove(self) -> None:
-        if self.parent is not None:
-            self.parent.children = [c for c in self.parent.children if c is not self]
-            self.parent = None
+        """Take this subtree out of what its ancestors walk over."""
+        self.removed = True
 
     def select(self, selector: str) -> list[Node]:
         parts = [_parse_simple(p) for p in selector.split()]
@@ -54,14 +65,6 @@ class Node:
         return r[0] if r else None
 
 
-def _texts(node: Node):
-    for ch in node.children:
-        if isinstance(ch, str):
-            yield ch
-        else:
-            yield from _texts(ch)
-
-
 def _parse_simple(s: str) -> tuple[str | None, list[str], str | None]:
     tag, classes, ident = None, [], None
     buf, mode = "", "tag"

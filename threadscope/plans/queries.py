@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from threadscope.catalog import query
 from threadscope.operators import relational as R
 from threadscope.plans.weak_label import hot_comments, weak_label_sample
+from threadscope.plans.sql_keywords import SQL_STOP as _SQL_STOP
+from threadscope.plans.sql_keywords import SQL_TOKENS as _SQL_TOKENS
 from threadscope.sources import fixtures as fx
 from threadscope.sources.fixtures import with_fx
 
@@ -335,8 +337,6 @@ def r25_concat_texts(spark, sf):
 
 from threadscope.operators import keywords as K  # noqa: E402
 
-_SQL_TOKENS = "regexp_extract_all(comment, '" + K.token_pattern() + "', 1)"
-_SQL_STOP = "[" + ", ".join(f"'{w}'" for w in K.STOP_WORDS) + "]"
 _SQL_KEEP = f"NOT list_contains({_SQL_STOP}, Keyword) AND (length(Keyword) >= 2 OR regexp_matches(Keyword, '^\\p{{L}}+$'))"
 
 

@@ -19,6 +19,8 @@ from threadscope.catalog import query
 from threadscope.functions.ids import post_id
 from threadscope.operators import keywords as K
 from threadscope.plans import ingest
+from threadscope.plans.sql_keywords import SQL_STOP as _SQL_STOP
+from threadscope.plans.sql_keywords import SQL_TOKENS as _SQL_TOKENS
 from threadscope.session import scratch_path
 from threadscope.sources import fixtures as fx
 from threadscope.sources import posts_json, tables
@@ -138,8 +140,6 @@ def p1_ingest(spark, sf):
 
 # --- P3 -------------------------------------------------------------------------
 
-_SQL_TOKENS = "regexp_extract_all(comment, '" + K.token_pattern() + "', 1)"
-_SQL_STOP = "[" + ", ".join(f"'{w}'" for w in K.STOP_WORDS) + "]"
 
 
 @query("p3_keyword_export", sql=with_fx(f"""

@@ -16,6 +16,8 @@ from threadscope.operators import extract as X
 from threadscope.operators import keywords as K
 from threadscope.operators import model as M
 from threadscope.operators import relational as R
+from threadscope.plans.sql_keywords import SQL_STOP as _SQL_STOP
+from threadscope.plans.sql_keywords import SQL_TOKENS as _SQL_TOKENS
 from threadscope.session import scratch_path
 from threadscope.sources import fixtures as fx
 from threadscope.sources import tables
@@ -142,8 +144,6 @@ def r19_fill_and_drop(spark, sf):
 
 # --- K1 / K2 ------------------------------------------------------------------
 
-_SQL_TOKENS = "regexp_extract_all(comment, '" + K.token_pattern() + "', 1)"
-_SQL_STOP = "[" + ", ".join(f"'{w}'" for w in K.STOP_WORDS) + "]"
 
 
 @query("k1_segment", sql=with_fx(f"""
