@@ -6,9 +6,9 @@ documents: words move from one of the pair to the other, in a random
 direction whose odds keep every document's expected share, until one of the
 two is whole. The words taken from a source stay the same throughout. Blocks
 of documents are rounded in parallel; what each leaves, one document with a
-fraction and a few of its smallest ones, meets on the next level of a tree,
-and at the root the last documents are rounded from the largest on, each
-one's deviation spread over the smaller ones.
+fraction and a few documents of each order of size, meets on the next level of
+a tree, and at the root the last documents are rounded from the largest on,
+each one's deviation spread over the smaller ones.
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ from threadscope.llm.common import free_name, mix, prepare, stored
 BLOCK_DOCS = 4096
 #: Blocks that meet in one on the next level.
 FAN_IN = 32
-#: Smallest documents that a block leaves open for the levels above.
-RESERVE = 16
+#: Documents of each order of size (powers of two) that a block leaves open for the levels above.
+RESERVE = 8
 
 WEIGHTS = (5.0, 2.0, 1.0)
 
@@ -146,8 +146,10 @@ def copies(rows: DataFrame, block_docs: int = BLOCK_DOCS, fan_in: int = FAN_IN,
             group = group.sort_values(["size", "key"], kind="stable", ignore_index=True)
             draws = _random(group["key"].to_numpy() + np.arange(len(group)), seed + n)
             size, share = group["size"].to_numpy(np.float64), group["share"].to_numpy(np.float64)
-            few = 0 if last and len(group) <= 4 * reserve else min(reserve, len(group))
-            share[few:] = pivot(size[few:], share[few:], draws[few:]) if not last or few else share[few:]
+            order = np.floor(np.log2(size)).astype(np.int64)  # sizes ascend
+            paired = np.arange(len(order)) - np.searchsorted(order, order) >= reserve
+            if not last or len(group) > block_docs:
+                share[paired] = pivot(size[paired], share[paired], draws[paired])
             if last:
                 share = settle(size, share, draws)
             group["share"], group["open"] = share, (share > 0) & (share < 1)
