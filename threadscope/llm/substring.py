@@ -133,7 +133,8 @@ _BACK = "chunk long, keys binary, docs binary"
 
 def _meet(width: int):
     """Reducer of a bucket: gives each chunk those of its keys that occur in
-    another chunk or in several documents of its own, with the least id."""
+    another chunk or in several documents of its own. With docs, only those
+    that occur in a document of a larger id than the least, and that id."""
     def run(group: pa.Table) -> pa.Table:
         chunks, keys, several, docs = [], [[] for _ in range(width)], [], []
         for c, k, s, d in zip(*(group[n].to_pylist() for n in ("chunk", "keys", "several", "docs")), strict=True):
@@ -154,7 +155,11 @@ def _meet(width: int):
         at = np.flatnonzero(new)
         n = np.diff(np.append(at, len(order)))
         repeats = np.repeat((n > 1) | np.logical_or.reduceat(several, at), n)
-        least = None if doc is None else np.repeat(np.minimum.reduceat(doc[order], at), n)[repeats]
+        least = None
+        if doc is not None:  # a chunk that holds only the first document need not hear of it
+            first = np.repeat(np.minimum.reduceat(doc[order], at), n)
+            repeats &= several | (doc[order] > first)
+            least = np.where(several, first, np.iinfo(np.int64).min)[repeats]  # else any smaller id says the same
         keys, chunk = [k[repeats] for k in keys], chunk[repeats]
         by = np.argsort(chunk, kind="stable")
         cuts = np.flatnonzero(np.diff(chunk[by], prepend=-1))
