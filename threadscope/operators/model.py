@@ -126,9 +126,16 @@ def build_pipeline(text_col: str = MODEL_TEXT, label_col: str = "label", num_fea
     return Pipeline(stages=[tok, tf, idf, lr]), lr
 
 
-def fit_pipeline(pipe, train: DataFrame):
+def _kept(data: DataFrame, partitions: int | None) -> DataFrame:
+    """``data``, persisted, in so many partitions (None: as it comes). Each
+    iteration of the optimiser ships a gradient of all features and classes
+    from each partition, so a small training set goes into a few."""
+    return (data if partitions is None else data.coalesce(partitions)).persist()
+
+
+def fit_pipeline(pipe, train: DataFrame, partitions: int | None = None):
     """Fit a pipeline over the training rows, computed once and kept for its passes."""
-    data = train.persist()
+    data = _kept(train, partitions)
     try:
         return pipe.fit(data)
     finally:
@@ -136,23 +143,25 @@ def fit_pipeline(pipe, train: DataFrame):
 
 
 def train_sentiment(train: DataFrame, text_col: str = "text", label_col: str = "label",
-                    reg_grid: Sequence[float] = (0.01, 0.1), seed: int = 42, valid_share: float = 0.2):
+                    reg_grid: Sequence[float] = (0.01, 0.1), seed: int = 42, valid_share: float = 0.2,
+                    partitions: int | None = None):
     """Fit the pipeline; keep the regularisation with the lowest log loss on
     validation rows (the reference keeps its epoch with the lowest eval
     loss), refitted on all rows. ``eval_loss`` of the returned model holds it.
 
     Validation rows are chosen by a hash of text and label, so they depend on
     neither partitioning nor cores. The feature stages are fitted once; only
-    the regression is searched, over kept feature vectors.
+    the regression is searched, over kept feature vectors. ``partitions``: of
+    the training rows, see ``_kept``.
     """
     from pyspark.ml import Pipeline, PipelineModel
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
     pipe, lr = build_pipeline(MODEL_TEXT, label_col)
     data = train.select(F.coalesce(F.col(text_col), F.lit("")).alias(MODEL_TEXT),
-                        F.col(label_col).cast("double").alias(label_col)).persist()
+                        F.col(label_col).cast("double").alias(label_col)).persist()  # for the features' two passes
     features = Pipeline(stages=pipe.getStages()[:-1]).fit(data)
     key = F.pmod(F.xxhash64(MODEL_TEXT, label_col, F.lit(seed)), F.lit(1000)) < int(valid_share * 1000)
-    vectors = features.transform(data).select("_features", label_col, key.alias("_valid")).persist()
+    vectors = _kept(features.transform(data).select("_features", label_col, key.alias("_valid")), partitions)
     ev = MulticlassClassificationEvaluator(labelCol=label_col, predictionCol="_pred", probabilityCol="_prob",
                                            metricName="logLoss")
     try:

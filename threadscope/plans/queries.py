@@ -510,6 +510,6 @@ def p5_scored_corpus(spark, sf):
     labelled = fx.fx_labelled(spark, sf)
     split = M.stratified_split(labelled, "label", "doc_id")
     model = M.train_sentiment(split.filter(F.col("split") == "train").select(
-        F.col("comment").alias("text"), "label"))
+        F.col("comment").alias("text"), "label"), partitions=2)
     docs = fx.fx_posts(spark, sf).select("doc_id", "platform", F.col("content").alias("comment"))
     return M.score_comments(model, docs)

@@ -174,7 +174,7 @@ def m14_loss_history(spark, sf):
     pipe, _ = M.build_pipeline("text", "label")
     data = train.select(F.coalesce(F.col("comment"), F.lit("")).alias("text"),
                         F.col("label").cast("double").alias("label"))
-    model = M.fit_pipeline(pipe, data)
+    model = M.fit_pipeline(pipe, data, partitions=2)
     return M.loss_history(M.objective_history(model, spark))
 
 
