@@ -82,8 +82,9 @@ class BlockMaxIndex:
             return np.zeros(0, np.int64), np.zeros(0)
         at = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(total)
         part = self.weight[at] * np.repeat(np.repeat(weight, len(blocks)), n)
-        found, place = np.unique(self.row[at], return_inverse=True)
-        return found, np.bincount(place, part)
+        score = np.bincount(self.row[at], part, minlength=self.n)
+        found = np.flatnonzero(score)
+        return found, score[found]
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of the highest cosine above 0, ties to the smaller place."""
