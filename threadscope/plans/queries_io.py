@@ -46,9 +46,9 @@ def _raw_posts(spark, sf):
                     F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("post_url"))
 
 
-def _write_raw(spark, df, files: int = 4) -> str:
+def _write_raw(spark, df) -> str:
     path = _tmp(spark, "raw-posts")
-    if not posts_json.write_posts_json(df, path, files=files):
+    if not posts_json.write_posts_json(df, path):
         raise RuntimeError(f"could not write raw posts to {path}")
     return path
 
@@ -86,7 +86,7 @@ def c11_skip_non_records(spark, sf):
         F.when(F.col("_id") % 20 == 0, F.lit("7")).otherwise(F.lit('"x"')).alias("j"))
     nulls = raw.filter(F.col("_id") % 25 == 3).select(F.lit("null").alias("j"))
     path = _tmp(spark, "raw-mixed")
-    if not posts_json.write_json_arrays(posts.unionByName(junk).unionByName(nulls), path, files=4):
+    if not posts_json.write_json_arrays(posts.unionByName(junk).unionByName(nulls), path):
         raise RuntimeError(f"could not write raw posts to {path}")
     back = posts_json.read_posts_json(spark, path)
     kept = F.filter("comments_data", lambda c: c.isNotNull())
@@ -129,7 +129,7 @@ def p1_ingest(spark, sf):
     base = _tmp(spark, "raw-posts")
     # One folder per platform, written in one job.
     if not posts_json.write_posts_json(_raw_posts(spark, sf).withColumn("folder", F.col("platform")), base,
-                                       files=4, partition_by="folder"):
+                                       partition_by="folder"):
         raise RuntimeError(f"could not write raw posts to {base}")
     folders = {p: f"{base}/folder={p}" for p in ("ptt", "baha", "dcard")}
     out = ingest.run_many(spark, folders, _tmp(spark, "ingest-out"), output_type="both", year="2025")
@@ -169,7 +169,7 @@ def st1_incremental_ingest(spark, sf):
     second = raw.filter((F.col("_id") % 2 == 1) | (F.col("_id") % 3 == 0)).drop("_id")
     for i, part in enumerate([first, second, None]):
         if part is not None:
-            tmp = _write_raw(spark, part, files=2)
+            tmp = _write_raw(spark, part)
             src = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(tmp)
             fs = src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
             for st in fs.listStatus(src):

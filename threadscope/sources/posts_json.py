@@ -200,7 +200,8 @@ def _rename_json(spark: SparkSession, path: str) -> None:
 def write_posts_json(df: DataFrame, path: str, files: int | None = None, partition_by: str | None = None) -> bool:
     """S3: raw-post sink, one JSON array per file (UTF-8, not ASCII-escaped),
     overwriting ``path``. A failure is reported, not raised. Each output
-    file holds one partition's rows, so ``files`` bounds the file size.
+    file holds one partition's rows: as many files as the frame has
+    partitions, or ``files``.
 
     ``partition_by`` writes one sub-folder per value (``path/col=value``) in
     a single job; rows are spread over ``files`` buckets per value, so one
@@ -221,7 +222,7 @@ def write_json_arrays(j: DataFrame, path: str, files: int | None = None, partiti
         j = j.withColumn("_part", F.lit(None).cast("string"))
     try:
         if partition_by:
-            n = files or spark.sparkContext.defaultParallelism
+            n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
             j = j.repartition(n, "_part", F.pmod(F.xxhash64("j"), F.lit(n)))
         elif files:
             j = j.repartition(files)
