@@ -94,6 +94,12 @@ def _among(x: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
 
 
+def _runs(x: np.ndarray) -> list[tuple[int, int]]:
+    """Start and end of each run of equal numbers (0 or more)."""
+    cuts = np.flatnonzero(np.diff(x, prepend=-1)).tolist()
+    return list(zip(cuts, [*cuts[1:], len(x)], strict=True)) if cuts else []
+
+
 def _distinct(keys: list[np.ndarray], docs: np.ndarray | None = None):
     """Distinct keys (columns of uint64) in order; whether each occurs more than
     once (with other docs, if given); the least of its docs."""
@@ -103,7 +109,7 @@ def _distinct(keys: list[np.ndarray], docs: np.ndarray | None = None):
     if len(order):
         new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
     at = np.flatnonzero(new)
-    last = np.append(at[1:], len(order)) - 1
+    last = np.append(at[1:], len(order))[:len(at)] - 1
     if docs is None:
         return [k[at] for k in keys], last > at, None
     docs = docs[order]
@@ -114,9 +120,8 @@ def _deal(chunk: int, keys: list[np.ndarray], several: np.ndarray, docs: np.ndar
     """One row a bucket with the keys that belong there."""
     bucket = (keys[0] % _U(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
-    cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
     out: dict[str, list] = {"bucket": [], "chunk": [], "keys": [], "several": [], "docs": []}
-    for low, high in zip(cuts, np.append(cuts[1:], len(order)), strict=True):
+    for low, high in _runs(bucket[order]):
         own = order[low:high]
         out["bucket"].append(int(bucket[own[0]]))
         out["chunk"].append(chunk)
@@ -162,9 +167,8 @@ def _meet(width: int):
             least = np.where(several, first, np.iinfo(np.int64).min)[repeats]  # else any smaller id says the same
         keys, chunk = [k[repeats] for k in keys], chunk[repeats]
         by = np.argsort(chunk, kind="stable")
-        cuts = np.flatnonzero(np.diff(chunk[by], prepend=-1))
         out: dict[str, list] = {"chunk": [], "keys": [], "docs": []}
-        for low, high in zip(cuts, np.append(cuts[1:], len(by)), strict=True):
+        for low, high in _runs(chunk[by]):
             own = by[low:high]
             out["chunk"].append(int(chunk[own[0]]))
             out["keys"].append(np.concatenate([k[own] for k in keys]).tobytes())
