@@ -45,9 +45,9 @@ def test_repeats_are_cut(steps):
 
 
 def test_mixed_and_encoded(steps):
-    before = {(r.doc_id, r.text) for r in steps[3]}
-    assert {(r.doc_id, r.text) for r in steps[4]} <= before
-    assert max(Counter((r.doc_id, r.text) for r in steps[4]).values()) <= 2
+    before = Counter((r.doc_id, r.text) for r in steps[3])
+    mixed = Counter((r.doc_id, r.text) for r in steps[4])
+    assert all(n <= 2 * before[k] for k, n in mixed.items())  # a row at most twice
     library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     ids = lambda t: hashlib.sha256(",".join(map(str, library.encode(t or ""))).encode()).hexdigest()
     assert Counter((r.doc_id, r.ids_sha256) for r in steps[5]) == Counter((r.doc_id, ids(r.text)) for r in steps[4])
