@@ -1,4 +1,5 @@
 """Index against brute-force cosines; held-out accuracy on planted words."""
+import pickle
 import random
 import zlib
 
@@ -73,3 +74,39 @@ def test_index_is_exact():
 def test_terms():
     h, r = X.terms(pa.array(["Idiots! idiots", None, "", "ÉCOLE école"]))
     assert len(set(h[r == 0])) == 1 and len(set(h[r == 3])) == 1 and not (r == 1).any()
+
+
+def test_rare_words_count(spark):
+    """Each toxic text is marked by a word that few others have: it has neighbours all the same."""
+    rng = random.Random(4)
+    rows, labels = [], []
+    for i in range(600):
+        w, bad = words(rng, 30, 60), i % 4 == 0
+        if bad:
+            w += [f"slur{i // 4 % 25}x"] * 2
+        rows.append((i, " ".join(w), "en", "s", 1))
+        labels.append((i, 1, int(bad)))
+    docs = spark.createDataFrame(rows, DOCS)
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = X.fit(docs, table, train=~X.held_out(F.col("id")))
+    assert len(model.vocabulary) >= 80  # all words of the examples
+    got = X.score(docs, model).filter(X.held_out(F.col("doc_id"))).collect()
+    assert all(len(r.evidence) == 5 for r in got)
+    toxic = [r for r in got if r.doc_id % 4 == 0]
+    assert sum(r.predicted for r in toxic) / len(toxic) > 0.8
+    assert sum(r.predicted for r in got) - sum(r.predicted for r in toxic) <= 3
+
+
+def test_pickled_index():
+    rng = np.random.default_rng(5)
+    dense = np.round(rng.random((300, 90)) * (rng.random((300, 90)) < np.linspace(0.01, 0.5, 90)) * X.UNIT) / X.UNIT
+    row, term = np.nonzero(dense)
+    index = X.BlockMaxIndex(300, row, term, dense[row, term], 90)
+    again = pickle.loads(pickle.dumps(index))
+    assert 0 < len(index.matrix) < 90 and (again.matrix == index.matrix).all() and (again.weight == index.weight).all()
+    for q in dense[:40]:
+        t = np.flatnonzero(q)
+        (f, s), (g, u) = index.nearest(t, q[t], 7), again.nearest(t, q[t], 7)
+        truth = dense @ q
+        assert f.tolist() == g.tolist() == sorted(np.flatnonzero(truth > 0), key=lambda i: (-truth[i], i))[:7]
+        assert np.allclose(s, truth[f]) and (s == u).all()

@@ -1,15 +1,16 @@
 """Toxicity from the nearest labelled examples.
 
-A bounded sample of labelled texts gives a vocabulary (the terms that go most
-with one of the labels) and the examples. Terms are weighted by TF-IDF, with
-document frequencies counted over all texts. The examples' vectors go into an
-inverted index whose postings are grouped into blocks of neighbouring
-examples, with the largest weight of every (term, block). A text is compared
-block by block, the best bound first, until no block can reach its k-th
-nearest example, so the cosines are exact and most blocks are never read.
-The nearest examples vote with a weight that falls with their distance; a
-logistic curve, fitted on the examples' votes on each other, makes the share
-of toxic votes a probability.
+A bounded sample of labelled texts gives the examples, and all their terms the
+vocabulary. Terms are weighted by TF-IDF, with document frequencies counted
+over all texts, times how much the term goes with one of the labels among the
+examples; that factor has a floor above 0, so no term is left out. The
+examples' vectors go into an inverted index whose postings are grouped into
+blocks of neighbouring examples, with the largest weight of every (term,
+block); the products of the most common terms come from a dense matrix. A text
+is compared block by block, the best bound first, until no block can reach its
+k-th nearest example, so the cosines are exact. The nearest examples vote with
+a weight that falls with their distance; a logistic curve, fitted on the
+examples' votes on each other, makes the share of toxic votes a probability.
 """
 
 from __future__ import annotations
@@ -25,10 +26,14 @@ from threadscope.llm.common import free_name, mix, prepare, slices, span_hashes,
 
 #: Examples of each label (a documented bound of the fit).
 MAX_EXAMPLES = 4096
-#: Terms of the vocabulary at most.
-MAX_TERMS = 2048
 #: Examples of a block of postings.
 BLOCK = 64
+#: A term that one of so many examples has is common; terms at most that count as common.
+COMMON, MAX_COMMON = 16, 1024
+#: Texts whose common terms are multiplied at a time.
+TEXTS = 64
+#: Weights are multiples of 1 / UNIT.
+UNIT = 2.0 ** 25
 
 #: All bytes but ASCII letters, digits and those of longer characters end a word.
 _ENDS = np.ones(256, bool)
@@ -59,44 +64,86 @@ def _counts(hashes: np.ndarray, rows: np.ndarray, vocabulary: np.ndarray) -> tup
     return key // len(vocabulary), key % len(vocabulary), n
 
 
+def _runs(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... (n of them) of all runs, one after the other."""
+    return np.repeat(start - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(int(n.sum())) if len(n) else np.zeros(0, np.int64)
+
+
 class BlockMaxIndex:
-    """Vectors of the examples by term: postings in the order of the examples,
-    cut into blocks, and the largest weight of each term in each block."""
+    """Vectors of the examples by term: the common terms' as a matrix, and
+    postings of the others in the order of the examples, cut into blocks, with
+    the largest weight of each term in each block that it occurs in."""
 
     def __init__(self, examples: int, row: np.ndarray, term: np.ndarray, weight: np.ndarray, terms_n: int):
         self.n, self.blocks = examples, max(1, -(-examples // BLOCK))
+        df = np.bincount(term, minlength=terms_n)
+        common = np.argsort(-df, kind="stable")[:MAX_COMMON]
+        common = common[df[common] * COMMON >= max(examples, 1)]
+        self.place = np.full(terms_n, -1, np.int64)  # row of the matrix
+        self.place[common] = np.arange(len(common))
+        self.matrix = np.zeros((len(common), self.blocks * BLOCK))
+        often = self.place[term] >= 0
+        self.matrix[self.place[term[often]], row[often]] = weight[often]
+        row, term, weight = row[~often], term[~often], weight[~often]
         order = np.lexsort((row, term))
-        self.row, self.weight = row[order], weight[order]
+        self.row, self.weight = row[order].astype(np.int32), weight[order]
         cell = term[order] * self.blocks + self.row // BLOCK
-        self.cut = np.searchsorted(cell, np.arange(terms_n * self.blocks + 1))
-        self.top = np.zeros(terms_n * self.blocks)
-        np.maximum.at(self.top, cell, self.weight)
-        self.top = self.top.reshape(terms_n, self.blocks)
-
-    def _score(self, term: np.ndarray, weight: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Examples of the blocks that share a term, and their exact products."""
-        cells = (term[:, None] * self.blocks + blocks[None, :]).ravel()
-        low, n = self.cut[cells], self.cut[cells + 1] - self.cut[cells]
-        total = int(n.sum())
-        if not total:
-            return np.zeros(0, np.int64), np.zeros(0)
-        at = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(total)
-        part = self.weight[at] * np.repeat(np.repeat(weight, len(blocks)), n)
-        score = np.bincount(self.row[at], part, minlength=self.n)
-        found = np.flatnonzero(score)
-        return found, score[found]
-
-    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of the highest cosine above 0, ties to the smaller place."""
-        bound = weight @ self.top[term]
+        self.start = np.flatnonzero(np.append(True, cell[1:] != cell[:-1])[:len(cell)])
+        cells = cell[self.start]  # those that hold postings
+        self.size = np.diff(np.append(self.start, len(cell)))
+        self.top = np.maximum.reduceat(self.weight, self.start) if len(cells) else np.zeros(0)
+        self.block = cells % self.blocks
+        self.cut = np.searchsorted(cells, np.arange(terms_n + 1) * self.blocks)
+
+    def __reduce__(self):
+        """Pickled as postings alone, of two and four bytes where these suffice: a broadcast lies on every disk."""
+        terms_n = len(self.place)
+        often, row = np.nonzero(self.matrix)
+        term = np.concatenate([np.argsort(self.place, kind="stable")[terms_n - len(self.matrix):][often],
+                               np.repeat(np.repeat(np.arange(terms_n), np.diff(self.cut)), self.size)])
+        weight = np.concatenate([self.matrix[often, row], self.weight])
+        row = np.concatenate([row, self.row])
+        order = np.lexsort((row, term))
+        row, weight, n = row[order], weight[order], np.bincount(term, minlength=terms_n).astype(np.int32)
+        units = np.round(weight * UNIT)
+        if (units == weight * UNIT).all() and (units <= UNIT).all():
+            weight = units.astype(np.int32)
+        return _unpickled, (self.n, row.astype(np.uint16 if self.n <= 1 << 16 else np.int32), n, weight)
+
+    def common(self, row: np.ndarray, term: np.ndarray, weight: np.ndarray, texts: int) -> np.ndarray:
+        """Products of the texts with all examples over the common terms."""
+        often = self.place[term] >= 0
+        left = np.zeros((texts, len(self.matrix)))
+        left[row[often], self.place[term[often]]] = weight[often]
+        return left @ self.matrix
+
+    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, base: np.ndarray | None = None
+                ) -> tuple[np.ndarray, np.ndarray]:
+        """The k examples of the highest cosine above 0, ties to the smaller
+        place. ``base``: the row of ``common`` of this text."""
+        if base is None:
+            base = self.common(np.zeros(len(term), np.int64), term, weight, 1)[0]
+        low, n = self.cut[term], self.cut[term + 1] - self.cut[term]
+        cells, weight = _runs(low, n), np.repeat(weight, n)
+        block = self.block[cells]
+        bound = np.bincount(block, weight * self.top[cells], minlength=self.blocks) + base.reshape(-1, BLOCK).max(axis=1)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         found, score = np.zeros(0, np.int64), np.zeros(0)
         step = 4
         while len(order):
             now, order = order[:step], order[step:]
-            f, s = self._score(term, weight, now)
-            found, score = np.concatenate([found, f]), np.concatenate([score, s])
+            inside = np.zeros(self.blocks, bool)
+            inside[now] = True
+            chosen = np.flatnonzero(inside[block])
+            size = self.size[cells[chosen]]
+            at = _runs(self.start[cells[chosen]], size)
+            s = np.bincount(self.row[at], self.weight[at] * np.repeat(weight[chosen], size), minlength=len(base)) + base
+            f = np.flatnonzero(np.repeat(inside, BLOCK) & (s > 0))
+            found, score = np.concatenate([found, f]), np.concatenate([score, s[f]])
+            if len(found) > k:
+                high = np.flatnonzero(score >= np.partition(score, len(score) - k)[len(score) - k])
+                found, score = found[high], score[high]
             best = np.lexsort((found, -score))[:k]
             found, score = found[best], score[best]
             if len(found) == k:  # a block whose bound is the k-th score may hold a tie
@@ -104,12 +151,29 @@ class BlockMaxIndex:
             step *= 4
         return found, score
 
+    def search(self, row: np.ndarray, term: np.ndarray, weight: np.ndarray, texts: int, k: int):
+        """``nearest`` of each of the texts; entries by row."""
+        cut = np.searchsorted(row, np.arange(texts + 1))
+        for first in range(0, texts, TEXTS):
+            last = min(first + TEXTS, texts)
+            part = slice(cut[first], cut[last])
+            base = self.common(row[part] - first, term[part], weight[part], last - first)
+            for i in range(first, last):
+                own = slice(cut[i], cut[i + 1])
+                yield self.nearest(term[own], weight[own], k, base[i - first])
+
+
+def _unpickled(examples: int, row: np.ndarray, n: np.ndarray, weight: np.ndarray) -> BlockMaxIndex:
+    weight = weight / UNIT if weight.dtype == np.int32 else weight
+    return BlockMaxIndex(examples, row.astype(np.int64), np.repeat(np.arange(len(n)), n), weight, len(n))
+
 
 def _vectors(row, term, times, idf, rows_n):
-    """Sublinear TF-IDF weights of unit length."""
+    """Sublinear TF-IDF weights of unit length. They are multiples of 1 / UNIT,
+    so that sums of products are exact in any order: equal texts score alike."""
     weight = (1 + np.log(times)) * idf[term]
     length = np.sqrt(np.bincount(row, weight * weight, minlength=rows_n))
-    return weight / length[row]
+    return np.round(weight / length[row] * UNIT) / UNIT
 
 
 def _logit(p):
@@ -131,15 +195,8 @@ class Model:
         hashes, rows = terms(column)
         row, term, times = _counts(hashes, rows, self.vocabulary)
         weight = _vectors(row, term, times, self.idf, len(column)) if len(row) else np.zeros(0)
-        cut = np.searchsorted(row, np.arange(len(column) + 1))
-        out = []
-        for i in range(len(column)):
-            own = slice(cut[i], cut[i + 1])
-            found, cosine = np.zeros(0, np.int64), np.zeros(0)
-            if cut[i] < cut[i + 1]:
-                found, cosine = self.index.nearest(term[own], weight[own], self.k)
-            out.append((self.calibrated(self.vote(found, cosine)), self.ids[found].tolist(), cosine.tolist()))
-        return out
+        return [(self.calibrated(self.vote(found, cosine)), self.ids[found].tolist(), cosine.tolist())
+                for found, cosine in self.index.search(row, term, weight, len(column), self.k)]
 
     def calibrated(self, vote):
         return 1 / (1 + np.exp(-(self.slope * _logit(vote) + self.offset)))
@@ -147,15 +204,10 @@ class Model:
     def calibrate(self, row: np.ndarray, term: np.ndarray, weight: np.ndarray) -> None:
         """Logistic curve from the votes of each example's nearest other examples
         to its label, by Newton's steps with a small ridge that keeps it finite."""
-        cut, votes = np.searchsorted(row, np.arange(len(self.toxic) + 1)), []
-        for i in range(len(self.toxic)):
-            own = slice(cut[i], cut[i + 1])
-            found, cosine = np.zeros(0, np.int64), np.zeros(0)
-            if cut[i] < cut[i + 1]:
-                found, cosine = self.index.nearest(term[own], weight[own], self.k + 1)
-                other = np.flatnonzero(found != i)[:self.k]
-                found, cosine = found[other], cosine[other]
-            votes.append(self.vote(found, cosine))
+        votes = []
+        for i, (found, cosine) in enumerate(self.index.search(row, term, weight, len(self.toxic), self.k + 1)):
+            other = np.flatnonzero(found != i)[:self.k]
+            votes.append(self.vote(found[other], cosine[other]))
         x = np.stack([_logit(np.array(votes)), np.ones(len(votes))])
         at, start = np.array([1.0, 0.0]), np.array([1.0, 0.0])
         for _ in range(30):
@@ -179,14 +231,14 @@ def held_out(id_col: Column, folds: int = 5) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
-        train: Column | None = None, max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS, k: int = 7,
-        least_square: float = 30.0) -> Model:
+        train: Column | None = None, max_examples: int = MAX_EXAMPLES, k: int = 7, least: float = 0.03) -> Model:
     """Fit on the labelled rows of ``labels`` that ``train`` (a condition on its
     id) keeps. Of each label, the ``max_examples`` ids with the smallest hash
     of the id are examples; an id that is labelled more than once counts as
     toxic if any of its labels is, null labels do not count, and of several
     texts of one id the least is the example. Without any example, every text
-    scores 0.5.
+    scores 0.5. All terms of the examples are indexed; a term's weight is its
+    TF-IDF times its correlation (phi) with the label, but ``least`` at least.
     """
     spark = prepare(docs)
     known = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label}`").cast("int").alias("y"))
@@ -218,35 +270,37 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     seen = {r.y: r.n for r in examples.groupBy("y").agg(F.count("*").alias("n")).collect()}
     toxic_n, clean_n = seen.get(1, 0), seen.get(0, 0)
     counted = examples.select("id", "y", "text").mapInArrow(count_terms, "term long, toxic long, clean long")
-    counted = counted.groupBy("term").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b")).filter("a + b >= 3")
-    # Chi-square of (term, label) over the examples; those below ``least_square`` say little and are left out.
-    n, c, d = float(toxic_n + clean_n), toxic_n - F.col("a"), clean_n - F.col("b")
-    square = n * (F.col("a") * d - F.col("b") * c) ** 2 / (
-        F.lit(float(toxic_n * clean_n)) * (F.col("a") + F.col("b")) * (c + d))
-    best = (counted.filter((c + d) > 0).withColumn("square", square) if toxic_n and clean_n
-            else counted.limit(0).withColumn("square", F.lit(0.0)))
-    best = best.filter(F.col("square") >= least_square).orderBy(F.col("square").desc(), "term").limit(max_terms)
-    vocabulary = np.sort(np.array([r.term for r in best.collect()], np.int64).view(_U))
+    # One row a term: the texts of the examples bound them.
+    counted = counted.groupBy("term").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b")).toArrow()
+    vocabulary = counted["term"].to_numpy().view(_U)
+    order = np.argsort(vocabulary)
+    vocabulary, a, b = vocabulary[order], *(counted[c].to_numpy()[order].astype(float) for c in ("a", "b"))
+    # Phi of (term, label) over the examples; a term of all examples or none says nothing.
+    spread = toxic_n * clean_n * (a + b) * (toxic_n + clean_n - a - b)
+    phi = np.abs(a * (clean_n - b) - b * (toxic_n - a)) / np.sqrt(np.maximum(spread, 1.0))
+    held = spark.sparkContext.broadcast(vocabulary)
 
     def count_docs(batches):
-        n, df = 0, np.zeros(len(vocabulary), np.int64)
+        n, df = 0, np.zeros(len(held.value), np.int64)
         for batch in batches:
             n += batch.num_rows
             for part in slices(batch, "text"):
                 h, r = terms(part.column(0))
-                df += np.bincount(_counts(h, r, vocabulary)[1], minlength=len(vocabulary)) if len(vocabulary) else 0
-        yield pa.RecordBatch.from_pydict({"place": np.arange(-1, len(df)), "n": np.concatenate([[n], df])})
+                df += np.bincount(_counts(h, r, held.value)[1], minlength=len(df))
+        some = np.flatnonzero(df)
+        yield pa.RecordBatch.from_pydict({"place": np.append(-1, some), "n": np.append(n, df[some])})
 
     sums = (texts.select("text").mapInArrow(count_docs, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
-            .collect())  # one row a term
-    df = {r.place: r.n for r in sums}
-    idf = np.log((1 + df.get(-1, 0)) / (1 + np.array([df.get(i, 0) for i in range(len(vocabulary))], float))) + 1
+            .toArrow())  # one row a term
+    df = np.zeros(len(vocabulary) + 1, np.int64)  # the last: all texts
+    df[sums["place"].to_numpy()] = sums["n"].to_numpy()
+    idf = (np.log((1 + df[-1]) / (1.0 + df[:-1])) + 1) * (np.maximum(phi, least) if toxic_n and clean_n else 1.0)
 
     def vectors(batches):
         for batch in batches:
             for part in slices(batch, "text"):
                 h, r = terms(part.column(2))
-                row, term, times = _counts(h, r, vocabulary)
+                row, term, times = _counts(h, r, held.value)
                 cut = np.searchsorted(row, np.arange(part.num_rows + 1))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(term, pa.int32())),
@@ -254,7 +308,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
 
     kind = T.StructType([chosen.schema["id"], T.StructField("y", T.IntegerType()),
                          T.StructField("terms", T.ArrayType(T.IntegerType())), T.StructField("times", T.ArrayType(T.IntegerType()))])
-    # At most 2 * max_examples rows of at most max_terms entries.
+    # At most 2 * max_examples rows.
     rows = examples.select("id", "y", "text").mapInArrow(vectors, kind).orderBy("id").toArrow()
     lists = [rows[c].combine_chunks() for c in ("terms", "times")]
     row = np.repeat(np.arange(rows.num_rows), np.diff(lists[0].offsets.to_numpy()))
@@ -264,10 +318,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     toxic = rows["y"].to_numpy().astype(np.int64) if rows.num_rows else np.zeros(0, np.int64)
     share = np.where(toxic > 0, total.get(1, 0) / max(toxic_n, 1), total.get(0, 0) / max(clean_n, 1))
     share = share / share.min() if len(share) else share
-    # The prior is that of the texts that no example reaches.
+    # The prior is that of the texts that no example reaches: of such examples, and one of the mean of all.
     bare = np.bincount(row, minlength=rows.num_rows) == 0 if rows.num_rows else np.zeros(0, bool)
-    hits = float((share * toxic)[bare].sum())
-    prior = (hits + 0.5) / (float(share[bare].sum()) + 1.0)
+    mean = total.get(1, 0) / (total.get(1, 0) + total.get(0, 0)) if rows.num_rows else 0.5
+    prior = (float((share * toxic)[bare].sum()) + mean) / (float(share[bare].sum()) + 1.0)
     ids = rows["id"].to_numpy() if rows.num_rows else np.zeros(0, np.int64)
     model = Model(vocabulary, idf, index, ids, toxic, share, prior, k)
     if toxic_n and clean_n:
@@ -279,7 +333,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", evidence: int = 5)
     """``docs`` with score (0 to 1), predicted (1 from a score of 0.5 on),
     evidence (ids of the nearest examples) and evidence_cosine. Only the text
     is an input: equal texts have equal scores. Null and empty texts, and
-    those without a term of the vocabulary, have the score of such examples.
+    those without a term of any example, have the score of such examples.
     Columns of those names are replaced; all rows and other columns stay."""
     spark = prepare(docs)
     names = ["score", "predicted", "evidence", "evidence_cosine"]
