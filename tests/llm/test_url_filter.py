@@ -61,3 +61,26 @@ def test_entropy_and_no_python(spark):
     pages = spark.createDataFrame([(i, f"http://h.com/{'de' if i % 2 else 'fr'}/{i}", None, 0) for i in range(20)], PAGES)
     plan = U.filter_urls(pages, "url", RULES, trees=1)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_rare_label_and_hot_url(spark):
+    """3 blocked URLs among thousands, and one URL that a third of all rows repeat: both are fitted on, within the bound."""
+    rows = [(i, f"http://h{i}.org/a/{i}", None, 0) for i in range(4000)]
+    rows += [(i, "http://hot.org/hot", None, 0) for i in range(4000, 6000)]
+    rows += [(6000 + i, f"http://bad.com/de/{i}?" + "&".join("x=%20" * 9), None, 0) for i in range(3)]
+    rows += [(7000, "http://c.net/a/1", None, 0), (7001, "http://bad.net/de/7?" + "&".join("x=%20" * 9), None, 0)]
+    seen = []
+    fit = U.GBTClassifier.fit
+
+    def watched(self, examples):
+        seen.append(examples.agg(F.count("*").alias("n"), F.sum(F.col("label") * F.col("_weight")).alias("blocked"),
+                                 F.max("_weight").alias("top"), F.sum("_weight").alias("all")).first())
+        return fit(self, examples)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(U.GBTClassifier, "fit", watched)
+        got = U.filter_urls(spark.createDataFrame(rows, PAGES), "url", RULES, max_examples=200, trees=3).collect()
+    assert len(got) == len(rows)
+    assert 100 < seen[0].n <= 200 and seen[0].blocked == 3 and seen[0].top == 2000
+    assert 4500 < seen[0].all < 7500  # about the 6003 ruled rows
+    assert {r.page_id: r.verdict for r in got if r.rule is None} == {7000: "allow", 7001: "block"}

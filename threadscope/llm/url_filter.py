@@ -100,8 +100,8 @@ def _rates(labelled: DataFrame, key: str) -> DataFrame:
 
 
 def _with_rates(df: DataFrame, rates: dict[str, DataFrame], prior: float, strength: float, own: Column) -> DataFrame:
-    """Smoothed share of blocked URLs by suffix; ``own``: 1 where the row's own
-    label is among those counted, which is then left out."""
+    """Smoothed share of blocked URLs by suffix; ``own``: how many rows of the
+    row's own URL are among those counted, which are then left out."""
     for key, r in rates.items():
         df = df.join(r, key, "left")
         n = F.coalesce(F.col(f"{key}_n"), F.lit(0.0)) - own
@@ -118,11 +118,14 @@ def filter_urls(df: DataFrame, url: str, rules: dict[str, str], max_examples: in
     decides). Columns of those names are replaced; all rows are kept.
 
     The rule's verdict holds where a rule fits, otherwise the trees'. The trees
-    are fitted on a sample, drawn by a hash of the url, of about
-    ``max_examples`` of the URLs that rules decide (the bound that the fit
-    has; suffix statistics count all of them). Where no rule fits any url,
-    every verdict is ``allow``; where all rules that fit agree, that verdict
-    is everyone's. Null and empty urls have an empty host and path.
+    are fitted on a sample of the distinct URLs that rules decide (the bound
+    that the fit has; suffix statistics count all rows), of each label half of
+    ``max_examples`` at most, or more where the other label has fewer. A hash
+    of the url draws them in proportion to the rows that repeat them, the most
+    frequent ones always; an example weighs as many rows as it stands for.
+    Where no rule fits any url, every verdict is ``allow``; where all rules
+    that fit agree, that verdict is everyone's. Null and empty urls have an
+    empty host and path.
     """
     names = ["host", "path", "rule", "verdict", "blocked_score"]
     df = df.drop(*names)
@@ -143,16 +146,32 @@ def filter_urls(df: DataFrame, url: str, rules: dict[str, str], max_examples: in
     labelled = lexical(rows.filter("label is not null").select("_url", "host", "path", "label"), u, F.col("host"), F.col("path"))
     rates = {key: _rates(labelled, key) for key in ("domain", "first")}
     prior = blocked / n
-    share = min(1.0, max_examples / n)
-    drawn = F.pmod(F.xxhash64("_url", F.lit(seed)), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
-    examples = _with_rates(labelled.filter(drawn), rates, prior, strength, F.lit(1.0)).select("label", *FEATURES)
+    # A rule decides by the url, so equal URLs have one label.
+    urls = labelled.groupBy("_url", "label").agg(F.count("*").cast("double").alias("_n"))
+    have = {r.label: r.n for r in urls.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    room = {y: max(max_examples // 2, max_examples - have[1.0 - y]) for y in (0.0, 1.0)}
+    # Threshold sampling: rows / u, with u from 0 to 1 by hash, reaches the label's limit. Limits come from a histogram.
+    u_hash = (F.pmod(F.xxhash64("_url", F.lit(seed)), F.lit(1 << 30)) + 0.5) / float(1 << 30)
+    urls = urls.withColumn("_level", F.floor(F.log2(F.col("_n") / u_hash) * 64))
+    levels = urls.groupBy("label", "_level").agg(F.count("*").alias("n")).collect()  # 64 levels an octave
+    least = {}
+    for y in (0.0, 1.0):
+        taken, least[y] = 0, None
+        for level, size in sorted(((r._level, r.n) for r in levels if r.label == y), reverse=True):
+            if least[y] is not None and taken + size > room[y]:
+                break
+            taken, least[y] = taken + size, level
+        if taken == have[y]:
+            least[y] = 0  # all: each stands for its own rows
+    limit = F.when(F.col("label") > 0, least[1.0]).otherwise(least[0.0])
+    drawn = urls.filter(F.col("_level") >= limit)
+    weight = F.greatest("_n", F.pow(F.lit(2.0), limit / 64))
+    features = lexical(drawn.withColumns({"host": host_of(F.col("_url")), "path": path_of(F.col("_url"))}),
+                       F.col("_url"), F.col("host"), F.col("path"))
+    examples = _with_rates(features, rates, prior, strength, F.col("_n")).select("label", weight.alias("_weight"), *FEATURES)
     examples = examples.repartition(4).persist()
-    few = examples.agg(F.min("label"), F.max("label")).first()
-    if few[0] == few[1]:
-        examples.unpersist()
-        raise ValueError("the sample of examples holds one class only: raise max_examples")
     assemble = VectorAssembler(inputCols=FEATURES, outputCol="_features")
-    boosted = GBTClassifier(featuresCol="_features", labelCol="label", maxIter=trees, maxDepth=depth, stepSize=0.2,
+    boosted = GBTClassifier(featuresCol="_features", labelCol="label", weightCol="_weight", maxIter=trees, maxDepth=depth, stepSize=0.2,
                             seed=seed, predictionCol="_predicted")
     boosted = boosted.setRawPredictionCol("_raw").setProbabilityCol("_probability")
     model = PipelineModel([assemble, boosted.fit(assemble.transform(examples))])
