@@ -211,3 +211,21 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     nodes = e.select(F.col("u").alias("node"), F.col("v").alias("root"))
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return nodes.union(roots)
+
+
+# --- integer vectors ----------------------------------------------------------
+
+def integer_rows(df: DataFrame, vector: str, scale: float, **kept) -> DataFrame:
+    """The columns ``kept`` of the rows whose vector is not null and holds finite
+    components only, vec (floor(scale * x) of each component x as a double,
+    clamped to the long range) and dim (their number)."""
+    x = F.col(f"`{vector}`").cast("array<double>")
+    odd = F.coalesce(F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf"))), F.lit(True))
+    return df.filter(F.col(f"`{vector}`").isNotNull() & ~odd).select(
+        *(c.alias(name) for name, c in kept.items()),
+        F.transform(x, lambda c: F.floor(c * F.lit(float(scale))).cast("long")).alias("vec"), F.size(x).alias("dim"))
+
+
+def list_matrix(column: pa.Array, dim: int) -> np.ndarray:
+    """A list column without nulls, all of ``dim`` entries, as a matrix."""
+    return column.flatten().to_numpy().reshape(len(column), dim)

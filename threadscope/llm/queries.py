@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from threadscope.catalog import query
-from threadscope.llm import fingerprint, mixing, near_dedup, piece_codec, sharding, substring, toxicity, url_filter, vector_topk, warc
+from threadscope.llm import (
+    centroids,
+    fingerprint,
+    hard_negatives,
+    mixing,
+    near_dedup,
+    packing,
+    piece_codec,
+    sharding,
+    substring,
+    toxicity,
+    url_filter,
+    vector_topk,
+    warc,
+)
 from threadscope.llm.common import scratch, table
 
 
@@ -143,3 +157,76 @@ def op5_fingerprints(spark, sf):
 def op4_near_dedup(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return near_dedup.near_duplicates(docs).select("doc_id", "class_id", "class_size", "keep")
+
+
+_OP11_ROUND = """, a{i} AS MATERIALIZED (
+  SELECT rid, c, d FROM (
+    SELECT v.rid, k.c, list_sum(list_transform(range(1, 65), lambda i: (v.v[i] - k.v[i]) * (v.v[i] - k.v[i]))) AS d,
+           row_number() OVER (PARTITION BY v.rid ORDER BY d, k.c) AS r
+    FROM v JOIN c{i} k ON true)
+  WHERE r = 1
+)"""
+_OP11_MOVE = """, m{i} AS (
+  SELECT c, p, sum(x)::HUGEINT AS s, count(*)::HUGEINT AS n
+  FROM (SELECT a.c, unnest(v.v) AS x, unnest(range(1, 65)) AS p FROM a{i} a JOIN v USING (rid)) GROUP BY c, p
+), c{j} AS MATERIALIZED (
+  SELECT k.c, coalesce(n.v, k.v) AS v FROM c{i} k LEFT JOIN (
+    SELECT c, list(CAST((s - ((s % n + n) % n)) // n AS BIGINT) ORDER BY p) AS v FROM m{i} GROUP BY c) n USING (c)
+)"""
+_OP11_SQL = """
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id,
+         list_transform(embedding, lambda x: CAST(floor(1024.0::DOUBLE * x::DOUBLE) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h NULLS LAST, v) - 1 AS c, v
+  FROM (SELECT v, sha256('3:' || vec_id) AS h FROM v ORDER BY h NULLS LAST, v LIMIT 8)
+)""" + "".join(_OP11_ROUND.format(i=i) + _OP11_MOVE.format(i=i, j=i + 1) for i in range(10)) + _OP11_ROUND.format(i=10) + """
+SELECT v.vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+       CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(k.v, ',')) AS centroid_sha256
+FROM a10 JOIN v USING (rid) JOIN c10 k USING (c)
+"""
+
+
+@query("op11_centroids", sql=_OP11_SQL)
+def op11_centroids(spark, sf):
+    return centroids.cluster_vectors(table(spark, sf, "embeddings"), "vec_id", "embedding").drop("compared")
+
+
+@query("op12_packing")
+def op12_packing(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False,
+                                  extra=[("ids_crc32", F.crc32("ids"))])
+
+
+_OP13_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256.0::DOUBLE * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, c.label = a.label AS same, CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id AND len(c.v) = len(a.v)
+), p AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS r FROM s WHERE same)
+  WHERE r <= 5
+), n AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+
+@query("op13_hard_negatives", sql=_OP13_SQL)
+def op13_hard_negatives(spark, sf):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf, "embeddings"), "vec_id", "embedding", label, F.col("vec_id") % 100 == 0)
