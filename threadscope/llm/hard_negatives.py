@@ -129,8 +129,8 @@ def hard_negatives(df: DataFrame, id_col: str, vector: str, label: Column, is_an
     take no part. Rows alike in id, label and vector count once, and a row is
     neither positive nor negative of an anchor of its id; an id with several
     vectors is several anchors. Only vectors of one length are compared; those
-    of no components score 0. Scores are exact, one beyond the long range is
-    shown as its end. An empty table gives no rows. Other columns are not read.
+    of no components score 0. Scores are exact, one beyond the long range counts
+    as its end. An empty table gives no rows. Other columns are not read.
     """
     spark = prepare(df)
     rows = integer_rows(df, vector, scale, id=F.col(f"`{id_col}`").cast("long"), label=label, anchor=F.coalesce(is_anchor, F.lit(False)))
@@ -160,22 +160,22 @@ def hard_negatives(df: DataFrame, id_col: str, vector: str, label: Column, is_an
                     part = mine.slice(start, ANCHORS)
                     me = part["id"].to_numpy()
                     same = part["label"].to_numpy(zero_copy_only=False)[:, None] == labels
-                    out += visit(part, me, ids, same, me[:, None] != ids, scores(a[start:start + ANCHORS], b))
+                    score = scores(a[start:start + ANCHORS], b)
+                    score = score if score.dtype == np.int64 else np.clip(score, -LONG_MAX - 1, LONG_MAX)
+                    out += visit(part, me, ids, same, me[:, None] != ids, score)
             names = [f.split()[0] for f in schema.split(", ")]
             return pa.table({c: pa.array([r[i] for r in out], pa.int64()) for i, c in enumerate(names)})
 
         return left.groupBy(*grid).cogroup(every.withColumn("part", places(groups)).groupBy(*grid)).applyInArrow(run, schema)
 
-    clamp = lambda s: max(-LONG_MAX - 1, min(LONG_MAX, int(s)))
-
     def find_positives(part, me, ids, same, not_me, score):
         keys = part["key"].to_pylist()
-        return [(int(me[i]), keys[i], int(ids[x]), clamp(score[i, x]))
+        return [(int(me[i]), keys[i], int(ids[x]), int(score[i, x]))
                 for i, at in enumerate(positives_of(score, same & not_me, positives)) for x in at]
 
     def find_negatives(part, me, ids, same, not_me, score):
         keys, own, own_ids = part["key"].to_pylist(), part["scores"].to_pylist(), part["ids"].to_pylist()
-        return [(int(me[i]), keys[i], place, own_ids[i][place], own[i][place], int(ids[x]), clamp(score[i, x]))
+        return [(int(me[i]), keys[i], place, own_ids[i][place], own[i][place], int(ids[x]), int(score[i, x]))
                 for i, lists in enumerate(negatives_of(score, ~same & not_me, own, low, high, negatives))
                 for place, at in enumerate(lists) for x in at]
 
