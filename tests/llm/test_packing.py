@@ -93,11 +93,15 @@ def test_best_fit_many_at_a_time_equals_one_by_one():
 
 def test_words_encode_as_the_tokenizer():
     texts = ["", " \t\n", "Hello, World's  best 123 tests!?", "ΣΊΣΥΦΟΣ naïve éa ́x y z", "a\x1cb\x85c",
+             "≠ =\u0338 <\u0338x ÀÉß×÷ É́x .…. don't I'LLs ''s'x -'re 5²½ a1b2 İ. ǅ é… ÿ'd",
              "<|endoftext|> mid<|startoftext|>dle", "日本語 текст ☃☃ 'LL it's", "x" * 5000, "가 ᆨ", "a \x00 b", "…" * 50]
     tokenizer = Tokenizer.from_file(PATH)
+    words = P.Words(PATH)
+    rng = random.Random(12)
+    signs = "aé'sſKß1²<|=\u0338\u0301\u0327 \t\x1c\x85.…ÀİIT中"
+    texts += ["".join(rng.choice(signs) for _ in range(rng.randrange(40))) for _ in range(3000)]
     raw = [t.encode() for t in texts]
     at = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
-    words = P.Words(PATH)
     for _ in range(2):  # the second time from memory
         ids, cut = words.encode(np.frombuffer(b"".join(raw), np.uint8), at)
         for i, t in enumerate(texts):

@@ -21,54 +21,126 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from threadscope.llm.common import prepare, slices, stored, text_bytes
+from threadscope.llm.common import prepare, slices, span_hashes, stored, text_bytes
 
 #: Words whose ids a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 500_000
+#: Words that are encoded as one text.
+JOINED = 512
+
+# How the tokenizer divides ASCII text and the Latin-1 letters,
+# which normalisation leaves single letters. Classes of bytes: white space,
+# parts of a letter, digits (each a word of its own), and others.
+_SPACE, _LETTER, _DIGIT, _SIGN = range(4)
+_CLASS = np.full(256, _SIGN, np.int8)
+_CLASS[[0x20, *range(0x09, 0x0E)]] = _SPACE
+_CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B), 0xC3, *range(0x80, 0xC0)]] = _LETTER
+_CLASS[[*range(0x30, 0x3A)]] = _DIGIT
+#: After an apostrophe that begins a word, these letters end it.
+_ONE, _TWO = b"stmd", (b"re", b"ve", b"ll")
+#: What the last token of a word ends with.
+_END = "</w>"
 
 
 # --- tokens ------------------------------------------------------------------
 
+def split_words(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes with small ASCII letters, and start and end byte of each word, of
+    texts with the n + 1 offsets ``at``.
+
+    No rule of the tokenizer looks across white space, which it drops, so texts
+    fall into parts between ASCII white space. A part of ASCII and Latin-1
+    letters is divided as the tokenizer does it; a part with any other character
+    (or a multiplication or division sign, or what a special token starts with)
+    is one word, its letters as they are."""
+    n = len(raw)
+    kind = _CLASS[raw]
+    edge = np.zeros(n + 1, bool)
+    edge[at] = True
+    inside = kind != _SPACE
+    first = inside.copy()
+    first[1:] &= ~inside[:-1] | edge[1:n]
+    follows = np.append(raw[1:], 0)
+    odd = (raw == 0xC2) | (raw >= 0xC4) | (raw == 0xC3) & ((follows == 0x97) | (follows == 0xB7)) | (raw == 0x3C) & (follows == 0x7C)
+    part = np.cumsum(first) - 1  # of a byte inside a part
+    whole = np.zeros(int(first.sum()), bool)
+    whole[part[odd]] = True
+    simple = inside.copy()
+    simple[inside] = ~whole[part[inside]]
+    small = raw.copy()
+    small[simple & (raw >= 0x41) & (raw <= 0x5A)] += 0x20
+    begins = simple & (kind == _DIGIT)
+    begins[1:] |= simple[1:] & (kind[1:] != kind[:-1])
+    begins |= first
+    mark = np.flatnonzero(begins & simple & (raw == 0x27))
+    for letters in (*(bytes([c]) for c in _ONE), *_TWO):
+        here = mark[mark + len(letters) < n]
+        for i, c in enumerate(letters):
+            here = here[(small[here + 1 + i] == c) & ~edge[here + 1 + i]]
+        begins[here + 1] = False
+        after = here + 1 + len(letters)
+        after = after[after < n]
+        begins[after[simple[after]]] = True
+    stop = np.flatnonzero(np.append(begins | ~inside, True) | edge)
+    starts = np.flatnonzero(begins)
+    return small, starts, stop[np.searchsorted(stop, starts) + 1]
+
+
 class Words:
-    """Token ids of texts by the words between ASCII white space, each distinct
-    word encoded once. That is the encoding of the whole text for a tokenizer
-    whose words end at white space and that drops it: no rule of it looks
-    across white space, and no token or special token holds any."""
+    """Token ids of texts, each distinct word encoded once; words are told apart
+    by 64-bit hashes among those that are remembered."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.place: dict[bytes, int] = {}
-        self.flat: list[np.ndarray] = []
-        self.size: list[int] = []
-
-    def _learn(self, words: list[bytes]) -> None:
-        new = [w for w in dict.fromkeys(words) if w not in self.place]
-        for low in range(0, len(new), 4096):
-            some = new[low:low + 4096]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True):
-                self.place[w] = len(self.size)
-                self.flat.append(np.array(e.ids, np.uint32))
-                self.size.append(len(e.ids))
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if t.endswith(_END)]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.known, self.start, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+
+    def _encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+        return [np.array(e.ids, np.uint32) for e in found]
+
+    def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
+        ids, sizes = [self.flat], []
+        groups = [words[i:i + JOINED] for i in range(0, len(words), JOINED)]
+        for group, found in zip(groups, self._encode([b" ".join(g) for g in groups]), strict=True):
+            last = np.flatnonzero(self.ends[found])
+            if len(last) == len(group):  # one end for each word
+                ids.append(found)
+                sizes.append(np.diff(last, prepend=-1))
+            else:
+                each = self._encode(group)
+                ids += each
+                sizes.append([len(e) for e in each])
+        size = np.concatenate([np.zeros(0, np.int64), *sizes]).astype(np.int64)
+        start = len(self.flat) + np.cumsum(size) - size
+        self.flat = np.concatenate(ids)
+        known, start, size = (np.concatenate(x) for x in ((self.known, hashes), (self.start, start), (self.size, size)))
+        order = np.argsort(known)
+        self.known, self.start, self.size = known[order], start[order], size[order]
 
     def encode(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and the n + 1 offsets of the texts."""
-        if len(self.place) > REMEMBERED:
-            self.place, self.flat, self.size = {}, [], []
-        lists = [raw[at[i]:at[i + 1]].tobytes().split() for i in range(len(at) - 1)]
-        words = [w for some in lists for w in some]
-        self._learn(words)
-        place = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-        size = np.array(self.size, np.int64)
-        start = np.concatenate([[0], np.cumsum(size)])
-        flat = np.concatenate([*self.flat, np.zeros(0, np.uint32)]).astype(np.uint32)
-        self.flat = [flat]
-        n = size[place]
-        ends = np.concatenate([[0], np.cumsum(n)])
-        take = np.repeat(start[place] - ends[:-1], n) + np.arange(ends[-1])
-        cut = np.concatenate([[0], np.cumsum([len(some) for some in lists])]).astype(np.int64)
-        return flat[take], ends[cut]
+        if len(self.known) > REMEMBERED:
+            self.forget()
+        if not len(raw):
+            return np.zeros(0, np.uint32), np.zeros(len(at), np.int64)
+        small, starts, ends = split_words(raw, at)
+        hashes, first, place = np.unique(span_hashes(small, starts, ends), return_index=True, return_inverse=True)
+        new = ~np.isin(hashes, self.known, assume_unique=True)
+        if new.any():
+            self._learn(hashes[new], [small[a:b].tobytes() for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)])
+        found = np.searchsorted(self.known, hashes)
+        start, n = self.start[found][place], self.size[found][place]
+        total = np.concatenate([[0], np.cumsum(n)])
+        take = np.repeat(start - total[:-1], n) + np.arange(total[-1])
+        return self.flat[take], total[np.searchsorted(starts, at)]
 
 
 _words: dict[str, Words] = {}
