@@ -103,10 +103,31 @@ def test_pickled_index():
     row, term = np.nonzero(dense)
     index = X.BlockMaxIndex(300, row, term, dense[row, term], 90)
     again = pickle.loads(pickle.dumps(index))
-    assert 0 < len(index.matrix) < 90 and (again.matrix == index.matrix).all() and (again.weight == index.weight).all()
     for q in dense[:40]:
         t = np.flatnonzero(q)
         (f, s), (g, u) = index.nearest(t, q[t], 7), again.nearest(t, q[t], 7)
         truth = dense @ q
         assert f.tolist() == g.tolist() == sorted(np.flatnonzero(truth > 0), key=lambda i: (-truth[i], i))[:7]
         assert np.allclose(s, truth[f]) and (s == u).all()
+    assert 0 < index.matrix.shape[1] < 90 and (again.matrix == index.matrix).all() and (again.weight == index.weight).all()
+
+
+def test_blocks_are_left_out_and_batches_agree():
+    rng = np.random.default_rng(7)
+    kinds = rng.integers(0, 5, 2000)  # five kinds of texts, each with its own common terms
+    dense = np.zeros((2000, 300))
+    for i, kind in enumerate(kinds):
+        own = np.concatenate([rng.choice(40, 15, replace=False) + 40 * kind, 200 + rng.choice(100, 3, replace=False)])
+        dense[i, own] = rng.random(18)
+    dense = np.round(dense / np.sqrt((dense ** 2).sum(axis=1))[:, None] * X.UNIT) / X.UNIT
+    row, term = np.nonzero(dense)
+    index = X.BlockMaxIndex(2000, row, term, dense[row, term], 300)
+    texts = 700
+    row, term = np.nonzero(dense[:texts])
+    text, example, cosine = index.search(row, term, dense[row, term], texts, 6)
+    truth = dense[:texts] @ dense.T
+    for i in range(texts):
+        want = sorted(np.flatnonzero(truth[i] > 0), key=lambda j: (-truth[i, j], j))[:6]
+        assert example[text == i].tolist() == want and np.allclose(cosine[text == i], truth[i, want])
+    assert index.multiplied < index.met / 2
+    assert sorted(index.order) == list(range(2000))

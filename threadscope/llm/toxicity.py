@@ -4,13 +4,14 @@ A bounded sample of labelled texts gives the examples, and all their terms the
 vocabulary. Terms are weighted by TF-IDF, with document frequencies counted
 over all texts, times how much the term goes with one of the labels among the
 examples; that factor has a floor above 0, so no term is left out. The
-examples' vectors go into an inverted index whose postings are grouped into
-blocks of neighbouring examples, with the largest weight of every (term,
-block); the products of the most common terms come from a dense matrix. A text
-is compared block by block, the best bound first, until no block can reach its
-k-th nearest example, so the cosines are exact. The nearest examples vote with
-a weight that falls with their distance; a logistic curve, fitted on the
-examples' votes on each other, makes the share of toxic votes a probability.
+examples are ordered by likeness and cut into blocks. An inverted index holds
+the postings of the rarer terms, and of every common term the weights block by
+block with the largest of each block. A text's postings give every example its
+score over the rarer terms; that and the blocks' largest weights bound the
+score of each block, and only blocks that can hold one of the k nearest are
+multiplied, so the cosines are exact. The nearest examples vote with a weight
+that falls with their distance; a logistic curve, fitted on the examples'
+votes on each other, makes the share of toxic votes a probability.
 """
 
 from __future__ import annotations
@@ -26,12 +27,14 @@ from threadscope.llm.common import free_name, mix, prepare, slices, span_hashes,
 
 #: Examples of each label (a documented bound of the fit).
 MAX_EXAMPLES = 4096
-#: Examples of a block of postings.
+#: Examples of a block.
 BLOCK = 64
 #: A term that one of so many examples has is common; terms at most that count as common.
-COMMON, MAX_COMMON = 16, 1024
-#: Texts whose common terms are multiplied at a time.
-TEXTS = 64
+COMMON, MAX_COMMON = 32, 1024
+#: Terms by which the examples are ordered.
+HEAVY = 256
+#: Texts and postings that are scored at a time, and blocks of each text that are multiplied first.
+TEXTS, POSTINGS, FIRST = 128, 1 << 21, 3
 #: Weights are multiples of 1 / UNIT.
 UNIT = 2.0 ** 25
 
@@ -53,15 +56,43 @@ def terms(column: pa.Array, prefix: int = 6) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([whole, stems]), np.concatenate([row, row[longer]])
 
 
-def _counts(hashes: np.ndarray, rows: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, place in the sorted vocabulary, times) of the terms that are in it."""
-    if not len(vocabulary) or not len(hashes):
-        none = np.zeros(0, np.int64)
-        return none, none, none
-    found = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
-    hit = vocabulary[found] == hashes
-    key, n = np.unique(rows[hit] * len(vocabulary) + found[hit], return_counts=True)
-    return key // len(vocabulary), key % len(vocabulary), n
+class Vocabulary:
+    """Sorted hashes of the terms. The leading bits of a hash say where those that begin so lie."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes, self.first = hashes, None
+
+    def __len__(self):
+        return len(self.hashes)
+
+    def __reduce__(self):
+        return Vocabulary, (self.hashes,)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of each hash, -1 of those that are not in it."""
+        if self.first is None:
+            bits = max(1, int(len(self.hashes)).bit_length() + 1)
+            self.shift = _U(64 - bits)
+            self.first = np.searchsorted(self.hashes >> self.shift, np.arange((1 << bits) + 1, dtype=_U)).astype(np.int32)
+        bucket = (hashes >> self.shift).astype(np.int64)
+        place, found = self.first[bucket], np.full(len(hashes), -1, np.int64)
+        n, open_ones = self.first[bucket + 1] - place, np.arange(len(hashes))
+        while True:
+            some = n > 0
+            open_ones, place, n = open_ones[some], place[some], n[some]
+            if not len(open_ones):
+                return found
+            hit = self.hashes[place] == hashes[open_ones]
+            found[open_ones[hit]] = place[hit]
+            place, n = place + 1, np.where(hit, 0, n - 1)
+
+
+def _counts(hashes: np.ndarray, rows: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, place in the vocabulary, times) of the terms that are in it."""
+    found = vocabulary.find(hashes)
+    hit = found >= 0
+    key, n = np.unique(rows[hit] * max(len(vocabulary), 1) + found[hit], return_counts=True)
+    return key // max(len(vocabulary), 1), key % max(len(vocabulary), 1), n
 
 
 def _runs(start: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -69,103 +100,144 @@ def _runs(start: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(start - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(int(n.sum())) if len(n) else np.zeros(0, np.int64)
 
 
+def likeness(examples: int, row: np.ndarray, term: np.ndarray, weight: np.ndarray, terms_n: int) -> np.ndarray:
+    """An order of the examples in which those alike are near each other: halved
+    again and again along the direction in which their heaviest terms differ most."""
+    df = np.bincount(term, minlength=terms_n)
+    heavy = np.argsort(-df, kind="stable")[:HEAVY]
+    place = np.full(terms_n, -1, np.int32)
+    place[heavy] = np.arange(len(heavy))
+    at = np.flatnonzero(place[term] >= 0)
+    matrix = np.zeros((examples, len(heavy)), np.float32)
+    matrix[row[at], place[term[at]]] = weight[at]
+    order, todo = np.arange(examples), [(0, examples)]
+    while todo:
+        low, high = todo.pop()
+        if high - low <= BLOCK:
+            continue
+        own = matrix[order[low:high]]
+        own -= own.mean(axis=0)
+        direction = np.abs(own).sum(axis=0)
+        for _ in range(8):  # power iterations; any direction gives a right order
+            direction = own.T @ (own @ direction)
+            direction /= max(float(np.sqrt((direction * direction).sum())), 1e-20)
+        half = low + (-(-(high - low) // BLOCK) // 2) * BLOCK
+        order[low:high] = order[low:high][np.argsort(own @ direction, kind="stable")]
+        todo += [(low, half), (half, high)]
+    return order
+
+
 class BlockMaxIndex:
-    """Vectors of the examples by term: the common terms' as a matrix, and
-    postings of the others in the order of the examples, cut into blocks, with
-    the largest weight of each term in each block that it occurs in."""
+    """Vectors of the examples by term, with weights that are multiples of
+    1 / UNIT. ``order``: the example at each place of the blocks."""
 
-    def __init__(self, examples: int, row: np.ndarray, term: np.ndarray, weight: np.ndarray, terms_n: int):
-        self.n, self.blocks = examples, max(1, -(-examples // BLOCK))
+    def __init__(self, examples: int, row: np.ndarray, term: np.ndarray, weight: np.ndarray, terms_n: int,
+                 order: np.ndarray | None = None, kept: bool = True):
+        self.entries, self.kept = (examples, row, term, weight, terms_n), kept  # kept: to be pickled again
+        self.order = likeness(*self.entries) if order is None else order
+        self.built = False
+
+    def __reduce__(self):
+        """Pickled as postings alone, of two and four bytes where these suffice: a broadcast lies on every disk."""
+        examples, row, term, weight, terms_n = self.entries
+        by = np.lexsort((row, term))
+        units = np.round(weight[by] * UNIT)
+        exact = (units == weight[by] * UNIT).all() and (units <= UNIT).all()
+        return _unpickled, (examples, row[by].astype(np.uint16 if examples <= 1 << 16 else np.int32),
+                            np.bincount(term, minlength=terms_n).astype(np.int32), units.astype(np.int32) if exact else weight[by],
+                            self.order.astype(np.int32))
+
+    def _build(self) -> None:
+        examples, row, term, weight, terms_n = self.entries
+        self.blocks = max(1, -(-examples // BLOCK))
+        at = np.empty(examples, np.int32)
+        at[self.order] = np.arange(examples, dtype=np.int32)
         df = np.bincount(term, minlength=terms_n)
         common = np.argsort(-df, kind="stable")[:MAX_COMMON]
         common = common[df[common] * COMMON >= max(examples, 1)]
-        self.place = np.full(terms_n, -1, np.int64)  # row of the matrix
+        self.place = np.full(terms_n, -1, np.int32)  # row of the matrix
         self.place[common] = np.arange(len(common))
-        self.matrix = np.zeros((len(common), self.blocks * BLOCK))
         often = self.place[term] >= 0
-        self.matrix[self.place[term[often]], row[often]] = weight[often]
-        row, term, weight = row[~often], term[~often], weight[~often]
-        order = np.lexsort((row, term))
-        self.row, self.weight = row[order].astype(np.int32), weight[order]
-        cell = term[order] * self.blocks + self.row // BLOCK
-        self.start = np.flatnonzero(np.append(True, cell[1:] != cell[:-1])[:len(cell)])
-        cells = cell[self.start]  # those that hold postings
-        self.size = np.diff(np.append(self.start, len(cell)))
-        self.top = np.maximum.reduceat(self.weight, self.start) if len(cells) else np.zeros(0)
-        self.block = cells % self.blocks
-        self.cut = np.searchsorted(cells, np.arange(terms_n + 1) * self.blocks)
-
-    def __reduce__(self):
-        """Pickled as postings alone, of two and four bytes where these suffice: a broadcast lies on every disk."""
-        terms_n = len(self.place)
-        often, row = np.nonzero(self.matrix)
-        term = np.concatenate([np.argsort(self.place, kind="stable")[terms_n - len(self.matrix):][often],
-                               np.repeat(np.repeat(np.arange(terms_n), np.diff(self.cut)), self.size)])
-        weight = np.concatenate([self.matrix[often, row], self.weight])
-        row = np.concatenate([row, self.row])
-        order = np.lexsort((row, term))
-        row, weight, n = row[order], weight[order], np.bincount(term, minlength=terms_n).astype(np.int32)
-        units = np.round(weight * UNIT)
-        if (units == weight * UNIT).all() and (units <= UNIT).all():
-            weight = units.astype(np.int32)
-        return _unpickled, (self.n, row.astype(np.uint16 if self.n <= 1 << 16 else np.int32), n, weight)
-
-    def common(self, row: np.ndarray, term: np.ndarray, weight: np.ndarray, texts: int) -> np.ndarray:
-        """Products of the texts with all examples over the common terms."""
-        often = self.place[term] >= 0
-        left = np.zeros((texts, len(self.matrix)))
-        left[row[often], self.place[term[often]]] = weight[often]
-        return left @ self.matrix
-
-    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, base: np.ndarray | None = None
-                ) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of the highest cosine above 0, ties to the smaller
-        place. ``base``: the row of ``common`` of this text."""
-        if base is None:
-            base = self.common(np.zeros(len(term), np.int64), term, weight, 1)[0]
-        low, n = self.cut[term], self.cut[term + 1] - self.cut[term]
-        cells, weight = _runs(low, n), np.repeat(weight, n)
-        block = self.block[cells]
-        bound = np.bincount(block, weight * self.top[cells], minlength=self.blocks) + base.reshape(-1, BLOCK).max(axis=1)
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        found, score = np.zeros(0, np.int64), np.zeros(0)
-        step = 4
-        while len(order):
-            now, order = order[:step], order[step:]
-            inside = np.zeros(self.blocks, bool)
-            inside[now] = True
-            chosen = np.flatnonzero(inside[block])
-            size = self.size[cells[chosen]]
-            at = _runs(self.start[cells[chosen]], size)
-            s = np.bincount(self.row[at], self.weight[at] * np.repeat(weight[chosen], size), minlength=len(base)) + base
-            f = np.flatnonzero(np.repeat(inside, BLOCK) & (s > 0))
-            found, score = np.concatenate([found, f]), np.concatenate([score, s[f]])
-            if len(found) > k:
-                high = np.flatnonzero(score >= np.partition(score, len(score) - k)[len(score) - k])
-                found, score = found[high], score[high]
-            best = np.lexsort((found, -score))[:k]
-            found, score = found[best], score[best]
-            if len(found) == k:  # a block whose bound is the k-th score may hold a tie
-                order = order[bound[order] >= score[-1] - 1e-9]
-            step *= 4
-        return found, score
-
-    def search(self, row: np.ndarray, term: np.ndarray, weight: np.ndarray, texts: int, k: int):
-        """``nearest`` of each of the texts; entries by row."""
+        matrix = np.zeros((len(common), self.blocks * BLOCK))
+        matrix[self.place[term[often]], at[row[often]]] = weight[often]
+        matrix = matrix.reshape(len(common), self.blocks, BLOCK)
+        self.top = matrix.max(axis=2)
+        self.matrix = np.ascontiguousarray(matrix.transpose(1, 0, 2))
+        row, term, weight = at[row[~often]], term[~often], weight[~often]
+        by = np.lexsort((row, term))
+        self.row, self.weight = row[by], weight[by]
+        self.cut = np.searchsorted(term[by], np.arange(terms_n + 1))
+        self.built, self.multiplied, self.met = True, 0, 0
+        if not self.kept:
+            self.entries = None
+
+    def search(self, row: np.ndarray, term: np.ndarray, weight: np.ndarray, texts: int, k: int
+               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, example, cosine) of the k examples of the highest cosine above 0
+        of each text, ties to the smaller example; by text and falling cosine.
+        ``row``, ``term``, ``weight``: the texts' terms, by row."""
+        if not self.built:
+            self._build()
         cut = np.searchsorted(row, np.arange(texts + 1))
-        for first in range(0, texts, TEXTS):
-            last = min(first + TEXTS, texts)
+        postings = np.concatenate([[0], np.cumsum(np.where(self.place[term] < 0, self.cut[term + 1] - self.cut[term], 0))])[cut]
+        out, first = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))], 0
+        while first < texts:
+            last = min(first + TEXTS, texts, max(first + 1, int(np.searchsorted(postings, postings[first] + POSTINGS, "right")) - 1))
             part = slice(cut[first], cut[last])
-            base = self.common(row[part] - first, term[part], weight[part], last - first)
-            for i in range(first, last):
-                own = slice(cut[i], cut[i + 1])
-                yield self.nearest(term[own], weight[own], k, base[i - first])
-
+            i, e, s = self._nearest(row[part] - first, term[part], weight[part], last - first, k)
+            out.append((i + first, e, s))
+            first = last
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
-def _unpickled(examples: int, row: np.ndarray, n: np.ndarray, weight: np.ndarray) -> BlockMaxIndex:
+    def _nearest(self, row, term, weight, texts, k):
+        width = self.blocks * BLOCK
+        often = self.place[term] >= 0
+        left = np.zeros((texts, len(self.top)))
+        left[row[often], self.place[term[often]]] = weight[often]
+        row, term, weight = row[~often], term[~often], weight[~often]
+        n = self.cut[term + 1] - self.cut[term]
+        at = _runs(self.cut[term], n)
+        score = np.bincount(np.repeat(row * width, n) + self.row[at], np.repeat(weight, n) * self.weight[at], minlength=texts * width)
+        score = score.astype(np.float64, copy=False).reshape(texts, self.blocks, BLOCK)
+        bound = score.max(axis=2) + left @ self.top
+
+        def multiply(chosen: np.ndarray) -> None:
+            block, text = np.nonzero(chosen.T)
+            cut = np.searchsorted(block, np.arange(self.blocks + 1))
+            for b in np.flatnonzero(np.diff(cut)):
+                own = text[cut[b]:cut[b + 1]]
+                score[own, b] += left[own] @ self.matrix[b]
+
+        few = min(FIRST, self.blocks)
+        best = np.argpartition(-bound, few - 1, axis=1)[:, :few]
+        done = np.zeros((texts, self.blocks), bool)
+        np.put_along_axis(done, best, True, axis=1)
+        multiply(done)
+        seen = np.take_along_axis(score, best[:, :, None], axis=1).reshape(texts, -1)
+        kth = np.partition(seen, seen.shape[1] - k, axis=1)[:, seen.shape[1] - k] if seen.shape[1] >= k else np.zeros(texts)
+        # A block whose bound is the k-th score may hold a tie.
+        more = ~done & (bound > 0) & (bound >= kth[:, None] - 1e-9)
+        multiply(more)
+        done |= more
+        self.multiplied, self.met = self.multiplied + int(done.sum()), self.met + done.size
+        score[~done] = 0
+        flat = score.reshape(texts, width)
+        least = np.partition(flat, width - k, axis=1)[:, width - k] if width >= k else np.zeros(texts)
+        i, j = np.nonzero((flat >= least[:, None]) & (flat > 0))
+        example, cosine = self.order[j], flat[i, j]
+        by = np.lexsort((example, -cosine, i))
+        by = by[np.arange(len(by)) - np.searchsorted(i[by], i[by]) < k]
+        return i[by], example[by], cosine[by]
+
+    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """``search`` of a single text."""
+        return self.search(np.zeros(len(term), np.int64), term, weight, 1, k)[1:]
+
+
+def _unpickled(examples: int, row: np.ndarray, n: np.ndarray, weight: np.ndarray, order: np.ndarray) -> BlockMaxIndex:
     weight = weight / UNIT if weight.dtype == np.int32 else weight
-    return BlockMaxIndex(examples, row.astype(np.int64), np.repeat(np.arange(len(n)), n), weight, len(n))
+    return BlockMaxIndex(examples, row.astype(np.int32), np.repeat(np.arange(len(n), dtype=np.int32), n), weight, len(n),
+                         order.astype(np.int64), kept=False)
 
 
 def _vectors(row, term, times, idf, rows_n):
@@ -188,27 +260,34 @@ class Model:
         self.vocabulary, self.idf, self.index, self.ids = vocabulary, idf, index, ids
         # An example stands for as many labelled rows as its label has for each example.
         self.toxic, self.share, self.prior, self.k = toxic, share, prior, k
-        self.slope, self.offset = 1.0, 0.0
+        self.slope, self.offset, self.shared = 1.0, 0.0, None
+
+    def broadcast(self, spark):
+        """This model in the workers' memory, once for fit and scores, before it is calibrated."""
+        if self.shared is None:
+            self.shared = spark.sparkContext.broadcast(self)
+        return self.shared
+
+    def __getstate__(self):
+        return self.__dict__ | {"shared": None}
 
-    def score(self, column: pa.Array) -> list[tuple[float, list[int], list[float]]]:
-        """Score, and ids and cosines of the nearest examples, of each text."""
+    def nearest(self, column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, example, cosine) of the k nearest examples of each text."""
         hashes, rows = terms(column)
         row, term, times = _counts(hashes, rows, self.vocabulary)
         weight = _vectors(row, term, times, self.idf, len(column)) if len(row) else np.zeros(0)
-        return [(self.calibrated(self.vote(found, cosine)), self.ids[found].tolist(), cosine.tolist())
-                for found, cosine in self.index.search(row, term, weight, len(column), self.k)]
+        return self.index.search(row, term, weight, len(column), k)
 
-    def calibrated(self, vote):
-        return 1 / (1 + np.exp(-(self.slope * _logit(vote) + self.offset)))
+    def score(self, column: pa.Array, slope: float, offset: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The scores of the texts, and (row, example, cosine) of their nearest examples."""
+        row, example, cosine = self.nearest(column, self.k)
+        vote = self.vote(row, example, cosine, len(column))
+        return 1 / (1 + np.exp(-(slope * _logit(vote) + offset))), row, example, cosine
 
-    def calibrate(self, row: np.ndarray, term: np.ndarray, weight: np.ndarray) -> None:
+    def calibrate(self, votes: np.ndarray) -> None:
         """Logistic curve from the votes of each example's nearest other examples
         to its label, by Newton's steps with a small ridge that keeps it finite."""
-        votes = []
-        for i, (found, cosine) in enumerate(self.index.search(row, term, weight, len(self.toxic), self.k + 1)):
-            other = np.flatnonzero(found != i)[:self.k]
-            votes.append(self.vote(found[other], cosine[other]))
-        x = np.stack([_logit(np.array(votes)), np.ones(len(votes))])
+        x = np.stack([_logit(votes), np.ones(len(votes))])
         at, start = np.array([1.0, 0.0]), np.array([1.0, 0.0])
         for _ in range(30):
             p = 1 / (1 + np.exp(-np.clip(at @ x, -30, 30)))
@@ -217,12 +296,13 @@ class Model:
         if np.isfinite(at).all() and at[0] > 0.1:
             self.slope, self.offset = float(at[0]), float(at[1])
 
-    def vote(self, found: np.ndarray, cosine: np.ndarray) -> float:
-        """Share of toxic among the votes, before it is calibrated. A vote weighs cosine / (distance + 0.1)
+    def vote(self, row: np.ndarray, example: np.ndarray, cosine: np.ndarray, texts: int) -> np.ndarray:
+        """Shares of toxic among the votes, before they are calibrated. A vote weighs cosine / (distance + 0.1)
         times the example's share; one vote of the prior keeps scores of few or
         far examples near it."""
-        votes = self.share[found] * cosine / (1.1 - np.minimum(cosine, 1.0))
-        return float((votes[self.toxic[found] > 0].sum() + self.prior) / (votes.sum() + 1.0))
+        votes = self.share[example] * cosine / (1.1 - np.minimum(cosine, 1.0))
+        toxic = np.bincount(row, votes * (self.toxic[example] > 0), minlength=texts)
+        return (toxic + self.prior) / (np.bincount(row, votes, minlength=texts) + 1.0)
 
 
 def held_out(id_col: Column, folds: int = 5) -> Column:
@@ -278,6 +358,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     # Phi of (term, label) over the examples; a term of all examples or none says nothing.
     spread = toxic_n * clean_n * (a + b) * (toxic_n + clean_n - a - b)
     phi = np.abs(a * (clean_n - b) - b * (toxic_n - a)) / np.sqrt(np.maximum(spread, 1.0))
+    vocabulary = Vocabulary(vocabulary)
     held = spark.sparkContext.broadcast(vocabulary)
 
     def count_docs(batches):
@@ -302,19 +383,22 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
                 h, r = terms(part.column(2))
                 row, term, times = _counts(h, r, held.value)
                 cut = np.searchsorted(row, np.arange(part.num_rows + 1))
+                units = np.round(_vectors(row, term, times, held_idf.value, part.num_rows) * UNIT).astype(np.int32) if len(row) else np.zeros(0, np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(term, pa.int32())),
-                     pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(times, pa.int32()))], ["id", "y", "terms", "times"])
+                     pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(units, pa.int32()))], ["id", "y", "terms", "units"])
 
     kind = T.StructType([chosen.schema["id"], T.StructField("y", T.IntegerType()),
-                         T.StructField("terms", T.ArrayType(T.IntegerType())), T.StructField("times", T.ArrayType(T.IntegerType()))])
+                         T.StructField("terms", T.ArrayType(T.IntegerType())), T.StructField("units", T.ArrayType(T.IntegerType()))])
+    held_idf = spark.sparkContext.broadcast(idf)
     # At most 2 * max_examples rows.
-    rows = examples.select("id", "y", "text").mapInArrow(vectors, kind).orderBy("id").toArrow()
-    lists = [rows[c].combine_chunks() for c in ("terms", "times")]
-    row = np.repeat(np.arange(rows.num_rows), np.diff(lists[0].offsets.to_numpy()))
-    term, times = (x.flatten().to_numpy().astype(np.int64) for x in lists)
-    weight = _vectors(row, term, times, idf, rows.num_rows) if len(row) else np.zeros(0)
-    index = BlockMaxIndex(rows.num_rows, row, term, weight, len(vocabulary))
+    rows = examples.select("id", "y", "text").mapInArrow(vectors, kind).toArrow().sort_by("id").combine_chunks()
+    held.destroy()
+    held_idf.destroy()
+    n = np.diff(rows["terms"].combine_chunks().offsets.to_numpy()) if rows.num_rows else np.zeros(0, np.int64)
+    row = np.repeat(np.arange(rows.num_rows, dtype=np.int32), n)
+    term, units = (rows[c].combine_chunks().flatten().to_numpy() for c in ("terms", "units"))
+    index = BlockMaxIndex(rows.num_rows, row, term, units / UNIT, len(vocabulary))
     toxic = rows["y"].to_numpy().astype(np.int64) if rows.num_rows else np.zeros(0, np.int64)
     share = np.where(toxic > 0, total.get(1, 0) / max(toxic_n, 1), total.get(0, 0) / max(clean_n, 1))
     share = share / share.min() if len(share) else share
@@ -324,8 +408,26 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     prior = (float((share * toxic)[bare].sum()) + mean) / (float(share[bare].sum()) + 1.0)
     ids = rows["id"].to_numpy() if rows.num_rows else np.zeros(0, np.int64)
     model = Model(vocabulary, idf, index, ids, toxic, share, prior, k)
+    del rows, row, term, units
     if toxic_n and clean_n:
-        model.calibrate(row, term, weight)
+        known_model = model.broadcast(spark)
+
+        def votes(batches):
+            model = known_model.value
+            where = {i: at for at, i in enumerate(model.ids.tolist())}
+            for batch in batches:
+                for part in slices(batch, "text"):
+                    me = np.array([where[i] for i in part.column(0).to_pylist()])
+                    row, example, cosine = model.nearest(part.column(1), k + 1)
+                    other = example != me[row]  # the nearest k without the example itself
+                    row, example, cosine = row[other], example[other], cosine[other]
+                    first = np.arange(len(row)) - np.searchsorted(row, row) < k
+                    yield pa.RecordBatch.from_pydict({"at": me, "vote": model.vote(row[first], example[first], cosine[first], len(me))})
+
+        # At most 2 * max_examples numbers.
+        found = examples.select("id", "text").repartition("id").mapInArrow(votes, "at long, vote double").toArrow()
+        order = np.argsort(found["at"].to_numpy())
+        model.calibrate(found["vote"].to_numpy()[order])
     return model
 
 
@@ -338,7 +440,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", evidence: int = 5)
     spark = prepare(docs)
     names = ["score", "predicted", "evidence", "evidence_cosine"]
     docs = docs.drop(*(c for c in names if c != text))
-    held = spark.sparkContext.broadcast(model)  # of bounded size, see fit
+    held, slope, offset = model.broadcast(spark), model.slope, model.offset  # of bounded size, see fit
     source = free_name(docs, "_source")
     fields = list(docs.schema.fields)
     docs = docs.withColumn(source, F.col(f"`{text}`").cast("string"))
@@ -349,12 +451,13 @@ def score(docs: DataFrame, model: Model, text: str = "text", evidence: int = 5)
     def run(batches):
         for batch in batches:
             for part in slices(batch, source):
-                found = held.value.score(part.column(part.num_columns - 1))
+                found, row, example, cosine = held.value.score(part.column(part.num_columns - 1), slope, offset)
+                shown = np.arange(len(row)) - np.searchsorted(row, row) < evidence
+                cut = pa.array(np.searchsorted(row[shown], np.arange(part.num_rows + 1)), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array([f[0] for f in found], pa.float64()),
-                     pa.array([int(f[0] >= 0.5) for f in found], pa.int32()),
-                     pa.array([f[1][:evidence] for f in found], pa.list_(pa.int64())),
-                     pa.array([f[2][:evidence] for f in found], pa.list_(pa.float64()))],
+                    [*part.columns[:-1], pa.array(found), pa.array((found >= 0.5).astype(np.int32)),
+                     pa.ListArray.from_arrays(cut, pa.array(held.value.ids[example[shown]], pa.int64())),
+                     pa.ListArray.from_arrays(cut, pa.array(cosine[shown]))],
                     [*part.schema.names[:-1], *names])
 
     return docs.mapInArrow(run, schema)
