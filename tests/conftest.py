@@ -19,4 +19,4 @@ def spark():
 
 def rows(df, *cols):
     cols = cols or df.columns
-    return [tuple(r[c] for c in cols) for r in df.collect()]
+    return [tuple(r) for r in df.select(*cols).collect()]

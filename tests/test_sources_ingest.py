@@ -98,18 +98,23 @@ def test_run_many_cleans_platform_folders_in_one_job(spark, raw_folder, tmp_path
 
 
 def test_incremental_ingest_idempotent(spark, raw_folder, tmp_path):
-    from threadscope.streaming.incremental import start_ingest
+    from threadscope.streaming.incremental import start_ingest, stored_posts
     out, ck = str(tmp_path / "inc"), str(tmp_path / "ck")
+    assert stored_posts(spark, out).count() == 0
     start_ingest(spark, raw_folder, out, ck).awaitTermination()
-    n_posts = spark.read.parquet(f"{out}/posts").count()
+    first = sorted(rows(stored_posts(spark, out), "post_id", "author", "content"))
     n_comments = spark.read.parquet(f"{out}/comments").count()
-    assert n_posts == 2 and n_comments == 5          # comments of the duplicate post are appended
-    start_ingest(spark, raw_folder, out, ck).awaitTermination()          # nothing new
-    assert spark.read.parquet(f"{out}/posts").count() == 2
-    _write(raw_folder, "c.json", [POSTS[1], dict(POSTS[1], author="new")])
+    assert len(first) == 2 and n_comments == 5          # comments of the duplicate post are appended
+    start_ingest(spark, raw_folder, out, ck).awaitTermination()          # a restart with nothing new
+    assert sorted(rows(stored_posts(spark, out), "post_id", "author", "content")) == first
+    _write(raw_folder, "c.json", [dict(POSTS[1], content="changed"), dict(POSTS[1], author="new")])
+    _write(raw_folder, "d.json", [dict(POSTS[1], author="new", content="later in the same batch")])
     start_ingest(spark, raw_folder, out, ck).awaitTermination()
-    assert spark.read.parquet(f"{out}/posts").count() == 3
-    assert spark.read.parquet(f"{out}/comments").count() == 7
+    posts = stored_posts(spark, out)
+    assert set(first) < set(rows(posts, "post_id", "author", "content"))   # the first content of an id stays
+    assert rows(posts.filter("author = 'new'"), "content", "batch_id") == [(POSTS[1]["content"], 1)]
+    comments = rows(spark.read.parquet(f"{out}/comments"), "post_id", "comment")
+    assert len(comments) == 8 and {i for i, _ in comments} == {r[0] for r in rows(posts, "post_id")}
 
 
 def test_array_file_beyond_the_variant_limit(spark, tmp_path):
@@ -125,16 +130,42 @@ def test_array_file_beyond_the_variant_limit(spark, tmp_path):
     assert sorted(rows(df), key=lambda r: r[1]) == [(f"a{i}", i, 1 << 20) for i in range(140)]
 
 
-def test_array_elements_and_unreadable_files(spark, tmp_path):
+def test_unread_files_are_listed(spark, tmp_path):
     texts = {"ok": ' [ {"a": "]"} , 7, null, {"b": [1, {"c": 2}]}\n] ', "empty": "[]", "cut": '[{"a": 1}', "object": '{"a": 1}',
              "tail": "[] x", "comma": "[{},]", "deep": "[" * 100_000}
-    found = {k: posts_json.array_elements(t) for k, t in texts.items()}
-    assert [(p, texts["ok"][a:b]) for p, a, b in found["ok"]] == [(0, '{"a": "]"}'), (3, '{"b": [1, {"c": 2}]}')]
-    assert found["empty"] == [] and all(found[k] is None for k in ("cut", "object", "tail", "comma", "deep"))
     for k, t in texts.items():
         (tmp_path / f"{k}.json").write_text(t)
-    bad = {r.file_path.rsplit("/", 1)[1] for r in posts_json.unreadable_files(spark, str(tmp_path)).collect()}
-    assert bad == {"cut.json", "object.json", "tail.json", "comma.json", "deep.json"}
+    assert sorted(rows(posts_json.read_posts_json(spark, str(tmp_path)), "pos")) == [(0,), (3,)]
+    bad = {r.file_path.rsplit("/", 1)[1]: r.reason for r in posts_json.unread(spark, str(tmp_path)).collect()}
+    assert set(bad) == {"cut.json", "object.json", "tail.json", "comma.json", "deep.json"} and all(bad.values())
+
+
+OPEN = [{"platform": "PTT", "title": "t", "score": 3, "meta": {"lang": "zh", "deep": {"n": 1.5}}, "tags": ["a", 1], "pos": "own",
+         "odd'key": True, "mixed": 1, "comments_data": [{"comment": "c1", "floor": 1, "meta": {"lang": "en"}, "score": "x"}, "no record",
+                                                         {"comment": "c2", "by": {"id": 7}}]},
+        {"platform": "PTT", "title": "u", "score": None, "mixed": {"a": 1}, "comments_data": []}]
+
+
+def test_keys_that_nobody_declared_become_columns(spark, tmp_path):
+    _write(str(tmp_path / "raw"), "a.json", OPEN)
+    raw = posts_json.read_posts_json(spark, str(tmp_path / "raw"), records=True)
+    long = posts_json.posts_with_comments(raw)
+    got = sorted((r.asDict() for r in long.collect()), key=lambda r: (r["title"], r["comment_pos"] or 0))
+    assert [(r["title"], r["comment_pos"], r["comment"]) for r in got] == [("t", 0, "c1"), ("t", 1, None), ("t", 2, "c2"), ("u", None, None)]
+    first = got[0]
+    assert (first["score"], first["meta.lang"], first["meta.deep.n"], first["tags"], first["_pos"], first["odd'key"], first["mixed"]) == (
+        3, "zh", 1.5, '["a",1]', "own", True, "1")
+    assert (first["floor"], first["comment.meta.lang"], first["comment.score"], first["by.id"], got[2]["by.id"]) == (1, "en", "x", None, 7)
+    assert got[3]["mixed"] == '{"a":1}' and got[3]["score"] is None
+    with pytest.raises(ValueError):
+        from threadscope.sources.open_fields import discover
+        discover(raw, "record", most=3)
+    # The ingest job exports them too.
+    whole = [dict(p, post_time="2025-03-04", comments_data=[{"comment": "a comment that is long", "floor": 4}]) for p in OPEN]
+    _write(str(tmp_path / "baha"), "a.json", whole)
+    out = ingest.run(spark, "baha", str(tmp_path / "baha"), str(tmp_path / "o"))
+    csv = tables.read_csv(spark, out["csv"])
+    assert sorted(rows(csv, "title", "`meta.deep.n`", "floor")) == [("t", "1.5", "4"), ("u", None, "4")]
 
 
 def test_export_and_views_of_crawled_names(spark, raw_folder, tmp_path):

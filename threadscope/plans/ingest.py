@@ -17,28 +17,37 @@ from threadscope.operators import cleaning as C
 from threadscope.operators import relational as R
 from threadscope.session import ensure_checkpoint_dir
 from threadscope.sources import posts_json, tables
+from threadscope.sources.open_fields import project
 
 log = logging.getLogger(__name__)
 
+#: Columns that the long export adds to the posts'.
+LONG_COLS = ("comment_pos", *posts_json.COMMENT_KEYS)
 POST_COLS = ["platform", "post_time", "author", "title", "content", "total_reac", "comment_count"]
 
 
 def split_posts_comments(raw: DataFrame, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Bronze posts (one row each) and their comments (one row per comment
     object, keyed by ``post_key`` and array position ``pos``; ``keep``
-    names post columns the comments carry along)."""
-    posts = raw.drop("comments_data")
-    exploded = raw.select("post_key", *keep, F.posexplode("comments_data").alias("pos", "c"))
-    comments = exploded.filter(F.col("c").isNotNull()).select(
-        "post_key", *keep, "pos", "c.comment_tag", "c.comment_author", "c.comment")
-    return posts, comments
+    names post columns the comments carry along). Where ``raw`` holds whole
+    records, their other keys become columns of posts and comments."""
+    exploded = raw.select("post_key", *keep, F.posexplode("comments_data").alias("pos", "c")).filter(F.col("c").isNotNull())
+    own = ["post_key", *keep, "pos", "c.comment_tag", "c.comment_author", "c.comment"]
+    if "record" not in raw.columns:
+        return raw.drop("comments_data"), exploded.select(*own)
+    of_posts, of_comments = posts_json.open_keys(raw)
+    columns = [c for c in raw.columns if c not in ("comments_data", "record")]
+    posts = raw.select(*columns, *project(F.col("record"), of_posts, [*columns, "post_id", *LONG_COLS]).values())
+    taken = [*posts.columns, "post_id", *LONG_COLS]
+    return posts, exploded.select(*own, *project(F.col("c.record"), of_comments, taken, "comment.").values())
 
 
 def tabulate(posts: DataFrame, comments: DataFrame, key: str = "post_key") -> DataFrame:
     """The long export: post columns repeated per comment; a post without
     comments keeps one row with NULL comment fields."""
     p = R.with_required_columns(posts, [c for c in POST_COLS])
-    c = comments.select(key, F.col("pos").alias("comment_pos"), "comment_author", "comment")
+    more = [c for c in comments.columns if c not in (key, "pos", *posts_json.COMMENT_KEYS, FOLDER_COL)]
+    c = comments.select(key, F.col("pos").alias("comment_pos"), "comment_author", "comment", *(f"`{c}`" for c in more))
     out = p.join(c, key, "left")
     return R.ensure_comment_columns(out)
 
@@ -69,7 +78,7 @@ def _read_folders(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
     """Raw posts of every platform folder, tagged with the configured
     platform name in ``FOLDER_COL`` (cleaning dispatches on it; the data
     keeps the platform value the crawler wrote)."""
-    frames = [posts_json.read_posts_json(spark, folder).withColumn(FOLDER_COL, F.lit(platform.lower()))
+    frames = [posts_json.read_posts_json(spark, folder, records=True).withColumn(FOLDER_COL, F.lit(platform.lower()))
               for platform, folder in folders.items()]
     return R.union_all(frames)
 

@@ -2,28 +2,28 @@
 
 A raw file holds one JSON array of post objects (the crawler format). The
 reader keeps the reference's tolerance: a file that does not parse, or does
-not hold an array at the top level, is skipped (``unreadable_files`` lists
-those); array elements that are not objects are skipped; a missing folder is
-skipped with a warning. A file's array is first cut into its elements, then
-each element is parsed as a VARIANT: a VARIANT holds 128 MiB at most, which a
-whole file may exceed. One odd element so never nulls its neighbours (a typed
-``from_json`` would null the whole array), and the JSON type of ``total_reac``
-(number vs string) is kept for the PTT repair rule.
+not hold an array at the top level, is skipped (``unread`` lists what is
+skipped, and why); array elements that are not objects are skipped; a missing
+folder is skipped with a warning. Files are cut into elements by byte ranges
+(``json_arrays``), then each element is parsed as a VARIANT. One odd element so
+never nulls its neighbours (a typed ``from_json`` would null the whole array),
+the JSON type of ``total_reac`` (number vs string) is kept for the PTT repair
+rule, and keys that nobody declared stay (``open_fields``).
 """
 
 from __future__ import annotations
 
-import json
 import logging
-import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from threadscope.sources.json_arrays import array_elements
+from threadscope.sources.open_fields import Field, discover, project
+
 log = logging.getLogger(__name__)
 
 COMMENT_TYPE = T.StructType([
@@ -47,80 +47,43 @@ def _s(v: Column, key: str) -> Column:
     return F.try_variant_get(v, f"$.{key}", "string")
 
 
-_SPACE = re.compile(r"[ \t\n\r]*")
-#: Characters of elements that are sent on at a time.
-_CHARS = 8 << 20
+#: Keys of a post and of a comment that the columns hold.
+POST_KEYS = [*POST_FIELDS_STRING, "total_reac", "comment_count", "like", "unlike", "comments_data"]
+COMMENT_KEYS = COMMENT_TYPE.names
 
 
-def array_elements(text: str) -> list[tuple[int, int, int]] | None:
-    """(position, start, end) of the objects in a JSON array; None if the text
-    is not one whole JSON array."""
-    scan, at = json.JSONDecoder().raw_decode, _SPACE.match(text).end()
-    if text[at:at + 1] != "[":
-        return None
-    found, pos, at = [], 0, _SPACE.match(text, at + 1).end()
-    try:
-        while text[at:at + 1] != "]":
-            if pos:
-                if text[at:at + 1] != ",":
-                    return None
-                at = _SPACE.match(text, at + 1).end()
-            end = scan(text, at)[1]
-            if text[at] == "{":
-                found.append((pos, at, end))
-            pos, at = pos + 1, _SPACE.match(text, end).end()
-    except (ValueError, RecursionError):
-        return None
-    return found if not text[at + 1:].strip(" \t\n\r") else None
-
-
-def _split_arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Whole files -> one row an element (pos null: a file that is no JSON array)."""
-    def rows(path, held):
-        return pa.RecordBatch.from_arrays([pa.array([path] * len(held), pa.string()), pa.array([h[0] for h in held], pa.int32()),
-                                           pa.array([h[1] for h in held], pa.string())], ["file_path", "pos", "value"])
-
-    for batch in batches:
-        for i in range(batch.num_rows):
-            path, text = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-            elements = None if text is None else array_elements(text)
-            if elements is None:
-                yield rows(path, [(None, None)])
-                continue
-            held, size = [], 0
-            for pos, start, end in elements:
-                held.append((pos, text[start:end]))
-                size += end - start
-                if size >= _CHARS:
-                    yield rows(path, held)
-                    held, size = [], 0
-            if held:
-                yield rows(path, held)
-
-
-def _elements_of(files: DataFrame, value_col: str, path_col: str) -> DataFrame:
-    return files.select(F.col(path_col).alias("file_path"), F.col(value_col).alias("value")) \
-        .mapInArrow(_split_arrays, "file_path string, pos int, value string")
-
-
-def unreadable_files(spark: SparkSession, folders: Sequence[str] | str, glob: str = "*.json") -> DataFrame:
-    """``file_path`` of the files that the reader skips: they do not parse, or
-    hold no array."""
-    return _elements_of(read_text_files(spark, folders, glob), "value", "file_path") \
-        .filter("pos is null").select("file_path")
-
-
-def parse_posts(files: DataFrame, value_col: str = "value", path_col: str = "file_path") -> DataFrame:
-    """Files ``(file_path, value)`` -> one row per post object.
+def existing_folders(spark: SparkSession, folders: Sequence[str] | str) -> list[str]:
+    """Those of the folders that exist; the others are warned about."""
+    found = []
+    for f in [folders] if isinstance(folders, str) else list(folders):
+        if path_exists(spark, f):
+            found.append(f)
+        else:
+            log.warning("folder not found, skipped: %s", f)
+    return found
+
+
+def unread(spark: SparkSession, folders: Sequence[str] | str, glob: str = "*.json") -> DataFrame:
+    """(file_path, pos, reason) of what the reader skips though it is, or should
+    be, a record: whole files (pos null), and records too large to hold."""
+    paths = existing_folders(spark, folders)
+    if not paths:
+        return spark.createDataFrame([], "file_path string, pos long, reason string")
+    return array_elements(spark, paths, glob)[1]
+
+
+def parse_posts(elements: DataFrame, records: bool = False) -> DataFrame:
+    """Elements ``(file_path, pos, value)`` -> one row per post object.
 
     Output: ``file_path``, ``pos`` (position in the file), ``ingest_seq``
     (struct of both: the ingest order), ``post_key`` (string form of it),
     the post fields as strings, ``total_reac_is_string``, ``comment_count``,
     ``like``, ``unlike`` and ``comments_data`` (array of comment structs;
     a non-object element becomes a NULL struct, a non-array value NULL).
+    ``records``: whole posts and comments too, as VARIANT column ``record``
+    and VARIANT field ``record`` of the comments.
     """
-    recs = _elements_of(files, value_col, path_col).filter("pos is not null") \
-        .select("file_path", "pos", F.try_parse_json("value").alias("_r")) \
+    recs = elements.select("file_path", F.col("pos").cast("int").alias("pos"), F.try_parse_json("value").alias("_r")) \
         .filter(F.schema_of_variant("_r").startswith("OBJECT"))
     r = F.col("_r")
     reac = F.try_variant_get(r, "$.total_reac", "variant")
@@ -130,7 +93,7 @@ def parse_posts(files: DataFrame, value_col: str = "value", path_col: str = "fil
     comment_struct = F.transform(comments_arr, lambda c: F.when(
         F.schema_of_variant(c).startswith("OBJECT"),
         F.struct(_s(c, "comment_tag").alias("comment_tag"), _s(c, "comment_author").alias("comment_author"),
-                 _s(c, "comment").alias("comment"))))
+                 _s(c, "comment").alias("comment"), *([c.alias("record")] if records else []))))
     out = recs.select(
         "file_path", "pos",
         F.struct("file_path", "pos").alias("ingest_seq"),
@@ -142,31 +105,37 @@ def parse_posts(files: DataFrame, value_col: str = "value", path_col: str = "fil
         F.try_variant_get(r, "$.comment_count", "bigint").alias("comment_count"),
         F.try_variant_get(r, "$.like", "bigint").alias("like"),
         F.try_variant_get(r, "$.unlike", "bigint").alias("unlike"),
-        comment_struct.cast(T.ArrayType(COMMENT_TYPE)).alias("comments_data"),
+        (comment_struct if records else comment_struct.cast(T.ArrayType(COMMENT_TYPE))).alias("comments_data"),
+        *([r.alias("record")] if records else []),
     )
     return out
 
 
-def read_text_files(spark: SparkSession, folders: Sequence[str] | str, glob: str = "*.json") -> DataFrame:
-    """Whole files directly inside each existing folder as ``(file_path, value)``."""
-    folders = [folders] if isinstance(folders, str) else list(folders)
-    existing = []
-    for f in folders:
-        if path_exists(spark, f):
-            existing.append(f)
-        else:
-            log.warning("folder not found, skipped: %s", f)
-    if not existing:
-        return spark.createDataFrame([], "file_path string, value string")
-    # ``text()`` has its own wholetext argument (default False) that would
-    # override an option, so it is passed there.
-    raw = spark.read.option("pathGlobFilter", glob).text(existing, wholetext=True)
-    return raw.select(F.col("_metadata.file_path").alias("file_path"), "value")
+def read_posts_json(spark: SparkSession, folders: Sequence[str] | str, glob: str = "*.json", records: bool = False) -> DataFrame:
+    """Every ``*.json`` file directly in the folder(s), see ``parse_posts``."""
+    paths = existing_folders(spark, folders)
+    if not paths:
+        return parse_posts(spark.createDataFrame([], "file_path string, pos long, value string"), records)
+    return parse_posts(array_elements(spark, paths, glob)[0], records)
+
+
+def posts_with_comments(raw: DataFrame) -> DataFrame:
+    """Posts read with ``records``, one row a comment (a post without comments:
+    one row of nulls), with all their keys: the declared columns, and a column
+    for every other key of a post or a comment, nested ones joined with dots.
+    A comment's key that a post has too gets ``comment.`` in front."""
+    of_posts, of_comments = open_keys(raw)
+    own = [c for c in raw.columns if c not in ("comments_data", "record")]
+    more = project(F.col("record"), of_posts, [*own, "comment_pos", *COMMENT_KEYS])
+    rows = raw.select(*own, *more.values(), F.posexplode_outer("comments_data").alias("comment_pos", "_c"))
+    of_comment = project(F.col("_c.record"), of_comments, [*rows.columns, *COMMENT_KEYS], "comment.")
+    return rows.select(*(f"`{c}`" for c in rows.columns if c != "_c"), *(F.col(f"_c.{c}").alias(c) for c in COMMENT_KEYS), *of_comment.values())
 
 
-def read_posts_json(spark: SparkSession, folders: Sequence[str] | str, glob: str = "*.json") -> DataFrame:
-    """Every ``*.json`` file directly in the folder(s)."""
-    return parse_posts(read_text_files(spark, folders, glob))
+def open_keys(raw: DataFrame) -> tuple[list[Field], list[Field]]:
+    """The keys of posts and of comments that no column holds (``raw``: read with ``records``)."""
+    comments = raw.select(F.explode("comments_data").alias("c")).select(F.col("c.record").alias("record"))
+    return discover(raw, "record", POST_KEYS), discover(comments, "record", COMMENT_KEYS)
 
 
 def _to_array_text(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
