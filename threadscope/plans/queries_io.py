@@ -53,23 +53,41 @@ def _write_raw(spark, df) -> str:
     return path
 
 
-# --- S1 / S2 / S3 ---------------------------------------------------------
-
-@query("s1_posts_json_roundtrip", sql=with_fx(f"""
-SELECT platform, post_time, author, title, content, total_reac, comment_count,
-       comment_count AS n_comments, 'doc-' || doc_id AS post_url
-FROM {_SQL_COUNTS}""", "fx_posts", "fx_comments"))
+# --- S1 / S2 / S3 / R3 / R4 -----------------------------------------------
+
+@query("s1_posts_json_roundtrip", sql=with_fx("""
+SELECT 'doc-' || p.doc_id AS post_url, p.platform, p.post_time, p.author, p.title, p.content, p.total_reac,
+       p.doc_id AS source_id, d.lang AS "origin.lang", d.n_chars AS "origin.size.chars",
+       CAST(c.pos AS BIGINT) AS comment_pos, c.comment_tag, c.comment_author, c.comment,
+       CAST(c.pos AS BIGINT) AS floor, CAST(length(c.comment) AS BIGINT) AS "meta.chars"
+FROM fx_posts p JOIN documents d ON d.doc_id = p.doc_id LEFT JOIN (
+  SELECT *, row_number() OVER (PARTITION BY post_key ORDER BY pos) - 1 AS n FROM fx_comments) c ON c.post_key = p.doc_id""", "fx_posts", "fx_comments"))
 def s1_posts_json_roundtrip(spark, sf):
-    path = _write_raw(spark, _raw_posts(spark, sf))
+    """Raw posts with keys that nobody declared, flat and nested ones, in posts
+    and in comments, written and read back whole: one row a comment."""
+    docs = fx.read_table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
+    raw = fx.fx_nested_posts(spark, sf).join(docs, "doc_id")
+    comments = F.transform("comments_data", lambda c, i: F.struct(
+        c["comment_tag"].alias("comment_tag"), c["comment_author"].alias("comment_author"), c["comment"].alias("comment"),
+        i.alias("floor"), F.struct(F.length(c["comment"]).alias("chars")).alias("meta")))
+    raw = raw.select(*_POST_OUT, comments.alias("comments_data"), F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("post_url"),
+                     F.col("doc_id").alias("source_id"),
+                     F.struct("lang", F.struct(F.col("n_chars").alias("chars")).alias("size")).alias("origin"))
+    path = _write_raw(spark, raw)
     # A missing folder next to the real one is skipped with a warning.
-    raw = posts_json.read_posts_json(spark, [path, path + "-missing"])
-    return raw.select(*_POST_OUT, F.size("comments_data").cast("bigint").alias("n_comments"), "post_url")
+    long = posts_json.posts_with_comments(posts_json.read_posts_json(spark, [path, path + "-missing"], records=True))
+    known = {c: F.col(f"`{c}`") if c in long.columns else F.lit(None) for c in ("origin.lang", "origin.size.chars", "floor", "meta.chars")}
+    return long.select("post_url", *[c for c in _POST_OUT if c != "comment_count"], F.col("source_id").cast("bigint").alias("source_id"),
+                       known["origin.lang"].cast("string").alias("origin.lang"), known["origin.size.chars"].cast("bigint").alias("origin.size.chars"),
+                       F.col("comment_pos").cast("bigint").alias("comment_pos"), *posts_json.COMMENT_KEYS,
+                       known["floor"].cast("bigint").alias("floor"), known["meta.chars"].cast("bigint").alias("meta.chars"))
 
 
 # --- C11 -------------------------------------------------------------------
 
-@query("c11_skip_non_records", sql=with_fx(f"""
-SELECT 'doc-' || doc_id AS post_url, comment_count AS n_comments FROM {_SQL_COUNTS}""", "fx_posts", "fx_comments"))
+@query("c11_skip_non_records", sql=with_fx("""
+SELECT 'doc-' || p.doc_id AS post_url, p.title, p.content, p.total_reac, c.comment_tag, c.comment_author, c.comment
+FROM fx_posts p LEFT JOIN fx_comments c ON c.post_key = p.doc_id""", "fx_posts", "fx_comments"))
 def c11_skip_non_records(spark, sf):
     """Raw files whose arrays also hold numbers, strings and nulls, and
     whose comment lists start with a non-record on every fourth post: the
@@ -90,23 +108,32 @@ def c11_skip_non_records(spark, sf):
         raise RuntimeError(f"could not write raw posts to {path}")
     back = posts_json.read_posts_json(spark, path)
     kept = F.filter("comments_data", lambda c: c.isNotNull())
-    return back.select("post_url", F.size(kept).cast("bigint").alias("n_comments"))
+    return back.select("post_url", "title", "content", "total_reac", F.explode_outer(kept).alias("c")).select(
+        "post_url", "title", "content", "total_reac", "c.*")
 
 
 # --- S7 / S8 ----------------------------------------------------------------
 
-_SQL_TABLES = with_fx(f"""
-, posts AS (SELECT DISTINCT {_SQL_POST_ID} AS post_id, platform, post_time, author,
-                   substr(title, 1, 10) AS title10 FROM fx_posts),
-comments AS (SELECT {_SQL_POST_ID_OF.format(t='p.')} AS post_id, c.comment FROM fx_comments c JOIN fx_posts p ON c.post_key = p.doc_id)
-SELECT p.platform, p.post_time, p.author, p.title10, c.comment
+#: The first of the posts of an id, in ``from`` order, and the comments of all of them.
+_SQL_STORED = """
+, given AS ({given}),
+posts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY post_id ORDER BY nth, doc_id) AS r FROM given) WHERE r = 1),
+comments AS (SELECT g.post_id, c.comment_author, c.comment FROM given g JOIN fx_comments c ON c.post_key = g.doc_id)
+"""
+_SQL_TABLES = with_fx(_SQL_STORED.format(given=f"SELECT {_SQL_POST_ID} AS post_id, 0 AS nth, * FROM fx_posts") + """
+SELECT p.platform, p.post_time, p.author, p.title, p.content, TRY_CAST(p.total_reac AS INTEGER) AS total_reac, c.comment_author, c.comment
 FROM comments c LEFT JOIN posts p ON c.post_id = p.post_id
-WHERE c.comment IS NOT NULL AND c.comment != ''""", "fx_posts", "fx_comments").replace("\n\n, posts AS", ",\nposts AS", 1)
+WHERE c.comment IS NOT NULL AND c.comment != ''""", "fx_posts", "fx_comments").replace("\n\n, given AS", ",\ngiven AS", 1)
+
+
+def _in_order(df):
+    """The posts by their id, so that files and positions are in this order."""
+    return df.withColumn("_id", F.regexp_extract("post_url", r"(\d+)$", 1).cast("bigint")).orderBy("_id").drop("_id")
 
 
 @query("s8_sql_over_tables", sql=_SQL_TABLES)
 def s8_sql_over_tables(spark, sf):
-    raw = posts_json.read_posts_json(spark, _write_raw(spark, _raw_posts(spark, sf)))
+    raw = posts_json.read_posts_json(spark, _write_raw(spark, _in_order(_raw_posts(spark, sf))))
     posts, comments = ingest.split_posts_comments(raw)
     pt, ct = ingest.build_tables(posts, comments)
     base = _tmp(spark, "tables")
@@ -114,7 +141,7 @@ def s8_sql_over_tables(spark, sf):
     platforms = ["ptt", "baha", "dcard"]
     tables.register_platform_views(spark, base, platforms)
     sql = "\nUNION ALL\n".join(f"""
-        SELECT p.platform, p.post_time, p.author, substr(p.title, 1, 10) AS title10, c.comment
+        SELECT p.platform, p.post_time, p.author, p.title, p.content, p.total_reac, c.comment_author, c.comment
         FROM {pl}_comments c LEFT JOIN {pl}_posts p ON c.post_id = p.post_id
         WHERE c.comment IS NOT NULL AND c.comment != ''""" for pl in platforms)
     return tables.run_sql(spark, sql)                              # S8
@@ -157,28 +184,39 @@ def p3_keyword_export(spark, sf):
 
 # --- ST1 --------------------------------------------------------------------------
 
-@query("st1_incremental_ingest", sql=with_fx(f"""
-SELECT DISTINCT {_SQL_POST_ID} AS post_id, platform, post_time, author, substr(title, 1, 10) AS title10
-FROM fx_posts""", "fx_posts"))
+_SQL_ST1 = with_fx(_SQL_STORED.format(given=f"""
+  SELECT {_SQL_POST_ID} AS post_id, 0 AS nth, * FROM fx_posts WHERE doc_id % 2 = 0
+  UNION ALL SELECT {_SQL_POST_ID} AS post_id, 1 AS nth, * REPLACE (CASE WHEN doc_id % 2 = 0 THEN content || ' changed' ELSE content END AS content)
+  FROM fx_posts WHERE doc_id % 2 = 1 OR doc_id % 3 = 0""") + """
+SELECT p.post_id, p.platform, p.post_time, p.author, p.title, p.content, p.total_reac, p.nth AS batch_id, c.comment_author, c.comment
+FROM posts p LEFT JOIN comments c ON c.post_id = p.post_id""", "fx_posts", "fx_comments").replace("\n\n, given AS", ",\ngiven AS", 1)
+
+
+@query("st1_incremental_ingest", sql=_SQL_ST1)
 def st1_incremental_ingest(spark, sf):
-    from threadscope.streaming.incremental import start_ingest
+    """Two drops of raw files and a run without new ones. The second drop repeats
+    a third of the first one's posts with other contents: those posts stay as
+    they were, and their comments are appended. Stored posts with all stored
+    comments."""
+    from threadscope.streaming.incremental import start_ingest, stored_posts
     raw = _raw_posts(spark, sf).withColumn("_id", F.regexp_extract("post_url", r"(\d+)$", 1).cast("bigint"))
     folder, out, ckpt = _tmp(spark, "stream-in"), _tmp(spark, "stream-out"), _tmp(spark, "stream-ckpt")
-    first = raw.filter(F.col("_id") % 2 == 0).drop("_id")
-    # The second drop repeats a third of the first one: those posts must be ignored.
-    second = raw.filter((F.col("_id") % 2 == 1) | (F.col("_id") % 3 == 0)).drop("_id")
+    first = raw.filter(F.col("_id") % 2 == 0)
+    second = raw.filter((F.col("_id") % 2 == 1) | (F.col("_id") % 3 == 0)).withColumn(
+        "content", F.when(F.col("_id") % 2 == 0, F.concat("content", F.lit(" changed"))).otherwise(F.col("content")))
     for i, part in enumerate([first, second, None]):
         if part is not None:
-            tmp = _write_raw(spark, part)
+            tmp = _write_raw(spark, _in_order(part).drop("_id"))
             src = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(tmp)
             fs = src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            fs.mkdirs(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder))
             for st in fs.listStatus(src):
                 name = st.getPath().getName()
                 if name.endswith(".json"):
                     fs.rename(st.getPath(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
                         folder, f"drop{i}-{name}"))
         start_ingest(spark, folder, out, checkpoint=ckpt).awaitTermination()
-    posts = spark.read.parquet(f"{out}/posts")
-    return posts.select(post_id(F.col("platform"), F.col("post_time"), F.col("author"), F.col("title"))
-                        .alias("post_id"), "platform", "post_time", "author",
-                        F.substring("title", 1, 10).alias("title10"))
+    posts, comments = stored_posts(spark, out).drop("comment_count"), spark.read.parquet(f"{out}/comments")
+    return posts.join(comments.select("post_id", "comment_author", "comment"), "post_id", "left").select(
+        "post_id", "platform", "post_time", "author", "title", "content", "total_reac", F.col("batch_id").cast("int").alias("batch_id"),
+        "comment_author", "comment")
