@@ -63,8 +63,10 @@ def test_train_score_and_loss_history(spark):
         pct = [float(x) for x in re.findall(r":([0-9.]+)%", r.confidence_matrix)]
         assert len(pct) == 3 and abs(sum(pct) - 100) < 0.05
         assert pct[r.predict_label] == max(pct)
-    hist = M.loss_history(M.objective_history(model, spark)).collect()
+    hist = M.loss_history(M.training_log(model, spark)).collect()
     assert len(hist) >= 2 and hist[-1].loss <= hist[0].loss
+    assert len(hist) == M.training_log(model, spark).count() - 1  # the entry without losses goes
+    assert all(r.loss and r.eval_loss for r in hist) and min(r.eval_loss for r in hist) == hist[model.best_epoch - 1].eval_loss == model.eval_loss
 
 
 def test_percent_matches_python_formatting(spark):
@@ -95,6 +97,28 @@ def test_whole_texts_count_and_input_text_stays(spark):
     got = M.score_comments(model, df.withColumn("comment", F.col("text")).withColumn("text", F.lit("own"))).collect()
     assert all(r.predict_label == r.label and r.text == "own" for r in got)
     assert model.eval_loss is not None
-    assert M.objective_history(model, spark).filter("eval_loss is not null").count() == 1
+    assert M.training_log(model, spark).filter("eval_loss is not null").count() == len(model.log) - 1
     again = M.train_sentiment(df.repartition(7))
     assert again.eval_loss == pytest.approx(model.eval_loss, rel=1e-6)
+
+
+def test_validation_rows_of_every_label(spark):
+    rows = [(f"t{i}", i % 2) for i in range(40)] + [("only", 2)] * 3 + [("a", 3), ("b", 3), ("b", 3)]
+    for seed in range(6):
+        df = spark.createDataFrame(rows, "text string, label int")
+        train, valid = M.validation_side(df, "label", F.xxhash64("text", F.lit(seed)), 0.2)
+        train, valid = [tuple(r) for r in train.collect()], [tuple(r) for r in valid.collect()]
+        assert {y for _, y in train} == {y for _, y in valid} == {0, 1, 2, 3}
+        assert set(train) & set(valid) == {("only", 2)}  # copies of one text are alike
+        assert sorted(train + valid) == sorted(rows + [("only", 2)] * 3)
+
+
+def test_evaluation_rows_choose_the_epoch(spark):
+    train = spark.createDataFrame([(f"w{i % 7} w{i % 5}", i % 2) for i in range(60)], "text string, label int")
+    other = spark.createDataFrame([(f"w{i % 7}", (i + 1) % 2) for i in range(20)], "text string, label int")
+    model = M.train_sentiment(train, evaluation=other, epochs=5, iterations=1, patience=1)
+    losses = [r[2] for r in model.log[:-1]]
+    assert model.eval_loss == min(losses) and model.log[-1][1:] == (None, None)
+    assert len(losses) <= model.best_epoch + 1
+    none = M.train_sentiment(train, evaluation=other.limit(0), epochs=2, iterations=2)
+    assert none.eval_loss is None and none.best_epoch == len(none.log) - 1

@@ -3,14 +3,14 @@
 The reference fine-tunes a transformer on one machine; that loop is not
 data work and is re-aimed as a distributed ``pyspark.ml`` pipeline
 (tokenize -> hashed term frequencies of the whole text -> IDF ->
-multinomial logistic regression, best of a small grid by log loss on a
-validation split). Everything around it — splits, softmax / argmax, the confidence
+multinomial logistic regression, the epoch of the lowest evaluation loss). Everything around it — splits, softmax / argmax, the confidence
 string, metrics, confusion matrix, error analysis — is native and has SQL
 oracles.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from threadscope.operators import relational as R
 
+log = logging.getLogger(__name__)
+
 # The three sentiment classes and their display names.
 CLASSES = [0, 1, 2]          # 0 negative, 1 neutral, 2 positive
 CLASS_NAMES = ["負", "中", "正"]
@@ -126,57 +128,80 @@ def build_pipeline(text_col: str = MODEL_TEXT, label_col: str = "label", num_fea
     return Pipeline(stages=[tok, tf, idf, lr]), lr
 
 
-def _kept(data: DataFrame, partitions: int | None) -> DataFrame:
-    """``data``, persisted, in so many partitions (None: as it comes). Each
-    iteration of the optimiser ships a gradient of all features and classes
-    from each partition, so a small training set goes into a few."""
-    return (data if partitions is None else data.coalesce(partitions)).persist()
-
-
-def fit_pipeline(pipe, train: DataFrame, partitions: int | None = None):
-    """Fit a pipeline over the training rows, computed once and kept for its passes."""
-    data = _kept(train, partitions)
-    try:
-        return pipe.fit(data)
-    finally:
-        data.unpersist()
-
-
-def train_sentiment(train: DataFrame, text_col: str = "text", label_col: str = "label",
-                    reg_grid: Sequence[float] = (0.01, 0.1), seed: int = 42, valid_share: float = 0.2,
-                    partitions: int | None = None):
-    """Fit the pipeline; keep the regularisation with the lowest log loss on
-    validation rows (the reference keeps its epoch with the lowest eval
-    loss), refitted on all rows. ``eval_loss`` of the returned model holds it.
-
-    Validation rows are chosen by a hash of text and label, so they depend on
-    neither partitioning nor cores. The feature stages are fitted once; only
-    the regression is searched, over kept feature vectors. ``partitions``: of
-    the training rows, see ``_kept``.
+def validation_side(data: DataFrame, label_col: str, key: Column, share: float) -> tuple[DataFrame, DataFrame]:
+    """(training rows, validation rows) of ``data``: by a hash ``key`` of each
+    row, so that copies go together and neither partitioning nor cores matter.
+
+    Every label has rows on both sides: one whose hashes all fall on one side
+    gives its smallest or largest hash to the other. Copies are alike, so the
+    rows of a label that are all copies of one text are on both sides. One row
+    a label comes to the driver."""
+    data = data.withColumn("_key", key)
+    valid = F.pmod(F.col("_key"), F.lit(1000)) < int(share * 1000)
+    sides = data.groupBy(label_col).agg(F.min("_key").alias("low"), F.max("_key").alias("high"),
+                                        F.sum(valid.cast("long")).alias("valid"), F.count(F.lit(1)).alias("n")).collect()
+    train = ~valid
+    for r in sides:
+        mine = F.col(label_col) == r[label_col]
+        if r.low == r.high:
+            valid, train = valid | mine, train | mine
+        elif r.valid in (0, r.n):
+            moved = mine & (F.col("_key") == (r.low if r.valid == 0 else r.high))
+            valid, train = (valid | moved, train & ~moved) if r.valid == 0 else (valid & ~moved, train | moved)
+    return data.filter(train).drop("_key"), data.filter(valid).drop("_key")
+
+
+def train_sentiment(train: DataFrame, text_col: str = "text", label_col: str = "label", evaluation: DataFrame | None = None,
+                    epochs: int = 6, iterations: int = 5, patience: int = 2, reg_param: float = 0.01, seed: int = 42,
+                    valid_share: float = 0.2):
+    """Fit the pipeline in epochs and keep that of the lowest evaluation loss, as
+    the reference does; ``patience`` epochs without a lower one end it.
+
+    The evaluation loss is the log loss over ``evaluation`` (rows like those of
+    ``train``); without it, over validation rows that are taken from ``train``
+    (``validation_side``). The optimiser cannot be continued from outside, but
+    its path does not depend on where it ends: epoch ``n`` is the state after
+    ``n * iterations`` steps from the start. The feature stages are fitted once,
+    over whole texts of the training rows. The returned model has ``eval_loss``
+    and ``best_epoch``, and ``log``: (epoch, loss, eval_loss) after each epoch,
+    and a last entry for the run as a whole, without losses.
     """
     from pyspark.ml import Pipeline, PipelineModel
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-    pipe, lr = build_pipeline(MODEL_TEXT, label_col)
-    data = train.select(F.coalesce(F.col(text_col), F.lit("")).alias(MODEL_TEXT),
-                        F.col(label_col).cast("double").alias(label_col)).persist()  # for the features' two passes
-    features = Pipeline(stages=pipe.getStages()[:-1]).fit(data)
-    key = F.pmod(F.xxhash64(MODEL_TEXT, label_col, F.lit(seed)), F.lit(1000)) < int(valid_share * 1000)
-    vectors = _kept(features.transform(data).select("_features", label_col, key.alias("_valid")), partitions)
-    ev = MulticlassClassificationEvaluator(labelCol=label_col, predictionCol="_pred", probabilityCol="_prob",
-                                           metricName="logLoss")
+    pipe, lr = build_pipeline(MODEL_TEXT, label_col, reg_param=reg_param)
+
+    def rows(df: DataFrame) -> DataFrame:
+        return df.select(F.coalesce(F.col(text_col), F.lit("")).alias(MODEL_TEXT), F.col(label_col).cast("double").alias(label_col)) \
+            .filter(F.col(label_col).isNotNull())
+
+    data = rows(train).persist()
+    if evaluation is None:
+        used, valid = validation_side(data, label_col, F.xxhash64(MODEL_TEXT, label_col, F.lit(seed)), valid_share)
+    else:
+        used, valid = data, rows(evaluation)
+    features = Pipeline(stages=pipe.getStages()[:-1]).fit(used)
+    used, valid = (features.transform(d).select("_features", label_col).persist() for d in (used, valid))
+    ev = MulticlassClassificationEvaluator(labelCol=label_col, predictionCol="_pred", probabilityCol="_prob", metricName="logLoss")
     try:
-        valid, rest = vectors.filter("_valid"), vectors.filter("not _valid")
-        losses = {}
-        if len(reg_grid) > 1 and not valid.isEmpty() and not rest.isEmpty():
-            for reg in reg_grid:
-                losses[reg] = ev.evaluate(lr.copy({lr.regParam: reg}).fit(rest).transform(valid))
-        reg = min(losses, key=losses.get) if losses else reg_grid[0]
-        best = lr.copy({lr.regParam: reg}).fit(vectors)
+        if valid.isEmpty():
+            log.warning("no evaluation rows: the last epoch is kept")
+        best, best_epoch, history = None, 0, []
+        for epoch in range(1, epochs + 1):
+            model = lr.copy({lr.maxIter: epoch * iterations}).fit(used)
+            steps = list(model.summary.objectiveHistory)
+            loss = float(ev.evaluate(model.transform(valid))) if not valid.isEmpty() else None
+            history.append((float(epoch), float(steps[-1]), loss))
+            lowest = min((h[2] for h in history[:-1] if h[2] is not None), default=None)
+            if loss is None or lowest is None or loss < lowest:
+                best, best_epoch = model, epoch
+            if epoch - best_epoch >= patience or len(steps) <= epoch * iterations:  # no better, or converged
+                break
     finally:
-        vectors.unpersist()
-        data.unpersist()
+        for d in (used, valid, data):
+            d.unpersist()
     model = PipelineModel(stages=features.stages + [best])
-    model.eval_loss = losses.get(reg)
+    model.eval_loss, model.best_epoch = history[best_epoch - 1][2], best_epoch
+    model.log = [*history, (history[-1][0], None, None)]
     return model
 
 
@@ -201,14 +226,9 @@ def loss_history(log: DataFrame, loss_col: str = "loss", eval_col: str = "eval_l
     return log.filter(cond)
 
 
-def objective_history(model, spark) -> DataFrame:
-    """Training log of a fitted pipeline's regression stage as a DataFrame; the
-    last epoch has the evaluation loss, where the model was chosen by one."""
-    lr_model = model.stages[-1]
-    hist = list(lr_model.summary.objectiveHistory)
-    last, loss = len(hist) - 1, getattr(model, "eval_loss", None)
-    return spark.createDataFrame([(i, float(v), loss if i == last else None) for i, v in enumerate(hist)],
-                                 "epoch int, loss double, eval_loss double")
+def training_log(model, spark) -> DataFrame:
+    """The log of ``train_sentiment`` as a DataFrame, a row an entry."""
+    return spark.createDataFrame(model.log, "epoch double, loss double, eval_loss double")
 
 
 # M9 - M13 ----------------------------------------------------------------
