@@ -31,6 +31,14 @@ def test_against_brute_force(spark):
     assert {tuple(r) for r in got.collect()} == brute(rows, 5)
 
 
+def test_an_id_with_many_vectors(spark):
+    rng = random.Random(8)
+    rows = [(10, [1.0 + i / 64, 1.0, 1.0]) for i in range(15)] + [(i, [rng.random() for _ in range(3)]) for i in range(11, 41) if i % 10]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = V.top_k(df, "vec_id", "embedding", F.col("vec_id") % 10 == 0).collect()
+    assert len(got) == 150 and {tuple(r) for r in got} == brute(rows, 10)
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert V.top_k(df, "vec_id", "embedding", F.col("vec_id") % 10 == 0).count() == 0

@@ -119,11 +119,12 @@ def search(tree: dict, queries: np.ndarray, own: np.ndarray, k: int, kth: list)
                         heapq.heappush(heap, (-bound[child], int(least[child]), child))
                 continue
             score = (flat[start:end] @ query).astype(np.int64) if flat is not None else _product(points[start:end], query)
-            at = np.flatnonzero(score >= limit[0]) if limit is not None else np.arange(end - start)
+            others = ids[start:end] != me
+            at = np.flatnonzero(others & (score >= limit[0]) if limit is not None else others)
             if len(at) > k:
-                at = at[np.lexsort((ids[start + at], -score[at]))[:k + 1]]  # one of them may be the query's own
+                at = at[np.lexsort((ids[start + at], -score[at]))[:k]]
             for s, d in zip(score[at].tolist(), ids[start + at].tolist(), strict=True):
-                if d == me or limit is not None and (s, -d) < limit:
+                if limit is not None and (s, -d) < limit:
                     continue
                 heapq.heappush(best, (s, -d))
                 if len(best) > k:
