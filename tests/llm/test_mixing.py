@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tests.llm.helpers import DOCS, corpus
@@ -48,6 +49,42 @@ def test_mix(spark, how, near):
     assert sorted(map(key, got)) == sorted(map(key, again))
 
 
+def test_small_sources_are_paired_too(monkeypatch):
+    rng = np.random.default_rng(3)
+    paired = []
+    plain = M.pivot
+    monkeypatch.setattr(M, "pivot", lambda size, share, draws: paired.append(int(((share > 0) & (share < 1)).sum())) or plain(size, share, draws))
+    for _ in range(20):  # sources of 50 documents
+        group = pd.DataFrame({"key": rng.integers(0, 1 << 60, 50), "size": rng.integers(100, 250, 50), "share": np.full(50, 0.3), "blocks": 1, "open": True})
+        out = M.round_block(group, 0, M.RESERVE, 11)
+        assert not out["open"].any() and abs((out["share"] - 0.3) @ out["size"]) <= 250
+    assert len(paired) == 20 and min(paired) >= 50 - 2 * M.RESERVE
+
+
+def test_clashing_names_and_other_sources_do_not_matter(spark):
+    rows = [(i, " ".join("w" * (i % 9 + 1)), f"s{i % 3}", 5, 6) for i in range(300)]
+    schema = "doc_id long, text string, source string, sum int, rows int"
+    got = M.mix_sources(spark.createDataFrame(rows, schema))
+    assert got.columns == ["doc_id", "text", "source", "sum", "rows", "size", "source_size", "target", "copies"]
+    assert all(r["sum"] == 5 and r["rows"] == 6 for r in got.collect())
+
+
+def test_query_columns(spark, tmp_path):
+    """Everything of the query but the draw, against plain sums."""
+    from threadscope.llm import queries as Q
+    rows = corpus(300)
+    spark.createDataFrame(rows, DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    got = Q.op3_mixing(spark, str(tmp_path)).collect()
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    sizes = Counter()
+    for r in rows:
+        sizes[r[3]] += size(r[1])
+    want = targets(sizes)
+    assert Counter((r.doc_id, r.size, r.source_size, round(r.target, 6)) for r in got) == Counter(
+        (r[0], size(r[1]), sizes[r[3]], round(want[r[3]], 6)) for r in rows)
+    assert all(r.taken in (0, r.size, 2 * r.size) for r in got)
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], DOCS)
     assert M.mix_sources(df).count() == 0

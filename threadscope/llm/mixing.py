@@ -7,8 +7,8 @@ direction whose odds keep every document's expected share, until one of the
 two is whole. The words taken from a source stay the same throughout. Blocks
 of documents are rounded in parallel; what each leaves, one document with a
 fraction and a few documents of each order of size, meets on the next level of
-a tree, and at the root the last documents are rounded from the largest on,
-each one's deviation spread over the smaller ones.
+a tree, and at the source's root these last documents are rounded from the
+largest on, each one's deviation spread over the smaller ones.
 """
 
 from __future__ import annotations
@@ -126,6 +126,33 @@ def settle(sizes: np.ndarray, shares: np.ndarray, draws: np.ndarray) -> np.ndarr
     return np.clip(np.round(share), 0, 1)
 
 
+def round_block(group: pd.DataFrame, n: int, reserve: int, seed: int) -> pd.DataFrame:
+    """A block's open documents on level ``n``: those beyond ``reserve`` of an
+    order of size are paired, on the lowest level of every source; at the root
+    of the source (its only block) what is left is settled."""
+    root = group["blocks"].iloc[0] <= 1
+    group = group.sort_values(["size", "key"], kind="stable", ignore_index=True)
+    draws = _random(group["key"].to_numpy() + np.arange(len(group)), seed)
+    size, share = group["size"].to_numpy(np.float64), group["share"].to_numpy(np.float64, copy=True)
+    order = np.floor(np.log2(size)).astype(np.int64)  # sizes ascend
+    paired = np.arange(len(order)) - np.searchsorted(order, order) >= reserve
+    if n == 0 or not root:
+        share[paired] = pivot(size[paired], share[paired], draws[paired])
+    if root:
+        share = settle(size, share, draws)
+    group["share"], group["open"] = share, (share > 0) & (share < 1)
+    return group
+
+
+def _level(n: int, fan_in: int, reserve: int, seed: int):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = round_block(group, n, reserve, seed)
+        group["block"] //= fan_in
+        group["blocks"] = -(-group["blocks"] // fan_in)
+        return group
+    return run
+
+
 def copies(rows: DataFrame, block_docs: int = BLOCK_DOCS, fan_in: int = FAN_IN, reserve: int = RESERVE,
            seed: int = 11) -> DataFrame:
     """``rows`` (source, key, size, n: documents of the source, times: copies
@@ -141,28 +168,11 @@ def copies(rows: DataFrame, block_docs: int = BLOCK_DOCS, fan_in: int = FAN_IN,
         "open", (F.col("share") > 0) & (F.col("share") < 1)).select(*rows.columns, "share", "blocks", "block", "open")
     most = rows.agg(F.coalesce(F.max(blocks), F.lit(1))).first()[0]
 
-    def level(last: bool, n: int):
-        def run(group: pd.DataFrame) -> pd.DataFrame:
-            group = group.sort_values(["size", "key"], kind="stable", ignore_index=True)
-            draws = _random(group["key"].to_numpy() + np.arange(len(group)), seed + n)
-            size, share = group["size"].to_numpy(np.float64), group["share"].to_numpy(np.float64)
-            order = np.floor(np.log2(size)).astype(np.int64)  # sizes ascend
-            paired = np.arange(len(order)) - np.searchsorted(order, order) >= reserve
-            if not last or len(group) > block_docs:
-                share[paired] = pivot(size[paired], share[paired], draws[paired])
-            if last:
-                share = settle(size, share, draws)
-            group["share"], group["open"] = share, (share > 0) & (share < 1)
-            group["block"] //= fan_in
-            group["blocks"] = -(-group["blocks"] // fan_in)
-            return group
-        return run
-
     done, n = [state.filter("not open")], 0
     state = state.filter("open")
     while True:
         last = most <= 1
-        out = stored(state.groupBy("source", "block").applyInPandas(level(last, n), schema), f"mix-level{n}")
+        out = stored(state.groupBy("source", "block").applyInPandas(_level(n, fan_in, reserve, seed + n), schema), f"mix-level{n}")
         done.append(out.filter("not open"))
         state, most, n = out.filter("open"), -(-most // fan_in), n + 1
         if last:
@@ -200,10 +210,12 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source: str = "source",
                     F.when(F.col("t.source_size") > 0, F.col("t.target") / F.col("t.source_size")).otherwise(0.0).alias("times")))
     taken = copies(rows, seed=seed, **tree)
     # Rows alike share a key: their copies are summed and dealt out again, one more to the first of them.
-    per_key = taken.groupBy("key").agg(F.sum("copies").alias("sum"), F.count("*").alias("rows"),
-                                       F.first("source_size").alias("source_size"), F.first("target").alias("target"))
-    out = docs.join(per_key.withColumnRenamed("key", key).hint("merge"), key)
-    out = out.withColumn(same, F.when(F.col("rows") > 1, F.row_number().over(Window.partitionBy(key).orderBy(F.lit(1)))).otherwise(1))
-    count = F.floor(F.col("sum") / F.col("rows")) + (F.col(same) <= F.pmod("sum", "rows")).cast("long")
-    return (out.withColumn("copies", F.when(F.col("size") > 0, count).otherwise(0).cast("long"))
-            .drop(key, same, "sum", "rows"))
+    of = free_name(docs, "_of")
+    per_key = taken.groupBy(F.col("key").alias(key)).agg(
+        F.sum("copies").alias("n"), F.count("*").alias("alike"), F.first("source_size").alias("source_size"), F.first("target").alias("target"))
+    out = docs.join(per_key.select(key, F.struct("n", "alike", "source_size", "target").alias(of)).hint("merge"), key)
+    n, alike = F.col(of)["n"], F.col(of)["alike"]
+    out = out.withColumn(same, F.when(alike > 1, F.row_number().over(Window.partitionBy(key).orderBy(F.lit(1)))).otherwise(1))
+    count = F.floor(n / alike) + (F.col(same) <= F.pmod(n, alike)).cast("long")
+    return out.withColumns({"source_size": F.col(of)["source_size"], "target": F.col(of)["target"],
+                            "copies": F.when(F.col("size") > 0, count).otherwise(0).cast("long")}).drop(key, same, of)
