@@ -1,4 +1,5 @@
 """The shards of a small table."""
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -6,7 +7,7 @@ import pytest
 
 from tests.llm.helpers import DOCS, corpus
 from threadscope.llm import sharding as S
-from threadscope.llm.common import scratch
+from threadscope.llm.common import scratch, spread_copies
 
 
 @pytest.mark.parametrize("shards", [1, 7, 200])
@@ -43,3 +44,36 @@ def test_empty_and_written(spark):
 def test_fisher_yates_is_uniform():
     seen = Counter(tuple(S.fisher_yates(3, 1, i)) for i in range(3000))
     assert len(seen) == 6 and min(seen.values()) > 400
+
+
+def test_settings_do_not_matter(spark):
+    df = spark.range(3000).selectExpr("id AS doc_id", "concat('t', id) AS text")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    found = []
+    for n in ("3", "16"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        found.append(sorted(tuple(r) for r in S.shuffle_shards(df.repartition(int(n))).collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1]
+
+
+def test_very_many_equal_rows_are_spread(spark):
+    rows = spark.range(30_000).selectExpr("CASE WHEN id < 20000 THEN 7 ELSE id END AS doc_id", "CASE WHEN id < 20000 THEN 'same' END AS text")
+    spread = spread_copies(rows, "nth", 500)
+    counts = {tuple(r) for r in spread.filter("doc_id = 7").groupBy("nth").count().collect()}
+    assert counts == {(i, 500) for i in range(40)}
+    assert Counter(spread.drop("nth").collect()) == Counter(rows.collect())
+    got = S.shuffle_shards(rows, shards=4).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter((r.doc_id, r.text) for r in rows.collect())
+    same = Counter(r.shard for r in got if r.doc_id == 7)
+    assert min(same.values()) > 3000  # blocks of 1024 equal rows in each of the 4 shards
+
+
+def test_query_columns(spark, tmp_path):
+    from threadscope.llm import queries as Q
+    rows = corpus(40)
+    spark.createDataFrame(rows, DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    got = Q.op10_sharding(spark, str(tmp_path)).collect()
+    want = Counter((r[0], len((r[1] or "").encode()) + 8, zlib.crc32((r[1] or "").encode())) for r in rows)
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == want
+    assert {(r.law, r.grown_shard) for r in got} == {("rows", None)} and {r.shard for r in got} == set(range(24))

@@ -65,6 +65,33 @@ def hashable(df: DataFrame) -> list:
             if not any(t in f.dataType.simpleString() for t in ("map<", "variant", "interval"))]
 
 
+def spread_copies(df: DataFrame, name: str, block: int = 1024) -> DataFrame:
+    """``df`` with a long column ``name`` by which rows that are alike in all
+    columns can be dealt out: they share a number by at most ``block``.
+
+    Rows alike are interchangeable. Those with more than ``block`` copies are
+    counted, map-side first, and made again from one of them, block by block;
+    all others have the number 0. Nothing depends on partitions. Tables with
+    columns that cannot be grouped, or hold floating-point numbers (of which
+    equal ones may differ in bits), keep their rows as they are, numbered 0."""
+    kinds = df.schema.simpleString()
+    if len(hashable(df)) < len(df.columns) or "float" in kinds or "double" in kinds:
+        return df.withColumn(name, F.lit(0).cast("long"))
+    spark = df.sparkSession
+    a, b, n = (free_name(df, x) for x in ("_hash_a", "_hash_b", "_copies"))
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    keyed = df.withColumns({a: F.xxhash64(*columns), b: F.xxhash64(F.lit(1), *columns)})
+    often = stored(keyed.groupBy(a, b).agg(F.count("*").alias(n)).filter(F.col(n) > block).select(a, b), "copies")
+    if often.isEmpty():
+        return df.withColumn(name, F.lit(0).cast("long"))
+    few = keyed.join(often, [a, b], "left_anti").select(*columns, F.lit(0).cast("long").alias(name))
+    groups = keyed.join(often, [a, b], "left_semi").groupBy(*columns).agg(F.count("*").alias(n))
+    blocks = groups.withColumn(name, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(n) - 1) / block))))
+    blocks = blocks.repartition(shuffle_partitions(spark), F.xxhash64(*columns), name)
+    again = blocks.withColumn(a, F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(block), F.col(n) - F.col(name) * block))))
+    return few.unionByName(again.select(*columns, name))
+
+
 # --- words and windows in numpy -------------------------------------------
 
 _U = np.uint64

@@ -16,10 +16,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from threadscope.llm.common import free_name, hashable, prepare, shuffle_partitions
+from threadscope.llm.common import free_name, hashable, prepare, spread_copies
 
-#: Bytes of text that a bucket holds on average.
-BUCKET_BYTES = 16 << 20
+#: Bytes of text that a bucket holds on average, and buckets at least (as far as there are rows).
+BUCKET_BYTES, BUCKETS = 16 << 20, 64
 
 
 def row_bytes(text: str):
@@ -46,21 +46,23 @@ def shuffle_shards(docs: DataFrame, shards: int = 24, seed: int = 20240607, text
 
     Columns of ``docs`` that are named shard or slot are replaced. An empty
     table gives an empty one. Rows that are alike in all columns count as
-    interchangeable, so the result is the same on every run. ``extra``:
+    interchangeable, so the result is the same on every run, whatever the
+    session's settings; where very many are alike they go into several buckets
+    (see ``spread_copies`` for the tables that allow it). ``extra``:
     further (name, column) pairs to compute before the rows are dealt.
     """
-    spark = prepare(docs)
+    prepare(docs)
     docs = docs.drop("shard", "slot").withColumns(dict(extra))
     if not docs.columns:
         raise ValueError("a table without columns cannot be sharded")
     total = docs.agg(F.coalesce(F.sum(row_bytes(text)), F.lit(0)).alias("b"), F.count("*").alias("n")).first()
-    buckets = max(-(-total.b // bucket_bytes), min(total.n, shuffle_partitions(spark)), 1)
-    h, bucket, before = (free_name(docs, x) for x in ("_hash", "_bucket", "_before"))
-    rows = (docs.withColumn(h, F.xxhash64(F.lit(seed), *hashable(docs)))
+    buckets = max(-(-total.b // bucket_bytes), min(total.n, BUCKETS), 1)
+    h, bucket, before, nth = (free_name(docs, x) for x in ("_hash", "_bucket", "_before", "_nth"))
+    rows = (spread_copies(docs, nth).withColumn(h, F.xxhash64(F.lit(seed), *hashable(docs), nth)).drop(nth)
             .withColumn(bucket, F.pmod(F.col(h), F.lit(buckets)).cast("long")))
     # One row a bucket; their running count is the only thing that is ordered as a whole.
     counts = rows.groupBy(bucket).agg(F.count("*").alias("n"))
-    offsets = counts.select(bucket, (F.sum("n").over(Window.orderBy(bucket)) - F.col("n")).alias(before))
+    offsets = counts.select(F.col(bucket).alias("bucket"), (F.sum("n").over(Window.orderBy(bucket)) - F.col("n")).alias(before))
     base, longer = divmod(total.n, shards)
     schema = T.StructType([*docs.schema.fields, T.StructField("shard", T.IntegerType()),
                            T.StructField("slot", T.LongType())])
@@ -78,7 +80,7 @@ def shuffle_shards(docs: DataFrame, shards: int = 24, seed: int = 20240607, text
         return (left.drop_columns([h, bucket]).append_column("shard", pa.array(shard.astype(np.int32)))
                 .append_column("slot", pa.array(slot.astype(np.int64))))
 
-    return (rows.groupBy(bucket).cogroup(offsets.groupBy(bucket)).applyInArrow(deal, schema))
+    return (rows.groupBy(bucket).cogroup(offsets.groupBy("bucket")).applyInArrow(deal, schema))
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from threadscope.llm.common import (free_name, hashable, prepare, shuffle_partitions, span_hashes, text_bytes, windows,
-                                    word_spans)
+from threadscope.llm.common import (free_name, hashable, prepare, shuffle_partitions, span_hashes, spread_copies, text_bytes,
+                                    windows, word_spans)
 
 #: Bytes of text of a chunk, on average.
 CHUNK_BYTES = 8 << 20
@@ -208,8 +208,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     parts = shuffle_partitions(spark)
     chunks = max(-(-total // chunk_bytes), parts)
     buckets = max(-(-int(total * 0.36) // bucket_bytes), parts)  # 8 bytes for a fourth of the words
-    chunk = free_name(docs, "_chunk")
-    dealt = docs.withColumn(chunk, F.pmod(F.xxhash64(*hashable(docs)), F.lit(chunks)).cast("long"))
+    chunk, nth = free_name(docs, "_chunk"), free_name(docs, "_nth")
+    dealt = spread_copies(docs, nth).withColumn(chunk, F.pmod(F.xxhash64(*hashable(docs), nth), F.lit(chunks)).cast("long")).drop(nth)
     steps = levels(length)
 
     def send_first(group: pa.Table) -> pa.Table:
