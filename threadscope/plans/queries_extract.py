@@ -156,3 +156,42 @@ def x11_next_cursor(spark, sf):
     listing = rendered.dcard_listing_pages(fx.fx_nested_posts(spark, sf))
     payload = listing.select("page_id", X.page_to_json(F.col("html")).alias("payload"))
     return payload.select("page_id", X.next_cursor(F.col("payload")).alias("next_cursor"))
+
+
+# --- X5 / X6 / X12: Bahamut board pages ---------------------------------------
+
+_SQL_TOTAL = "CASE WHEN page_id % 6 = 5 THEN 1 ELSE page_id % 13 + 1 END"
+
+
+@query("x5_thread_ids", sql=with_fx("""
+SELECT CAST(doc_id // 20 AS BIGINT) AS page_id, row_number() OVER (PARTITION BY doc_id // 20 ORDER BY doc_id) AS thread_pos,
+       CAST(doc_id + 1000 AS VARCHAR) AS thread_id
+FROM fx_posts WHERE doc_id % 9 != 4 AND doc_id % 11 != 6""", "fx_posts"))
+def x5_thread_ids(spark, sf):
+    """Thread ids of the title links of board pages, distinct and in order."""
+    pages = rendered.baha_board_pages(fx.fx_posts(spark, sf))
+    return pages.select("page_id", F.posexplode(X.extract_thread_ids(F.col("html"))).alias("pos", "thread_id")).select(
+        "page_id", (F.col("pos") + 1).cast("bigint").alias("thread_pos"), "thread_id")
+
+
+@query("x6_pager_pages", sql=with_fx(f"""
+SELECT page_id, CAST({_SQL_TOTAL} AS INTEGER) AS max_page FROM (SELECT DISTINCT CAST(doc_id // 20 AS BIGINT) AS page_id FROM fx_posts)""", "fx_posts"))
+def x6_pager_pages(spark, sf):
+    """Number of pages by the pager of board pages; links elsewhere do not count."""
+    pages = rendered.baha_board_pages(fx.fx_posts(spark, sf))
+    return pages.select("page_id", X.max_page(F.col("html")).alias("max_page"))
+
+
+@query("x12_planned_pages", sql=with_fx(f"""
+SELECT page_id, CAST(reply_page AS BIGINT) AS reply_page,
+       'https://forum.gamer.com.tw/C.php?page=' || reply_page || '&bsn=29659&snA=' || page_id AS url
+FROM (SELECT page_id, unnest(CASE WHEN total > 3 THEN range(total, greatest(total - 2, 0), -1)
+                                  ELSE range(1, least(total, 2) + 1) END) AS reply_page
+      FROM (SELECT page_id, {_SQL_TOTAL} AS total FROM (SELECT DISTINCT CAST(doc_id // 20 AS BIGINT) AS page_id FROM fx_posts)))""", "fx_posts"))
+def x12_planned_pages(spark, sf):
+    """Reply pages to fetch, the last two, by the number of pages of a pager."""
+    pages = rendered.baha_board_pages(fx.fx_posts(spark, sf))
+    totals = pages.select("page_id", X.max_page(F.col("html")).alias("total"))
+    planned = totals.select("page_id", F.explode(X.plan_reply_pages(F.col("total"), F.lit(2))).alias("reply_page"))
+    return planned.select("page_id", F.col("reply_page").cast("bigint").alias("reply_page"),
+                          X.baha_article_url(F.lit(29659), F.col("page_id"), F.col("reply_page")).alias("url"))

@@ -121,6 +121,33 @@ def baha_thread_pages(nested_posts: DataFrame) -> DataFrame:
                         _cat("<html><body>", F.col("body"), "</body></html>").alias("html"))
 
 
+def baha_board_pages(posts: DataFrame) -> DataFrame:
+    """``(page_id, url, html)``: Bahamut board pages, ``PER_PAGE`` threads each
+    in post order, and a pager. The thread of a post has the id ``1000 +
+    doc_id``. The link has no id for ``doc_id % 9 == 4`` and an empty one for
+    ``% 11 == 6``; it comes twice for ``% 5 == 0``, its attributes are the other
+    way round for even ids, and a link of another class follows for ``% 7 ==
+    3``. The pager links to pages 1 to 3, to page ``page_id % 13 + 1`` and to
+    ``next``; every sixth page has none. A link outside it has a higher page."""
+    d = F.col("doc_id")
+    target = F.when(d % 9 == 4, F.lit("B.php?bsn=29659")).when(d % 11 == 6, F.lit("C.php?bsn=29659&amp;snA=&amp;tnum=2")) \
+        .otherwise(_cat("C.php?bsn=29659&amp;snA=", (d + 1000).cast("string"), "&amp;tnum=2"))
+    link = F.when(d % 2 == 0, _cat('<a href="', target, '" class="b-list__main__title is-highlight">')) \
+        .otherwise(_cat('<a data-gtm="x" class="b-list__main__title" href="', target, '">'))
+    link = _cat(link, esc(F.col("title")), "</a>")
+    other = F.when(d % 7 == 3, F.lit('<a class="b-list__main__titles" href="C.php?bsn=29659&amp;snA=7">x</a>')).otherwise(F.lit(""))
+    row = _cat('<tr class="b-list__row">', link, F.when(d % 5 == 0, link).otherwise(F.lit("")), other, "</tr>")
+    e = posts.select(F.floor(d / PER_PAGE).alias("page_id"), "doc_id", row.alias("h"))
+    pages = _ordered_join(e, "page_id", "doc_id", "h", "body")
+    total = F.col("page_id") % 13 + 1
+    button = lambda n: _cat('<a href="?page=', n.cast("string"), '&amp;bsn=29659">', n.cast("string"), "</a>")
+    pager = _cat('<p class="BH-pagebtnA">', F.array_join(F.transform(F.sequence(F.lit(1).cast("long"), F.least(total, F.lit(3))), button), ""),
+                 button(total), '<a href="?page=next">&gt;</a></p>')
+    return pages.select("page_id", _cat(f"{BAHA_BASE}/B.php?page=1&bsn=29659&group=", F.col("page_id").cast("string")).alias("url"),
+                        _cat("<html><body><table>", F.col("body"), "</table>", F.when(F.col("page_id") % 6 != 5, pager).otherwise(F.lit("")),
+                             '<div class="ad"><a href="?page=500">500</a></div></body></html>').alias("html"))
+
+
 # --- Dcard payloads (JSON shown inside <pre>) --------------------------------
 
 def _pre(json_text: Column) -> Column:
