@@ -14,8 +14,10 @@ from threadscope.catalog import query
 from threadscope.operators import cleaning as C
 from threadscope.operators import extract as X
 from threadscope.operators import keywords as K
+from threadscope.operators import lexicon as L
 from threadscope.operators import model as M
 from threadscope.operators import relational as R
+from threadscope.plans.sql_keywords import SQL_SPACE
 from threadscope.plans.sql_keywords import SQL_STOP as _SQL_STOP
 from threadscope.plans.sql_keywords import SQL_TOKENS as _SQL_TOKENS
 from threadscope.session import scratch_path
@@ -165,6 +167,37 @@ def k2_filter_tokens(spark, sf):
                                           F.array_join(k, " ").alias("kept"))
 
 
+# --- K1 / R11 with long word lists ----------------------------------------------
+
+#: Words of the conversations that occur at least 20 times: a list that grows with the data.
+_SQL_WORDS = """(SELECT word FROM (SELECT unnest(regexp_extract_all(text, '[A-Za-z]{3,}')) AS word FROM conversations)
+                 GROUP BY word HAVING count(*) >= 20)"""
+
+
+def _long_list(spark, sf):
+    talks = fx.read_table(spark, sf, "conversations")
+    words = talks.select(F.explode(F.regexp_extract_all("text", F.lit(r"([A-Za-z]{3,})"), F.lit(1))).alias("word"))
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("times")).filter("times >= 20").select("word")
+
+
+@query("k1_segment_long_list", sql=f"""
+SELECT doc_id, CAST(len(t) AS BIGINT) AS n_tokens, array_to_string(t, ' ') AS tokens
+FROM (SELECT doc_id, coalesce(regexp_extract_all(text, (SELECT '(' || string_agg(word || '|', '' ORDER BY length(word) DESC, word)
+                                                        || '[A-Za-z0-9]+|[^A-Za-z0-9{SQL_SPACE}])' FROM {_SQL_WORDS})), []) AS t FROM documents)""")
+def k1_segment_long_list(spark, sf):
+    docs = fx.read_table(spark, sf, "documents").select("doc_id", "text")
+    out = L.segment_long(docs, _long_list(spark, sf), "text", "doc_id")
+    return out.select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens"))
+
+
+@query("r11_match_long_list", sql=f"""
+SELECT doc_id, text FROM documents
+WHERE EXISTS (SELECT 1 FROM (SELECT word FROM {_SQL_WORDS} WHERE length(word) >= 6) WHERE contains(lower(text), lower(word)))""")
+def r11_match_long_list(spark, sf):
+    docs = fx.read_table(spark, sf, "documents").select("doc_id", "text")
+    return L.match_long(docs, _long_list(spark, sf).filter(F.length("word") >= 6), "text", "doc_id")
+
+
 # --- M3 / M4 / M14 --------------------------------------------------------------
 
 @query("m14_loss_history", note="fits a classifier (iterative optimiser); rows-only")

@@ -8,8 +8,8 @@ _WHOLE = ("bug|一個|一堆|一樣|不是|不會|什麼|今天|只有|可以|
 _DROPPED = ("今天 又 了 根本 是 一堆 太 啦 終於 一 真的 不是 沒有 可以 現在 看到 什麼 不會 只有 怎麼 "
             "一個 可能 這樣 直接 還是 所以 應該 就是 知道 那個 這個 因為 一樣 有人 好像 如果")
 
-_SPACE = "\\x{09}-\\x{0D}\\x{1C}-\\x{20}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}"
+SQL_SPACE = "\\x{09}-\\x{0D}\\x{1C}-\\x{20}\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}"
 
 #: The tokens of ``comment``: a whole word, a run of ASCII letters and digits, or one other character.
-SQL_TOKENS = f"regexp_extract_all(comment, '({_WHOLE}|[A-Za-z0-9]+|[^A-Za-z0-9{_SPACE}])', 1)"
+SQL_TOKENS = f"regexp_extract_all(comment, '({_WHOLE}|[A-Za-z0-9]+|[^A-Za-z0-9{SQL_SPACE}])', 1)"
 SQL_STOP = "['" + _DROPPED.replace(" ", "', '") + "']"
