@@ -315,8 +315,13 @@ def read_archives(manifest: DataFrame, with_payload: bool = True, run_bytes: int
 
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """``records`` with payload_bytes of revisits taken from the response that
-    they refer to (one row a digest, so no row is multiplied)."""
+    they refer to (one row a digest, so no row is multiplied). The records are
+    stored once, so that no archive is read again for it."""
     n = free_name(records, "_bytes")
-    sizes = records.filter("record_type = 'response'").groupBy("payload_digest").agg(F.max("payload_bytes").alias(n))
-    return (records.join(sizes.hint("merge"), "payload_digest", "left")
-            .withColumn("payload_bytes", F.coalesce("payload_bytes", n)).drop(n).select(records.columns))
+    records = stored(records, "warc-records")
+    asked = records.filter("record_type <> 'response'").select("payload_digest").distinct()
+    sizes = (records.filter("record_type = 'response'").join(asked, "payload_digest", "left_semi")
+             .groupBy("payload_digest").agg(F.max("payload_bytes").alias(n)))
+    revisits = records.filter("record_type <> 'response'").join(sizes.hint("merge"), "payload_digest", "left")
+    whole = records.filter("record_type = 'response' or record_type is null")
+    return whole.unionByName(revisits.withColumn("payload_bytes", F.coalesce("payload_bytes", n)).select(records.columns))
