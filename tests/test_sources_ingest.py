@@ -57,6 +57,33 @@ def test_posts_json_roundtrip(spark, raw_folder, tmp_path):
     assert again.count() == 3 and set(r.author for r in again.collect()) == {"a", "b"}
 
 
+def test_array_sink(spark, tmp_path):
+    path = str(tmp_path / "arrays")
+    df = spark.createDataFrame([(i, f"text {i} \"中\"", "a b" if i % 3 else None if i % 2 else "x/y") for i in range(100)], "n int, t string, kind string")
+    assert posts_json.write_posts_json(df.repartition(5), path)
+    names = sorted(f for f in os.listdir(path) if f.endswith(".json"))
+    assert len(names) == 5 and not [f for f in os.listdir(path) if f.startswith(".part") and not f.endswith(".crc")]
+    found = [r for f in names for r in json.load(open(os.path.join(path, f), encoding="utf-8"))]
+    assert sorted(r["n"] for r in found) == list(range(100)) and "中" in open(os.path.join(path, names[0]), encoding="utf-8").read()
+    with open(os.path.join(path, "part-99999-left-over.json"), "w") as f:
+        f.write("[]")
+    assert posts_json.write_posts_json(df.limit(10), path, files=3)  # overwrites all
+    left = [r for f in os.listdir(path) if f.endswith(".json") for r in json.load(open(os.path.join(path, f), encoding="utf-8"))]
+    assert len(left) == 10 and "part-99999-left-over.json" not in os.listdir(path)
+    by = str(tmp_path / "by")
+    assert posts_json.write_posts_json(df, by, files=4, partition_by="kind")
+    assert {f for f in os.listdir(by) if "=" in f} == {"kind=a b", "kind=x%2Fy", "kind=__HIVE_DEFAULT_PARTITION__"}
+    for folder in os.listdir(by):
+        if "=" in folder:
+            for f in os.listdir(os.path.join(by, folder)):
+                if f.endswith(".json"):
+                    assert all("kind" not in r for r in json.load(open(os.path.join(by, folder, f), encoding="utf-8")))
+    # A failure is reported, and leaves nothing behind.
+    broken = df.withColumn("t", F.when(F.col("n") == 50, F.raise_error(F.lit("no"))).otherwise(F.col("t")))
+    assert not posts_json.write_posts_json(broken, str(tmp_path / "broken"))
+    assert not [f for f in os.listdir(tmp_path / "broken") if f.endswith(".json")] if (tmp_path / "broken").exists() else True
+
+
 def test_csv_sink_skips_empty_and_reads_back(spark, tmp_path):
     empty = spark.createDataFrame([], "a string")
     assert not tables.write_csv(empty, str(tmp_path / "e"))

@@ -14,14 +14,14 @@ rule, and keys that nobody declared stay (``open_fields``).
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadscope.sources.json_arrays import array_elements
+from threadscope.sources.json_sink import write_arrays
 from threadscope.sources.open_fields import Field, discover, project
 
 log = logging.getLogger(__name__)
@@ -138,34 +138,6 @@ def open_keys(raw: DataFrame) -> tuple[list[Field], list[Field]]:
     return discover(raw, "record", POST_KEYS), discover(comments, "record", COMMENT_KEYS)
 
 
-def _to_array_text(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One JSON array per partition (and per value of ``_part`` when the
-    frame carries it): the rows' JSON objects joined as array elements."""
-    rows: dict = {}
-    for b in batches:
-        keys = b["_part"] if "_part" in b.columns else [None] * len(b)
-        for k, j in zip(keys, b["j"]):
-            rows.setdefault(k, []).append(j)
-    for k, objs in rows.items():
-        text = "[\n" + ",\n".join(objs) + "\n]"
-        yield pd.DataFrame({"_part": [k], "value": [text]})
-
-
-def _rename_json(spark: SparkSession, path: str) -> None:
-    """``part-*.txt`` -> ``part-*.json`` in ``path`` and its sub-folders."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    todo = [root]
-    while todo:
-        for st in fs.listStatus(todo.pop()):
-            p, name = st.getPath(), st.getPath().getName()
-            if st.isDirectory():
-                todo.append(p)
-            elif name.startswith("part-") and name.endswith(".txt"):
-                fs.rename(p, jvm.org.apache.hadoop.fs.Path(p.getParent(), name[:-4] + ".json"))
-
-
 def write_posts_json(df: DataFrame, path: str, files: int | None = None, partition_by: str | None = None) -> bool:
     """S3: raw-post sink, one JSON array per file (UTF-8, not ASCII-escaped),
     overwriting ``path``. A failure is reported, not raised. Each output
@@ -185,26 +157,23 @@ def write_posts_json(df: DataFrame, path: str, files: int | None = None, partiti
 def write_json_arrays(j: DataFrame, path: str, files: int | None = None, partition_by: str | None = None) -> bool:
     """Write JSON element texts (column ``j``; folder value ``_part`` when
     ``partition_by`` names the folder column) as files that each hold one
-    JSON array. Used by the raw-post sink; elements need not be objects."""
+    JSON array (``json_sink``). Used by the raw-post sink; elements need not be
+    objects. File names follow the order of the partitions."""
     spark = j.sparkSession
     if "_part" not in j.columns:
         j = j.withColumn("_part", F.lit(None).cast("string"))
+    if partition_by:
+        n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        j = j.repartition(n, "_part", F.pmod(F.xxhash64("j"), F.lit(n)))
+        # As Spark names the folders of a partitioned table.
+        value = F.replace(F.url_encode("_part"), F.lit("+"), F.lit(" "))
+        folder = F.concat(F.lit(f"{partition_by}="), F.when(F.col("_part") != "", value).otherwise(F.lit("__HIVE_DEFAULT_PARTITION__")))
+        rows = j.select(folder.alias("folder"), "j").sortWithinPartitions("folder")
+    else:
+        rows = (j.repartition(files) if files else j).select(F.lit(None).cast("string").alias("folder"), "j")
     try:
-        if partition_by:
-            n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-            j = j.repartition(n, "_part", F.pmod(F.xxhash64("j"), F.lit(n)))
-        elif files:
-            j = j.repartition(files)
-        text = j.mapInPandas(_to_array_text, "_part string, value string")
-        if partition_by:
-            text.withColumnRenamed("_part", partition_by).write.mode("overwrite") \
-                .option("compression", "none").partitionBy(partition_by).text(path)
-        else:
-            text.select("value").write.mode("overwrite").option("compression", "none").text(path)
-        _rename_json(spark, path)
+        write_arrays(rows, path)
         return True
     except Exception as e:  # noqa: BLE001 - the sink reports instead of raising
         log.error("saving failed: %s", e)
         return False
-
-
