@@ -40,6 +40,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0D]] = True
 _LARGE_EXPONENT = re.compile(rb"[eE]\+?\d{3,}")
 _ROWS = "file_path string, block long, idx long, kind string, value string, piece binary, reason string"
+#: The summary of a range that opens and closes one array.
+_ONE_ARRAY = json.dumps([1, 0, False])
 _NAMES = [f.split()[0] for f in _ROWS.split(", ")]
 
 
@@ -307,6 +309,18 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _states(spark: SparkSession, fragments: DataFrame, paths: list[str], glob: str) -> dict:
+    """The states of the ranges of files that have several. No file up to the
+    cost of opening one is ever split, so that smaller files need no pass."""
+    longest = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(paths).agg(F.max("length")).first()[0]
+    number, unit = re.fullmatch(r"(\d+) *([kmgt]?)i?b?", spark.conf.get("spark.sql.files.openCostInBytes").lower()).groups()
+    if (longest or 0) <= int(number) << 10 * " kmgt".index(unit or " "):
+        return {}
+    # One row a range of a file with several: less than one for every spark.sql.files.maxPartitionBytes of input.
+    found = fragments.filter("shared").mapInArrow(_summaries, "file_path string, block long, flips boolean, outside long, inside long")
+    return range_states([tuple(r) for r in found.collect()])
+
+
 def array_elements(spark: SparkSession, paths: list[str], glob: str = "*.json") -> tuple[DataFrame, DataFrame]:
     """Elements of the JSON array files in the folders, or of the files, ``paths``.
 
@@ -322,15 +336,18 @@ def array_elements(spark: SparkSession, paths: list[str], glob: str = "*.json")
     ship_package(spark)
     fragments = _fragments(spark, paths, glob)
     for _ in range(3):
-        # One row a range of a file with several: less than one for every spark.sql.files.maxPartitionBytes of input.
-        found = fragments.filter("shared").mapInArrow(_summaries, "file_path string, block long, flips boolean, outside long, inside long")
-        states = range_states([tuple(r) for r in found.collect()])
-        rows = _stored(fragments.mapInArrow(_cut(states), _ROWS), "json-elements")
+        rows = _stored(fragments.mapInArrow(_cut(_states(spark, fragments, paths, glob)), _ROWS), "json-elements")
+        n = rows.agg(*(F.count_if(F.col("kind") == k).alias(k) for k in ("unknown", "partial", "bad", "empty")),
+                     F.count_if((F.col("kind") == "range") & (F.col("value") != _ONE_ARRAY)).alias("odd")).first()
         # Executors that come or go between the passes change the ranges; then both run again.
-        if rows.filter("kind = 'unknown'").isEmpty():
+        if not n.unknown:
             break
     else:
         raise RuntimeError("the byte ranges of the files changed between the passes; set spark.sql.files.minPartitionNum")
+    if not (n.partial or n.bad or n.empty or n.odd):  # every range is one whole file, and nothing is wrong with it
+        elements = rows.filter("kind in ('object', 'large')").withColumnRenamed("idx", "pos")
+        return elements.filter("kind = 'object'").select("file_path", "pos", "value"), \
+            elements.filter("kind = 'large'").select("file_path", "pos", "reason")
     ends = F.from_json("value", "array<string>")
     ranges = rows.filter("kind = 'range'").select("file_path", "block", "idx", ends[0].cast("int").alias("opened"), ends[1].cast("long").alias("depth"),
                                                   ends[2].cast("boolean").alias("in_string"))
