@@ -207,5 +207,7 @@ def clean_text_rules(c: Column, rules=None) -> Column:
 
 def clean_text(c: Column) -> Column:
     """C2 ``clean_text``: NFKC, then the ordered rule chain, then trim.
-    NULL stays NULL; non-string input is cast to string first."""
-    return clean_text_rules(nfkc(c.cast("string")))
+    NULL stays NULL; non-string input is cast to string first. ASCII texts,
+    which NFKC leaves as they are, do not go to Python."""
+    text = c.cast("string")
+    return clean_text_rules(F.coalesce(nfkc(F.when(text.rlike(r"[^\x00-\x7F]"), text)), text))

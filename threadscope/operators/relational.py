@@ -104,13 +104,14 @@ def flatten_struct_fields(st: T.StructType, prefix: str, name_prefix: str = "")
 def dedupe_first_wins(df: DataFrame, key: str, order: str) -> DataFrame:
     """Keep the first row per ``key`` in ``order`` (INSERT OR IGNORE).
 
-    ``min_by`` is an aggregate with a map-side partial step, so a key that
-    holds many copies is collapsed inside every map task before the shuffle.
-    ``order`` must be unique per row for a deterministic winner.
+    The least order of each key is found on these two columns alone, with a
+    map-side partial step, so a key that holds many copies is collapsed inside
+    every map task; only the rows that hold it are then kept whole. ``order``
+    must be unique per row for a deterministic winner.
     """
-    others = [c for c in df.columns if c != key]
-    agg = df.groupBy(key).agg(F.min_by(F.struct(*others), F.col(order)).alias("_w"))
-    return agg.select(key, *[F.col(f"_w.`{c}`").alias(c) for c in others])
+    first = df.groupBy(F.col(key).alias("_key")).agg(F.min(order).alias("_order"))
+    kept = df.join(first, F.col(key).eqNullSafe(F.col("_key")) & F.col(order).eqNullSafe(F.col("_order")), "left_semi")
+    return kept.select(key, *[c for c in df.columns if c != key])
 
 
 # R8 / R24 ----------------------------------------------------------------
