@@ -122,3 +122,27 @@ def test_evaluation_rows_choose_the_epoch(spark):
     assert len(losses) <= model.best_epoch + 1
     none = M.train_sentiment(train, evaluation=other.limit(0), epochs=2, iterations=2)
     assert none.eval_loss is None and none.best_epoch == len(none.log) - 1
+
+
+def test_external_network_is_loaded_once_a_worker(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def load():
+        import os
+        import uuid
+        import numpy as np
+        open(os.path.join(folder, f"load-{uuid.uuid4().hex}"), "w").close()
+
+        def predict(texts):
+            assert len(texts) <= 32
+            return np.array([[len(t), 2.0, t.count("z")] for t in texts], float)
+        return predict
+
+    rows = [(i, "z" * (i % 7) if i % 11 else None, i) for i in range(500)]
+    df = spark.createDataFrame(rows, "id long, comment string, logits int").coalesce(1)
+    got = {r.id: r for r in M.score_external(df, load).collect()}
+    for i, text, _ in rows:
+        n = float(len(text or ""))
+        assert got[i].logits == [n, 2.0, n] and got[i].predict_label == (0 if n >= 2 else 1)
+        assert got[i].confidence_matrix.startswith("負:")
+    assert len(list(tmp_path.iterdir())) == 1

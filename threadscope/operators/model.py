@@ -11,10 +11,11 @@ oracles.
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threadscope.operators import relational as R
 
@@ -217,6 +218,24 @@ def score_comments(model, df: DataFrame, text_col: str = "comment", model_text_c
                       confidence_string(probs).alias("confidence_matrix"))
 
 
+def score_external(df: DataFrame, make_predict: Callable, text_col: str = "comment", batch_size: int = 32,
+                   names: Sequence[str] | None = CLASS_NAMES) -> DataFrame:
+    """M5 with a network that is not Spark's: add ``logits``, ``predict_label`` and
+    ``confidence_matrix``; all input columns are kept, a NULL text is scored as ``""``.
+
+    ``make_predict`` loads the model and returns a function from an array of
+    texts to an array of one row of logits each; it is called once a Python
+    worker, and the function with ``batch_size`` texts at most. The
+    probabilities are computed by Spark."""
+    from pyspark.ml.functions import predict_batch_udf
+    predict = predict_batch_udf(make_predict, return_type=T.ArrayType(T.DoubleType()), batch_size=batch_size)
+    own = [c for c in df.columns if c not in ("logits", "predict_label", "confidence_matrix")]
+    out = df.withColumn("_logits", predict(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    out = out.withColumn("_probs", softmax(F.col("_logits")))
+    return out.select(*own, F.col("_logits").alias("logits"), argmax(F.col("_probs")).alias("predict_label"),
+                      confidence_string(F.col("_probs"), names).alias("confidence_matrix"))
+
+
 def loss_history(log: DataFrame, loss_col: str = "loss", eval_col: str = "eval_loss") -> DataFrame:
     """Training-log rows with a truthy train or eval loss (0 and NULL are falsy)."""
     truthy = lambda c: F.coalesce(F.col(c) != 0, F.lit(False))

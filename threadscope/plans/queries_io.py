@@ -131,20 +131,33 @@ def _in_order(df):
     return df.withColumn("_id", F.regexp_extract("post_url", r"(\d+)$", 1).cast("bigint")).orderBy("_id").drop("_id")
 
 
+_SQL_JOIN = """
+        SELECT p.platform, p.post_time, p.author, p.title, p.content, p.total_reac, c.comment_author, c.comment
+        FROM {pl}_comments c LEFT JOIN {pl}_posts p ON c.post_id = p.post_id
+        WHERE c.comment IS NOT NULL AND c.comment != ''"""
+_PLATFORMS = ["ptt", "baha", "dcard"]
+
+
+def _tables_of(spark, sf):
+    raw = posts_json.read_posts_json(spark, _write_raw(spark, _in_order(_raw_posts(spark, sf))))
+    return ingest.build_tables(*ingest.split_posts_comments(raw))
+
+
 @query("s8_sql_over_tables", sql=_SQL_TABLES)
 def s8_sql_over_tables(spark, sf):
-    raw = posts_json.read_posts_json(spark, _write_raw(spark, _in_order(_raw_posts(spark, sf))))
-    posts, comments = ingest.split_posts_comments(raw)
-    pt, ct = ingest.build_tables(posts, comments)
     base = _tmp(spark, "tables")
-    tables.write_posts_comments(pt, ct, base)                     # S7
-    platforms = ["ptt", "baha", "dcard"]
-    tables.register_platform_views(spark, base, platforms)
-    sql = "\nUNION ALL\n".join(f"""
-        SELECT p.platform, p.post_time, p.author, p.title, p.content, p.total_reac, c.comment_author, c.comment
-        FROM {pl}_comments c LEFT JOIN {pl}_posts p ON c.post_id = p.post_id
-        WHERE c.comment IS NOT NULL AND c.comment != ''""" for pl in platforms)
-    return tables.run_sql(spark, sql)                              # S8
+    tables.write_posts_comments(*_tables_of(spark, sf), base)       # S7
+    tables.register_platform_views(spark, base, _PLATFORMS)
+    return tables.run_sql(spark, "\nUNION ALL\n".join(_SQL_JOIN.format(pl=pl) for pl in _PLATFORMS))  # S8
+
+
+@query("s8_sql_over_co_located", sql=_SQL_TABLES)
+def s8_sql_over_co_located(spark, sf):
+    """The same over tables bucketed by post id: the joins shuffle nothing."""
+    name = f"posts_{uuid.uuid4().hex}"
+    tables.save_co_located(*_tables_of(spark, sf), _tmp(spark, "co-located"), name, buckets=8)
+    tables.register_platform_views(spark, None, _PLATFORMS, name)
+    return tables.run_sql(spark, "\nUNION ALL\n".join(_SQL_JOIN.format(pl=pl) for pl in _PLATFORMS))
 
 
 # --- P1 -------------------------------------------------------------------------

@@ -213,6 +213,37 @@ def m14_loss_history(spark, sf):
     return M.loss_history(M.training_log(model, spark))
 
 
+# --- M5: a network from outside -----------------------------------------------
+
+#: A stand-in for a trained network: weights of three features for each class, in steps of 1/1024.
+_NETWORK = [[40, -9, 3], [-20, 12, 1], [6, 2, -30]]
+
+
+def _load_network():
+    """What a user passes: loads the model, once a worker, and returns the function that scores a batch."""
+    import numpy as np
+    weights = np.array(_NETWORK, float).T / 1024
+
+    def predict(texts: np.ndarray) -> np.ndarray:
+        features = [[t.count("e"), t.count(" "), t.count(".")] for t in texts.tolist()]
+        return np.minimum(np.array(features, float).reshape(-1, 3), 200.0) @ weights
+
+    return predict
+
+
+_SQL_LOGITS = ", ".join("(" + " + ".join(f"{w} * least(length(t) - length(replace(t, '{c}', '')), 200)" for w, c in zip(row, "e .", strict=True)) + ") / 1024.0::DOUBLE"
+                        for row in _NETWORK)
+
+
+@query("m5_external_scores", sql=with_fx(f"""
+SELECT doc_id, logits, CAST(list_position(logits, list_max(logits)) - 1 AS INTEGER) AS predict_label
+FROM (SELECT doc_id, [{_SQL_LOGITS}] AS logits FROM (SELECT doc_id, coalesce(content, '') AS t FROM fx_posts))""", "fx_posts"))
+def m5_external_scores(spark, sf):
+    """All posts scored by a model from outside, in batches of 32."""
+    posts = fx.fx_posts(spark, sf).select("doc_id", F.col("content").alias("comment"))
+    return M.score_external(posts, _load_network).select("doc_id", "logits", "predict_label")
+
+
 # --- M15 + S4 / S5: one predicted class through CSV ---------------------------
 
 @query("m15_export_class_csv", sql=with_fx(

@@ -89,16 +89,27 @@ def write_posts_comments(posts: DataFrame, comments: DataFrame, base: str, mode:
         write_table(conform(df, T.StructType(fields)), f"{base}/{name}", mode, [by])
 
 
-def register_platform_views(spark: SparkSession, base: str, platforms: Sequence[str]) -> None:
+def save_co_located(posts: DataFrame, comments: DataFrame, base: str, name: str, buckets: int) -> None:
+    """Posts and comments below ``base`` as tables ``{name}_posts`` and
+    ``{name}_comments``, both bucketed and sorted by ``post_id``: a join of the
+    two reads bucket by bucket and shuffles neither. ``buckets`` is chosen for
+    the comments, the larger table."""
+    for df, schema, table in ((posts, POSTS_SCHEMA, "posts"), (comments, COMMENTS_SCHEMA, "comments")):
+        by = FOLDER_COL if FOLDER_COL in df.columns else "platform"
+        fields = schema.fields + ([T.StructField(by, T.StringType())] if by == FOLDER_COL else [])
+        (conform(df, T.StructType(fields)).repartition(buckets, "post_id").write.mode("overwrite").partitionBy(by)
+         .bucketBy(buckets, "post_id").sortBy("post_id").option("path", f"{base}/{table}").saveAsTable(f"{name}_{table}"))
+
+
+def register_platform_views(spark: SparkSession, base: str | None, platforms: Sequence[str], name: str | None = None) -> None:
     """Temp views ``{platform}_posts`` / ``{platform}_comments`` over the
-    partitioned tables; the platform filter (case-insensitive) prunes
-    partitions."""
-    posts = spark.read.parquet(f"{base}/posts")
-    comments = spark.read.parquet(f"{base}/comments")
+    partitioned tables below ``base``, or over the co-located tables ``name``;
+    the platform filter (case-insensitive) prunes partitions."""
+    posts, comments = ((spark.table(f"{name}_{t}") if name else spark.read.parquet(f"{base}/{t}")) for t in ("posts", "comments"))
     for p in platforms:
-        for df, name in ((posts, "posts"), (comments, "comments")):
+        for df, table in ((posts, "posts"), (comments, "comments")):
             by = FOLDER_COL if FOLDER_COL in df.columns else "platform"
-            df.filter(F.lower(F.col(by)) == p.lower()).createOrReplaceTempView(f"{p}_{name}")
+            df.filter(F.lower(F.col(by)) == p.lower()).createOrReplaceTempView(f"{p}_{table}")
 
 
 def run_sql(spark: SparkSession, sql: str) -> DataFrame:
