@@ -86,3 +86,10 @@ def test_empty_table_and_texts(spark, tmp_path):
     assert all(rows == [] for rows in stages(spark, spark.createDataFrame([], DOCS), folder))
     steps = stages(spark, spark.createDataFrame([(i, None, None, None, None) for i in range(5)], DOCS), folder)
     assert len(steps[1]) == 5 and steps[4] == []  # nothing to take from texts without words
+
+
+def test_without_labels_all_documents_stay(spark, tmp_path):
+    folder = str(tmp_path)
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(folder + "/labels.parquet")
+    docs = spark.createDataFrame(corpus(20), DOCS)
+    assert Counter(P.reject_toxic(spark, docs, folder).collect()) == Counter(docs.collect())
