@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from threadscope.catalog import query
 from threadscope.operators import relational as R
 from threadscope.plans.weak_label import hot_comments, weak_label_sample
+from threadscope.plans.sql_cleaning import cleaned
 from threadscope.plans.sql_keywords import SQL_STOP as _SQL_STOP
 from threadscope.plans.sql_keywords import SQL_TOKENS as _SQL_TOKENS
 from threadscope.sources import fixtures as fx
@@ -193,8 +194,7 @@ def c9_article_tag(spark, sf):
     return pages.select("page_id", C.extract_article_tag(t).alias("article_tag"))
 
 
-@query("c2_clean_text", note="DuckDB regex has no look-around/back-references; "
-       "checked against Python re on 21k strings in tests")
+@query("c2_clean_text", sql=f"SELECT doc_id, text AS clean_text FROM {cleaned('documents', 'text')}")
 def c2_clean_text(spark, sf):
     d = fx.read_table(spark, sf, "documents")
     return d.select("doc_id", clean_text(F.col("text")).alias("clean_text"))

@@ -17,6 +17,7 @@ from threadscope.operators import keywords as K
 from threadscope.operators import lexicon as L
 from threadscope.operators import model as M
 from threadscope.operators import relational as R
+from threadscope.plans.sql_cleaning import cleaned
 from threadscope.plans.sql_keywords import SQL_SPACE
 from threadscope.plans.sql_keywords import SQL_STOP as _SQL_STOP
 from threadscope.plans.sql_keywords import SQL_TOKENS as _SQL_TOKENS
@@ -107,7 +108,8 @@ def r3_explode_comments(spark, sf):
 
 # --- C5 / C6 ------------------------------------------------------------------
 
-@query("c5_clean_comments", note="regex chain with look-around; rows-only (differential tests in tests/)")
+@query("c5_clean_comments", sql=with_fx(f"""
+SELECT post_key, pos, comment_author, comment FROM {cleaned('fx_comments', 'comment')} WHERE length(comment) >= 6""", "fx_comments"))
 def c5_clean_comments(spark, sf):
     return C.clean_comments(fx.fx_comments(spark, sf)).select("post_key", "pos", "comment_author", "comment")
 
