@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from threadscope.catalog import query
 from threadscope.operators import relational as R
 from threadscope.plans.weak_label import hot_comments, weak_label_sample
-from threadscope.plans.sql_cleaning import cleaned
+from threadscope.plans.sql_cleaning import CLEANED_POSTS, cleaned
 from threadscope.plans.sql_keywords import SQL_STOP as _SQL_STOP
 from threadscope.plans.sql_keywords import SQL_TOKENS as _SQL_TOKENS
 from threadscope.sources import fixtures as fx
@@ -200,7 +200,9 @@ def c2_clean_text(spark, sf):
     return d.select("doc_id", clean_text(F.col("text")).alias("clean_text"))
 
 
-@query("c12_clean_posts", note="uses clean_text; rows-only")
+@query("c12_clean_posts", sql=with_fx(CLEANED_POSTS + """
+SELECT k.post_key, k.pos, k.platform, k.comment_author, k.comment, k.comment_tag, p.post_time, p.author, p.title, p.content, p.total_reac
+FROM kept k JOIN posts p ON p.doc_id = k.post_key""", "fx_posts", "fx_comments").replace("\n\n, given AS", ",\ngiven AS", 1))
 def c12_clean_posts(spark, sf):
     cp, cc = C.clean_all(_posts(spark, sf), fx.fx_comments(spark, sf), "post_key", ["pos"], year="2025",
                          materialize=True)

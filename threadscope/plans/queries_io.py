@@ -19,6 +19,7 @@ from threadscope.catalog import query
 from threadscope.functions.ids import post_id
 from threadscope.operators import keywords as K
 from threadscope.plans import ingest
+from threadscope.plans.sql_cleaning import CLEANED_POSTS
 from threadscope.plans.sql_keywords import SQL_STOP as _SQL_STOP
 from threadscope.plans.sql_keywords import SQL_TOKENS as _SQL_TOKENS
 from threadscope.session import scratch_path
@@ -162,10 +163,19 @@ def s8_sql_over_co_located(spark, sf):
 
 # --- P1 -------------------------------------------------------------------------
 
-@query("p1_ingest", note="cleaning chain (regex look-around) inside; rows-only")
+_P1_COLUMNS = ["platform", "post_time", "author", "title", "content", "total_reac", "comment_count", "comment_author", "comment", "platform_folder"]
+
+
+@query("p1_ingest", sql=with_fx(CLEANED_POSTS + """
+SELECT p.platform, p.post_time, nullif(p.author, '') AS author, nullif(p.title, '') AS title, nullif(p.content, '') AS content,
+       nullif(p.total_reac, '') AS total_reac, CAST(n.n AS VARCHAR) AS comment_count,
+       k.comment_author, k.comment, p.platform AS platform_folder
+FROM kept k JOIN posts p ON p.doc_id = k.post_key JOIN (SELECT post_key, count(*) AS n FROM fx_comments GROUP BY post_key) n
+  ON n.post_key = k.post_key""", "fx_posts", "fx_comments").replace("\n\n, given AS", ",\ngiven AS", 1))
 def p1_ingest(spark, sf):
     """The ingest job over one raw folder per platform, CSV and tables both;
-    the cleaned long table read back."""
+    the cleaned long table read back from the CSV, which has no empty text
+    besides the missing one."""
     base = _tmp(spark, "raw-posts")
     # One folder per platform, written in one job.
     if not posts_json.write_posts_json(_raw_posts(spark, sf).withColumn("folder", F.col("platform")), base,
@@ -174,8 +184,8 @@ def p1_ingest(spark, sf):
     folders = {p: f"{base}/folder={p}" for p in ("ptt", "baha", "dcard")}
     out = ingest.run_many(spark, folders, _tmp(spark, "ingest-out"), output_type="both", year="2025")
     if "csv" not in out:
-        return spark.createDataFrame([], "platform string")
-    return tables.read_csv(spark, out["csv"])
+        return spark.createDataFrame([], ", ".join(f"{c} string" for c in _P1_COLUMNS))
+    return tables.read_csv(spark, out["csv"]).select(_P1_COLUMNS)
 
 
 # --- P3 -------------------------------------------------------------------------

@@ -70,3 +70,25 @@ def cleaned(source: str, text: str) -> str:
     return f"""(SELECT * EXCLUDE (_chars) REPLACE (trim(regexp_replace(array_to_string(list_filter(_chars,
         lambda x, i: i < 3 OR x <> _chars[i - 1] OR x <> _chars[i - 2]), ''), '[{_S}]+', ' ', 'g'), ' ') AS {text})
         FROM (SELECT *, regexp_extract_all({chain}, '(?s).') AS _chars FROM {source}))"""
+
+
+#: CTEs ``kept`` (cleaned comments) and ``posts`` (their posts, cleaned) of the posts of 2025: lines of one
+#: author that go on are merged on PTT, whose comments are cleaned twice.
+CLEANED_POSTS = f"""
+, given AS (SELECT c.* FROM fx_comments c JOIN fx_posts p ON p.doc_id = c.post_key WHERE p.post_time LIKE '2025%'),
+starts AS (
+  SELECT *, CASE WHEN lag(pos) OVER w IS NULL OR comment_tag <> '→' OR comment_author IS DISTINCT FROM lag(comment_author) OVER w
+                 THEN 1 ELSE 0 END AS st
+  FROM given WHERE platform = 'ptt' WINDOW w AS (PARTITION BY post_key ORDER BY pos)),
+runs AS (SELECT *, sum(st) OVER (PARTITION BY post_key ORDER BY pos ROWS UNBOUNDED PRECEDING) AS run FROM starts),
+merged AS (SELECT post_key, min(pos) AS pos, 'ptt' AS platform, arg_min(comment_author, pos) AS comment_author,
+                  string_agg(comment, '' ORDER BY pos) AS comment, CAST(NULL AS VARCHAR) AS comment_tag FROM runs GROUP BY post_key, run),
+both_kinds AS (SELECT * FROM {cleaned('merged', 'comment')} WHERE length(comment) >= 6
+               UNION ALL SELECT post_key, pos, platform, comment_author, comment, comment_tag FROM given WHERE platform <> 'ptt'),
+kept AS (SELECT * FROM {cleaned('both_kinds', 'comment')} WHERE length(comment) >= 6),
+posts AS (
+  SELECT * REPLACE (CASE WHEN platform <> 'ptt' THEN total_reac WHEN total_reac IS NULL OR total_reac = '' THEN '0'
+                         WHEN total_reac = '爆' OR starts_with(total_reac, 'X') OR regexp_matches(total_reac, '^-*[0-9]+$') THEN '0'
+                         ELSE total_reac END AS total_reac)
+  FROM {cleaned('(SELECT * FROM fx_posts WHERE doc_id IN (SELECT post_key FROM kept))', 'content')})
+"""

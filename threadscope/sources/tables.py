@@ -45,11 +45,13 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 # S4 / S5 -----------------------------------------------------------------
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> bool:
-    """CSV with a header and no index; skipped (returns False) when empty.
-    Spark has no byte-order-mark option, so files are plain UTF-8."""
+    """CSV with a header and no index, white space at the ends of values kept;
+    skipped (returns False) when empty. Spark has no byte-order-mark option, so
+    files are plain UTF-8."""
     if df.isEmpty():
         return False
-    w = df.write.mode(mode).option("header", True).option("escape", '"')
+    w = (df.write.mode(mode).option("header", True).option("escape", '"')
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)
