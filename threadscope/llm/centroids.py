@@ -31,12 +31,15 @@ SLACK = 2.0 ** -20
 
 
 class Rotation:
-    """Leading principal axes: rotates vectors and splits off the rest's norm."""
+    """Leading principal axes, as many as hold ``share`` of the variance:
+    rotates vectors and splits off the rest's norm."""
 
-    def __init__(self, n: int, total: np.ndarray, gram: np.ndarray, leading: int):
+    def __init__(self, n: int, total: np.ndarray, gram: np.ndarray, share: float):
         self.mean = total / max(n, 1)
         values, axes = np.linalg.eigh(gram / max(n, 1) - np.outer(self.mean, self.mean))
-        self.axes = axes[:, np.argsort(-values, kind="stable")[:leading]]
+        order = np.argsort(-values, kind="stable")
+        held = np.cumsum(np.maximum(values[order], 0.0))
+        self.axes = axes[:, order[:int(np.searchsorted(held, share * held[-1])) + 1]] if len(held) else axes
 
     def __call__(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         moved = vectors.astype(np.float64) - self.mean
@@ -82,7 +85,7 @@ def nearest(vectors: np.ndarray, leading: np.ndarray, rest: np.ndarray, centroid
 
 
 def cluster_vectors(df: DataFrame, id_col: str, vector: str, k: int = 8, rounds: int = 10, scale: float = 1024.0,
-                    dim: int = 64, seed: int = 3, leading: int = 16) -> DataFrame:
+                    dim: int = 64, seed: int = 3, share: float = 0.9) -> DataFrame:
     """(vec_id, cluster, distance, cluster_inertia, inertia, centroid_sha256,
     compared): the cluster of every vector of ``dim`` components after
     ``rounds`` rounds of assigning all vectors to the nearest centroid and
@@ -95,7 +98,8 @@ def cluster_vectors(df: DataFrame, id_col: str, vector: str, k: int = 8, rounds:
     non-finite component take no part; a null id does. Repeated rows are rows
     of their own. A centroid without vectors stays. Distances and inertias
     beyond a long count as its maximum. An empty table gives no rows. Other
-    columns are not read. ``compared``: how many centroids the bounds left.
+    columns are not read. ``share``: of the variance that the leading rotated
+    coordinates hold; ``compared``: how many centroids their bounds left.
     """
     spark = prepare(df)
     rows = integer_rows(df, vector, scale, id=F.col(f"`{id_col}`")).filter(F.col("dim") == dim).select("id", "vec")
@@ -112,7 +116,7 @@ def cluster_vectors(df: DataFrame, id_col: str, vector: str, k: int = 8, rounds:
     sums = {r["at"]: r.value for r in rows.select("vec").mapInArrow(products, "at int, value double")
             .groupBy("at").agg(F.sum("value").alias("value")).collect()}  # 1 + dim + dim * dim numbers
     flat = np.array([sums.get(i, 0.0) for i in range(1 + dim + dim * dim)])
-    rotation = Rotation(int(flat[0]), flat[1:1 + dim], flat[1 + dim:].reshape(dim, dim), min(leading, dim))
+    rotation = Rotation(int(flat[0]), flat[1:1 + dim], flat[1 + dim:].reshape(dim, dim), share)
 
     def rotate(batches):
         for batch in batches:
