@@ -35,4 +35,4 @@ def test_queries_run_from_another_directory(tmp_path):
     assert out.returncode == 0, out.stderr[-2000:]
     counts = dict(line.split() for line in out.stdout.splitlines() if line.count(" ") == 1)
     assert int(counts["entry"]) > 0 and int(counts["c2_clean_text"]) == 200
-    assert int(counts["x4_baha_floors"]) > 0 and int(counts["c11_skip_non_records"]) == 200
+    assert int(counts["x4_baha_floors"]) > 0 and int(counts["c11_skip_non_records"]) >= 200  # a row a comment, each post at least once
