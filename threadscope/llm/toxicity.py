@@ -34,7 +34,7 @@ COMMON, MAX_COMMON = 32, 1024
 #: Terms by which the examples are ordered.
 HEAVY = 256
 #: Texts and postings that are scored at a time, and blocks of each text that are multiplied first.
-TEXTS, POSTINGS, FIRST = 128, 1 << 21, 3
+TEXTS, POSTINGS, FIRST = 128, 1 << 20, 3
 #: Weights are multiples of 1 / UNIT.
 UNIT = 2.0 ** 25
 
@@ -149,6 +149,8 @@ class BlockMaxIndex:
 
     def _build(self) -> None:
         examples, row, term, weight, terms_n = self.entries
+        if not self.kept:
+            self.entries = None
         self.blocks = max(1, -(-examples // BLOCK))
         at = np.empty(examples, np.int32)
         at[self.order] = np.arange(examples, dtype=np.int32)
@@ -158,18 +160,16 @@ class BlockMaxIndex:
         self.place = np.full(terms_n, -1, np.int32)  # row of the matrix
         self.place[common] = np.arange(len(common))
         often = self.place[term] >= 0
-        matrix = np.zeros((len(common), self.blocks * BLOCK))
-        matrix[self.place[term[often]], at[row[often]]] = weight[often]
-        matrix = matrix.reshape(len(common), self.blocks, BLOCK)
-        self.top = matrix.max(axis=2)
-        self.matrix = np.ascontiguousarray(matrix.transpose(1, 0, 2))
-        row, term, weight = at[row[~often]], term[~often], weight[~often]
+        self.matrix = np.zeros((self.blocks, len(common), BLOCK))
+        where = at[row[often]]
+        self.matrix[where // BLOCK, self.place[term[often]], where % BLOCK] = weight[often]
+        self.top = np.ascontiguousarray(self.matrix.max(axis=2).T)
+        often = ~often
+        row, term, weight = at[row[often]], term[often], weight[often]
         by = np.lexsort((row, term))
         self.row, self.weight = row[by], weight[by]
         self.cut = np.searchsorted(term[by], np.arange(terms_n + 1))
         self.built, self.multiplied, self.met = True, 0, 0
-        if not self.kept:
-            self.entries = None
 
     def search(self, row: np.ndarray, term: np.ndarray, weight: np.ndarray, texts: int, k: int
                ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -450,7 +450,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", evidence: int = 5)
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, source):
+            for part in slices(batch, source, 1 << 20):
                 found, row, example, cosine = held.value.score(part.column(part.num_columns - 1), slope, offset)
                 shown = np.arange(len(row)) - np.searchsorted(row, row) < evidence
                 cut = pa.array(np.searchsorted(row[shown], np.arange(part.num_rows + 1)), pa.int32())
