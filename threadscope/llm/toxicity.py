@@ -376,6 +376,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     df = np.zeros(len(vocabulary) + 1, np.int64)  # the last: all texts
     df[sums["place"].to_numpy()] = sums["n"].to_numpy()
     idf = (np.log((1 + df[-1]) / (1.0 + df[:-1])) + 1) * (np.maximum(phi, least) if toxic_n and clean_n else 1.0)
+    del counted, sums, order, a, b, spread, phi, df  # the driver's memory is small
 
     def vectors(batches):
         for batch in batches:
