@@ -170,10 +170,12 @@ def train_sentiment(train: DataFrame, text_col: str = "text", label_col: str = "
     from pyspark.ml import Pipeline, PipelineModel
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
     pipe, lr = build_pipeline(MODEL_TEXT, label_col, reg_param=reg_param)
+    # Every partition sends a gradient of all weights at every step, so there are no more of them than cores.
+    cores = train.sparkSession.sparkContext.defaultParallelism
 
     def rows(df: DataFrame) -> DataFrame:
         return df.select(F.coalesce(F.col(text_col), F.lit("")).alias(MODEL_TEXT), F.col(label_col).cast("double").alias(label_col)) \
-            .filter(F.col(label_col).isNotNull())
+            .filter(F.col(label_col).isNotNull()).coalesce(cores)
 
     data = rows(train).persist()
     if evaluation is None:
