@@ -42,11 +42,14 @@ LEXICON = GAME_WORDS + [w for w in STOP_WORDS if len(w) > 1]
 
 
 def token_pattern(lexicon: Iterable[str] = LEXICON) -> str:
-    """Regex with one capture group; valid in Java and RE2 syntax."""
+    """Regex with one capture group; valid in Java and RE2 syntax. Words that
+    begin with other than an ASCII letter or digit come after the runs of these,
+    which begin at other places: at most places they so need not be tried."""
     words = sorted({w for w in lexicon if w}, key=lambda w: (-len(w), w))
-    alts = [re.sub(r"([\\.^$|?*+()\[\]{}])", r"\\\1", w) for w in words]
-    alts += [r"[A-Za-z0-9]+", rf"[^{_WS}A-Za-z0-9]"]
-    return "(" + "|".join(alts) + ")"
+    plain = [[], []]
+    for w in words:
+        plain[not re.match("[A-Za-z0-9]", w)].append(re.sub(r"([\\.^$|?*+()\[\]{}])", r"\\\1", w))
+    return "(" + "|".join([*plain[0], r"[A-Za-z0-9]+", *plain[1], rf"[^{_WS}A-Za-z0-9]"]) + ")"
 
 
 def segment(text: Column, lexicon: Iterable[str] = LEXICON) -> Column:
@@ -63,8 +66,9 @@ def filter_tokens(tokens: Column, stop_words: Sequence[str] = STOP_WORDS) -> Col
     """K2: drop stop words and tokens of one character unless it is a
     letter (a single CJK character is a letter, so it stays)."""
     stop = _stop(stop_words)
-    return F.filter(tokens, lambda t: ~F.array_contains(stop, t)
-                    & ((F.length(t) >= 2) | t.rlike(r"^\p{L}+$")))
+    longest = max([1, *map(len, stop_words)])  # longer tokens need not be looked up
+    return F.filter(tokens, lambda t: (F.length(t) > longest) | (~F.array_contains(stop, t)
+                    & ((F.length(t) >= 2) | t.rlike(r"^\p{L}+$"))))
 
 
 def keyword_table(scored: DataFrame, id_col: str = "doc_id", label_col: str = "predict_label",
@@ -89,8 +93,9 @@ def term_frequency(texts: DataFrame, text_col: str = "comment", max_words: int =
     word) with ``weight = count / top count``. Counting is a partial
     aggregate; the top-k is a distributed TakeOrdered."""
     stop = _stop(stop_words)
+    longest = max([1, *map(len, stop_words)])
     toks = F.filter(segment(F.col(text_col), lexicon),
-                    lambda t: (F.length(t) >= 2) & ~F.array_contains(stop, t))
+                    lambda t: (F.length(t) > longest) | ((F.length(t) >= 2) & ~F.array_contains(stop, t)))
     counts = texts.select(F.explode(toks).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
     top = counts.orderBy(F.desc("count"), F.asc("word")).limit(max_words)
     w = Window.partitionBy()  # over at most max_words rows
