@@ -55,3 +55,19 @@ def test_small_tables(spark):
     assert len(r) == 1 and r[0].near_next == 1.0 and r[0].edited_sha256 == hashlib.sha256(b"abab").hexdigest()
     assert P.compare_with_edits(one.limit(0)).count() == 0
     assert np.array_equal(P.paragraphs(pa.array(["", None]))[1], [0, 0, 0])
+
+
+def test_tables_held_at_a_time_are_bounded(monkeypatch):
+    """Pairs that do not peel held up to 1 << 22 cells of 20 bytes, three times over."""
+    import numpy as np
+
+    from threadscope.llm import fingerprint as fp
+    held, make = [], fp.Sketches.__init__
+    monkeypatch.setattr(fp.Sketches, "__init__", lambda self, d, at, cells: held.append((len(at) - 1) * cells) or make(self, d, at, cells))
+    rng = np.random.default_rng(3)
+    n, m = 300, 900
+    a, b = (rng.integers(1, 1 << 63, n * m, dtype=np.uint64) for _ in range(2))
+    at = np.arange(0, n * m + 1, m)
+    text, _, sign = fp.differences((a, at), (b, at))
+    assert max(held) <= fp.ROOM
+    assert (np.bincount(text[sign > 0], minlength=n) == m).all() and (np.bincount(text[sign < 0], minlength=n) == m).all()

@@ -26,6 +26,8 @@ from threadscope.llm.common import mix, prepare, shuffle_partitions, slices, spa
 CELLS = 8
 #: A long line is cut after one word in so many.
 CUT = 8
+#: Cells of a third that are held at a time, for all pairs together (a cell takes 20 bytes in each of three tables).
+ROOM = 1 << 17
 
 _U = np.uint64
 
@@ -136,8 +138,8 @@ def differences(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarra
         found.append((left[text[kept]], key[kept], sign[kept]))
         left = left[~done]
         cells *= 4
-        if len(left) * cells > 1 << 22 and len(left) > 1:  # large tables: a few texts at a time
-            for part in np.array_split(left, min(len(left), -(-len(left) * cells // (1 << 22)))):
+        if len(left) * cells > ROOM and len(left) > 1:  # large tables: a few texts at a time
+            for part in np.array_split(left, min(len(left), -(-len(left) * cells // ROOM))):
                 t, k, s = differences(_pick(*a, part), _pick(*b, part), cells)
                 found.append((part[t], k, s))
             break
