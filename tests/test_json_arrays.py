@@ -117,3 +117,60 @@ def test_states_of_ranges():
         inside, delta = A.structure(np.frombuffer(part.encode(), np.uint8))
         rows.append(("f", n, bool(inside[-1]), int(delta[~inside].sum()), int(delta[inside].sum())))
     assert A.range_states(rows) == {("f", 0): (False, 0, False), ("f", 1): (True, 2, False), ("f", 2): (True, 2, False), ("f", 3): (False, 1, True)}
+
+
+@pytest.mark.parametrize("step", [1, 2, 7])
+def test_steps_of_any_size_give_the_elements(monkeypatch, step):
+    import pyarrow as pa
+    monkeypatch.setattr(A, "STEP", step)
+    rng = random.Random(step)
+    for _ in range(40):
+        whole = [key_text(value(rng)) for _ in range(rng.randrange(6))]
+        data = json.dumps(whole, ensure_ascii=rng.random() < 0.5).encode()
+        assert b"".join(A.steps(data)) == data
+        values = data.split(b"}")
+        batch = pa.RecordBatch.from_pydict({"file_path": ["f"] * len(values), "block": [0] * len(values), "value": pa.array(values, pa.binary()),
+                                            "shared": [False] * len(values)})
+        rows = [r for b in A._cut({})(iter([batch])) for r in b.to_pylist()]
+        assert [(r["idx"], json.loads(r["value"])) for r in rows if r["kind"] == "object"] == [(i, v) for i, v in enumerate(whole) if isinstance(v, dict)]
+        assert not [r for r in rows if r["kind"] == "bad"] and rows[-1]["value"] == A._ONE_ARRAY
+    escapes = rb'"\\\\\\\"\\" \"'
+    assert all((len(p) - len(p.rstrip(b"\\"))) % 2 == 0 for p in A.steps(escapes))
+
+
+def test_arrays_over_a_batch_are_small():
+    """A batch of 32 MB, once with many records and once with few, is cut with less than its size besides it."""
+    import tracemalloc
+
+    import pyarrow as pa
+    for n, size in ((10_000, 3 << 10), (4, 8 << 20)):
+        data = json.dumps([{"a": "x, [y" * (size // 5)}] * n).encode()
+        values = data.split(b"}")
+        batch = pa.RecordBatch.from_pydict({"file_path": ["f"] * len(values), "block": [0] * len(values), "value": pa.array(values, pa.binary()),
+                                            "shared": [False] * len(values)})
+        del data, values
+        for run in (A._cut({}), A._summaries):
+            tracemalloc.start()
+            assert sum(b.num_rows for b in run(iter([batch]))) == (n + 1 if run is not A._summaries else 1)
+            peak = tracemalloc.get_traced_memory()[1]
+            tracemalloc.stop()
+            assert peak < 80 << 20, peak
+
+
+def test_texts_are_written_from_their_batch(tmp_path, monkeypatch):
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+    import pyspark
+
+    from threadscope.sources.json_sink import ArrayWriter
+    monkeypatch.setattr(pyspark.TaskContext, "get", staticmethod(lambda: SimpleNamespace(partitionId=lambda: 0, taskAttemptId=lambda: 0)))
+    texts = pa.array([json.dumps({"n": i, "t": "中😀" * 1000}, ensure_ascii=False) for i in range(2000)])
+    batch = pa.RecordBatch.from_arrays([pa.array([None] * 1000 + ["b"] * 1000), texts], ["folder", "j"])
+    tracemalloc.start()
+    done = ArrayWriter(str(tmp_path), True).write(iter([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 << 20 < texts.nbytes, peak
+    assert [json.loads((tmp_path / f).read_text(encoding="utf-8")) for f in done.files] == [[json.loads(t) for t in texts.to_pylist()][i:i + 1000] for i in (0, 1000)]

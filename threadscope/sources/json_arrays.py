@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,10 +36,11 @@ VARIANT_BYTES = 128 << 20
 DEPTH = 200
 #: Bytes of rows that are sent on at a time.
 SEND = 8 << 20
+#: Bytes that are looked at at a time; the arrays over them take some thirty times as many.
+STEP = 256 << 10
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0D]] = True
-_LARGE_EXPONENT = re.compile(rb"[eE]\+?\d{3,}")
 _ROWS = "file_path string, block long, idx long, kind string, value string, piece binary, reason string"
 #: The summary of a range that opens and closes one array.
 _ONE_ARRAY = json.dumps([1, 0, False])
@@ -47,6 +49,20 @@ _NAMES = [f.split()[0] for f in _ROWS.split(", ")]
 
 # --- one byte range -----------------------------------------------------------
 
+def steps(data: bytes) -> Iterator[bytes]:
+    """``data`` in parts of about ``STEP`` bytes; none ends between a backslash and what it escapes."""
+    if len(data) <= STEP:
+        yield data
+        return
+    at = 0
+    while at < len(data):
+        part = data[at:at + STEP]
+        if (len(part) - len(part.rstrip(b"\\"))) % 2:
+            part = data[at:at + STEP + 1]
+        yield part
+        at += len(part)
+
+
 def structure(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each byte whether the quotes up to it leave a string open, if none
     was at the start; and 1 for an opening bracket, -1 for a closing one."""
@@ -58,8 +74,8 @@ def structure(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         run = back[last] - back[first] + 1
         after = back[last][run % 2 == 1] + 1
         quote[after[after < len(raw)]] = False
-    inside = (np.cumsum(quote) & 1).astype(bool)
-    depth = ((raw == 0x5B) | (raw == 0x7B)).astype(np.int64) - ((raw == 0x5D) | (raw == 0x7D))
+    inside = (np.cumsum(quote.view(np.uint8), dtype=np.uint8) & 1).astype(bool)
+    depth = ((raw == 0x5B) | (raw == 0x7B)).astype(np.int8) - ((raw == 0x5D) | (raw == 0x7D))
     return inside, depth
 
 
@@ -83,13 +99,18 @@ class _Element:
 
     def __init__(self):
         self.odd = False
-        self.decoder = json.JSONDecoder(object_pairs_hook=self._pairs, parse_constant=self._constant)
+        self.decoder = json.JSONDecoder(object_pairs_hook=self._pairs, parse_float=self._float, parse_constant=self._constant)
 
     def _pairs(self, pairs):
         found = dict(pairs)
         self.odd |= len(found) < len(pairs)
         return found
 
+    def _float(self, text):
+        value = float(text)
+        self.odd |= value in (float("inf"), -float("inf"))
+        return value
+
     def _constant(self, _):
         self.odd = True
 
@@ -97,7 +118,7 @@ class _Element:
         """(kind, text, reason): object, other (no record), large, empty or bad."""
         try:
             text = raw.decode()
-            self.odd = deep or _LARGE_EXPONENT.search(raw) is not None
+            self.odd = deep
             if not text.strip(" \t\n\r"):
                 return "empty", None, None
             value = self.decoder.decode(text)
@@ -129,17 +150,26 @@ class RangeScanner:
 
     def feed(self, data: bytes) -> Iterator[tuple]:
         """(idx, kind, value, piece, reason) of the pieces that end here."""
+        for part in steps(data):
+            yield from self._feed(part)
+
+    def _feed(self, data: bytes) -> Iterator[tuple]:
         raw = np.frombuffer(data, np.uint8)
         inside, delta = structure(raw)
         if self.in_string:
             inside = ~inside
         delta[inside] = 0
-        depth = self.depth + np.cumsum(delta)
-        outer = (depth == 0) & (delta == 0) & ~inside & ~_SPACE[raw]
-        cuts = np.flatnonzero(((raw == 0x2C) & (depth == 1) & ~inside) | ((delta > 0) & (depth == 1)) | ((delta < 0) & (depth == 0)))
-        if outer.any() or (depth < 0).any() or ((depth == 0) & inside).any():
+        # Depths count where something opens, closes or ends only.
+        marks = np.flatnonzero((delta != 0) | ((raw == 0x2C) & ~inside))
+        change = delta[marks]
+        depth = self.depth + np.cumsum(change, dtype=np.int64)
+        cuts = marks[np.where(change < 0, depth == 0, depth == 1)]
+        if (depth < 0).any():
             self.wrong = True
-        deep = bool(depth.max(initial=0) > DEPTH)
+        if not self.depth or (depth == 0).any():
+            everywhere = np.repeat(np.append(self.depth, depth), np.diff(marks, prepend=0, append=len(raw)))
+            self.wrong |= bool(((everywhere == 0) & (inside | ((delta == 0) & ~_SPACE[raw]))).any())
+        deep = max(self.depth, int(depth.max(initial=0))) > DEPTH
         at = 0
         for cut in cuts.tolist():
             if delta[cut] > 0:  # the array opens
@@ -161,7 +191,9 @@ class RangeScanner:
             self.buffer.append(data[at:])
             self.deep |= deep
         if len(raw):
-            self.depth, self.in_string = int(depth[-1]), bool(inside[-1])
+            self.in_string = bool(inside[-1])
+        if len(marks):
+            self.depth = int(depth[-1])
 
     def _piece(self) -> tuple:
         raw = b"".join(self.buffer)
@@ -180,13 +212,15 @@ class RangeScanner:
 
 
 def _by_range(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """(path, block, bytes of the values with the separator between them), in order; a new range each time path or block changes."""
+    """(path, block, values with the separator between them), in order, about ``STEP`` bytes
+    or one value at a time; a new range each time path or block changes."""
     for batch in batches:
-        paths, blocks, values = batch.column(0).to_pylist(), batch.column(1).to_numpy(), batch.column(2).to_pylist()
+        paths, blocks, values = batch.column(0).to_pylist(), batch.column(1).to_numpy(), batch.column(2)
+        step = np.cumsum(pc.binary_length(values).to_numpy(), dtype=np.int64) // STEP
         low = 0
         for i in range(1, batch.num_rows + 1):
-            if i == batch.num_rows or blocks[i] != blocks[low] or paths[i] != paths[low]:
-                yield paths[low], int(blocks[low]), values[low:i]
+            if i == batch.num_rows or blocks[i] != blocks[low] or paths[i] != paths[low] or step[i] != step[low]:
+                yield paths[low], int(blocks[low]), values.slice(low, i - low).to_pylist()
                 low = i
 
 
@@ -216,11 +250,11 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if now:
                 found.append((*now, odd, *change))
             now, odd, change = (path, block), False, [0, 0]
-        raw = np.frombuffer(b"}".join([*values, b""]), np.uint8)
-        inside, delta = structure(raw)
-        change[odd] += int(delta[~inside].sum())
-        change[not odd] += int(delta[inside].sum())
-        odd ^= bool(inside[-1])
+        for part in steps(b"}".join([*values, b""])):
+            inside, delta = structure(np.frombuffer(part, np.uint8))
+            change[odd] += int(delta[~inside].sum())
+            change[not odd] += int(delta[inside].sum())
+            odd ^= bool(inside[-1])
     if now:
         found.append((*now, odd, *change))
         yield pa.RecordBatch.from_pydict({n: [f[i] for f in found] for i, n in enumerate(names)})

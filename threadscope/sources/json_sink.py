@@ -2,7 +2,7 @@
 
 A task streams its elements, with a separator between them, into a hidden file
 and moves it to its final name when it is whole; no task holds more than a
-batch. The commit message names the files. When all tasks are done, the driver
+batch, whose texts are written from where they lie. The commit message names the files. When all tasks are done, the driver
 removes whatever else lies in the folder: files of attempts that were lost, and,
 on overwriting, those of earlier jobs.
 """
@@ -21,6 +21,9 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 
 from threadscope.session import ship_package
 
+#: Bytes that are gathered before they are written.
+BUFFER = 1 << 20
+
 
 def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a Hadoop-style URI; a path without a scheme is local."""
@@ -68,11 +71,14 @@ class ArrayWriter(DataSourceArrowWriter):
                     folder = here
                     fs.create_dir(os.path.join(root, folder), recursive=True)
                     hidden = os.path.join(root, folder, "." + name)
-                    out = fs.open_output_stream(hidden)
+                    out = fs.open_output_stream(hidden, buffer_size=BUFFER)
                     out.write(b"[\n")
                 else:
                     out.write(b",\n")
-                out.write(",\n".join(texts.slice(low, i - low).to_pylist()).encode())
+                for n in range(low, i):
+                    if n > low:
+                        out.write(b",\n")
+                    out.write(texts[n].as_buffer())
                 low = i
         if out is not None:
             close()
