@@ -144,6 +144,33 @@ def test_incremental_ingest_idempotent(spark, raw_folder, tmp_path):
     assert len(comments) == 8 and {i for i, _ in comments} == {r[0] for r in rows(posts, "post_id")}
 
 
+def test_posts_follow_each_batch_of_files(spark, tmp_path, monkeypatch):
+    """Many batches in one run: the first content of an id stays, whose batch is its own; a batch that is written whole stays too."""
+    from threadscope.streaming import incremental
+    monkeypatch.setattr(incremental, "MAX_FILES", 1)
+    folder, out, ck = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")
+    for i in range(4):
+        _write(folder, f"{9 - i}.json", [dict(POSTS[1], author=a, content=f"file {i}") for a in ("always", f"from {i // 2}")])
+        os.utime(os.path.join(folder, f"{9 - i}.json"), (1e9 + i, 1e9 + i))
+    incremental.start_ingest(spark, folder, out, ck).awaitTermination()
+    assert sorted(rows(incremental.stored_posts(spark, out), "author", "content", "batch_id")) == [
+        ("always", "file 0", 0), ("from 0", "file 0", 0), ("from 1", "file 2", 2)]
+    for name in ("3", ".3.crc"):                                   # as if the run had ended before the batch did
+        os.remove(os.path.join(ck, "files", "commits", name))
+    before = sorted(os.listdir(os.path.join(out, "arrived", "batch_id=3")))
+    incremental.start_ingest(spark, folder, out, ck).awaitTermination()
+    assert sorted(os.listdir(os.path.join(out, "arrived", "batch_id=3"))) == before
+    assert incremental.stored_posts(spark, out).count() == 3
+
+
+def test_posts_pass_no_python(spark, tmp_path):
+    """The contents of stored posts stay in the JVM, and so does the state."""
+    from threadscope.streaming import incremental
+    (tmp_path / "arrived").mkdir()
+    posts = incremental.first_posts(spark.readStream.schema(incremental.ARRIVED).parquet(str(tmp_path / "arrived")))
+    assert "Pandas" not in posts._jdf.queryExecution().toString() and posts.schema == incremental.POSTS
+
+
 def test_array_file_beyond_the_variant_limit(spark, tmp_path):
     """A VARIANT holds 128 MiB; a raw file may hold more."""
     folder = tmp_path / "big"

@@ -5,17 +5,14 @@ appends comments. Here two streams do it. The first picks up new ``*.json``
 files (each once, tracked in its checkpoint), parses them, keeps the first post
 of each id within the batch and writes posts and comments under ``batch_id=N``
 with overwrite, so a retried batch replaces its own output (``foreachBatch`` is
-at-least-once). The second reads those posts and keeps the first of each id
-over all batches: the ids seen so far are keyed state of the stream, so a batch
-costs its own rows, however many posts are stored; its file sink writes every
-batch exactly once.
+at-least-once). The second, which runs after each batch of the first, reads those
+posts and keeps the first of each id over all batches: the ids seen so far are
+keyed state of the stream, so a batch costs its own rows, however many posts are
+stored; its file sink writes every batch exactly once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,44 +50,42 @@ def ingest_files(spark: SparkSession, paths: list[str], batch_id: int, out_dir:
     c.write.mode("overwrite").parquet(f"{out_dir}/comments/batch_id={batch_id}")
 
 
-def first_of_id(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    """The earliest post of an id that has no state yet. A batch of the first
-    stream holds an id once, so a group has a row for each such batch at most."""
-    rows = pd.concat(list(frames), ignore_index=True)
-    if not state.exists:
-        state.update((True,))
-        yield rows.sort_values(["batch_id", "file_path", "pos"]).head(1)[POSTS.names]
-
-
 def first_posts(arrived: DataFrame) -> DataFrame:
-    """Streaming: the posts of ids that no earlier batch held."""
-    return arrived.groupBy("post_id").applyInPandasWithState(first_of_id, POSTS, "seen boolean", "append", "NoTimeout")
+    """Streaming: the posts of ids that no earlier batch held. A batch of the
+    first stream, and so one of this, holds an id once."""
+    return arrived.dropDuplicates(["post_id"]).select(*POSTS.names)
 
 
 class Ingest:
-    """The two streams of one ingest."""
+    """The streams of one ingest: each batch of files is followed by one of posts."""
 
     def __init__(self, spark: SparkSession, folder: str, out_dir: str, checkpoint: str, available_now: bool):
         trigger = {"availableNow": True} if available_now else {"processingTime": "1 minute"}
         files = (spark.readStream.format("binaryFile").schema(BINARY_FILE).option("pathGlobFilter", "*.json").option("maxFilesPerTrigger", MAX_FILES)
                  .load(folder).select("path"))
-        self._files = (files.writeStream.option("checkpointLocation", f"{checkpoint}/files").trigger(**trigger)
-                       .foreachBatch(lambda df, n: ingest_files(df.sparkSession, [r.path for r in df.collect()], n, out_dir)).start())
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{out_dir}/arrived")
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
-        posts = first_posts(spark.readStream.schema(ARRIVED).parquet(f"{out_dir}/arrived"))
-        self._posts = posts.writeStream.option("checkpointLocation", f"{checkpoint}/posts").trigger(**trigger).outputMode("append").format("parquet")
-        self._out, self._started = f"{out_dir}/posts", None if available_now else self._posts.start(f"{out_dir}/posts")
+
+        self._posts = None
+
+        def batch(df: DataFrame, n: int) -> None:
+            # What a failed attempt has written whole stays: the posts' stream may have begun to read it.
+            whole = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/whole/{n}")
+            fs = whole.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            if not fs.exists(whole):
+                ingest_files(df.sparkSession, [r.path for r in df.collect()], n, out_dir)
+                fs.create(whole).close()
+            posts = first_posts(spark.readStream.schema(ARRIVED).parquet(f"{out_dir}/arrived"))
+            self._posts = (posts.writeStream.option("checkpointLocation", f"{checkpoint}/posts").trigger(availableNow=True).outputMode("append")
+                           .format("parquet").start(f"{out_dir}/posts"))
+            self._posts.awaitTermination()
+        self._files = files.writeStream.option("checkpointLocation", f"{checkpoint}/files").trigger(**trigger).foreachBatch(batch).start()
 
     def awaitTermination(self) -> None:  # noqa: N802 - as StreamingQuery names it
         self._files.awaitTermination()
-        self._started = self._started or self._posts.start(self._out)
-        self._started.awaitTermination()
 
     def stop(self) -> None:
         self._files.stop()
-        if self._started:
-            self._started.stop()
+        if self._posts:
+            self._posts.stop()
 
 
 def start_ingest(spark: SparkSession, folder: str, out_dir: str, checkpoint: str, available_now: bool = True) -> Ingest:
