@@ -101,3 +101,35 @@ def test_planning_and_urls(spark):
             one.select(X.dcard_urls(F.lit("hot"), F.lit("q"))[field]).collect()
     with pytest.raises(Exception):
         one.select(X.dcard_urls(F.lit("topic"), F.lit(""))).collect()
+
+
+@pytest.mark.parametrize("extract, columns", [(X.extract_baha_floors, ["page_id", "html"]), (X.extract_ptt_articles, ["page_id", "url", "html"]),
+                                              (X.extract_ptt_board, ["page_id", "html"])])
+def test_pages_are_parsed_one_at_a_time(extract, columns):
+    """A batch of 40 MB of pages: neither their texts nor their rows are held together."""
+    import tracemalloc
+
+    import pyarrow as pa
+    text = "some words &amp; 中 " * 1000
+    html = {X.extract_baha_floors: f'<section class="c-section"><div class="c-article__content">{text}</div></section>',
+            X.extract_ptt_articles: f'<div id="main-content">{text}</div>',
+            X.extract_ptt_board: f'<div class="r-ent"><div class="title"><a href="/x">{text}</a></div></div>'}[extract]
+    n = (40 << 20) // len(html.encode())
+    batch = pa.RecordBatch.from_pydict({"page_id": list(range(n)), "url": ["u"] * n, "html": [html] * n}).select(columns)
+
+    class Pages:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, fn, schema):  # noqa: N802
+            return (b.to_pandas() for b in fn(iter([batch])))
+
+        def mapInPandas(self, fn, schema):  # noqa: N802
+            return fn(iter([batch.to_pandas()]))
+    found = []
+    tracemalloc.start()
+    for rows in extract(Pages()):
+        found += rows["page_id"].tolist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == list(range(n)) and peak < 16 << 20, peak

@@ -5,7 +5,7 @@ that are already stored as rows ``(page_id, url, html)``. URL building,
 page planning, query-string and JSON-payload handling are native column
 expressions (JSON through VARIANT). HTML that needs a DOM (PTT articles and
 boards, Bahamut floors) is parsed with the standard-library parser inside
-``mapInPandas`` (see ``threadscope.functions.html``).
+``mapInArrow`` (see ``threadscope.functions.html``).
 """
 
 from __future__ import annotations
@@ -287,13 +287,14 @@ def dcard_comments_url(post_id: Column, limit: Column) -> Column:
                            post_id.cast("string"), limit.cast("string"))
 
 
-# X1 / X2 / X4 (HTML pages, mapInPandas) ------------------------------------
+# X1 / X2 / X4 (HTML pages, mapInArrow) -------------------------------------
 
 import datetime as _dt  # noqa: E402
-from collections.abc import Iterator  # noqa: E402
+from collections.abc import Callable, Iterator  # noqa: E402
 
-import pandas as _pd  # noqa: E402
+import pyarrow as _pa  # noqa: E402
 from pyspark.sql import types as _T  # noqa: E402
+from pyspark.sql.pandas.types import to_arrow_schema as _arrow_schema  # noqa: E402
 
 _COMMENT = _T.StructType([_T.StructField("comment_tag", _T.StringType()),
                           _T.StructField("comment_author", _T.StringType()),
@@ -412,28 +413,45 @@ def parse_baha_page(html: str | None) -> list[dict]:
     return floors
 
 
+#: Bytes of pages whose rows are sent on at a time.
+_SEND = 1 << 20
+
+
+def _rows_of_pages(pages: DataFrame, columns: list[str], rows_of: Callable[..., list[dict]], schema: _T.StructType) -> DataFrame:
+    """The rows that ``rows_of`` makes of each page's ``columns``. One page is
+    parsed at a time, and its rows are sent on with those of some others, so a
+    task holds an Arrow batch of pages and little else."""
+    kind = _arrow_schema(schema)
+
+    def fn(batches: Iterator[_pa.RecordBatch]) -> Iterator[_pa.RecordBatch]:
+        for b in batches:
+            rows, size = [], 0
+            for i in range(b.num_rows):
+                page = [c[i].as_py() for c in b.columns]
+                rows += rows_of(*page)
+                size += len(page[-1] or "")
+                if size > _SEND:
+                    yield _pa.RecordBatch.from_pylist(rows, kind)
+                    rows, size = [], 0
+            if rows:
+                yield _pa.RecordBatch.from_pylist(rows, kind)
+    return pages.select(*columns).mapInArrow(fn, schema)
+
+
 def extract_ptt_articles(pages: DataFrame, crawl_date: str | None = None) -> DataFrame:
     """X1 over a pages table ``(page_id, url, html)``; pages without
     ``#main-content`` produce no row."""
-    def fn(batches: Iterator[_pd.DataFrame]) -> Iterator[_pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for pid, url, html in zip(b["page_id"], b["url"], b["html"]):
-                rec = parse_ptt_article(html, crawl_date)
-                if rec is not None:
-                    rows.append({"page_id": pid, "url": url, **rec})
-            yield _pd.DataFrame(rows, columns=[f.name for f in PTT_ARTICLE_SCHEMA.fields])
-    return pages.select("page_id", "url", "html").mapInPandas(fn, PTT_ARTICLE_SCHEMA)
+    def rows_of(pid: int, url: str, html: str | None) -> list[dict]:
+        rec = parse_ptt_article(html, crawl_date)
+        return [] if rec is None else [{"page_id": pid, "url": url, **rec}]
+    return _rows_of_pages(pages, ["page_id", "url", "html"], rows_of, PTT_ARTICLE_SCHEMA)
 
 
 def extract_ptt_board(pages: DataFrame) -> DataFrame:
     """X2 listing rows of board pages."""
-    def fn(batches: Iterator[_pd.DataFrame]) -> Iterator[_pd.DataFrame]:
-        for b in batches:
-            rows = [{"page_id": pid, "entry_pos": i, **e}
-                    for pid, html in zip(b["page_id"], b["html"]) for i, e in enumerate(parse_ptt_board(html))]
-            yield _pd.DataFrame(rows, columns=[f.name for f in PTT_BOARD_SCHEMA.fields])
-    return pages.select("page_id", "html").mapInPandas(fn, PTT_BOARD_SCHEMA)
+    def rows_of(pid: int, html: str | None) -> list[dict]:
+        return [{"page_id": pid, "entry_pos": i, **e} for i, e in enumerate(parse_ptt_board(html))]
+    return _rows_of_pages(pages, ["page_id", "html"], rows_of, PTT_BOARD_SCHEMA)
 
 
 def ptt_posts(board_pages: DataFrame, article_pages: DataFrame, crawl_date: str | None = None) -> DataFrame:
@@ -446,9 +464,6 @@ def ptt_posts(board_pages: DataFrame, article_pages: DataFrame, crawl_date: str
 
 def extract_baha_floors(pages: DataFrame) -> DataFrame:
     """X4 over a pages table: one row per floor."""
-    def fn(batches: Iterator[_pd.DataFrame]) -> Iterator[_pd.DataFrame]:
-        for b in batches:
-            rows = [{"page_id": pid, "floor_pos": i, **f}
-                    for pid, html in zip(b["page_id"], b["html"]) for i, f in enumerate(parse_baha_page(html))]
-            yield _pd.DataFrame(rows, columns=[f.name for f in BAHA_FLOOR_SCHEMA.fields])
-    return pages.select("page_id", "html").mapInPandas(fn, BAHA_FLOOR_SCHEMA)
+    def rows_of(pid: int, html: str | None) -> list[dict]:
+        return [{"page_id": pid, "floor_pos": i, **f} for i, f in enumerate(parse_baha_page(html))]
+    return _rows_of_pages(pages, ["page_id", "html"], rows_of, BAHA_FLOOR_SCHEMA)
