@@ -242,3 +242,21 @@ def test_checkpoint_folder_must_be_shared_on_a_cluster(monkeypatch):
     sc = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
     with pytest.raises(RuntimeError):
         session.ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda *a: None)))
+
+
+def test_keys_are_found_in_one_pass(spark):
+    """Texts are read and parsed once for the keys of posts and of comments."""
+    from pyspark.sql import types as T
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(text):
+        seen.add(1)
+        return text
+    texts = [json.dumps(p) for p in OPEN] + ["[1]", " {}", "7", "null", "{cut", ""]
+    df = spark.createDataFrame([("f", i, t) for i, t in enumerate(texts)], "file_path string, pos long, value string").coalesce(1)
+    raw = posts_json.parse_posts(df.withColumn("value", F.udf(count, T.StringType()).asNondeterministic()("value")), records=True)
+    of_posts, of_comments = posts_json.open_keys(raw)
+    assert seen.value == len(texts)
+    assert {f.name for f in of_posts} == {"score", "meta.lang", "meta.deep.n", "tags", "pos", "odd'key", "mixed"}
+    assert {f.name for f in of_comments} == {"floor", "meta.lang", "score", "by.id"}
+    assert [r[0] for r in rows(posts_json.parse_posts(df), "pos")] == [0, 1, 3]

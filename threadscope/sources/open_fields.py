@@ -51,17 +51,28 @@ def parse_schema(text: str) -> list[Field]:
     return list(_leaves(T.DataType.fromDDL(text)))
 
 
-def discover(df: DataFrame, record: str, known: Sequence[str] = (), most: int = MOST_FIELDS) -> list[Field]:
-    """The leaves of the VARIANT column ``record``, without those below the
-    ``known`` keys; one aggregate, of which one row comes to the driver. More
-    than ``most`` are an error, not a loss: name the keys that you want then."""
-    text = df.filter(F.schema_of_variant(record).startswith("OBJECT")).agg(F.schema_of_variant_agg(record)).first()[0]
+def undeclared(text: str | None, known: Sequence[str] = (), most: int = MOST_FIELDS) -> list[Field]:
+    """The leaves of a type (see ``parse_schema``) without those below the ``known`` keys.
+    More than ``most`` are an error, not a loss: name the keys that you want then."""
     fields = [f for f in parse_schema(text or "") if f.keys[0] not in known]
     if len(fields) > most:
         raise ValueError(f"{len(fields)} different keys, more than {most}: pass the fields that are wanted")
     return fields
 
 
+def discover(df: DataFrame, record: str, known: Sequence[str] = (), most: int = MOST_FIELDS) -> list[Field]:
+    """The leaves of the VARIANT column ``record``, without those below the
+    ``known`` keys; one aggregate, of which one row comes to the driver."""
+    text = df.filter(F.schema_of_variant(record).startswith("OBJECT")).agg(F.schema_of_variant_agg(record)).first()[0]
+    return undeclared(text, known, most)
+
+
+def discover_by(df: DataFrame, record: str, kind: str) -> dict:
+    """The type of the VARIANT column ``record``, which holds objects only, for
+    each value of ``kind``, which are few; one aggregate."""
+    return {k: text for k, text in df.groupBy(kind).agg(F.schema_of_variant_agg(record)).collect()}
+
+
 def _member(value: Column, key: str) -> Column:
     if "'" in key or "\\" in key:  # no path can name these
         return F.element_at(F.try_variant_get(value, "$", "map<string,variant>"), F.lit(key))

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from threadscope.sources.json_arrays import array_elements
 from threadscope.sources.json_sink import write_arrays
-from threadscope.sources.open_fields import Field, discover, project
+from threadscope.sources.open_fields import Field, discover_by, project, undeclared
 
 log = logging.getLogger(__name__)
 
@@ -83,13 +83,13 @@ def parse_posts(elements: DataFrame, records: bool = False) -> DataFrame:
     ``records``: whole posts and comments too, as VARIANT column ``record``
     and VARIANT field ``record`` of the comments.
     """
-    recs = elements.select("file_path", F.col("pos").cast("int").alias("pos"), F.try_parse_json("value").alias("_r")) \
-        .filter(F.schema_of_variant("_r").startswith("OBJECT"))
+    # A generator, which no filter passes, so that each text is parsed once; of what parses, only objects begin with a brace.
+    parsed = F.filter(F.array(F.try_parse_json("value")), lambda v: v.isNotNull())
+    recs = elements.filter(F.ltrim("value", F.lit(" \t\r\n")).startswith("{")).select(
+        "file_path", F.col("pos").cast("int").alias("pos"), F.explode(parsed).alias("_r"))
     r = F.col("_r")
     reac = F.try_variant_get(r, "$.total_reac", "variant")
-    comments = F.try_variant_get(r, "$.comments_data", "variant")
-    comments_arr = F.when(F.schema_of_variant(comments).startswith("ARRAY"),
-                          comments.try_cast("array<variant>"))
+    comments_arr = F.try_variant_get(r, "$.comments_data", "array<variant>")
     comment_struct = F.transform(comments_arr, lambda c: F.when(
         F.schema_of_variant(c).startswith("OBJECT"),
         F.struct(_s(c, "comment_tag").alias("comment_tag"), _s(c, "comment_author").alias("comment_author"),
@@ -134,8 +134,12 @@ def posts_with_comments(raw: DataFrame) -> DataFrame:
 
 def open_keys(raw: DataFrame) -> tuple[list[Field], list[Field]]:
     """The keys of posts and of comments that no column holds (``raw``: read with ``records``)."""
-    comments = raw.select(F.explode("comments_data").alias("c")).select(F.col("c.record").alias("record"))
-    return discover(raw, "record", POST_KEYS), discover(comments, "record", COMMENT_KEYS)
+    record = lambda v, of_post: F.struct(F.lit(of_post).alias("of_post"), v.alias("record"))
+    comments = F.transform(F.filter("comments_data", lambda c: c.isNotNull()), lambda c: record(c["record"], False))
+    none = F.array().cast("array<struct<of_post:boolean,record:variant>>")
+    both = raw.select(F.inline(F.concat(F.array(record(F.col("record"), True)), F.coalesce(comments, none))))
+    found = discover_by(both, "record", "of_post")
+    return undeclared(found.get(True), POST_KEYS), undeclared(found.get(False), COMMENT_KEYS)
 
 
 def write_posts_json(df: DataFrame, path: str, files: int | None = None, partition_by: str | None = None) -> bool:
