@@ -1,6 +1,7 @@
 """Index against brute-force cosines; held-out accuracy on planted words."""
 import pickle
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -131,3 +132,21 @@ def test_blocks_are_left_out_and_batches_agree():
         assert example[text == i].tolist() == want and np.allclose(cosine[text == i], truth[i, want])
     assert index.multiplied < index.met / 2
     assert sorted(index.order) == list(range(2000))
+
+
+def test_index_takes_little_memory_where_it_is_made():
+    """The driver packs the index and pickles it: a few bytes a posting, not several copies of all."""
+    rng = np.random.default_rng(8)
+    examples, each, terms_n = 2000, 1000, 20_000
+    row = np.repeat(np.arange(examples, dtype=np.int32), each)
+    term = np.sort(rng.integers(0, terms_n, (examples, each)), axis=1).astype(np.int32).ravel()
+    weight = np.round(rng.random(len(row)) * X.UNIT) / X.UNIT
+    tracemalloc.start()
+    try:
+        index = X.BlockMaxIndex(examples, row, term, weight, terms_n)
+        held = tracemalloc.get_traced_memory()[0]
+        size = len(pickle.dumps(index))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert held < 8 * len(row) and size < 8 * len(row) and peak < 24 * len(row)

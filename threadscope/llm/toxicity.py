@@ -35,6 +35,8 @@ COMMON, MAX_COMMON = 32, 1024
 HEAVY = 256
 #: Texts and postings that are scored at a time, and blocks of each text that are multiplied first.
 TEXTS, POSTINGS, FIRST = 128, 1 << 20, 3
+#: Postings of the examples that are put in order at a time.
+ENTRIES = 1 << 18
 #: Weights are multiples of 1 / UNIT.
 UNIT = 2.0 ** 25
 
@@ -100,16 +102,43 @@ def _runs(start: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(start - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(int(n.sum())) if len(n) else np.zeros(0, np.int64)
 
 
-def likeness(examples: int, row: np.ndarray, term: np.ndarray, weight: np.ndarray, terms_n: int) -> np.ndarray:
+def _parts(n: int) -> list[slice]:
+    """The places 0 to n in turn: what is worked out of them at a time stays small."""
+    return [slice(low, low + ENTRIES) for low in range(0, n, ENTRIES)]
+
+
+def by_term(row: np.ndarray, term: np.ndarray, weight: np.ndarray, examples: int, terms_n: int
+            ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The postings by term: the example of each, of two bytes where these suffice; their number of
+    each term; and their weights, as integers of the unit 1 / UNIT where that is exact."""
+    n = np.zeros(terms_n, np.int64)
+    for part in _parts(len(term)):
+        n += np.bincount(term[part], minlength=terms_n)
+    exact = weight.dtype == np.int32 or all((w <= 1).all() and (np.round(w * UNIT) == w * UNIT).all()
+                                            for w in (weight[part] for part in _parts(len(weight))))
+    rows = np.empty(len(row), np.uint16 if examples <= 1 << 16 else np.int32)
+    weights = np.empty(len(row), np.int32 if exact else np.float64)
+    free = np.cumsum(n) - n  # the next free place of each term
+    for part in _parts(len(term)):
+        order = np.argsort(term[part], kind="stable")
+        own, times = np.unique(term[part], return_counts=True)
+        at = _runs(free[own], times)
+        rows[at] = row[part][order]
+        weights[at] = weight[part][order] if weight.dtype == weights.dtype else np.round(weight[part][order] * UNIT)
+        free[own] += times
+    return rows, n.astype(np.int32), weights
+
+
+def likeness(examples: int, row: np.ndarray, n: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """An order of the examples in which those alike are near each other: halved
-    again and again along the direction in which their heaviest terms differ most."""
-    df = np.bincount(term, minlength=terms_n)
-    heavy = np.argsort(-df, kind="stable")[:HEAVY]
-    place = np.full(terms_n, -1, np.int32)
-    place[heavy] = np.arange(len(heavy))
-    at = np.flatnonzero(place[term] >= 0)
+    again and again along the direction in which their heaviest terms differ most.
+    ``row``, ``n``, ``weight``: see ``by_term``."""
+    heavy = np.argsort(-n, kind="stable")[:HEAVY]
+    cut = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
     matrix = np.zeros((examples, len(heavy)), np.float32)
-    matrix[row[at], place[term[at]]] = weight[at]
+    for place, term in enumerate(heavy.tolist()):
+        own = weight[cut[term]:cut[term + 1]]
+        matrix[row[cut[term]:cut[term + 1]], place] = own / UNIT if own.dtype == np.int32 else own
     order, todo = np.arange(examples), [(0, examples)]
     while todo:
         low, high = todo.pop()
@@ -131,26 +160,25 @@ class BlockMaxIndex:
     """Vectors of the examples by term, with weights that are multiples of
     1 / UNIT. ``order``: the example at each place of the blocks."""
 
-    def __init__(self, examples: int, row: np.ndarray, term: np.ndarray, weight: np.ndarray, terms_n: int,
-                 order: np.ndarray | None = None, kept: bool = True):
-        self.entries, self.kept = (examples, row, term, weight, terms_n), kept  # kept: to be pickled again
-        self.order = likeness(*self.entries) if order is None else order
+    def __init__(self, examples: int, row: np.ndarray, term: np.ndarray, weight: np.ndarray, terms_n: int):
+        """Weights of four-byte integers are in the unit 1 / UNIT."""
+        postings = by_term(row, term, weight, examples, terms_n)
+        self._hold(examples, *postings, likeness(examples, *postings), True)
+
+    def _hold(self, examples: int, row: np.ndarray, n: np.ndarray, weight: np.ndarray, order: np.ndarray, kept: bool) -> None:
+        self.postings, self.order, self.kept = (examples, row, n, weight), order, kept  # kept: to be pickled again
         self.built = False
 
     def __reduce__(self):
-        """Pickled as postings alone, of two and four bytes where these suffice: a broadcast lies on every disk."""
-        examples, row, term, weight, terms_n = self.entries
-        by = np.lexsort((row, term))
-        units = np.round(weight[by] * UNIT)
-        exact = (units == weight[by] * UNIT).all() and (units <= UNIT).all()
-        return _unpickled, (examples, row[by].astype(np.uint16 if examples <= 1 << 16 else np.int32),
-                            np.bincount(term, minlength=terms_n).astype(np.int32), units.astype(np.int32) if exact else weight[by],
-                            self.order.astype(np.int32))
+        """Pickled as postings alone: a broadcast lies on every disk."""
+        return _unpickled, (*self.postings, self.order.astype(np.int32))
 
     def _build(self) -> None:
-        examples, row, term, weight, terms_n = self.entries
+        examples, row, n, weight = self.postings
         if not self.kept:
-            self.entries = None
+            self.postings = None
+        terms_n, row, term = len(n), row.astype(np.int32), np.repeat(np.arange(len(n), dtype=np.int32), n)
+        weight = weight / UNIT if weight.dtype == np.int32 else weight
         self.blocks = max(1, -(-examples // BLOCK))
         at = np.empty(examples, np.int32)
         at[self.order] = np.arange(examples, dtype=np.int32)
@@ -235,9 +263,9 @@ class BlockMaxIndex:
 
 
 def _unpickled(examples: int, row: np.ndarray, n: np.ndarray, weight: np.ndarray, order: np.ndarray) -> BlockMaxIndex:
-    weight = weight / UNIT if weight.dtype == np.int32 else weight
-    return BlockMaxIndex(examples, row.astype(np.int32), np.repeat(np.arange(len(n), dtype=np.int32), n), weight, len(n),
-                         order.astype(np.int64), kept=False)
+    index = BlockMaxIndex.__new__(BlockMaxIndex)
+    index._hold(examples, row, n, weight, order.astype(np.int64), False)
+    return index
 
 
 def _vectors(row, term, times, idf, rows_n):
@@ -399,17 +427,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     n = np.diff(rows["terms"].combine_chunks().offsets.to_numpy()) if rows.num_rows else np.zeros(0, np.int64)
     row = np.repeat(np.arange(rows.num_rows, dtype=np.int32), n)
     term, units = (rows[c].combine_chunks().flatten().to_numpy() for c in ("terms", "units"))
-    index = BlockMaxIndex(rows.num_rows, row, term, units / UNIT, len(vocabulary))
+    index = BlockMaxIndex(rows.num_rows, row, term, units, len(vocabulary))
     toxic = rows["y"].to_numpy().astype(np.int64) if rows.num_rows else np.zeros(0, np.int64)
     share = np.where(toxic > 0, total.get(1, 0) / max(toxic_n, 1), total.get(0, 0) / max(clean_n, 1))
     share = share / share.min() if len(share) else share
     # The prior is that of the texts that no example reaches: of such examples, and one of the mean of all.
-    bare = np.bincount(row, minlength=rows.num_rows) == 0 if rows.num_rows else np.zeros(0, bool)
+    bare = n == 0
     mean = total.get(1, 0) / (total.get(1, 0) + total.get(0, 0)) if rows.num_rows else 0.5
     prior = (float((share * toxic)[bare].sum()) + mean) / (float(share[bare].sum()) + 1.0)
     ids = rows["id"].to_numpy() if rows.num_rows else np.zeros(0, np.int64)
     model = Model(vocabulary, idf, index, ids, toxic, share, prior, k)
-    del rows, row, term, units
+    del rows, n, row, term, units
+    pa.default_memory_pool().release_unused()
     if toxic_n and clean_n:
         known_model = model.broadcast(spark)
 
