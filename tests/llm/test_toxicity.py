@@ -150,3 +150,39 @@ def test_index_takes_little_memory_where_it_is_made():
     finally:
         tracemalloc.stop()
     assert held < 8 * len(row) and size < 8 * len(row) and peak < 24 * len(row)
+
+
+def test_index_takes_little_memory_where_it_is_searched():
+    rng = np.random.default_rng(8)
+    examples, terms_n = 4000, 60_000
+    row = np.repeat(np.arange(examples, dtype=np.int32), 200)
+    term = np.concatenate([np.sort(rng.choice(terms_n, 200, replace=False)) for _ in range(examples)]).astype(np.int32)
+    weight = np.round(rng.random(len(row)) / 16 * X.UNIT).astype(np.int32)
+    packed = pickle.dumps(X.BlockMaxIndex(examples, row, term, weight, terms_n))
+    texts, longest = 128, 3000  # their terms have 5 million postings
+    t = np.concatenate([np.sort(rng.choice(terms_n, longest, replace=False)) for _ in range(texts)])
+    r, w = np.repeat(np.arange(texts), longest), np.full(len(t), 1 / 64)
+    tracemalloc.start()
+    try:
+        index = pickle.loads(packed)
+        index._build()
+        built = tracemalloc.get_traced_memory()[1]
+        found = index.search(r, t, w, texts, 7)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(found[0]) == texts * 7 and built < 24 * len(row) and peak < 80 * len(row)
+    dense = np.zeros((examples, terms_n), np.float32)
+    dense[row, term] = weight / X.UNIT
+    sums = dense[:, t[r == 5]].astype(np.float64).sum(axis=1) / 64
+    assert np.allclose(found[2][found[0] == 5], np.sort(sums)[::-1][:7], atol=1e-6)
+
+
+def test_texts_are_sent_to_python_once(spark):
+    rows, labels = planted(200)
+    docs = spark.createDataFrame(rows, DOCS)
+    model = X.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    scored = X.score(docs, model)
+    assert "_source" not in scored._jdf.queryExecution().toString()
+    raw = X.score(docs.withColumn("text", F.col("text").cast("binary")), model)  # any other type is cast
+    assert sorted(scored.select("doc_id", "score").collect()) == sorted(raw.select("doc_id", "score").collect())

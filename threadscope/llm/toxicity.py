@@ -33,8 +33,10 @@ BLOCK = 64
 COMMON, MAX_COMMON = 32, 1024
 #: Terms by which the examples are ordered.
 HEAVY = 256
-#: Texts and postings that are scored at a time, and blocks of each text that are multiplied first.
-TEXTS, POSTINGS, FIRST = 128, 1 << 20, 3
+#: Texts that are scored at a time, postings of theirs that are looked up at a time, and blocks of each text that are multiplied first.
+TEXTS, POSTINGS, FIRST = 128, 1 << 17, 3
+#: Bytes of text of which the terms are taken at a time.
+BYTES = 1 << 19
 #: Postings of the examples that are put in order at a time.
 ENTRIES = 1 << 18
 #: Weights are multiples of 1 / UNIT.
@@ -177,26 +179,24 @@ class BlockMaxIndex:
         examples, row, n, weight = self.postings
         if not self.kept:
             self.postings = None
-        terms_n, row, term = len(n), row.astype(np.int32), np.repeat(np.arange(len(n), dtype=np.int32), n)
-        weight = weight / UNIT if weight.dtype == np.int32 else weight
+        self.unit = 1 / UNIT if weight.dtype == np.int32 else 1.0  # weights stay as they are held
         self.blocks = max(1, -(-examples // BLOCK))
-        at = np.empty(examples, np.int32)
-        at[self.order] = np.arange(examples, dtype=np.int32)
-        df = np.bincount(term, minlength=terms_n)
-        common = np.argsort(-df, kind="stable")[:MAX_COMMON]
-        common = common[df[common] * COMMON >= max(examples, 1)]
-        self.place = np.full(terms_n, -1, np.int32)  # row of the matrix
+        at = np.empty(examples, row.dtype)
+        at[self.order] = np.arange(examples)
+        common = np.argsort(-n, kind="stable")[:MAX_COMMON]
+        common = common[n[common].astype(np.int64) * COMMON >= max(examples, 1)]
+        self.place = np.full(len(n), -1, np.int32)  # row of the matrix
         self.place[common] = np.arange(len(common))
-        often = self.place[term] >= 0
-        self.matrix = np.zeros((self.blocks, len(common), BLOCK))
-        where = at[row[often]]
-        self.matrix[where // BLOCK, self.place[term[often]], where % BLOCK] = weight[often]
-        self.top = np.ascontiguousarray(self.matrix.max(axis=2).T)
-        often = ~often
-        row, term, weight = at[row[often]], term[often], weight[often]
-        by = np.lexsort((row, term))
-        self.row, self.weight = row[by], weight[by]
-        self.cut = np.searchsorted(term[by], np.arange(terms_n + 1))
+        start = np.cumsum(n, dtype=np.int64) - n
+        self.matrix = np.zeros((self.blocks, len(common), BLOCK), weight.dtype)
+        for place, term in enumerate(common.tolist()):
+            own = slice(start[term], start[term] + n[term])
+            where = at[row[own]]
+            self.matrix[where // BLOCK, place, where % BLOCK] = weight[own]
+        self.top = np.ascontiguousarray(self.matrix.max(axis=2).T) * self.unit
+        rare = np.repeat(self.place < 0, n)
+        self.row, self.weight = at[row[rare]], weight[rare]
+        self.cut = np.concatenate([[0], np.cumsum(np.where(self.place < 0, n, 0), dtype=np.int64)])
         self.built, self.multiplied, self.met = True, 0, 0
 
     def search(self, row: np.ndarray, term: np.ndarray, weight: np.ndarray, texts: int, k: int
@@ -207,14 +207,12 @@ class BlockMaxIndex:
         if not self.built:
             self._build()
         cut = np.searchsorted(row, np.arange(texts + 1))
-        postings = np.concatenate([[0], np.cumsum(np.where(self.place[term] < 0, self.cut[term + 1] - self.cut[term], 0))])[cut]
-        out, first = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))], 0
-        while first < texts:
-            last = min(first + TEXTS, texts, max(first + 1, int(np.searchsorted(postings, postings[first] + POSTINGS, "right")) - 1))
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        for first in range(0, texts, TEXTS):
+            last = min(first + TEXTS, texts)
             part = slice(cut[first], cut[last])
             i, e, s = self._nearest(row[part] - first, term[part], weight[part], last - first, k)
             out.append((i + first, e, s))
-            first = last
         return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
     def _nearest(self, row, term, weight, texts, k):
@@ -224,9 +222,15 @@ class BlockMaxIndex:
         left[row[often], self.place[term[often]]] = weight[often]
         row, term, weight = row[~often], term[~often], weight[~often]
         n = self.cut[term + 1] - self.cut[term]
-        at = _runs(self.cut[term], n)
-        score = np.bincount(np.repeat(row * width, n) + self.row[at], np.repeat(weight, n) * self.weight[at], minlength=texts * width)
-        score = score.astype(np.float64, copy=False).reshape(texts, self.blocks, BLOCK)
+        score, past, low = np.zeros(texts * width), np.concatenate([[0], np.cumsum(n)]), 0
+        while low < len(term):
+            high = max(low + 1, int(np.searchsorted(past, past[low] + POSTINGS, "right")) - 1)
+            own = n[low:high]
+            at = _runs(self.cut[term[low:high]], own)
+            np.add.at(score, np.repeat(row[low:high] * width, own) + self.row[at], np.repeat(weight[low:high], own) * self.weight[at])
+            low = high
+        score *= self.unit
+        score = score.reshape(texts, self.blocks, BLOCK)
         bound = score.max(axis=2) + left @ self.top
 
         def multiply(chosen: np.ndarray) -> None:
@@ -234,7 +238,7 @@ class BlockMaxIndex:
             cut = np.searchsorted(block, np.arange(self.blocks + 1))
             for b in np.flatnonzero(np.diff(cut)):
                 own = text[cut[b]:cut[b + 1]]
-                score[own, b] += left[own] @ self.matrix[b]
+                score[own, b] += left[own] @ (self.matrix[b] * self.unit)
 
         few = min(FIRST, self.blocks)
         best = np.argpartition(-bound, few - 1, axis=1)[:, :few]
@@ -363,7 +367,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
 
     def count_terms(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", BYTES):
                 h, r = terms(part.column(2))
                 y = part.column(1).to_numpy()
                 order = np.lexsort((r, h))
@@ -393,7 +397,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
         n, df = 0, np.zeros(len(held.value), np.int64)
         for batch in batches:
             n += batch.num_rows
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", BYTES):
                 h, r = terms(part.column(0))
                 df += np.bincount(_counts(h, r, held.value)[1], minlength=len(df))
         some = np.flatnonzero(df)
@@ -408,7 +412,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
 
     def vectors(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", BYTES):
                 h, r = terms(part.column(2))
                 row, term, times = _counts(h, r, held.value)
                 cut = np.searchsorted(row, np.arange(part.num_rows + 1))
@@ -446,7 +450,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
             model = known_model.value
             where = {i: at for at, i in enumerate(model.ids.tolist())}
             for batch in batches:
-                for part in slices(batch, "text"):
+                for part in slices(batch, "text", BYTES):
                     me = np.array([where[i] for i in part.column(0).to_pylist()])
                     row, example, cosine = model.nearest(part.column(1), k + 1)
                     other = example != me[row]  # the nearest k without the example itself
@@ -471,9 +475,11 @@ def score(docs: DataFrame, model: Model, text: str = "text", evidence: int = 5)
     names = ["score", "predicted", "evidence", "evidence_cosine"]
     docs = docs.drop(*(c for c in names if c != text))
     held, slope, offset = model.broadcast(spark), model.slope, model.offset  # of bounded size, see fit
-    source = free_name(docs, "_source")
-    fields = list(docs.schema.fields)
-    docs = docs.withColumn(source, F.col(f"`{text}`").cast("string"))
+    fields, source = list(docs.schema.fields), text
+    if [f.dataType for f in fields if f.name == text] != [T.StringType()]:  # else the texts are sent once
+        source = free_name(docs, "_source")
+        docs = docs.withColumn(source, F.col(f"`{text}`").cast("string"))
+    place = docs.columns.index(source)
     schema = T.StructType([*fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()),
                            T.StructField("evidence", T.ArrayType(T.LongType())),
                            T.StructField("evidence_cosine", T.ArrayType(T.DoubleType()))])
@@ -481,13 +487,13 @@ def score(docs: DataFrame, model: Model, text: str = "text", evidence: int = 5)
     def run(batches):
         for batch in batches:
             for part in slices(batch, source, 1 << 20):
-                found, row, example, cosine = held.value.score(part.column(part.num_columns - 1), slope, offset)
+                found, row, example, cosine = held.value.score(part.column(place), slope, offset)
                 shown = np.arange(len(row)) - np.searchsorted(row, row) < evidence
                 cut = pa.array(np.searchsorted(row[shown], np.arange(part.num_rows + 1)), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array(found), pa.array((found >= 0.5).astype(np.int32)),
+                    [*part.columns[:len(fields)], pa.array(found), pa.array((found >= 0.5).astype(np.int32)),
                      pa.ListArray.from_arrays(cut, pa.array(held.value.ids[example[shown]], pa.int64())),
                      pa.ListArray.from_arrays(cut, pa.array(cosine[shown]))],
-                    [*part.schema.names[:-1], *names])
+                    [*part.schema.names[:len(fields)], *names])
 
     return docs.mapInArrow(run, schema)
